@@ -21,11 +21,10 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
 
 
 def executed_plan_text(df: DataFrame) -> str:
-    """Final (AQE) plan after running the query once."""
-    qe = df._jdf.queryExecution()
-    df._jdf.queryExecution().executedPlan()  # force planning
-    df.write.format("noop").mode("overwrite").save()
-    return qe.executedPlan().toString()
+    """Final (AQE) plan after running the query once (collects the result, so
+    only for result-sized frames in tests)."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def scan_columns(df: DataFrame) -> list[str]:
