@@ -16,7 +16,9 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType,
     """Raw CSV with a declared schema; returns (good rows, bad rows).
 
     Malformed lines are kept in ``_corrupt_record`` (PERMISSIVE mode) and
-    split off instead of failing the job or vanishing silently.
+    split off instead of failing the job or vanishing silently.  ``bad`` keeps
+    every column; write it to a quarantine table rather than ``count()`` it
+    alone (Spark refuses scans that read only the corrupt-record column).
     """
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
     raw = (spark.read.schema(full).option("header", header).option("mode", "PERMISSIVE")

@@ -40,8 +40,10 @@ class StreamPlan:
 def with_event_time(clean_stream: DataFrame, lateness: str = DEFAULT_LATENESS) -> DataFrame:
     """Adds ``evt`` (wall clock read as UTC) with a watermark of ``lateness``.
 
-    Rows later than the watermark are dropped by Spark; no reference rule
-    exists, so the allowed lateness is a parameter.
+    Spark drops a row once the event-time window it belongs to has closed
+    (the previous micro-batch's watermark is past the window's end), so a
+    late row still counts while its hour / day / 24 h window is open.  No reference rule exists; the allowed
+    lateness is a parameter.
     """
     return clean_stream.withColumn("evt", event_time(F.col("ts"))).withWatermark("evt", lateness)
 

@@ -1,0 +1,197 @@
+"""Edge cases: empty input, zero baseline, exact thresholds, late rows,
+time zones, malformed CSV, schema conformance, sink replay, calendar."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from flowtally.fixed import HIGH_ALERT, LOW_ALERT, NORMAL
+from flowtally.functions import us_federal_holiday
+from flowtally.operators import (alerts, clean, cumulative_curve, daily_total, hourly, records,
+                                 rolling_mean, row_count)
+from flowtally.plans import check_normal, import_counts
+from flowtally.schemas import conform
+from flowtally.sinks import write_csv_parts
+from flowtally.sources import read_raw_csv
+from flowtally.sources.testdata import SERIES, event_hourly
+from flowtally.streaming import cumulative_stream, read_latest, run_to_table
+from flowtally.streaming.sink import batch_writer
+from tests.conftest import SF_SMALL
+
+REC = "date_time string, traffic long"
+
+
+def _rec(spark, rows, holidays=None):
+    return hourly(clean(spark.createDataFrame(rows, REC), "date_time", "traffic"),
+                  holidays=holidays)
+
+
+def _base(spark, rows):
+    return spark.createDataFrame(rows, "is_holiday int, hour int, avg_traffic double")
+
+
+def test_empty_input_counts_and_sums(spark):
+    empty = _rec(spark, [])
+    base = _base(spark, [])
+    assert row_count(empty).first().row_count == 0
+    r = check_normal(alerts(empty, base), base).first()
+    assert r.total_normal == 0 and r.below_low_threshold is None and r.within_range is None
+
+
+def test_zero_baseline_and_exact_thresholds(spark):
+    rec = _rec(spark, [("2024-03-05 01:00:00", 5), ("2024-03-05 02:00:00", 10),
+                       ("2024-03-05 03:00:00", 30), ("2024-03-05 04:00:00", 21)])
+    base = _base(spark, [(0, 1, 0.0), (0, 2, 20.0), (0, 3, 20.0), (0, 4, 20.0)])
+    got = {r.hour: r.alert_status for r in alerts(rec, base).collect()}
+    assert got == {1: NORMAL, 2: LOW_ALERT, 3: HIGH_ALERT, 4: NORMAL}
+
+
+def test_missing_baseline_row_drops_record(spark):
+    rec = _rec(spark, [("2024-03-05 01:00:00", 5), ("2024-03-05 02:00:00", 10)])
+    assert alerts(rec, _base(spark, [(0, 1, 4.0)])).count() == 1
+
+
+def test_time_zone_does_not_change_results(spark):
+    want = sorted(map(tuple, event_hourly(spark, SF_SMALL).collect()))
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        got = sorted(map(tuple, event_hourly(spark, SF_SMALL).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == want
+
+
+def test_rolling_window_crosses_midnight_and_gaps(spark):
+    rec = _rec(spark, [("2024-03-05 22:00:00", 10), ("2024-03-05 23:00:00", 20),
+                       ("2024-03-06 00:00:00", 30), ("2024-03-06 21:00:00", 40),
+                       ("2024-03-06 23:00:00", 50)])
+    got = {r.current_time: (r.window_start, r.avg_traffic, r.data_count)
+           for r in rolling_mean(rec).collect()}
+    assert got["2024-03-06 00:00:00"] == ("2024-03-05 01:00:00", 20.0, 3)
+    # (22:00 day before, 23:00 day before] is outside: 22:00 of 03-05 drops out
+    assert got["2024-03-06 21:00:00"] == ("2024-03-05 22:00:00", 25.0, 4)
+    assert got["2024-03-06 23:00:00"] == ("2024-03-06 00:00:00", 40.0, 3)
+
+
+def test_rolling_free_of_partitioning(spark):
+    h = event_hourly(spark, SF_SMALL)
+    a = sorted(map(tuple, rolling_mean(h.repartition(1), SERIES).collect()))
+    b = sorted(map(tuple, rolling_mean(h.repartition(7), SERIES).collect()))
+    assert a == b and all(r[4] <= 24 for r in a)
+
+
+def test_rolling_longer_than_a_day(spark):
+    rec = _rec(spark, [(f"2024-03-0{d} {h:02d}:00:00", 1) for d in (5, 6, 7) for h in range(24)])
+    got = {r.current_time: r.data_count for r in rolling_mean(rec, hours=48).collect()}
+    assert got["2024-03-07 23:00:00"] == 48 and got["2024-03-05 05:00:00"] == 6
+
+
+def test_curve_never_falls_and_ends_at_total(spark):
+    h = event_hourly(spark, SF_SMALL)
+    curve = cumulative_curve(h, SERIES)
+    rows = sorted(curve.collect(), key=lambda r: (r.series, r.date, r.hour))
+    for a, b in zip(rows, rows[1:]):
+        if (a.series, a.date) == (b.series, b.date):
+            assert b.cumulative_traffic >= a.cumulative_traffic
+    ends = {(r.series, r.date): r.cumulative_traffic for r in rows}
+    totals = {(r.series, r.date): r.total_daily_traffic
+              for r in daily_total(h, SERIES).collect()}
+    assert ends == totals
+
+
+def test_late_row_is_dropped_by_watermark(spark, tmp_path):
+    schema = T.StructType([T.StructField("date_time", T.StringType()),
+                           T.StructField("traffic", T.LongType())])
+    d = tmp_path / "in"
+    files = {"a": [("2024-03-05 10:00:00", 1), ("2024-03-06 12:00:00", 2)],
+             "b": [("2024-03-06 13:00:00", 8)],
+             "c": [("2024-03-05 23:00:00", 100), ("2024-03-06 09:00:00", 4)]}
+    for name, rows in files.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(d / name))
+    stream = clean(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+                   .option("recursiveFileLookup", True).parquet(str(d)), "date_time", "traffic")
+    out = run_to_table(spark, cumulative_stream(stream, lateness="1 hour"), "late",
+                       str(tmp_path / "run"))
+    got = {(r.date, r.hour): r.cumulative_traffic for r in out.collect()}
+    # Batch 0 moves the watermark to 03-06 11:00, past the end of day 03-05.
+    # Spark judges lateness with the previous batch's watermark, so in batch
+    # 2 the 03-05 window is closed and its 23:00 row is dropped; the 09:00
+    # row of 03-06 is behind the watermark too but its day window is open.
+    assert got == {("2024-03-05", 10): 1, ("2024-03-06", 9): 4, ("2024-03-06", 12): 6,
+                   ("2024-03-06", 13): 14}
+
+
+def test_raw_csv_bad_rows_are_split_off(spark, tmp_path):
+    p = tmp_path / "raw.csv"
+    p.write_text("date_time,traffic_volume\n2024-03-05 01:00:00,5\n2024-03-05 02:00:00,abc\n"
+                 "not a time,7\n2024-03-05 03:00:00,9\n")
+    schema = T.StructType([T.StructField("date_time", T.StringType()),
+                           T.StructField("traffic_volume", T.LongType())])
+    good, bad = read_raw_csv(spark, str(p), schema)
+    assert [r.date_time for r in bad.collect()] == ["2024-03-05 02:00:00"]
+    rec = hourly(clean(good, "date_time", "traffic_volume"))
+    assert sorted((r.hour, r.traffic) for r in rec.collect()) == [(1, 5), (3, 9)]
+
+
+def test_conform_orders_casts_and_checks_length(spark):
+    df = spark.createDataFrame([(7, "2024-03-05", 1)], "total_daily_traffic int, date string, is_holiday int")
+    out = conform(df, "batch_daily_total")
+    assert out.columns == ["date", "is_holiday", "total_daily_traffic"]
+    assert dict(out.dtypes)["total_daily_traffic"] == "bigint"
+    long = spark.createDataFrame([("x" * 21, 0, 1)], "date string, is_holiday int, total_daily_traffic long")
+    with pytest.raises(Exception):
+        conform(long, "batch_daily_total").collect()
+
+
+def test_sink_replay_is_idempotent(spark, tmp_path):
+    out = str(tmp_path / "sink")
+    write = batch_writer(out)
+    schema = "k string, v long"
+    write(spark.createDataFrame([("a", 1), ("b", 1)], schema), 0)
+    write(spark.createDataFrame([("a", 2)], schema), 1)
+    write(spark.createDataFrame([("a", 2)], schema), 1)  # replay of batch 1
+    got = read_latest(spark, out, ["k"], spark.createDataFrame([], schema).schema)
+    assert sorted(map(tuple, got.collect())) == [("a", 2), ("b", 1)]
+
+
+def test_csv_parts_round_trip_counts(spark, tmp_path):
+    h = event_hourly(spark, SF_SMALL)
+    write_csv_parts(daily_total(h, SERIES), str(tmp_path / "t"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "t"))
+    got = import_counts({"batch_daily_total": back}).first()
+    assert got.row_count == daily_total(h, SERIES).count()
+
+
+def test_us_federal_calendar(spark):
+    days = {"2024-01-01": 1, "2024-01-15": 1, "2024-02-19": 1, "2024-05-27": 1,
+            "2024-07-04": 1, "2024-09-02": 1, "2024-10-14": 1, "2024-11-11": 1,
+            "2024-11-28": 1, "2024-12-25": 1, "2024-01-22": 0, "2024-05-20": 0,
+            "2012-12-25": 1, "2012-10-10": 0, "2024-01-08": 0}
+    df = spark.createDataFrame([(dt.date.fromisoformat(d),) for d in days], "d date")
+    got = {str(r.d): r.f for r in df.select("d", us_federal_holiday(F.col("d")).alias("f")).collect()}
+    assert got == days
+
+
+def test_day_flag_spreads_from_marked_row(spark):
+    raw = spark.createDataFrame([("2024-03-05 00:00:00", 1, "Holiday"),
+                                 ("2024-03-05 05:00:00", 2, "None"),
+                                 ("2024-03-06 05:00:00", 3, "None")],
+                                "date_time string, traffic long, holiday string")
+    c = clean(raw, "date_time", "traffic", flag=(F.col("holiday") != "None").cast("int"))
+    got = {r.date_time: r.is_holiday for r in hourly(c).collect()}
+    assert got == {"2024-03-05 00:00:00": 1, "2024-03-05 05:00:00": 1,
+                   "2024-03-06 05:00:00": 0}
+
+
+def test_repeated_measurements_kept_once_with_max(spark):
+    raw = spark.createDataFrame([("2024-03-05 01:00:00", 5), ("2024-03-05 01:00:00", 5),
+                                 ("2024-03-05 02:00:00", 7)], REC)
+    rec = hourly(clean(raw, "date_time", "traffic"), combine="max")
+    assert sorted((r.hour, r.traffic) for r in rec.collect()) == [(1, 5), (2, 7)]
+
+
+def test_record_grain_keeps_every_row(spark):
+    raw = spark.createDataFrame([("2024-03-05 01:00:00", 5), ("2024-03-05 01:30:00", 5)], REC)
+    assert records(clean(raw, "date_time", "traffic")).count() == 2
