@@ -23,7 +23,12 @@ def to_wall_clock(col: Column | str, data_type: T.DataType | None = None,
         return c
     if isinstance(data_type, (T.TimestampType, T.DateType)):
         return c.cast("timestamp_ntz")
-    return F.try_to_timestamp(c.cast("string"), F.lit(fmt)).cast("timestamp_ntz")
+    text, pattern = c.cast("string"), F.lit(fmt)
+    # to_timestamp_ntz parses the wall clock exactly (no session-zone detour,
+    # so times inside a DST gap survive) but raises on bad text under ANSI;
+    # try_to_timestamp only guards it, so bad text becomes NULL.
+    return F.when(F.try_to_timestamp(text, pattern).isNotNull(),
+                  F.to_timestamp_ntz(text, pattern))
 
 
 def date_string(date_col: Column) -> Column:

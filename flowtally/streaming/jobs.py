@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from flowtally.fixed import HIGH_RATIO, HOURS_PER_DAY, LOW_RATIO, ROLLING_HOURS
 from flowtally.functions.holidays import holiday_flag
 from flowtally.functions.scalar import mean_of
-from flowtally.functions.time import (date_string, event_time, hour_index_to_string,
-                                      instant_hour_index)
+from flowtally.functions.time import (date_string, event_time, hour_index,
+                                      hour_index_to_string, instant_hour_index)
 from flowtally.operators.alerts import alerts as alerts_batch
 
 DEFAULT_LATENESS = "1 hour"
@@ -144,25 +144,42 @@ def rolling_stream(clean_stream: DataFrame, series: Sequence[str] = (),
                    hours: int = ROLLING_HOURS, lateness: str = DEFAULT_LATENESS) -> StreamPlan:
     """Trailing ``hours``-hour mean of the hourly records, per hour.
 
-    Sliding event-time windows (``hours`` long, 1 h slide).  A window's hourly
-    record count is the popcount of a bitmask of the hours seen: within any
-    ``hours`` consecutive hours, ``hour_index mod hours`` is distinct.  Only
-    windows whose last hour holds a record are kept, so each output row
-    stands for one hourly record, like the batch twin.
+    Same day-halo plan as the batch twin: event-time windows of ``1 + back``
+    days sliding by one day (``back = ceil((hours-1)/24)``), so each event is
+    copied ``1 + back`` times (2 for 24 h) -- not ``hours`` times as with a
+    1-hour-slide window.  A window's state row holds one sum per hour slot
+    (NULL = no record); it serves the outputs of its last day: for hour h the
+    slots of ``(t - hours, t]``, emitted only when hour t holds a record, so
+    each output row stands for one hourly record, like the batch twin.
     """
-    if not 1 <= hours <= 62:
-        raise ValueError("hours must be within 1..62")
+    if hours < 1:
+        raise ValueError("hours must be positive")
+    back = -(-(hours - 1) // HOURS_PER_DAY)
+    n_slots = (back + 1) * HOURS_PER_DAY
     s = with_event_time(clean_stream, lateness)
-    slot_bit = F.expr(
-        f"shiftleft(1L, CAST(pmod(unix_date(to_date(ts)) * 24 + hour(ts), {hours}) AS INT))")
-    wins = (s.groupBy(F.window("evt", f"{hours} hours", "1 hour"), *series)
-             .agg(F.sum("traffic").alias("_s"), F.bit_or(slot_bit).alias("_bits")))
-    end_idx = instant_hour_index(F.col("window.end")) - 1
-    frame = (wins.select(*series, end_idx.alias("_end"), "_s", "_bits")
-             .where(F.expr(f"shiftright(_bits, CAST(pmod(_end, {hours}) AS INT)) & 1") == 1)
+    start_idx = instant_hour_index(F.col("window.start"))
+    slot = hour_index(F.col("ts")) - start_idx
+    slots = [F.sum(F.when(slot == k, F.col("traffic"))) for k in range(n_slots)]
+    wins = (s.groupBy(F.window("evt", f"{back + 1} days", "1 day"), *series)
+             .agg(F.array(*slots).alias("slots")))
+    zero = F.lit(0).cast("long")
+
+    def entry(h: Column) -> Column:
+        own = h + back * HOURS_PER_DAY  # 0-based slot of hour t
+        covered = F.slice(F.col("slots"), own - (hours - 1) + 1, hours)
+        return F.struct(
+            (own).alias("own"),
+            F.element_at(F.col("slots"), own + 1).alias("traffic"),
+            F.aggregate(covered, zero, lambda acc, y: acc + F.coalesce(y, zero)).alias("_s"),
+            F.size(F.filter(covered, lambda y: y.isNotNull())).alias("_n"))
+
+    per_hour = F.transform(F.sequence(F.lit(0), F.lit(HOURS_PER_DAY - 1)), entry)
+    t = F.col("_start") + F.col("own")
+    frame = (wins.select(*series, start_idx.alias("_start"), F.inline(per_hour))
+             .where(F.col("traffic").isNotNull())
              .select(*series,
-                     hour_index_to_string(F.col("_end")).alias("current_time"),
-                     hour_index_to_string(F.col("_end") - (hours - 1)).alias("window_start"),
-                     mean_of(F.col("_s"), F.bit_count("_bits")).alias("avg_traffic"),
-                     F.bit_count("_bits").cast("int").alias("data_count")))
+                     hour_index_to_string(t).alias("current_time"),
+                     hour_index_to_string(t - (hours - 1)).alias("window_start"),
+                     mean_of(F.col("_s"), F.col("_n")).alias("avg_traffic"),
+                     F.col("_n").cast("int").alias("data_count")))
     return StreamPlan(frame, [*series, "current_time"], "update")

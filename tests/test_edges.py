@@ -63,6 +63,16 @@ def test_time_zone_does_not_change_results(spark):
     assert got == want
 
 
+def test_wall_clock_parse_keeps_dst_gap_times(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        rec = _rec(spark, [("2024-03-10 02:30:00", 5), ("garbage", 1), (None, 2)])
+        got = [(r.date_time, r.traffic) for r in rec.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [("2024-03-10 02:00:00", 5)]
+
+
 def test_rolling_window_crosses_midnight_and_gaps(spark):
     rec = _rec(spark, [("2024-03-05 22:00:00", 10), ("2024-03-05 23:00:00", 20),
                        ("2024-03-06 00:00:00", 30), ("2024-03-06 21:00:00", 40),

@@ -72,3 +72,11 @@ def test_several_batches_ran(spark, shuffled_dir, tmp_path):
     run_to_table(spark, plan, "c", str(tmp_path))
     batches = spark.read.parquet(f"{tmp_path}/out").select("batch_id").distinct().count()
     assert batches >= 4
+
+
+@pytest.mark.parametrize("hours", [5, 24, 30])
+def test_rolling_twin_other_lengths(spark, shuffled_dir, tmp_path, hours):
+    s = run_to_table(spark, rolling_stream(_stream(spark, shuffled_dir), SERIES, hours=hours,
+                                           lateness=LATE_OK), "r", str(tmp_path))
+    b = rolling_mean(event_hourly(spark, SF_SMALL), SERIES, hours=hours)
+    assert _same(s, b, b.columns) > 0
