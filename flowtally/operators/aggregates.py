@@ -41,7 +41,7 @@ def hourly_baseline(rec: DataFrame, series: Sequence[str] = (),
 def _dated(rec: DataFrame, dates: Iterable[str] | None) -> DataFrame:
     if dates is None:
         return rec
-    return rec.where(F.col("date").isin(sorted(set(dates))))
+    return rec.where(F.col("date").cast("string").isin(sorted(set(dates))))
 
 
 def daily_average(rec: DataFrame, series: Sequence[str] = (),
@@ -49,7 +49,7 @@ def daily_average(rec: DataFrame, series: Sequence[str] = (),
     """A2: mean traffic over the records of each (series, date)."""
     return (_dated(rec, dates).groupBy(*series, "date", "is_holiday")
             .agg(F.sum("traffic").alias("_s"), F.count("traffic").alias("_n"))
-            .select(*series, "date", "is_holiday",
+            .select(*series, F.col("date").cast("string").alias("date"), "is_holiday",
                     mean_of(F.col("_s"), F.col("_n")).alias("avg_daily_traffic")))
 
 
@@ -58,7 +58,9 @@ def daily_total(rec: DataFrame, series: Sequence[str] = (),
     """A3: total traffic per (series, date) as bigint; ``dates`` keeps chosen
     days (F4), default all."""
     return (_dated(rec, dates).groupBy(*series, "date", "is_holiday")
-            .agg(F.sum("traffic").cast("long").alias("total_daily_traffic")))
+            .agg(F.sum("traffic").cast("long").alias("total_daily_traffic"))
+            .select(*series, F.col("date").cast("string").alias("date"), "is_holiday",
+                    "total_daily_traffic"))
 
 
 def row_count(df: DataFrame, name: str = "row_count") -> DataFrame:

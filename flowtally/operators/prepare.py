@@ -57,7 +57,8 @@ def clean(df: DataFrame, time_col: str, value: Column | str, series: SeriesSpec
     return df.select(*cols).where(F.col("ts").isNotNull() & F.col("traffic").isNotNull())
 
 
-def _finish(df: DataFrame, series: list[str], holidays, has_flag: bool) -> DataFrame:
+def _finish(df: DataFrame, series: list[str], holidays, has_flag: bool,
+            date_as_string: bool = True) -> DataFrame:
     """Common columns of both grains; ``day`` is a DateType, ``hour`` an int."""
     if has_flag:
         # Day-level flag from a marker on some row(s) of the day: one small
@@ -71,7 +72,7 @@ def _finish(df: DataFrame, series: list[str], holidays, has_flag: bool) -> DataF
         *series,
         (F.unix_date("day").cast("long") * 24 + F.col("hour")).alias("hour_idx"),
         F.col("date_time"),
-        date_string(F.col("day")).alias("date"),
+        (date_string(F.col("day")) if date_as_string else F.col("day")).alias("date"),
         F.col("hour"),
         flag.cast("int").alias("is_holiday"),
         F.col("traffic"),
@@ -105,14 +106,19 @@ def hourly(clean_df: DataFrame, series: SeriesSpec = (), holidays="us_federal",
 
 def records(clean_df: DataFrame, series: SeriesSpec = (), holidays="us_federal") -> DataFrame:
     """P2-P3 on the record grain (no hourly roll-up), for per-record daily
-    operators on tables such as orders or lineitem."""
+    operators on tables such as orders or lineitem.
+
+    Here ``date`` stays a DateType: grouping on it hashes an int per row
+    instead of formatting a string per row; the daily results format the
+    date once per output row.
+    """
     names = series_names(series)
     has_flag = "holiday_flag" in clean_df.columns
     df = clean_df.select(
         *names, F.to_date("ts").alias("day"), F.hour("ts").alias("hour"),
         F.date_format("ts", DATETIME_FORMAT).alias("date_time"), "traffic",
         *(["holiday_flag"] if has_flag else []))
-    return _finish(df, names, holidays, has_flag)
+    return _finish(df, names, holidays, has_flag, date_as_string=False)
 
 
 def hour_of(df: DataFrame) -> Column:

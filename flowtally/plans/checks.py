@@ -135,3 +135,12 @@ def import_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def preview(df: DataFrame, n: int = 10, order_by: Sequence[str] | None = None) -> DataFrame:
+    """A look at ``n`` rows (``SELECT * ... LIMIT n``).
+
+    Without ``order_by`` which rows come back is not defined (as in SQL);
+    with it, this is a top-n (``TakeOrderedAndProject``).
+    """
+    return (df.orderBy(*order_by) if order_by else df).limit(n)
