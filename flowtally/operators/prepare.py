@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from flowtally.fixed import DATETIME_FORMAT
 from flowtally.functions.holidays import holiday_flag
-from flowtally.functions.time import date_string, hour_index, to_wall_clock
+from flowtally.functions.time import date_string, to_wall_clock
 
 SeriesSpec = Sequence[str] | Mapping[str, Column | str]
 
@@ -120,6 +120,3 @@ def records(clean_df: DataFrame, series: SeriesSpec = (), holidays="us_federal")
         *(["holiday_flag"] if has_flag else []))
     return _finish(df, names, holidays, has_flag, date_as_string=False)
 
-
-def hour_of(df: DataFrame) -> Column:
-    return hour_index(F.col("ts")) if "ts" in df.columns else F.col("hour_idx")

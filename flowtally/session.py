@@ -27,16 +27,44 @@ DEFAULT_CONF = {
     # Update-mode state is evicted on the next data batch anyway; an extra
     # empty micro-batch per trigger only costs a round of state commits.
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    # Stream state off the JVM heap, and each micro-batch commits a change
+    # log instead of a full state snapshot.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+# Sizing for the large-cluster case (~100 TB of raw rows, ~1000 executors).
+# Every scan feeds a partial aggregate whose output is tiny (one row per
+# series-hour or series-day per task), so big input splits cost no memory
+# and cut the task count: 100 TB / 1 GiB is ~100k tasks instead of ~800k at
+# the 128 MiB default.  What is shuffled afterwards is hourly-sized; AQE
+# coalesces the shuffle partitions down to the advisory size.  The baseline
+# side is broadcast by AQE only when its materialised size is under the
+# threshold.  Stream state partitions are fixed at a query's first start by
+# spark.sql.shuffle.partitions.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(1 << 30),
+    "spark.sql.shuffle.partitions": "2000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                  app_name: str = "flowtally", conf: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = 8,
+                  app_name: str = "flowtally", conf: dict | None = None,
+                  cluster: bool = False) -> SparkSession:
+    """A session with the defaults above; ``cluster=True`` adds
+    :data:`CLUSTER_CONF` and leaves the master to ``spark-submit``."""
+    builder = SparkSession.builder.appName(app_name)
+    if master and not cluster:
+        builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
-    settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if cluster:
+        settings.update(CLUSTER_CONF)
+    if shuffle_partitions and not cluster:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
