@@ -38,3 +38,13 @@ def alerts(rec: DataFrame, baseline: DataFrame, series: Sequence[str] = (),
     return join_baseline(rec, baseline, series).select(
         *series, "date_time", "traffic", "baseline", "is_holiday", "hour",
         alert_status(F.col("traffic"), F.col("baseline"), high, low).alias("alert_status"))
+
+
+def unmatched_records(rec: DataFrame, baseline: DataFrame, series: Sequence[str] = ()) -> DataFrame:
+    """Records the inner baseline join drops (no baseline for their key), as
+    a one-row count ``unmatched_records`` -- the metric beside the alerts."""
+    keys = [*series, "is_holiday", "hour"]
+    side = baseline.select(*keys)
+    if not series:
+        side = F.broadcast(side)  # <= 48 rows
+    return rec.join(side, keys, "left_anti").agg(F.count(F.lit(1)).alias("unmatched_records"))

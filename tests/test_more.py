@@ -80,3 +80,24 @@ def test_time_range_keeps_only_that_range(spark):
     h = hourly(clean(ev, "ts", F.round(F.col("value") * 100), {"series": "event_type"},
                      time_range=("2024-01-02", "2024-01-03")), SERIES)
     assert {r.date for r in h.select("date").distinct().collect()} == {"2024-01-02"}
+
+
+def test_unmatched_records_metric(spark):
+    from flowtally.operators import unmatched_records
+    raw = spark.createDataFrame([("2024-03-05 01:00:00", 5), ("2024-03-05 02:00:00", 10),
+                                 ("2024-03-06 02:00:00", 12)], "date_time string, traffic long")
+    rec = hourly(clean(raw, "date_time", "traffic"))
+    base = spark.createDataFrame([(0, 1, 4.0)], "is_holiday int, hour int, avg_traffic double")
+    assert unmatched_records(rec, base).first().unmatched_records == 2
+    assert alerts(rec, base).count() == 1
+
+
+def test_clean_table_round_trip(spark, tmp_path):
+    from flowtally.schemas import CLEAN_SCHEMA
+    from flowtally.sources import read_clean
+    h = event_hourly(spark, SF_SMALL).select(*CLEAN_SCHEMA.names)
+    h.write.parquet(str(tmp_path / "pq"))
+    h.write.option("header", True).csv(str(tmp_path / "csv"))
+    want = sorted(map(tuple, h.collect()))
+    assert sorted(map(tuple, read_clean(spark, str(tmp_path / "pq")).collect())) == want
+    assert sorted(map(tuple, read_clean(spark, str(tmp_path / "csv"), "csv").collect())) == want
