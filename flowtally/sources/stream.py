@@ -7,10 +7,12 @@ from pyspark.sql import types as T
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                glob: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+                glob: str | None = None, max_files_per_trigger: int | None = None,
+                options: dict | None = None) -> DataFrame:
     """A streaming DataFrame over the files of ``path`` (schema declared, never
     inferred).  ``glob`` restricts which files count (``pathGlobFilter``);
-    ``max_files_per_trigger`` splits a backlog into several micro-batches."""
+    ``max_files_per_trigger`` splits a backlog into several micro-batches;
+    ``options`` go to the reader as they are (e.g. ``recursiveFileLookup``)."""
     reader = spark.readStream.schema(schema).format(fmt)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -18,4 +20,6 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
         reader = reader.option("header", True)
+    for key, value in (options or {}).items():
+        reader = reader.option(key, value)
     return reader.load(path)
