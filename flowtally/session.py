@@ -76,17 +76,23 @@ def build_session(master: str | None = "local[*]", shuffle_partitions: int | Non
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
-    Read from the session (``spark.checkpoint.dir`` or the context's
+    Read from the session (``spark.checkpoint.dir``, else the context's
     checkpoint dir).  Only when neither is set -- local tests -- a fresh
     folder of our own is created and registered.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = jdir.get() if jdir.isDefined() else None
+        try:  # classic sessions only; a Spark Connect session has no context
+            jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+            root = jdir.get() if jdir.isDefined() else None
+        except Exception:  # noqa: BLE001
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="flowtally-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # noqa: BLE001
+            pass
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 

@@ -11,6 +11,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,11 +42,15 @@ def event_hourly(spark: SparkSession, sf_dir: str, holidays="us_federal") -> Dat
 
 
 def _is_dir(spark: SparkSession, path: str) -> bool:
-    """Directory test through the Hadoop FileSystem (any cluster store)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+    """Directory test through the Hadoop FileSystem (any cluster store);
+    a local test where the JVM is not reachable (Spark Connect)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+    except Exception:  # noqa: BLE001
+        return os.path.isdir(path)
 
 
 def event_stream(spark: SparkSession, sf_dir: str,
