@@ -66,6 +66,15 @@ def _finish(df: DataFrame, series: list[str], holidays, has_flag: bool,
         days = df.groupBy("day").agg(F.max("holiday_flag").alias("is_holiday"))
         df = df.drop("holiday_flag").join(days, "day")
         flag = F.coalesce(F.col("is_holiday"), F.lit(0))
+    elif isinstance(holidays, DataFrame):
+        # A calendar table: one row per holiday date (distinct, so a repeated
+        # date cannot multiply records), left-joined and defaulting to 0.
+        # Not hinted: AQE broadcasts it by its real size.
+        col = "date" if "date" in holidays.columns else holidays.columns[0]
+        cal = (holidays.select(F.to_date(F.col(col)).alias("day")).distinct()
+               .withColumn("_holiday", F.lit(1)))
+        df = df.join(cal, "day", "left")
+        flag = F.coalesce(F.col("_holiday"), F.lit(0))
     else:
         flag = holiday_flag(F.col("day"), holidays)
     return df.select(
@@ -84,6 +93,10 @@ def hourly(clean_df: DataFrame, series: SeriesSpec = (), holidays="us_federal",
            combine: str = "sum") -> DataFrame:
     """P1-P3 on the hour grain.
 
+    ``holidays``: ``"us_federal"``, a list of dates, a calendar DataFrame
+    (a ``date`` column), or ``None``; a ``holiday_flag`` column from
+    :func:`clean` takes precedence.
+
     Output: ``(*series, hour_idx, date_time, date, hour, is_holiday, traffic,
     n_records)``.  ``combine="sum"`` adds up the records of an hour (counts);
     ``combine="max"`` keeps one value for repeated measurement rows of the

@@ -38,6 +38,16 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
     df.write.mode(mode).jdbc(url, table, properties=properties or {})
 
 
+def save_result_table(df: DataFrame, name: str, result_table: str, path: str,
+                      series: tuple[str, ...] = (), mode: str = "overwrite") -> DataFrame:
+    """K2 on Spark's own catalog: the result, conformed to its declared
+    schema, saved as table ``name`` with its files at ``path`` (a shared
+    folder), then returned as read from the catalog."""
+    (conform(df, result_table, series).write.mode(mode).format("parquet")
+     .option("path", path).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def export_csv(df: DataFrame, path: str, max_rows_single_file: int = 1_000_000) -> None:
     """K4: export a result table as ONE headered CSV file.
 

@@ -48,3 +48,10 @@ def read_result_jdbc(spark: SparkSession, url: str, table: str,
                      properties: dict | None = None) -> DataFrame:
     """One of the six result tables from a relational store, schema enforced."""
     return conform(spark.read.jdbc(url, table, properties=properties or {}), table)
+
+
+def read_result_table(spark: SparkSession, name: str, table: str,
+                      series: tuple[str, ...] = ()) -> DataFrame:
+    """One of the six result tables from the session catalog (a table or
+    view named ``name``), conformed to its declared schema."""
+    return conform(spark.table(name), table, series)

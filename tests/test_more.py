@@ -101,3 +101,27 @@ def test_clean_table_round_trip(spark, tmp_path):
     want = sorted(map(tuple, h.collect()))
     assert sorted(map(tuple, read_clean(spark, str(tmp_path / "pq")).collect())) == want
     assert sorted(map(tuple, read_clean(spark, str(tmp_path / "csv"), "csv").collect())) == want
+
+
+def test_calendar_table_flags_whole_days(spark):
+    raw = spark.createDataFrame([("2024-03-05 01:00:00", 5), ("2024-03-06 02:00:00", 7),
+                                 ("2024-03-06 05:00:00", 9)], "date_time string, traffic long")
+    cal = spark.createDataFrame([("2024-03-06",), ("2024-03-06",), ("2024-12-25",)], "date string")
+    rec = hourly(clean(raw, "date_time", "traffic"), holidays=cal)
+    got = sorted((r.date_time, r.is_holiday, r.traffic) for r in rec.collect())
+    assert got == [("2024-03-05 01:00:00", 0, 5), ("2024-03-06 02:00:00", 1, 7),
+                   ("2024-03-06 05:00:00", 1, 9)]
+
+
+def test_catalog_table_round_trip(spark, tmp_path):
+    from flowtally.sinks import save_result_table
+    from flowtally.sources import read_result_table
+    h = event_hourly(spark, SF_SMALL)
+    base = hourly_baseline(h, SERIES)
+    back = save_result_table(base, "flowtally_test_baseline", "batch_hourly_baseline",
+                             str(tmp_path / "tbl"), series=SERIES)
+    assert back.count() == base.count()
+    got = read_result_table(spark, "flowtally_test_baseline", "batch_hourly_baseline", SERIES)
+    assert got.columns == ["series", "is_holiday", "hour", "avg_traffic"]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, base.collect()))
+    spark.sql("DROP TABLE flowtally_test_baseline")
