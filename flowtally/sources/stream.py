@@ -2,17 +2,39 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+def path_kind(spark: SparkSession, path: str) -> str | None:
+    """``"dir"``, ``"file"`` or ``None`` (missing), through the Hadoop
+    FileSystem so that any cluster store works; the local file system when
+    the JVM is not reachable (Spark Connect)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return None
+        return "dir" if fs.getFileStatus(p).isDirectory() else "file"
+    except Exception:  # noqa: BLE001
+        if not os.path.exists(path):
+            return None
+        return "dir" if os.path.isdir(path) else "file"
+
+
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 glob: str | None = None, max_files_per_trigger: int | None = None,
                 options: dict | None = None) -> DataFrame:
     """A streaming DataFrame over the files of ``path`` (schema declared, never
     inferred).  ``glob`` restricts which files count (``pathGlobFilter``);
     ``max_files_per_trigger`` splits a backlog into several micro-batches;
-    ``options`` go to the reader as they are (e.g. ``recursiveFileLookup``)."""
+    ``options`` go to the reader as they are (e.g. ``recursiveFileLookup``).
+    A single file is streamed from its folder with a filter on its name."""
+    if glob is None and path_kind(spark, path) == "file":
+        path, glob = path.rstrip("/").rsplit("/", 1)
     reader = spark.readStream.schema(schema).format(fmt)
     if glob:
         reader = reader.option("pathGlobFilter", glob)

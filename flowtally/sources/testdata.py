@@ -11,8 +11,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,26 +39,11 @@ def event_hourly(spark: SparkSession, sf_dir: str, holidays="us_federal") -> Dat
     return hourly(events_clean(table(spark, sf_dir, "events")), SERIES, holidays)
 
 
-def _is_dir(spark: SparkSession, path: str) -> bool:
-    """Directory test through the Hadoop FileSystem (any cluster store);
-    a local test where the JVM is not reachable (Spark Connect)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(p) and fs.getFileStatus(p).isDirectory()
-    except Exception:  # noqa: BLE001
-        return os.path.isdir(path)
-
-
 def event_stream(spark: SparkSession, sf_dir: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """``events`` replayed as a file stream: the table's part files when it
     is a folder, else the single ``events.parquet`` file of ``sf_dir``."""
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    if _is_dir(spark, path):
-        return file_stream(spark, path, EVENTS_SCHEMA, max_files_per_trigger=max_files_per_trigger)
-    return file_stream(spark, sf_dir, EVENTS_SCHEMA, glob="events.parquet",
+    return file_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", EVENTS_SCHEMA,
                        max_files_per_trigger=max_files_per_trigger)
 
 
