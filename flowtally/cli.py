@@ -4,7 +4,8 @@
                                --series event_type --out DIR [--format csv|parquet]
     python -m flowtally stream --input P --job alerts|rolling|cumulative|day_mean \
                                --time-col ts --value ... --series ... --out DIR \
-                               [--baseline DIR] [--lateness "1 hour"] [--every "1 minute"]
+                               [--baseline DIR] [--lateness "1 hour"] [--every "1 minute"] \
+                               [--mode update|append]
     python -m flowtally check  --batch DIR --stream DIR --out DIR
 
 ``batch`` writes ``batch_hourly_baseline``, ``batch_daily_average`` and
@@ -101,13 +102,13 @@ def run_stream(spark: SparkSession, args):
         if not args.baseline:
             raise SystemExit("--baseline (the batch output folder) is needed for alerts")
         base = _read_batch(spark, args.baseline, "batch_hourly_baseline", series, args.format)
-        plan = alerts_stream(records, base, series, holidays, args.lateness)
+        plan = alerts_stream(records, base, series, holidays, args.lateness, mode=args.mode)
     elif args.job == "rolling":
-        plan = rolling_stream(records, series, args.hours, args.lateness)
+        plan = rolling_stream(records, series, args.hours, args.lateness, mode=args.mode)
     elif args.job == "cumulative":
-        plan = cumulative_stream(records, series, holidays, args.lateness)
+        plan = cumulative_stream(records, series, holidays, args.lateness, mode=args.mode)
     else:
-        plan = running_day_mean_stream(records, series, args.lateness)
+        plan = running_day_mean_stream(records, series, args.lateness, mode=args.mode)
     root = f"{args.out}/{args.job}"
     trigger = {"processingTime": args.every} if args.every else {"availableNow": True}
     query = start(plan, f"{root}/out", f"{root}/checkpoint", trigger, name=f"flowtally_{args.job}")
@@ -174,6 +175,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--lateness", default="1 hour")
     s.add_argument("--hours", type=int, default=24)
     s.add_argument("--every", default=None, help="processing-time trigger, e.g. '1 minute'")
+    s.add_argument("--mode", default="update", choices=["update", "append"],
+                   help="update: early, revisable rows; append: each row once, when final")
     c = sub.add_parser("check")
     common(c, needs_input=False)
     c.add_argument("--batch", required=True)

@@ -6,9 +6,11 @@ and returns a :class:`StreamPlan`: the streaming DataFrame, its result key,
 the output mode, and an optional per-micro-batch step.
 
 State is bounded by the watermark: every stateful key carries an event-time
-window, so state of closed windows is dropped.  Update mode emits the current
-value of every key touched by a micro-batch; the sink keeps the last write
-per key (:mod:`flowtally.streaming.sink`).
+window, so state of closed windows is dropped.  ``mode="update"`` (default)
+emits the current value of every key touched by a micro-batch -- early and
+revisable; the sink keeps the last write per key
+(:mod:`flowtally.streaming.sink`).  ``mode="append"`` emits each key once,
+final, when the watermark has passed its window (no revisions, later).
 """
 
 from __future__ import annotations
@@ -27,6 +29,13 @@ from flowtally.functions.time import (date_string, event_time, hour_index,
 from flowtally.operators.alerts import alerts as alerts_batch
 
 DEFAULT_LATENESS = "1 hour"
+MODES = ("update", "append")
+
+
+def _mode(mode: str) -> str:
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    return mode
 
 
 @dataclass
@@ -55,7 +64,8 @@ def _hour_string(day: Column, hour: Column) -> Column:
 
 def alerts_stream(clean_stream: DataFrame, baseline: DataFrame, series: Sequence[str] = (),
                   holidays="us_federal", lateness: str = DEFAULT_LATENESS,
-                  high: float = HIGH_RATIO, low: float = LOW_RATIO) -> StreamPlan:
+                  high: float = HIGH_RATIO, low: float = LOW_RATIO,
+                  mode: str = "update") -> StreamPlan:
     """L1: each hourly record with its baseline and alert class.
 
     The hour total is a windowed aggregate (1 h tumbling, update mode); each
@@ -70,7 +80,7 @@ def alerts_stream(clean_stream: DataFrame, baseline: DataFrame, series: Sequence
                          date_string(F.col("day")).alias("date"), "hour",
                          holiday_flag(F.col("day"), holidays).cast("int").alias("is_holiday"),
                          "traffic")
-    return StreamPlan(frame, [*series, "date_time"], "update",
+    return StreamPlan(frame, [*series, "date_time"], _mode(mode),
                       lambda b: alerts_batch(b, baseline, series, high, low))
 
 
@@ -113,7 +123,8 @@ def _per_hour(slots: Column) -> Column:
 
 
 def cumulative_stream(clean_stream: DataFrame, series: Sequence[str] = (),
-                      holidays="us_federal", lateness: str = DEFAULT_LATENESS) -> StreamPlan:
+                      holidays="us_federal", lateness: str = DEFAULT_LATENESS,
+                      mode: str = "update") -> StreamPlan:
     """The cumulative daily curve, one row per (series, date, hour seen)."""
     days = _day_slots(clean_stream, series, lateness)
     frame = (days.select(*series, "day", F.inline(_per_hour(F.col("slots"))))
@@ -122,11 +133,12 @@ def cumulative_stream(clean_stream: DataFrame, series: Sequence[str] = (),
                      F.col("hour").cast("int").alias("hour"),
                      F.col("cum").alias("cumulative_traffic"),
                      holiday_flag(F.col("day"), holidays).cast("int").alias("is_holiday")))
-    return StreamPlan(frame, [*series, "date", "hour"], "update")
+    return StreamPlan(frame, [*series, "date", "hour"], _mode(mode))
 
 
 def running_day_mean_stream(clean_stream: DataFrame, series: Sequence[str] = (),
-                            lateness: str = DEFAULT_LATENESS) -> StreamPlan:
+                            lateness: str = DEFAULT_LATENESS,
+                            mode: str = "update") -> StreamPlan:
     """Tumbling-day window fired every hour: mean of the day's hourly
     records so far."""
     days = _day_slots(clean_stream, series, lateness)
@@ -137,11 +149,12 @@ def running_day_mean_stream(clean_stream: DataFrame, series: Sequence[str] = (),
                      F.concat(date_string(F.col("day")), F.lit(" 00:00:00")).alias("window_start"),
                      mean_of(F.col("cum"), F.col("seen")).alias("avg_traffic"),
                      F.col("seen").cast("int").alias("data_count")))
-    return StreamPlan(frame, [*series, "current_time"], "update")
+    return StreamPlan(frame, [*series, "current_time"], _mode(mode))
 
 
 def rolling_stream(clean_stream: DataFrame, series: Sequence[str] = (),
-                   hours: int = ROLLING_HOURS, lateness: str = DEFAULT_LATENESS) -> StreamPlan:
+                   hours: int = ROLLING_HOURS, lateness: str = DEFAULT_LATENESS,
+                   mode: str = "update") -> StreamPlan:
     """Trailing ``hours``-hour mean of the hourly records, per hour.
 
     Same day-halo plan as the batch twin: event-time windows of ``1 + back``
@@ -182,4 +195,4 @@ def rolling_stream(clean_stream: DataFrame, series: Sequence[str] = (),
                      hour_index_to_string(t - (hours - 1)).alias("window_start"),
                      mean_of(F.col("_s"), F.col("_n")).alias("avg_traffic"),
                      F.col("_n").cast("int").alias("data_count")))
-    return StreamPlan(frame, [*series, "current_time"], "update")
+    return StreamPlan(frame, [*series, "current_time"], _mode(mode))

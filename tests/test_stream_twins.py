@@ -103,3 +103,42 @@ def test_restart_resumes_from_checkpoint(spark, tmp_path):
     batches = sorted(r.batch_id for r in
                      spark.read.parquet(f"{root}/out").select("batch_id").distinct().collect())
     assert batches == [0, 1]
+
+
+@pytest.fixture(scope="module")
+def weekly_dir(spark, tmp_path_factory):
+    """events in four files by week, written (and so streamed) in time order."""
+    d = tmp_path_factory.mktemp("events_weekly")
+    ev = table(spark, SF_SMALL, "events")
+    bounds = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-02-01"]
+    for i, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
+        ev.where((F.col("ts") >= lo) & (F.col("ts") < hi)).coalesce(1) \
+          .write.parquet(str(d / f"w{i}"))
+    return str(d)
+
+
+def _weekly(spark, d):
+    return events_clean(file_stream(spark, d, EVENTS_SCHEMA, max_files_per_trigger=1,
+                                    options={"recursiveFileLookup": True}))
+
+
+@pytest.mark.parametrize("job", ["cumulative", "rolling", "alerts"])
+def test_append_mode_emits_final_rows_once(spark, weekly_dir, tmp_path, job):
+    h = event_hourly(spark, SF_SMALL)
+    if job == "cumulative":
+        plan = cumulative_stream(_weekly(spark, weekly_dir), SERIES, mode="append")
+        want = cumulative_curve(h, SERIES)
+    elif job == "rolling":
+        plan = rolling_stream(_weekly(spark, weekly_dir), SERIES, mode="append")
+        want = rolling_mean(h, SERIES)
+    else:
+        base = write_table(hourly_baseline(h, SERIES), str(tmp_path / "base"))
+        plan = alerts_stream(_weekly(spark, weekly_dir), base, SERIES, mode="append")
+        want = alerts(h, base, SERIES)
+    got = run_to_table(spark, plan, job, str(tmp_path / "run"))
+    versions = spark.read.parquet(str(tmp_path / "run" / "out"))
+    assert versions.count() == versions.select(*plan.keys).distinct().count()  # once each
+    rows = sorted(tuple(r) for r in got.select(*want.columns).collect())
+    everything = {tuple(r) for r in want.collect()}
+    assert rows and set(rows) <= everything  # final values only
+    assert len(rows) < len(everything)  # the last, still open windows wait
