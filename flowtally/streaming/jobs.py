@@ -68,9 +68,10 @@ def alerts_stream(clean_stream: DataFrame, baseline: DataFrame, series: Sequence
                   mode: str = "update") -> StreamPlan:
     """L1: each hourly record with its baseline and alert class.
 
-    The hour total is a windowed aggregate (1 h tumbling, update mode); each
-    micro-batch's updated hours are joined with the static baseline and
-    classified, exactly the batch rule (L3).  Keyed by (series, date_time).
+    The hour total is a windowed aggregate (1 h tumbling); each micro-batch's
+    emitted hours -- updated ones, or closed ones in append mode -- are joined
+    with the static baseline and classified by the batch rule (L3).  Keyed by
+    (series, date_time).
     """
     s = with_event_time(clean_stream, lateness)
     hours = (s.groupBy(F.window("evt", "1 hour"), *series,
