@@ -16,15 +16,40 @@ def output_schema(spark: SparkSession, plan: StreamPlan):
     return plan.per_batch(empty).schema
 
 
+def default_state_partitions(spark: SparkSession) -> int | None:
+    """One state partition per core of the cluster (``defaultParallelism``)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001  (no context: Spark Connect)
+        return None
+
+
 def start(plan: StreamPlan, out_path: str, checkpoint: str, trigger: dict | None = None,
-          name: str | None = None):
+          name: str | None = None, state_partitions: int | None = None):
+    """Start the plan with the idempotent per-batch sink.
+
+    ``state_partitions`` sets the number of state-store partitions of a new
+    query.  Spark takes it from ``spark.sql.shuffle.partitions`` when the
+    query starts (the query runs on a clone of the session) and keeps it in
+    the checkpoint for good, so the session's value is set only around
+    ``start()`` and restored right after; a resumed query keeps its own.
+    """
     writer = (plan.frame.writeStream.outputMode(plan.mode)
               .foreachBatch(batch_writer(out_path, plan.per_batch))
               .option("checkpointLocation", checkpoint)
               .trigger(**(trigger or {"availableNow": True})))
     if name:
         writer = writer.queryName(name)
-    return writer.start()
+    if not state_partitions:
+        return writer.start()
+    spark = plan.frame.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
 
 
 def run_to_table(spark: SparkSession, plan: StreamPlan, name: str,
@@ -33,7 +58,8 @@ def run_to_table(spark: SparkSession, plan: StreamPlan, name: str,
     result with one row per key.  Checkpoint and table live below the shared
     checkpoint folder, so a rerun with the same ``root`` resumes."""
     root = root or scratch_path(spark, name)
-    query = start(plan, f"{root}/out", f"{root}/checkpoint")
+    query = start(plan, f"{root}/out", f"{root}/checkpoint",
+                  state_partitions=default_state_partitions(spark))
     query.awaitTermination()
     err = query.exception()
     if err is not None:
