@@ -24,9 +24,6 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Update-mode state is evicted on the next data batch anyway; an extra
-    # empty micro-batch per trigger only costs a round of state commits.
-    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     # Stream state off the JVM heap, and each micro-batch commits a change
     # log instead of a full state snapshot.
     "spark.sql.streaming.stateStore.providerClass":

@@ -33,6 +33,7 @@ def start(plan: StreamPlan, out_path: str, checkpoint: str, trigger: dict | None
     query starts (the query runs on a clone of the session) and keeps it in
     the checkpoint for good, so the session's value is set only around
     ``start()`` and restored right after; a resumed query keeps its own.
+    The same holds for skipping empty micro-batches in update mode.
     """
     writer = (plan.frame.writeStream.outputMode(plan.mode)
               .foreachBatch(batch_writer(out_path, plan.per_batch))
@@ -40,16 +41,26 @@ def start(plan: StreamPlan, out_path: str, checkpoint: str, trigger: dict | None
               .trigger(**(trigger or {"availableNow": True})))
     if name:
         writer = writer.queryName(name)
-    if not state_partitions:
-        return writer.start()
+    settings = {}
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if plan.mode == "update":
+        # An empty micro-batch emits nothing in update mode (it only evicts
+        # state, which the next data batch does as well).  Append mode keeps
+        # them: they flush closed windows when no new data arrives.
+        settings["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
     spark = plan.frame.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         return writer.start()
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def run_to_table(spark: SparkSession, plan: StreamPlan, name: str,
