@@ -150,6 +150,8 @@ def run_check(spark: SparkSession, args) -> dict[str, DataFrame]:
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="flowtally")
+    p.add_argument("--cluster", action="store_true",
+                   help="apply the large-cluster settings of flowtally.session.CLUSTER_CONF")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     def common(sp, needs_input=True):
@@ -186,7 +188,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     args = parser().parse_args(argv)
-    spark = spark or build_session(master=None, shuffle_partitions=None)
+    spark = spark or build_session(master=None, shuffle_partitions=None, cluster=args.cluster)
     run = {"batch": run_batch, "stream": run_stream, "check": run_check}[args.cmd]
     return run(spark, args)
 
