@@ -44,3 +44,33 @@ def test_no_python_evaluation(spark, name):
     assert "EvalPython" not in txt and "PythonUDF" not in txt
     final = executed_plan_text(df)
     assert "isFinalPlan=true" in final and "*(" in final  # whole-stage codegen spans
+
+
+def test_series_baseline_broadcast_is_decided_at_runtime(spark):
+    """With series the baseline is not hinted: the static planner (threshold
+    off here) picks a shuffle join, AQE turns it into a broadcast once the
+    materialised baseline is measured under the adaptive threshold, and with
+    that threshold off too the shuffle join stays -- same rows either way."""
+    h = event_hourly(spark, SF_SMALL)
+    before = {k: spark.conf.get(k, None) for k in
+              ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(10 << 20))
+        df = alerts(h, hourly_baseline(h, SERIES), SERIES)
+        initial = plan_text(df, "simple")
+        assert "SortMergeJoin" in initial and "BroadcastHashJoin" not in initial
+        final = executed_plan_text(df)
+        assert "BroadcastHashJoin" in final.split("Initial Plan")[0]
+        rows_bhj = sorted(map(tuple, df.collect()))
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        df2 = alerts(h, hourly_baseline(h, SERIES), SERIES)
+        final2 = executed_plan_text(df2)
+        assert "SortMergeJoin" in final2.split("Initial Plan")[0]
+        assert sorted(map(tuple, df2.collect())) == rows_bhj
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
