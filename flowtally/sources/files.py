@@ -45,9 +45,16 @@ def read_result_parts(spark: SparkSession, path: str, table: str,
 
 
 def read_result_jdbc(spark: SparkSession, url: str, table: str,
-                     properties: dict | None = None) -> DataFrame:
-    """One of the six result tables from a relational store, schema enforced."""
-    return conform(spark.read.jdbc(url, table, properties=properties or {}), table)
+                     properties: dict | None = None, result_table: str | None = None,
+                     series: tuple[str, ...] = ()) -> DataFrame:
+    """One of the six result tables from a relational store, conformed to
+    the declared schema of ``result_table`` (default: the same name).
+
+    ``properties`` may carry Spark's JDBC read options, e.g. ``partitionColumn``
+    / ``lowerBound`` / ``upperBound`` / ``numPartitions`` for a parallel read.
+    """
+    df = spark.read.jdbc(url, table, properties=properties or {})
+    return conform(df, result_table or table, series)
 
 
 def read_result_table(spark: SparkSession, name: str, table: str,
