@@ -41,6 +41,10 @@ def clean(df: DataFrame, time_col: str, value: Column | str, series: SeriesSpec
     the raw time column so that it reaches the scan as a pushed filter.
     ``flag`` is an optional per-row holiday marker (raw files mark only one row
     of a holiday); :func:`hourly` spreads it to the whole day.
+
+    ``value`` becomes ``traffic`` as a bigint: traffic is a count, and whole
+    numbers keep every sum and mean exact.  A cast truncates, so round a
+    fractional value in the expression itself (e.g. ``round(value * 100)``).
     """
     raw_type = df.schema[time_col].dataType
     if time_range is not None:
