@@ -7,6 +7,7 @@
                                [--baseline DIR] [--lateness "1 hour"] [--every "1 minute"] \
                                [--mode update|append]
     python -m flowtally check  --batch DIR --stream DIR --out DIR
+    python -m flowtally sql    --batch DIR --stream DIR -e "SELECT ... FROM batch_daily_total ..."
 
 ``batch`` writes ``batch_hourly_baseline``, ``batch_daily_average`` and
 ``batch_daily_total`` below ``--out`` (one folder each).  ``stream`` keeps
@@ -27,7 +28,8 @@ from pyspark.sql import types as T
 
 from flowtally.operators import clean, daily_average, daily_total, hourly, hourly_baseline
 from flowtally.plans import (alert_distribution, check_convergence, check_endpoint, check_high,
-                             check_low, check_normal, holiday_diff)
+                             check_low, check_normal, holiday_diff, import_counts)
+from flowtally.plans.views import register_result_views, stream_result
 from flowtally.schemas import RESULT_SCHEMAS, conform
 from flowtally.session import build_session
 from flowtally.sinks import write_csv_parts
@@ -116,14 +118,8 @@ def run_stream(spark: SparkSession, args):
     return read_latest(spark, f"{root}/out", plan.keys, output_schema(spark, plan))
 
 
-STREAM_KEYS = {"alerts": ["date_time"], "rolling": ["current_time"],
-               "cumulative": ["date", "hour"], "day_mean": ["current_time"]}
-
-
 def _read_stream(spark: SparkSession, root: str, job: str, series: tuple[str, ...]) -> DataFrame:
-    versions = spark.read.parquet(f"{root}/{job}/out")
-    schema = T.StructType([f for f in versions.schema.fields if f.name != "batch_id"])
-    return read_latest(spark, f"{root}/{job}/out", [*series, *STREAM_KEYS[job]], schema)
+    return stream_result(spark, root, job, series)
 
 
 def run_check(spark: SparkSession, args) -> dict[str, DataFrame]:
@@ -143,11 +139,27 @@ def run_check(spark: SparkSession, args) -> dict[str, DataFrame]:
         "check_convergence": check_convergence(_read_stream(spark, args.stream, "rolling",
                                                             series), davg, series),
     })
+    out["import_counts"] = import_counts({"batch_hourly_baseline": base,
+                                          "batch_daily_average": davg,
+                                          "batch_daily_total": total})
     for name, df in out.items():
         _write(df, f"{args.out}/{name}", args.format)
     return out
 
 
+def run_sql(spark: SparkSession, args) -> list[DataFrame]:
+    """Register the result tables as views, run each statement, show or
+    write (``--out``: one folder per statement, ``q1``, ``q2``, ...)."""
+    register_result_views(spark, args.batch, args.stream, tuple(args.series), args.format)
+    results = [spark.sql(text) for text in args.statements]
+    for i, df in enumerate(results, 1):
+        if args.out:
+            _write(df, f"{args.out}/q{i}", args.format)
+        else:
+            df.show(args.show, truncate=False)
+    return results
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="flowtally")
     p.add_argument("--cluster", action="store_true",
@@ -183,13 +195,23 @@ def parser() -> argparse.ArgumentParser:
     common(c, needs_input=False)
     c.add_argument("--batch", required=True)
     c.add_argument("--stream", required=True)
+    q = sub.add_parser("sql", help="run SQL over the result tables registered as views")
+    q.add_argument("--batch")
+    q.add_argument("--stream")
+    q.add_argument("--series", nargs="*", default=[])
+    q.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    q.add_argument("--out", default=None)
+    q.add_argument("--show", type=int, default=50)
+    q.add_argument("-e", "--execute", action="append", required=True, dest="statements",
+                   help="a SQL statement (repeatable)")
     return p
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     args = parser().parse_args(argv)
     spark = spark or build_session(master=None, shuffle_partitions=None, cluster=args.cluster)
-    run = {"batch": run_batch, "stream": run_stream, "check": run_check}[args.cmd]
+    run = {"batch": run_batch, "stream": run_stream, "check": run_check,
+           "sql": run_sql}[args.cmd]
     return run(spark, args)
 
 

@@ -41,4 +41,19 @@ def test_batch_stream_check(spark, tmp_path):
     assert all(r.diff == 0 for r in checks["check_endpoint"].collect())
     assert sum(r.record_count for r in checks["alert_distribution"].collect()) == h.count()
     assert checks["check_convergence"].count() == roll.count()
+    assert {r.table_name for r in checks["import_counts"].collect()} == {
+        "batch_hourly_baseline", "batch_daily_average", "batch_daily_total"}
     assert SERIES == ("series",)
+
+    gap, n, top = main([
+        "sql", "--batch", f"{out}/batch", "--stream", f"{out}/stream", "--series", "event_type",
+        "-e", "SELECT c.event_type, c.date, t.total_daily_traffic - c.cumulative_traffic AS gap "
+        "FROM flink_cumulative_result c JOIN batch_daily_total t "
+        "ON c.event_type = t.event_type AND c.date = t.date WHERE c.hour = 23",
+        "-e", "SELECT COUNT(*) AS n FROM flink_alert_result",
+        "-e", "SELECT MAX(data_count) AS m, MIN(`current_time`) AS first FROM flink_rolling_avg_result",
+    ], spark)
+    gaps = gap.collect()
+    assert gaps and all(r.gap == 0 for r in gaps)
+    assert n.first().n == h.count()
+    assert top.first().m <= 24
