@@ -57,3 +57,28 @@ def test_batch_stream_check(spark, tmp_path):
     assert gaps and all(r.gap == 0 for r in gaps)
     assert n.first().n == h.count()
     assert top.first().m <= 24
+
+
+def test_golden_rows_through_the_command_line(spark, tmp_path):
+    """The reference's shipped curve, replayed as a raw CSV through batch ->
+    stream -> sql, with parquet outputs."""
+    from tests import golden
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    lines = ["date_time,traffic_volume"] + [
+        f"{d} {h:02d}:00:00,{t}" for d, h, t in golden.hourly_traffic()]
+    (raw / "traffic.csv").write_text("\n".join(lines) + "\n")
+    args = ["--input", str(raw), "--input-format", "csv", "--time-col", "date_time",
+            "--value", "traffic_volume", "--holidays", "2012-12-25", "--format", "parquet"]
+    out = str(tmp_path)
+    main(["batch", *args, "--out", f"{out}/batch"], spark)
+    main(["stream", *args, "--job", "cumulative", "--out", f"{out}/stream"], spark)
+    ends, totals = main([
+        "sql", "--batch", f"{out}/batch", "--stream", f"{out}/stream", "--format", "parquet",
+        "-e", "SELECT date, cumulative_traffic, is_holiday FROM flink_cumulative_result "
+              "WHERE hour = 23",
+        "-e", "SELECT date, total_daily_traffic, is_holiday FROM batch_daily_total"], spark)
+    want = {d: (t, flag) for d, (flag, t) in golden.TOTALS.items()}
+    assert {r.date: (r.cumulative_traffic, r.is_holiday) for r in ends.collect()} == want
+    assert {r.date: (r.total_daily_traffic, r.is_holiday) for r in totals.collect()} == want
