@@ -7,6 +7,7 @@
                                [--baseline DIR] [--lateness "1 hour"] [--every "1 minute"] \
                                [--mode update|append]
     python -m flowtally check  --batch DIR --stream DIR --out DIR
+    python -m flowtally compact --stream DIR --job J --series ...
     python -m flowtally sql    --batch DIR --stream DIR -e "SELECT ... FROM batch_daily_total ..."
 
 ``batch`` writes ``batch_hourly_baseline``, ``batch_daily_average`` and
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 from flowtally.operators import clean, daily_average, daily_total, hourly, hourly_baseline
 from flowtally.plans import (alert_distribution, check_convergence, check_endpoint, check_high,
                              check_low, check_normal, holiday_diff, import_counts)
-from flowtally.plans.views import register_result_views, stream_result
+from flowtally.plans.views import STREAM_KEYS, register_result_views, stream_result
 from flowtally.schemas import RESULT_SCHEMAS, conform
 from flowtally.session import build_session
 from flowtally.sinks import write_csv_parts
@@ -37,7 +38,7 @@ from flowtally.sources.stream import file_stream
 from flowtally.streaming import (alerts_stream, cumulative_stream, rolling_stream,
                                  running_day_mean_stream, start)
 from flowtally.streaming.runner import output_schema
-from flowtally.streaming.sink import read_latest
+from flowtally.streaming.sink import compact, latest_snapshot, read_latest
 
 STREAM_TABLES = {"alerts": "flink_alert_result", "rolling": "flink_rolling_avg_result",
                  "cumulative": "flink_cumulative_result", "day_mean": "flink_rolling_avg_result"}
@@ -115,7 +116,8 @@ def run_stream(spark: SparkSession, args):
     trigger = {"processingTime": args.every} if args.every else {"availableNow": True}
     query = start(plan, f"{root}/out", f"{root}/checkpoint", trigger, name=f"flowtally_{args.job}")
     query.awaitTermination()
-    return read_latest(spark, f"{root}/out", plan.keys, output_schema(spark, plan))
+    return read_latest(spark, f"{root}/out", plan.keys, output_schema(spark, plan),
+                       snapshot=latest_snapshot(spark, root))
 
 
 def _read_stream(spark: SparkSession, root: str, job: str, series: tuple[str, ...]) -> DataFrame:
@@ -147,6 +149,16 @@ def run_check(spark: SparkSession, args) -> dict[str, DataFrame]:
     return out
 
 
+def run_compact(spark: SparkSession, args) -> int | None:
+    """Freeze the committed batches of one stream job's result table."""
+    root = f"{args.stream}/{args.job}"
+    versions = spark.read.parquet(f"{root}/out")
+    schema = T.StructType([f for f in versions.schema.fields if f.name != "batch_id"])
+    upto = compact(spark, root, [*args.series, *STREAM_KEYS[args.job]], schema)
+    print(f"compacted {args.job} up to batch {upto}" if upto is not None else "nothing to compact")
+    return upto
+
+
 def run_sql(spark: SparkSession, args) -> list[DataFrame]:
     """Register the result tables as views, run each statement, show or
     write (``--out``: one folder per statement, ``q1``, ``q2``, ...)."""
@@ -195,6 +207,10 @@ def parser() -> argparse.ArgumentParser:
     common(c, needs_input=False)
     c.add_argument("--batch", required=True)
     c.add_argument("--stream", required=True)
+    k = sub.add_parser("compact", help="freeze a stream job's committed batches")
+    k.add_argument("--stream", required=True)
+    k.add_argument("--job", required=True, choices=list(STREAM_TABLES))
+    k.add_argument("--series", nargs="*", default=[])
     q = sub.add_parser("sql", help="run SQL over the result tables registered as views")
     q.add_argument("--batch")
     q.add_argument("--stream")
@@ -211,7 +227,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     args = parser().parse_args(argv)
     spark = spark or build_session(master=None, shuffle_partitions=None, cluster=args.cluster)
     run = {"batch": run_batch, "stream": run_stream, "check": run_check,
-           "sql": run_sql}[args.cmd]
+           "compact": run_compact, "sql": run_sql}[args.cmd]
     return run(spark, args)
 
 

@@ -15,15 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from flowtally.schemas import RESULT_SCHEMAS, conform
-from flowtally.streaming.sink import read_latest
+from flowtally.streaming.sink import latest_snapshot, read_latest
 
 BATCH_VIEWS = ("batch_hourly_baseline", "batch_daily_average", "batch_daily_total")
-# stream job folder -> (declared table, key columns besides the series)
-STREAM_VIEWS = {
-    "alerts": ("flink_alert_result", ["date_time"]),
-    "rolling": ("flink_rolling_avg_result", ["current_time"]),
-    "cumulative": ("flink_cumulative_result", ["date", "hour"]),
-}
+# stream job folder -> key columns besides the series
+STREAM_KEYS = {"alerts": ["date_time"], "rolling": ["current_time"],
+               "cumulative": ["date", "hour"], "day_mean": ["current_time"]}
+# stream job folder -> declared table it is registered as
+STREAM_VIEWS = {"alerts": "flink_alert_result", "rolling": "flink_rolling_avg_result",
+                "cumulative": "flink_cumulative_result"}
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -45,7 +45,8 @@ def stream_result(spark: SparkSession, root: str, job: str, series: Sequence[str
     path = f"{root}/{job}/out"
     versions = spark.read.parquet(path)
     schema = T.StructType([f for f in versions.schema.fields if f.name != "batch_id"])
-    return read_latest(spark, path, [*series, *STREAM_VIEWS.get(job, (None, []))[1]], schema)
+    return read_latest(spark, path, [*series, *STREAM_KEYS[job]], schema,
+                       snapshot=latest_snapshot(spark, f"{root}/{job}"))
 
 
 def register_result_views(spark: SparkSession, batch_dir: str | None = None,
@@ -60,7 +61,7 @@ def register_result_views(spark: SparkSession, batch_dir: str | None = None,
                 _batch(spark, batch_dir, name, series, fmt).createOrReplaceTempView(name)
                 names.append(name)
     if stream_dir:
-        for job, (name, _keys) in STREAM_VIEWS.items():
+        for job, name in STREAM_VIEWS.items():
             if _exists(spark, f"{stream_dir}/{job}/out"):
                 df = conform(stream_result(spark, stream_dir, job, series), name, tuple(series))
                 df.createOrReplaceTempView(name)

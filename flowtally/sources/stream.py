@@ -25,6 +25,19 @@ def path_kind(spark: SparkSession, path: str) -> str | None:
         return "dir" if os.path.isdir(path) else "file"
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Entry names directly below ``path`` (empty when it is missing)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return []
+        return [st.getPath().getName() for st in fs.listStatus(p)]
+    except Exception:  # noqa: BLE001
+        return os.listdir(path) if os.path.isdir(path) else []
+
+
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 glob: str | None = None, max_files_per_trigger: int | None = None,
                 options: dict | None = None) -> DataFrame:

@@ -2,10 +2,10 @@ from flowtally.streaming.jobs import (StreamPlan, alerts_stream, alerts_stream_r
                                       cumulative_stream, rolling_stream,
                                       running_day_mean_stream, with_event_time)
 from flowtally.streaming.runner import run_to_table, start
-from flowtally.streaming.sink import read_latest
+from flowtally.streaming.sink import compact, latest_snapshot, read_latest
 
 __all__ = [
     "StreamPlan", "alerts_stream", "alerts_stream_records", "cumulative_stream",
     "rolling_stream", "running_day_mean_stream", "with_event_time", "run_to_table", "start",
-    "read_latest",
+    "read_latest", "compact", "latest_snapshot",
 ]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowtally.session import scratch_path
 from flowtally.streaming.jobs import StreamPlan
-from flowtally.streaming.sink import batch_writer, read_latest
+from flowtally.streaming.sink import batch_writer, latest_snapshot, read_latest
 
 
 def output_schema(spark: SparkSession, plan: StreamPlan):
@@ -75,4 +75,5 @@ def run_to_table(spark: SparkSession, plan: StreamPlan, name: str,
     err = query.exception()
     if err is not None:
         raise RuntimeError(f"stream {name} failed: {err}")
-    return read_latest(spark, f"{root}/out", plan.keys, output_schema(spark, plan))
+    return read_latest(spark, f"{root}/out", plan.keys, output_schema(spark, plan),
+                       snapshot=latest_snapshot(spark, root))

@@ -34,6 +34,8 @@ def test_batch_stream_check(spark, tmp_path):
     assert _rows(streams["cumulative"], curve.columns) == _rows(curve, curve.columns)
     assert streams["alerts"].count() == h.count()
 
+    assert main(["compact", "--stream", f"{out}/stream", "--job", "cumulative",
+                 "--series", "event_type"], spark) == 0
     checks = main(["check", "--batch", f"{out}/batch", "--stream", f"{out}/stream",
                    "--series", "event_type", "--out", f"{out}/checks"], spark)
     assert checks["check_high"].first().invalid_count == 0

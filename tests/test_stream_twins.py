@@ -170,3 +170,44 @@ def test_failed_batch_is_replayed_idempotently(spark, weekly_dir, tmp_path):
     batches = sorted(r.batch_id for r in
                      spark.read.parquet(f"{root}/out").select("batch_id").distinct().collect())
     assert batches == [0, 1, 2, 3]
+
+
+def test_compaction_snapshot_then_more_batches(spark, tmp_path):
+    """Compact after a first run, stream more files, and read: the result
+    equals the batch curve, and the read prunes the compacted folders."""
+    from flowtally.plans.inspect import plan_text
+    from flowtally.streaming import compact, latest_snapshot, read_latest
+
+    ev = table(spark, SF_SMALL, "events")
+    src = tmp_path / "src"
+    bounds = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-02-01"]
+    root = str(tmp_path / "run")
+
+    def write(i):
+        ev.where((F.col("ts") >= bounds[i]) & (F.col("ts") < bounds[i + 1])).coalesce(1) \
+          .write.parquet(str(src / f"w{i}"))
+
+    def plan():
+        s = events_clean(file_stream(spark, str(src), EVENTS_SCHEMA, max_files_per_trigger=1,
+                                     options={"recursiveFileLookup": True}))
+        return cumulative_stream(s, SERIES, lateness=LATE_OK)
+
+    write(0)
+    write(1)
+    run_to_table(spark, plan(), "c", root)
+    p = plan()
+    schema = p.frame.schema
+    assert compact(spark, root, p.keys, schema) == 1
+    assert compact(spark, root, p.keys, schema) is None  # nothing new
+    write(2)
+    write(3)
+    out = run_to_table(spark, plan(), "c", root)
+    b = cumulative_curve(event_hourly(spark, SF_SMALL), SERIES)
+    assert _same(out, b, b.columns) > 0
+    snap = latest_snapshot(spark, root)
+    assert snap is not None and snap[1] == 1
+    txt = plan_text(read_latest(spark, f"{root}/out", p.keys, schema, snapshot=snap))
+    assert "PartitionFilters: [isnotnull(batch_id" in txt and "(batch_id" in txt and "> 1)" in txt
+    assert compact(spark, root, p.keys, schema) == 3
+    again = read_latest(spark, f"{root}/out", p.keys, schema, snapshot=latest_snapshot(spark, root))
+    assert _same(again, b, b.columns) > 0
