@@ -150,6 +150,7 @@ WHERE b1.is_holiday = 0 AND b2.is_holiday = 1
 ORDER BY b1.series, b1.hour""",
     "alerts_batch": ALERTS_SQL,
     "alerts_stream": ALERTS_SQL,
+    "alerts_stream_clean": ALERTS_SQL,
     "alert_distribution": _with(REC, BASE, ALERTS) + """
 SELECT alert_status, COUNT(*) AS record_count FROM alerts GROUP BY alert_status""",
     "check_high": _check("HIGH_ALERT", "< 1.5"),

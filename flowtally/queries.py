@@ -23,8 +23,10 @@ from flowtally.sinks import write_csv_parts, write_table
 from flowtally.sources import read_raw_csv, read_result_parts
 from flowtally.sources.testdata import (SERIES, event_hourly, event_stream, events_clean,
                                         lineitem_records, order_records, table)
-from flowtally.streaming import (alerts_stream, cumulative_stream, rolling_stream,
-                                 run_to_table, running_day_mean_stream)
+from flowtally.schemas import CLEAN_SCHEMA
+from flowtally.sources.stream import file_stream
+from flowtally.streaming import (alerts_stream, alerts_stream_records, cumulative_stream,
+                                 rolling_stream, run_to_table, running_day_mean_stream)
 
 Query = Callable[[SparkSession, str], DataFrame]
 SERIES_FIELD = T.StructType([T.StructField("series", T.StringType())])
@@ -110,6 +112,22 @@ def q_alerts_stream(spark, sf_dir):
     return _stream_alerts(spark, sf_dir)[0]
 
 
+CLEAN_STREAM_SCHEMA = T.StructType([T.StructField("series", T.StringType())]
+                                   + list(CLEAN_SCHEMA.fields))
+
+
+def q_alerts_stream_clean(spark, sf_dir):
+    """L1 in its stateless form over S2: the hourly records are written as the
+    cleaned table (headered CSV parts), and that folder is streamed record by
+    record through the baseline join and the classification (append mode)."""
+    h = event_hourly(spark, sf_dir)
+    path = scratch_path(spark, "clean_table")
+    write_csv_parts(h.select(*CLEAN_STREAM_SCHEMA.names), path)
+    base = _stored_baseline(spark, sf_dir)
+    stream = file_stream(spark, path, CLEAN_STREAM_SCHEMA, fmt="csv")
+    return run_to_table(spark, alerts_stream_records(stream, base, SERIES), "alerts_stream_clean")
+
+
 def q_cumulative_stream(spark, sf_dir):
     plan = cumulative_stream(events_clean(event_stream(spark, sf_dir)), SERIES)
     return run_to_table(spark, plan, "cumulative_stream")
@@ -227,6 +245,7 @@ QUERIES: dict[str, Query] = {
     "holiday_diff": q_holiday_diff,
     "alerts_batch": q_alerts_batch,
     "alerts_stream": q_alerts_stream,
+    "alerts_stream_clean": q_alerts_stream_clean,
     "alert_distribution": q_alert_distribution,
     "check_high": q_check_high,
     "check_low": q_check_low,
