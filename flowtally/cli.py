@@ -8,6 +8,7 @@
                                [--mode update|append]
     python -m flowtally check  --batch DIR --stream DIR --out DIR
     python -m flowtally compact --stream DIR --job J --series ...
+    python -m flowtally export --batch DIR --stream DIR --out DIR [--tables ...]
     python -m flowtally sql    --batch DIR --stream DIR -e "SELECT ... FROM batch_daily_total ..."
 
 ``batch`` writes ``batch_hourly_baseline``, ``batch_daily_average`` and
@@ -33,7 +34,7 @@ from flowtally.plans import (alert_distribution, check_convergence, check_endpoi
 from flowtally.plans.views import STREAM_KEYS, register_result_views, stream_result
 from flowtally.schemas import RESULT_SCHEMAS, conform
 from flowtally.session import build_session
-from flowtally.sinks import write_csv_parts
+from flowtally.sinks import export_csv, write_csv_parts
 from flowtally.sources.stream import file_stream
 from flowtally.streaming import (alerts_stream, cumulative_stream, rolling_stream,
                                  running_day_mean_stream, start)
@@ -159,6 +160,17 @@ def run_compact(spark: SparkSession, args) -> int | None:
     return upto
 
 
+def run_export(spark: SparkSession, args) -> list[str]:
+    """Each named result table (all registered ones by default) as one
+    headered CSV file below ``--out`` -- size-checked, since one file is
+    one writing task."""
+    names = register_result_views(spark, args.batch, args.stream, tuple(args.series), args.format)
+    chosen = args.tables or names
+    for name in chosen:
+        export_csv(spark.table(name), f"{args.out}/{name}", args.max_rows)
+    return chosen
+
+
 def run_sql(spark: SparkSession, args) -> list[DataFrame]:
     """Register the result tables as views, run each statement, show or
     write (``--out``: one folder per statement, ``q1``, ``q2``, ...)."""
@@ -211,6 +223,14 @@ def parser() -> argparse.ArgumentParser:
     k.add_argument("--stream", required=True)
     k.add_argument("--job", required=True, choices=list(STREAM_TABLES))
     k.add_argument("--series", nargs="*", default=[])
+    x = sub.add_parser("export", help="result tables as single headered CSV files")
+    x.add_argument("--batch")
+    x.add_argument("--stream")
+    x.add_argument("--series", nargs="*", default=[])
+    x.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    x.add_argument("--tables", nargs="*", default=None)
+    x.add_argument("--max-rows", type=int, default=1_000_000)
+    x.add_argument("--out", required=True)
     q = sub.add_parser("sql", help="run SQL over the result tables registered as views")
     q.add_argument("--batch")
     q.add_argument("--stream")
@@ -227,7 +247,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     args = parser().parse_args(argv)
     spark = spark or build_session(master=None, shuffle_partitions=None, cluster=args.cluster)
     run = {"batch": run_batch, "stream": run_stream, "check": run_check,
-           "compact": run_compact, "sql": run_sql}[args.cmd]
+           "compact": run_compact, "export": run_export, "sql": run_sql}[args.cmd]
     return run(spark, args)
 
 

@@ -82,5 +82,13 @@ def test_golden_rows_through_the_command_line(spark, tmp_path):
               "WHERE hour = 23",
         "-e", "SELECT date, total_daily_traffic, is_holiday FROM batch_daily_total"], spark)
     want = {d: (t, flag) for d, (flag, t) in golden.TOTALS.items()}
+    exported = main(["export", "--batch", f"{out}/batch", "--stream", f"{out}/stream",
+                     "--format", "parquet", "--out", f"{out}/csv"], spark)
+    assert set(exported) == {"batch_hourly_baseline", "batch_daily_average",
+                             "batch_daily_total", "flink_cumulative_result"}
+    files = list((tmp_path / "csv" / "flink_cumulative_result").glob("*.csv"))
+    assert len(files) == 1
+    lines = files[0].read_text().splitlines()
+    assert lines[0] == "date,hour,cumulative_traffic,is_holiday" and len(lines) == 49
     assert {r.date: (r.cumulative_traffic, r.is_holiday) for r in ends.collect()} == want
     assert {r.date: (r.total_daily_traffic, r.is_holiday) for r in totals.collect()} == want
