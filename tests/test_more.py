@@ -125,3 +125,19 @@ def test_catalog_table_round_trip(spark, tmp_path):
     assert got.columns == ["series", "is_holiday", "hour", "avg_traffic"]
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, base.collect()))
     spark.sql("DROP TABLE flowtally_test_baseline")
+
+
+def test_cluster_settings_are_valid_runtime_confs(spark):
+    from flowtally.session import CLUSTER_CONF
+    before = {k: spark.conf.get(k, None) for k in CLUSTER_CONF}
+    try:
+        for k, v in CLUSTER_CONF.items():
+            assert spark.conf.isModifiable(k), k
+            spark.conf.set(k, v)
+            assert spark.conf.get(k) == v
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
