@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowtally.fixed import HIGH_RATIO, LOW_RATIO
 from flowtally.functions.classify import alert_status
+from flowtally.operators.joins import join_on
 
 
 def join_baseline(rec: DataFrame, baseline: DataFrame, series: Sequence[str] = ()) -> DataFrame:
@@ -23,9 +24,7 @@ def join_baseline(rec: DataFrame, baseline: DataFrame, series: Sequence[str] = (
     """
     keys = [*series, "is_holiday", "hour"]
     side = baseline.select(*keys, F.col("avg_traffic").alias("baseline"))
-    if not series:
-        side = F.broadcast(side)
-    return rec.join(side, keys)
+    return join_on(rec, side, keys, broadcast_right=not series)
 
 
 def alerts(rec: DataFrame, baseline: DataFrame, series: Sequence[str] = (),
@@ -45,6 +44,5 @@ def unmatched_records(rec: DataFrame, baseline: DataFrame, series: Sequence[str]
     a one-row count ``unmatched_records`` -- the metric beside the alerts."""
     keys = [*series, "is_holiday", "hour"]
     side = baseline.select(*keys)
-    if not series:
-        side = F.broadcast(side)  # <= 48 rows
-    return rec.join(side, keys, "left_anti").agg(F.count(F.lit(1)).alias("unmatched_records"))
+    return (join_on(rec, side, keys, "left_anti", broadcast_right=not series)  # <= 48 rows
+            .agg(F.count(F.lit(1)).alias("unmatched_records")))

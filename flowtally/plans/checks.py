@@ -15,6 +15,7 @@ from flowtally.fixed import (DAY_TYPE_HOLIDAY, DAY_TYPE_ORDINARY, ENDPOINT_HOUR,
                              HIGH_RATIO, LOW_ALERT, LOW_RATIO, NORMAL)
 from flowtally.functions.scalar import abs_error, abs_error_pct, pct_diff, safe_div
 from flowtally.operators.aggregates import count_by, flag_sum, row_count
+from flowtally.operators.joins import join_on
 
 
 def holiday_diff(baseline: DataFrame, series: Sequence[str] = ()) -> DataFrame:
@@ -45,10 +46,8 @@ def _with_baseline(alert_rows: DataFrame, baseline: DataFrame, series: Sequence[
                    status: str) -> DataFrame:
     keys = [*series, "is_holiday", "hour"]
     side = baseline.select(*keys, "avg_traffic")
-    if not series:
-        side = F.broadcast(side)  # <= 48 rows
-    return (alert_rows.where(F.col("alert_status") == status)
-            .select(*keys, "traffic").join(side, keys))
+    return join_on(alert_rows.where(F.col("alert_status") == status).select(*keys, "traffic"),
+                   side, keys, broadcast_right=not series)  # <= 48 rows without series
 
 
 def check_high(alert_rows: DataFrame, baseline: DataFrame, series: Sequence[str] = (),
@@ -97,7 +96,7 @@ def check_endpoint(totals: DataFrame, curve: DataFrame, series: Sequence[str] =
         keep = sorted(set(dates))
         totals = totals.where(F.col("date").isin(keep))
         ends = ends.where(F.col("date").isin(keep))
-    return (totals.join(ends, [*series, "date"])
+    return (join_on(totals, ends, [*series, "date"])
             .select(*series, "date",
                     F.when(F.col("is_holiday") == 1, DAY_TYPE_HOLIDAY)
                      .otherwise(DAY_TYPE_ORDINARY).alias("day_type"),
@@ -119,7 +118,7 @@ def check_convergence(rolling: DataFrame, daily_avg: DataFrame, series: Sequence
     if dates is not None:
         keep = [F.to_date(F.lit(x)) for x in sorted(set(dates))]
         r, d = r.where(F.col("_day").isin(keep)), d.where(F.col("_day").isin(keep))
-    return (r.join(d, [*series, "_day"])
+    return (join_on(r, d, [*series, "_day"])
             .select(*series, "current_time", "stream_rolling_avg", "batch_daily_avg",
                     abs_error(F.col("stream_rolling_avg"), F.col("batch_daily_avg")).alias("error"),
                     abs_error_pct(F.col("stream_rolling_avg"),

@@ -141,3 +141,21 @@ def test_cluster_settings_are_valid_runtime_confs(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_null_series_is_a_group_of_its_own(spark):
+    from flowtally.plans import check_high, check_normal
+    raw = spark.createDataFrame([(None, "2024-03-05 01:00:00", 5), (None, "2024-03-06 01:00:00", 15),
+                                 ("a", "2024-03-05 01:00:00", 7)],
+                                "series string, date_time string, traffic long")
+    rec = hourly(clean(raw, "date_time", "traffic", ["series"]), ["series"], holidays=None)
+    base = hourly_baseline(rec, ["series"])
+    got = {(r.series, r.date_time): (r.baseline, r.alert_status)
+           for r in alerts(rec, base, ["series"]).collect()}
+    assert got == {(None, "2024-03-05 01:00:00"): (10.0, "LOW_ALERT"),  # 5 / 10 = 0.5
+                   (None, "2024-03-06 01:00:00"): (10.0, "HIGH_ALERT"),
+                   ("a", "2024-03-05 01:00:00"): (7.0, "NORMAL")}
+    a = alerts(rec, base, ["series"])
+    assert check_high(a, base, ["series"]).first().invalid_count == 0
+    assert check_normal(a, base, ["series"]).first().total_normal == 1
+    assert "BroadcastHashJoin" in plan_text(alerts(rec, base, ["series"]))
