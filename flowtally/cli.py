@@ -38,7 +38,7 @@ from flowtally.sinks import export_csv, write_csv_parts
 from flowtally.sources.stream import file_stream
 from flowtally.streaming import (alerts_stream, cumulative_stream, rolling_stream,
                                  running_day_mean_stream, start)
-from flowtally.streaming.runner import output_schema
+from flowtally.streaming.runner import default_state_partitions, output_schema, progress_stats
 from flowtally.streaming.sink import compact, latest_snapshot, read_latest
 
 STREAM_TABLES = {"alerts": "flink_alert_result", "rolling": "flink_rolling_avg_result",
@@ -115,8 +115,10 @@ def run_stream(spark: SparkSession, args):
         plan = running_day_mean_stream(records, series, args.lateness, mode=args.mode)
     root = f"{args.out}/{args.job}"
     trigger = {"processingTime": args.every} if args.every else {"availableNow": True}
-    query = start(plan, f"{root}/out", f"{root}/checkpoint", trigger, name=f"flowtally_{args.job}")
+    query = start(plan, f"{root}/out", f"{root}/checkpoint", trigger, name=f"flowtally_{args.job}",
+                  state_partitions=default_state_partitions(spark))
     query.awaitTermination()
+    print(f"{args.job}: {progress_stats(query)}")
     return read_latest(spark, f"{root}/out", plan.keys, output_schema(spark, plan),
                        snapshot=latest_snapshot(spark, root))
 

@@ -63,11 +63,26 @@ def start(plan: StreamPlan, out_path: str, checkpoint: str, trigger: dict | None
                 spark.conf.set(k, v)
 
 
+def progress_stats(query) -> dict:
+    """Batches, input rows and rows dropped as late by the watermark, summed
+    over the query's recent progress reports (Spark keeps the last
+    ``spark.sql.streaming.numRecentProgressUpdates`` of them)."""
+    reports = query.recentProgress
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0)
+                  for p in reports for op in p.get("stateOperators", []))
+    return {"batches": len({p["batchId"] for p in reports}),
+            "input_rows": sum(p.get("numInputRows", 0) for p in reports),
+            "dropped_late_rows": dropped}
+
+
 def run_to_table(spark: SparkSession, plan: StreamPlan, name: str,
-                 root: str | None = None) -> DataFrame:
+                 root: str | None = None, stats: dict | None = None) -> DataFrame:
     """Replay everything available (``availableNow``), then return the stored
     result with one row per key.  Checkpoint and table live below the shared
-    checkpoint folder, so a rerun with the same ``root`` resumes."""
+    checkpoint folder, so a rerun with the same ``root`` resumes.  ``stats``,
+    when given, is filled with :func:`progress_stats` -- a non-zero
+    ``dropped_late_rows`` means the lateness is shorter than the disorder of
+    the input."""
     root = root or scratch_path(spark, name)
     query = start(plan, f"{root}/out", f"{root}/checkpoint",
                   state_partitions=default_state_partitions(spark))
@@ -75,5 +90,7 @@ def run_to_table(spark: SparkSession, plan: StreamPlan, name: str,
     err = query.exception()
     if err is not None:
         raise RuntimeError(f"stream {name} failed: {err}")
+    if stats is not None:
+        stats.update(progress_stats(query))
     return read_latest(spark, f"{root}/out", plan.keys, output_schema(spark, plan),
                        snapshot=latest_snapshot(spark, root))
