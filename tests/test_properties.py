@@ -89,3 +89,49 @@ def test_alert_classes_match_brute_force(spark, rows):
         want = (NORMAL if ratio is None else HIGH_ALERT if ratio >= 1.5
                 else LOW_ALERT if ratio <= 0.5 else NORMAL)
         assert got[(s, _stamp(x))] == want
+
+
+@settings(max_examples=4, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=records, hours=st.sampled_from([5, 24, 30]), parts=st.integers(1, 3),
+       seed=st.integers(0, 10_000))
+def test_streams_equal_batch_on_random_files(spark, tmp_path_factory, rows, hours, parts, seed):
+    """Random records split over random files, one file per micro-batch in
+    random order: the rolling and cumulative streams equal their twins."""
+    import random
+
+    from pyspark.sql import types as T
+
+    from flowtally.sources import file_stream
+    from flowtally.streaming import cumulative_stream, rolling_stream, run_to_table
+
+    d = tmp_path_factory.mktemp("prop")
+    rng = random.Random(seed)
+    shuffled = rows[:]
+    rng.shuffle(shuffled)
+    data = [(s, (START + dt.timedelta(hours=h, minutes=7)).strftime("%Y-%m-%d %H:%M:%S"), v)
+            for s, h, v in shuffled]
+    schema = T.StructType([T.StructField("series", T.StringType()),
+                           T.StructField("date_time", T.StringType()),
+                           T.StructField("traffic", T.LongType())])
+    for i in range(parts):
+        chunk = data[i::parts]
+        if chunk:
+            spark.createDataFrame(chunk, schema).coalesce(1).write.parquet(str(d / "src" / f"f{i}"))
+
+    def stream():
+        return clean(file_stream(spark, str(d / "src"), schema, max_files_per_trigger=1,
+                                 options={"recursiveFileLookup": True}),
+                     "date_time", "traffic", ["series"])
+
+    h = _frame(spark, rows)
+    roll = run_to_table(spark, rolling_stream(stream(), ["series"], hours=hours,
+                                              lateness="30 days"), "p", str(d / "r"))
+    want = rolling_mean(h, ["series"], hours=hours)
+    assert sorted(map(tuple, roll.select(*want.columns).collect())) == \
+        sorted(map(tuple, want.collect()))
+    curve = run_to_table(spark, cumulative_stream(stream(), ["series"], holidays=None,
+                                                  lateness="30 days"), "c", str(d / "c"))
+    want = cumulative_curve(h, ["series"])
+    assert sorted(map(tuple, curve.select(*want.columns).collect())) == \
+        sorted(map(tuple, want.collect()))
