@@ -3,16 +3,34 @@ where SQL can state them."""
 
 from __future__ import annotations
 
-from flowtally.llm import simhash
+import os
+
+from flowtally.llm import packing, simhash
 from flowtally.llm.common import table
 
+TOKENIZER_FOLDER = "/opt/tokenizers"
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A vocabulary file of the public tokenizers."""
+    try:
+        import public_tokenizers
+    except ImportError:
+        return os.path.join(TOKENIZER_FOLDER, name)
+    return str(public_tokenizers.path(name))
+
 
 def op5_simhash(spark, sf_dir):
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op6_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=4096)
+
+
 LLM_QUERIES = {
     "op5_simhash": op5_simhash,
+    "op6_packing": op6_packing,
 }
 
 LLM_ORACLE: dict[str, str] = {}
