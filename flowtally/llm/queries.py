@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import os
 
-from flowtally.llm import packing, simhash
+from flowtally.llm import mixing, packing, simhash
 from flowtally.llm.common import table
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
@@ -28,9 +28,16 @@ def op6_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=4096)
 
 
+def op8_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
+    "op8_mixing": op8_mixing,
 }
 
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = {
+    "op8_mixing": mixing.ORACLE_SQL,
+}
