@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import os
 
-from flowtally.llm import mixing, packing, simhash
+from flowtally.llm import mixing, packing, secrets, simhash
 from flowtally.llm.common import table
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
@@ -20,6 +20,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_secrets(spark, sf_dir):
+    return secrets.secret_digests(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark, sf_dir):
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -33,6 +37,7 @@ def op8_mixing(spark, sf_dir):
 
 
 LLM_QUERIES = {
+    "op1_secrets": op1_secrets,
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
     "op8_mixing": op8_mixing,
