@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import os
 
-from flowtally.llm import mixing, packing, secrets, simhash
+from flowtally.llm import mixing, packing, secrets, simhash, toxicity
 from flowtally.llm.common import table
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
@@ -24,6 +24,11 @@ def op1_secrets(spark, sf_dir):
     return secrets.secret_digests(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity_scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_simhash(spark, sf_dir):
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -38,6 +43,7 @@ def op8_mixing(spark, sf_dir):
 
 LLM_QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_toxicity": op2_toxicity,
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
     "op8_mixing": op8_mixing,
