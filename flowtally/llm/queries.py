@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import os
 
-from flowtally.llm import mixing, packing, secrets, simhash, toxicity
+from flowtally.llm import language, mixing, packing, secrets, simhash, toxicity
 from flowtally.llm.common import table
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
@@ -29,6 +29,11 @@ def op2_toxicity(spark, sf_dir):
     return toxicity.toxicity_scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language.predict_language(docs, language.fit(docs))
+
+
 def op5_simhash(spark, sf_dir):
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -44,6 +49,7 @@ def op8_mixing(spark, sf_dir):
 LLM_QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_toxicity": op2_toxicity,
+    "op3_language": op3_language,
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
     "op8_mixing": op8_mixing,
