@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import os
 
-from flowtally.llm import language, mixing, packing, secrets, simhash, toxicity
+from flowtally.llm import language, mixing, packing, secrets, simhash, spotsigs, toxicity
 from flowtally.llm.common import table
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
@@ -46,6 +46,10 @@ def op8_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op10_spotsigs(spark, sf_dir):
+    return spotsigs.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_toxicity": op2_toxicity,
@@ -53,6 +57,7 @@ LLM_QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
     "op8_mixing": op8_mixing,
+    "op10_spotsigs": op10_spotsigs,
 }
 
 LLM_ORACLE: dict[str, str] = {
