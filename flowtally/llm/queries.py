@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import os
 
-from flowtally.llm import language, mixing, packing, secrets, simhash, spotsigs, toxicity
+from flowtally.llm import language, mixing, packing, pii, secrets, simhash, spotsigs, toxicity
 from flowtally.llm.common import table
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
@@ -34,6 +34,10 @@ def op3_language(spark, sf_dir):
     return language.predict_language(docs, language.fit(docs))
 
 
+def op4_pii(spark, sf_dir):
+    return pii.pseudonym_report(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark, sf_dir):
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -54,6 +58,7 @@ LLM_QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_toxicity": op2_toxicity,
     "op3_language": op3_language,
+    "op4_pii": op4_pii,
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
     "op8_mixing": op8_mixing,
