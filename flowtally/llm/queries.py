@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import os
 
-from flowtally.llm import language, mixing, packing, pii, secrets, simhash, spotsigs, toxicity
+from flowtally.llm import language, mixing, neighbours, packing, pii, secrets, simhash, spotsigs, toxicity
 from flowtally.llm.common import table
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
@@ -50,6 +50,10 @@ def op8_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op9_neighbours(spark, sf_dir):
+    return neighbours.search(table(spark, sf_dir, "embeddings"), k=5, query_every=50)
+
+
 def op10_spotsigs(spark, sf_dir):
     return spotsigs.fingerprint_report(table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ LLM_QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
     "op8_mixing": op8_mixing,
+    "op9_neighbours": op9_neighbours,
     "op10_spotsigs": op10_spotsigs,
 }
 
