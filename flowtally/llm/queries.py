@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import os
 
-from flowtally.llm import language, mixing, neighbours, packing, pii, secrets, simhash, spotsigs, toxicity
+from flowtally.llm import language, licences, mixing, neighbours, packing, pii, secrets, simhash, spotsigs, toxicity
 from flowtally.llm.common import table
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
@@ -46,6 +46,10 @@ def op6_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=4096)
 
 
+def op7_licences(spark, sf_dir):
+    return licences.licence_report(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ LLM_QUERIES = {
     "op4_pii": op4_pii,
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
+    "op7_licences": op7_licences,
     "op8_mixing": op8_mixing,
     "op9_neighbours": op9_neighbours,
     "op10_spotsigs": op10_spotsigs,
