@@ -162,15 +162,16 @@ class Matcher:
     def winner(self, words: list[str]) -> tuple | None:
         """The template of the largest reduction that the wording confirms.
 
-        Templates of about its length that rank just below and differ in
-        fewer words (another version of the same notice) go before it.
+        Templates that save as much, or rank just below and are of about its
+        length (another version of the same notice), go before it where they
+        differ in fewer words.
         """
         ranked = [(saved, i) for saved, i in self.reductions(words) if saved > 0]
-        for at, (_, first) in enumerate(ranked):
+        for at, (most, first) in enumerate(ranked):
             size = len(self.words[first])
             confirmed = []
             for saved, i in ranked[at:at + PEERS]:
-                if abs(len(self.words[i]) - size) * 4 <= size:
+                if abs(len(self.words[i]) - size) * 4 <= size or most - saved < 1e-6:
                     count, lo, hi, notes = self.differences(words, self.words[i])
                     if hi > lo and count <= MOST_DIFFERENT * len(self.words[i]):
                         confirmed.append((saved, i, count, lo, hi, notes))
