@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,14 +12,27 @@ from flowtally.session import scratch_path
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def code_on_workers(spark: SparkSession) -> None:
+    """Let Python workers that see this folder import the package from it,
+    wherever the driver was started (a cluster ships it with --py-files)."""
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
+    code_on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once below the shared checkpoint folder and reread: a
     cut in the lineage that survives the loss of executors."""
+    code_on_workers(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

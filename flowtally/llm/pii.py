@@ -46,7 +46,8 @@ SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 CARD = (r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\3[0-9]{4}\3[0-9]{1,7}"
         r"|[0-9]{4}([ -])[0-9]{6}\4[0-9]{5})(?![0-9A-Za-z])")
 PHONE = (r"(?<![0-9A-Za-z+(])(?:(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
-         r"|\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,4}){2,4})(?![0-9A-Za-z])")
+         r"|\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,4}){2,4})"
+         r"(?![0-9A-Za-z]|[.-][0-9])")
 PATTERN = "|".join((EMAIL, IBAN, DATE, IP, SSN, CARD, PHONE))
 KINDS = ("email", "iban", "date", "ip", "ssn", "card", "phone")
 FIRST_DAY, DAYS = "1900-01-01", (229, 319)      # 229 * 319 days, to 2099-12-31
