@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 # Settings that suit the operators here at any scale: AQE re-plans joins by
@@ -74,22 +75,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
     Read from the session (``spark.checkpoint.dir``, else the context's
-    checkpoint dir).  Only when neither is set -- local tests -- a fresh
-    folder of our own is created and registered.
+    checkpoint dir).  Only when neither is set in a single-machine session
+    (tests) a fresh folder of our own is created and registered; a cluster
+    without a shared folder is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    try:  # classic sessions only; a Spark Connect session has no context
+        context = spark.sparkContext
+        jdir = context._jsc.sc().getCheckpointDir()
+    except (AttributeError, PySparkException):
+        context = jdir = None
+    if not root and jdir is not None and jdir.isDefined():
+        root = jdir.get()
     if not root:
-        try:  # classic sessions only; a Spark Connect session has no context
-            jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-            root = jdir.get() if jdir.isDefined() else None
-        except Exception:  # noqa: BLE001
-            root = None
-    if not root:
+        if context is not None and not (context.master == "local" or context.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="flowtally-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # noqa: BLE001
-            pass
+        if context is not None:
+            context.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 

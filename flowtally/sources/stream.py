@@ -4,38 +4,42 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``; None without a JVM (Spark Connect)."""
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    except (AttributeError, PySparkException):
+        return None, path
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf), p
+
+
 def path_kind(spark: SparkSession, path: str) -> str | None:
     """``"dir"``, ``"file"`` or ``None`` (missing), through the Hadoop
     FileSystem so that any cluster store works; the local file system when
-    the JVM is not reachable (Spark Connect)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(p):
-            return None
-        return "dir" if fs.getFileStatus(p).isDirectory() else "file"
-    except Exception:  # noqa: BLE001
+    the JVM is not reachable (Spark Connect).  A store that cannot be read
+    raises: only a path that is not there counts as missing."""
+    fs, p = _file_system(spark, path)
+    if fs is None:
         if not os.path.exists(path):
             return None
         return "dir" if os.path.isdir(path) else "file"
+    if not fs.exists(p):
+        return None
+    return "dir" if fs.getFileStatus(p).isDirectory() else "file"
 
 
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Entry names directly below ``path`` (empty when it is missing)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(p):
-            return []
-        return [st.getPath().getName() for st in fs.listStatus(p)]
-    except Exception:  # noqa: BLE001
+    fs, p = _file_system(spark, path)
+    if fs is None:
         return os.listdir(path) if os.path.isdir(path) else []
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",

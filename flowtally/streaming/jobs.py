@@ -27,6 +27,7 @@ from flowtally.functions.scalar import mean_of
 from flowtally.functions.time import (date_string, event_time, hour_index,
                                       hour_index_to_string, instant_hour_index)
 from flowtally.operators.alerts import alerts as alerts_batch
+from flowtally.sources.stream import path_kind
 
 DEFAULT_LATENESS = "1 hour"
 MODES = ("update", "append")
@@ -44,6 +45,51 @@ class StreamPlan:
     keys: list[str]
     mode: str
     per_batch: Callable[[DataFrame], DataFrame] | None = None
+    stateful: bool = True
+
+
+def replay_lateness(clean_batch: DataFrame) -> str:
+    """The lateness under which a bounded replay of these rows loses none of
+    them, in whatever files and order they come: the span of their times."""
+    lo, hi = clean_batch.agg(F.min("ts"), F.max("ts")).first()
+    hours = 1 if lo is None else int((hi - lo).total_seconds() // 3600) + 1
+    return f"{hours} hours"
+
+
+def with_end_marker(clean_stream: DataFrame, folder: str) -> DataFrame:
+    """The stream and what is put into ``folder``: :func:`end_marker` rows
+    move the watermark past the data, so that append mode closes every
+    window of a bounded replay."""
+    spark = clean_stream.sparkSession
+    if path_kind(spark, folder) is None:
+        spark.createDataFrame([], clean_stream.schema).write.parquet(folder)
+    return clean_stream.unionByName(spark.readStream.schema(clean_stream.schema).parquet(folder))
+
+
+def end_marker(clean_batch: DataFrame, folder: str, lateness: str, days: int = 10) -> None:
+    """One row without series and traffic, ``days`` and the lateness after the
+    last time of the data; its own windows stay open and are never emitted."""
+    last = clean_batch.agg((F.max("ts") + F.expr(f"interval {days} days")
+                            + F.expr(f"interval {lateness}")).alias("ts"))
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != "ts" else F.col("ts")
+             for f in clean_batch.schema.fields]
+    last.where(F.col("ts").isNotNull()).select(*empty).write.mode("append").parquet(folder)
+
+
+def _combined(combine: str):
+    """How the records of one hour become its traffic, as in the batch."""
+    return {"sum": F.sum, "max": F.max}[combine]
+
+
+def _flagged(frame: DataFrame, holidays, day: str = "day") -> DataFrame:
+    """``frame`` with ``is_holiday`` of its day; a calendar table is joined as
+    the static side."""
+    if not isinstance(holidays, DataFrame):
+        return frame.withColumn("is_holiday", holiday_flag(F.col(day), holidays).cast("int"))
+    name = "date" if "date" in holidays.columns else holidays.columns[0]
+    calendar = (holidays.select(F.to_date(F.col(name)).alias("_holiday")).distinct())
+    return (frame.join(calendar, frame[day] == calendar["_holiday"], "left")
+            .withColumn("is_holiday", F.col("_holiday").isNotNull().cast("int")).drop("_holiday"))
 
 
 def with_event_time(clean_stream: DataFrame, lateness: str = DEFAULT_LATENESS) -> DataFrame:
@@ -65,8 +111,11 @@ def _hour_string(day: Column, hour: Column) -> Column:
 def alerts_stream(clean_stream: DataFrame, baseline: DataFrame, series: Sequence[str] = (),
                   holidays="us_federal", lateness: str = DEFAULT_LATENESS,
                   high: float = HIGH_RATIO, low: float = LOW_RATIO,
-                  mode: str = "update") -> StreamPlan:
-    """L1: each hourly record with its baseline and alert class.
+                  mode: str = "update", combine: str = "sum") -> StreamPlan:
+    """L1 on the hour: each hourly record with its baseline and alert class.
+
+    In update mode an open hour is classified by what has arrived of it so
+    far and may change class; ``mode="append"`` classifies closed hours only.
 
     The hour total is a windowed aggregate (1 h tumbling); each micro-batch's
     emitted hours -- updated ones, or closed ones in append mode -- are joined
@@ -76,11 +125,9 @@ def alerts_stream(clean_stream: DataFrame, baseline: DataFrame, series: Sequence
     s = with_event_time(clean_stream, lateness)
     hours = (s.groupBy(F.window("evt", "1 hour"), *series,
                        F.to_date("ts").alias("day"), F.hour("ts").alias("hour"))
-              .agg(F.sum("traffic").alias("traffic")))
-    frame = hours.select(*series, _hour_string(F.col("day"), F.col("hour")).alias("date_time"),
-                         date_string(F.col("day")).alias("date"), "hour",
-                         holiday_flag(F.col("day"), holidays).cast("int").alias("is_holiday"),
-                         "traffic")
+              .agg(_combined(combine)("traffic").alias("traffic")))
+    frame = _flagged(hours, holidays).select(*series, _hour_string(F.col("day"), F.col("hour")).alias("date_time"),
+                         date_string(F.col("day")).alias("date"), "hour", "is_holiday", "traffic")
     return StreamPlan(frame, [*series, "date_time"], _mode(mode),
                       lambda b: alerts_batch(b, baseline, series, high, low))
 
@@ -92,10 +139,11 @@ def alerts_stream_records(hourly_stream: DataFrame, baseline: DataFrame,
     (date_time, hour, is_holiday, traffic), so each record is enriched and
     classified on arrival (append mode; stream-static join)."""
     return StreamPlan(alerts_batch(hourly_stream, baseline, series, high, low),
-                      [*series, "date_time"], "append")
+                      [*series, "date_time"], "append", stateful=False)
 
 
-def _day_slots(clean_stream: DataFrame, series: Sequence[str], lateness: str) -> DataFrame:
+def _day_slots(clean_stream: DataFrame, series: Sequence[str], lateness: str,
+               combine: str) -> DataFrame:
     """One state row per (series, day): 24 hour sums, NULL = hour not seen.
 
     The 24 conditional sums aggregate map-side, do not depend on arrival
@@ -103,7 +151,7 @@ def _day_slots(clean_stream: DataFrame, series: Sequence[str], lateness: str) ->
     """
     s = with_event_time(clean_stream, lateness)
     hour = F.hour("ts")
-    slots = [F.sum(F.when(hour == h, F.col("traffic"))) for h in range(HOURS_PER_DAY)]
+    slots = [_combined(combine)(F.when(hour == h, F.col("traffic"))) for h in range(HOURS_PER_DAY)]
     return (s.groupBy(F.window("evt", "1 day"), *series, F.to_date("ts").alias("day"))
              .agg(F.array(*slots).alias("slots")))
 
@@ -125,24 +173,23 @@ def _per_hour(slots: Column) -> Column:
 
 def cumulative_stream(clean_stream: DataFrame, series: Sequence[str] = (),
                       holidays="us_federal", lateness: str = DEFAULT_LATENESS,
-                      mode: str = "update") -> StreamPlan:
+                      mode: str = "update", combine: str = "sum") -> StreamPlan:
     """The cumulative daily curve, one row per (series, date, hour seen)."""
-    days = _day_slots(clean_stream, series, lateness)
-    frame = (days.select(*series, "day", F.inline(_per_hour(F.col("slots"))))
+    days = _flagged(_day_slots(clean_stream, series, lateness, combine), holidays)
+    frame = (days.select(*series, "day", "is_holiday", F.inline(_per_hour(F.col("slots"))))
              .where(F.col("traffic").isNotNull())
              .select(*series, date_string(F.col("day")).alias("date"),
                      F.col("hour").cast("int").alias("hour"),
-                     F.col("cum").alias("cumulative_traffic"),
-                     holiday_flag(F.col("day"), holidays).cast("int").alias("is_holiday")))
+                     F.col("cum").alias("cumulative_traffic"), "is_holiday"))
     return StreamPlan(frame, [*series, "date", "hour"], _mode(mode))
 
 
 def running_day_mean_stream(clean_stream: DataFrame, series: Sequence[str] = (),
-                            lateness: str = DEFAULT_LATENESS,
-                            mode: str = "update") -> StreamPlan:
+                            lateness: str = DEFAULT_LATENESS, mode: str = "update",
+                            combine: str = "sum") -> StreamPlan:
     """Tumbling-day window fired every hour: mean of the day's hourly
     records so far."""
-    days = _day_slots(clean_stream, series, lateness)
+    days = _day_slots(clean_stream, series, lateness, combine)
     frame = (days.select(*series, "day", F.inline(_per_hour(F.col("slots"))))
              .where(F.col("traffic").isNotNull())
              .select(*series,
@@ -155,7 +202,7 @@ def running_day_mean_stream(clean_stream: DataFrame, series: Sequence[str] = (),
 
 def rolling_stream(clean_stream: DataFrame, series: Sequence[str] = (),
                    hours: int = ROLLING_HOURS, lateness: str = DEFAULT_LATENESS,
-                   mode: str = "update") -> StreamPlan:
+                   mode: str = "update", combine: str = "sum") -> StreamPlan:
     """Trailing ``hours``-hour mean of the hourly records, per hour.
 
     Same day-halo plan as the batch twin: event-time windows of ``1 + back``
@@ -173,7 +220,7 @@ def rolling_stream(clean_stream: DataFrame, series: Sequence[str] = (),
     s = with_event_time(clean_stream, lateness)
     start_idx = instant_hour_index(F.col("window.start"))
     slot = hour_index(F.col("ts")) - start_idx
-    slots = [F.sum(F.when(slot == k, F.col("traffic"))) for k in range(n_slots)]
+    slots = [_combined(combine)(F.when(slot == k, F.col("traffic"))) for k in range(n_slots)]
     wins = (s.groupBy(F.window("evt", f"{back + 1} days", "1 day"), *series)
              .agg(F.array(*slots).alias("slots")))
     zero = F.lit(0).cast("long")

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Callable
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from flowtally.session import scratch_path
 from flowtally.streaming.jobs import StreamPlan
 from flowtally.streaming.sink import batch_writer, latest_snapshot, read_latest
 
+_STARTING = threading.Lock()
+
 
 def output_schema(spark: SparkSession, plan: StreamPlan):
     if plan.per_batch is None:
@@ -16,11 +22,16 @@ def output_schema(spark: SparkSession, plan: StreamPlan):
     return plan.per_batch(empty).schema
 
 
+PROGRESS_KEPT = 100_000     # progress reports of one run that are kept to be added up
+
+
 def default_state_partitions(spark: SparkSession) -> int | None:
-    """One state partition per core of the cluster (``defaultParallelism``)."""
+    """One state partition per core that the session has now.  The number is
+    frozen in the checkpoint: with dynamic allocation or for a query meant to
+    grow, pass ``state_partitions`` instead."""
     try:
         return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # noqa: BLE001  (no context: Spark Connect)
+    except (AttributeError, PySparkException):      # no context: Spark Connect
         return None
 
 
@@ -41,7 +52,7 @@ def start(plan: StreamPlan, out_path: str, checkpoint: str, trigger: dict | None
               .trigger(**(trigger or {"availableNow": True})))
     if name:
         writer = writer.queryName(name)
-    settings = {}
+    settings = {"spark.sql.streaming.numRecentProgressUpdates": str(PROGRESS_KEPT)}
     if state_partitions:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     if plan.mode == "update":
@@ -50,47 +61,72 @@ def start(plan: StreamPlan, out_path: str, checkpoint: str, trigger: dict | None
         # them: they flush closed windows when no new data arrives.
         settings["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
     spark = plan.frame.sparkSession
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        return writer.start()
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    with _STARTING:     # settings are the session's: one query starts at a time
+        before = {k: spark.conf.get(k, None) for k in settings}
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        try:
+            return writer.start()
+        finally:
+            for k, v in before.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
 
 
 def progress_stats(query) -> dict:
-    """Batches, input rows and rows dropped as late by the watermark, summed
-    over the query's recent progress reports (Spark keeps the last
-    ``spark.sql.streaming.numRecentProgressUpdates`` of them)."""
+    """Batches, input rows and groups dropped as late, over the whole run.
+
+    Spark counts what its state operators drop: rows already summed up per
+    group and task, so ``dropped_late_groups`` is 0 exactly when no input row
+    was lost, and otherwise lower than the number of input rows lost.  Of a
+    run of more than ``PROGRESS_KEPT`` micro-batches the last are counted and
+    ``complete`` is False.
+    """
     reports = query.recentProgress
     dropped = sum(op.get("numRowsDroppedByWatermark", 0)
                   for p in reports for op in p.get("stateOperators", []))
     return {"batches": len({p["batchId"] for p in reports}),
             "input_rows": sum(p.get("numInputRows", 0) for p in reports),
-            "dropped_late_rows": dropped}
+            "dropped_late_groups": dropped, "complete": len(reports) < PROGRESS_KEPT}
 
 
 def run_to_table(spark: SparkSession, plan: StreamPlan, name: str,
-                 root: str | None = None, stats: dict | None = None) -> DataFrame:
+                 root: str | None = None, stats: dict | None = None,
+                 state_partitions: int | None = None, late: str = "fail",
+                 finish: Callable[[], None] | None = None) -> DataFrame:
     """Replay everything available (``availableNow``), then return the stored
     result with one row per key.  Checkpoint and table live below the shared
-    checkpoint folder, so a rerun with the same ``root`` resumes.  ``stats``,
-    when given, is filled with :func:`progress_stats` -- a non-zero
-    ``dropped_late_rows`` means the lateness is shorter than the disorder of
-    the input."""
+    checkpoint folder, so a rerun with the same ``root`` resumes.
+
+    A replay that loses rows to the watermark fails, unless ``late="report"``;
+    ``stats``, when given, is filled with :func:`progress_stats`.  In append
+    mode the windows still open at the end of the data are emitted after
+    ``finish`` has moved the watermark (:func:`~flowtally.streaming.jobs.end_marker`);
+    without it a stateful plan in append mode is refused, as its result would
+    lack them.
+    """
+    if plan.mode == "append" and plan.stateful and finish is None:
+        raise ValueError("append mode leaves the last windows of a bounded replay open: "
+                         "pass finish, or use update mode")
     root = root or scratch_path(spark, name)
-    query = start(plan, f"{root}/out", f"{root}/checkpoint",
-                  state_partitions=default_state_partitions(spark))
-    query.awaitTermination()
-    err = query.exception()
-    if err is not None:
-        raise RuntimeError(f"stream {name} failed: {err}")
+    total: dict = {}
+    for step in (None, finish) if finish else (None,):
+        if step is not None:
+            step()
+        query = start(plan, f"{root}/out", f"{root}/checkpoint",
+                      state_partitions=state_partitions or default_state_partitions(spark))
+        query.awaitTermination()
+        err = query.exception()
+        if err is not None:
+            raise RuntimeError(f"stream {name} failed: {err}")
+        for k, v in progress_stats(query).items():
+            total[k] = (total.get(k, True) and v) if k == "complete" else total.get(k, 0) + v
     if stats is not None:
-        stats.update(progress_stats(query))
+        stats.update(total)
+    if late == "fail" and total["dropped_late_groups"]:
+        raise RuntimeError(f"stream {name}: rows came later than the watermark allows "
+                           f"({total['dropped_late_groups']} groups of them were dropped)")
     return read_latest(spark, f"{root}/out", plan.keys, output_schema(spark, plan),
                        snapshot=latest_snapshot(spark, root))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtally.sources.stream import list_names
+from flowtally.sources.stream import list_names, path_kind
 
 BATCH_COL = "batch_id"
 SNAPSHOT_DIR = "snapshot"
@@ -60,13 +60,14 @@ def read_latest(spark: SparkSession, out_path: str, keys: Sequence[str],
     """One row per key: its version from the highest batch id.
 
     ``snapshot`` = (path, n) replaces all batches up to ``n``; ``upto`` leaves
-    out batches after it.
+    out batches after it.  A stream that has written nothing yet reads as
+    empty; any other failure to read is raised.
     """
     full = T.StructType(list(schema.fields) + [T.StructField(BATCH_COL, T.LongType())])
-    try:
-        versions = spark.read.schema(full).parquet(out_path)
-    except Exception:  # no micro-batch has written anything yet
+    if path_kind(spark, out_path) is None:
         versions = spark.createDataFrame([], full)
+    else:
+        versions = spark.read.schema(full).parquet(out_path)
     if snapshot is not None:
         snap_path, snap_upto = snapshot
         versions = versions.where(F.col(BATCH_COL) > snap_upto).unionByName(
@@ -77,9 +78,10 @@ def read_latest(spark: SparkSession, out_path: str, keys: Sequence[str],
     others = [c for c in schema.names if c not in keys]
     if not others:
         return versions.select(*keys).distinct()
+    # One max_by per column of a batch's row: a key has one row in a batch, so
+    # all columns come from the same row.
     return (versions.groupBy(*keys)
-            .agg(F.max_by(F.struct(*others), F.col(BATCH_COL)).alias("_v"))
-            .select(*keys, *[F.col(f"_v.{c}").alias(c) for c in others])
+            .agg(*[F.max_by(F.col(c), F.col(BATCH_COL)).alias(c) for c in others])
             .select(*schema.names))
 
 

@@ -124,7 +124,7 @@ def test_late_row_is_dropped_by_watermark(spark, tmp_path):
                    .option("recursiveFileLookup", True).parquet(str(d)), "date_time", "traffic")
     stats = {}
     out = run_to_table(spark, cumulative_stream(stream, lateness="1 hour"), "late",
-                       str(tmp_path / "run"), stats=stats)
+                       str(tmp_path / "run"), stats=stats, late="report")
     got = {(r.date, r.hour): r.cumulative_traffic for r in out.collect()}
     # Batch 0 moves the watermark to 03-06 11:00, past the end of day 03-05.
     # Spark judges lateness with the previous batch's watermark, so in batch
@@ -132,7 +132,7 @@ def test_late_row_is_dropped_by_watermark(spark, tmp_path):
     # row of 03-06 is behind the watermark too but its day window is open.
     assert got == {("2024-03-05", 10): 1, ("2024-03-06", 9): 4, ("2024-03-06", 12): 6,
                    ("2024-03-06", 13): 14}
-    assert stats == {"batches": 3, "input_rows": 5, "dropped_late_rows": 1}
+    assert stats == {"batches": 3, "input_rows": 5, "dropped_late_groups": 1, "complete": True}
 
 
 def test_raw_csv_bad_rows_are_split_off(spark, tmp_path):

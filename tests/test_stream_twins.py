@@ -8,8 +8,9 @@ from flowtally.operators import alerts, cumulative_curve, hourly_baseline, rolli
 from flowtally.sinks import write_table
 from flowtally.sources.testdata import EVENTS_SCHEMA, SERIES, event_hourly, events_clean, table
 from flowtally.sources import file_stream
-from flowtally.streaming import (alerts_stream, cumulative_stream, rolling_stream, run_to_table,
-                                 running_day_mean_stream)
+from flowtally.streaming import (alerts_stream, cumulative_stream, end_marker, replay_lateness,
+                                 rolling_stream, run_to_table, running_day_mean_stream,
+                                 with_end_marker)
 from tests.conftest import SF_SMALL
 
 LATE_OK = "40 days"  # wider than the data: nothing is late
@@ -122,26 +123,49 @@ def _weekly(spark, d):
                                     options={"recursiveFileLookup": True}))
 
 
-@pytest.mark.parametrize("job", ["cumulative", "rolling", "alerts"])
-def test_append_mode_emits_final_rows_once(spark, weekly_dir, tmp_path, job):
+@pytest.mark.parametrize("job", ["cumulative", "rolling", "day_mean", "alerts"])
+def test_append_mode_emits_every_row_once(spark, shuffled_dir, tmp_path, job):
+    """Unordered files, one per micro-batch: each key is written once, and
+    together they are the batch result."""
     h = event_hourly(spark, SF_SMALL)
+    batch = events_clean(table(spark, SF_SMALL, "events"))
+    late, folder = replay_lateness(batch), str(tmp_path / "end")
+    stream = with_end_marker(_stream(spark, shuffled_dir), folder)
     if job == "cumulative":
-        plan = cumulative_stream(_weekly(spark, weekly_dir), SERIES, mode="append")
-        want = cumulative_curve(h, SERIES)
+        plan, want = cumulative_stream(stream, SERIES, lateness=late, mode="append"), cumulative_curve(h, SERIES)
     elif job == "rolling":
-        plan = rolling_stream(_weekly(spark, weekly_dir), SERIES, mode="append")
-        want = rolling_mean(h, SERIES)
+        plan, want = rolling_stream(stream, SERIES, lateness=late, mode="append"), rolling_mean(h, SERIES)
+    elif job == "day_mean":
+        plan = running_day_mean_stream(stream, SERIES, lateness=late, mode="append")
+        want = running_day_mean(h, SERIES)
     else:
         base = write_table(hourly_baseline(h, SERIES), str(tmp_path / "base"))
-        plan = alerts_stream(_weekly(spark, weekly_dir), base, SERIES, mode="append")
-        want = alerts(h, base, SERIES)
-    got = run_to_table(spark, plan, job, str(tmp_path / "run"))
+        plan, want = alerts_stream(stream, base, SERIES, lateness=late, mode="append"), alerts(h, base, SERIES)
+    stats = {}
+    got = run_to_table(spark, plan, job, str(tmp_path / "run"), stats,
+                       finish=lambda: end_marker(batch, folder, late))
     versions = spark.read.parquet(str(tmp_path / "run" / "out"))
     assert versions.count() == versions.select(*plan.keys).distinct().count()  # once each
-    rows = sorted(tuple(r) for r in got.select(*want.columns).collect())
-    everything = {tuple(r) for r in want.collect()}
-    assert rows and set(rows) <= everything  # final values only
-    assert len(rows) < len(everything)  # the last, still open windows wait
+    assert _same(got, want, want.columns) > 0
+    assert stats["dropped_late_groups"] == 0 and stats["complete"]
+    assert stats["input_rows"] == table(spark, SF_SMALL, "events").count() + 1     # and the marker
+
+
+def test_append_without_an_end_is_refused(spark, weekly_dir, tmp_path):
+    plan = cumulative_stream(_weekly(spark, weekly_dir), SERIES, mode="append")
+    with pytest.raises(ValueError, match="append"):
+        run_to_table(spark, plan, "c", str(tmp_path))
+
+
+def test_lost_rows_fail_or_are_reported(spark, shuffled_dir, tmp_path):
+    def plan():
+        return cumulative_stream(_stream(spark, shuffled_dir), SERIES, lateness="1 hour")
+
+    with pytest.raises(RuntimeError, match="later than the watermark"):
+        run_to_table(spark, plan(), "late", str(tmp_path / "a"))
+    stats = {}
+    run_to_table(spark, plan(), "late", str(tmp_path / "b"), stats, late="report")
+    assert stats["dropped_late_groups"] > 0
 
 
 def test_failed_batch_is_replayed_idempotently(spark, weekly_dir, tmp_path):
