@@ -31,13 +31,17 @@ from pyspark.sql import types as T
 from flowtally.operators import clean, daily_average, daily_total, hourly, hourly_baseline
 from flowtally.plans import (alert_distribution, check_convergence, check_endpoint, check_high,
                              check_low, check_normal, holiday_diff, import_counts)
+from flowtally.plans.checks import endpoint_coverage
 from flowtally.plans.views import STREAM_KEYS, register_result_views, stream_result
 from flowtally.schemas import RESULT_SCHEMAS, conform
 from flowtally.session import build_session
-from flowtally.sinks import export_csv, write_csv_parts
+from flowtally.operators.prepare import marked_days, record_stream, rejected
+from flowtally.sinks import export_csv, write_csv_parts, write_table
+from flowtally.sources import read_raw_csv
 from flowtally.sources.stream import file_stream
-from flowtally.streaming import (alerts_stream, cumulative_stream, rolling_stream,
-                                 running_day_mean_stream, start)
+from flowtally.streaming import (alerts_stream, alerts_stream_records, cumulative_stream, end_marker,
+                                 replay_lateness, rolling_stream, run_to_table,
+                                 running_day_mean_stream, start, with_end_marker)
 from flowtally.streaming.runner import default_state_partitions, output_schema, progress_stats
 from flowtally.streaming.sink import compact, latest_snapshot, read_latest
 
@@ -55,6 +59,20 @@ def _read_input(spark: SparkSession, path: str, fmt: str,
     return reader.format(fmt).load(path)
 
 
+def _read_raw(spark: SparkSession, args) -> tuple[DataFrame, DataFrame | None, T.StructType]:
+    """The input rows, the malformed lines of a CSV file (else None), and the
+    schema: ``--schema`` if given; a CSV file without one is read as text."""
+    schema = T._parse_datatype_string(args.schema) if args.schema else None
+    if args.input_format != "csv":
+        df = _read_input(spark, args.input, args.input_format, schema)
+        return df, None, df.schema
+    if schema is None:
+        head = spark.read.option("header", True).option("inferSchema", False).csv(args.input)
+        schema = T.StructType([T.StructField(f.name, T.StringType()) for f in head.schema.fields])
+    good, bad = read_raw_csv(spark, args.input, schema)
+    return good, bad, schema
+
+
 def _holidays(arg: str | None):
     if arg is None or arg == "us_federal":
         return "us_federal"
@@ -65,7 +83,16 @@ def _holidays(arg: str | None):
 
 def _clean(df: DataFrame, args) -> DataFrame:
     return clean(df, args.time_col, F.expr(args.value), list(args.series),
-                 time_format=args.time_format)
+                 time_format=args.time_format,
+                 flag=F.expr(args.marker).cast("int") if args.marker else None)
+
+
+def _marked(spark: SparkSession, args, root: str):
+    """What the stream takes as holidays: the days that the file's own marker
+    flags (stored once, as a calendar table), else ``--holidays``."""
+    if not args.marker:
+        return _holidays(args.holidays)
+    return write_table(marked_days(_clean(_read_raw(spark, args)[0], args)), f"{root}/marked_days")
 
 
 def _write(df: DataFrame, path: str, fmt: str) -> None:
@@ -76,9 +103,15 @@ def _write(df: DataFrame, path: str, fmt: str) -> None:
 
 
 def run_batch(spark: SparkSession, args) -> dict[str, DataFrame]:
-    rec = hourly(_clean(_read_input(spark, args.input, args.input_format), args),
-                 list(args.series), _holidays(args.holidays))
+    raw, bad, _ = _read_raw(spark, args)
     series = tuple(args.series)
+    # The hourly records are written once; the results read these.
+    rec = write_table(hourly(_clean(raw, args), list(args.series), _holidays(args.holidays),
+                             combine=args.combine), f"{args.out}/hourly_records")
+    rejected(raw, args.time_col, F.expr(args.value), args.time_format).write.mode("overwrite") \
+        .parquet(f"{args.out}/rejected")
+    if bad is not None:
+        bad.write.mode("overwrite").parquet(f"{args.out}/malformed")
     results = {
         "batch_hourly_baseline": hourly_baseline(rec, series, rounding=args.rounding),
         "batch_daily_average": daily_average(rec, series),
@@ -98,25 +131,42 @@ def _read_batch(spark: SparkSession, root: str, name: str, series: tuple[str, ..
 
 def run_stream(spark: SparkSession, args):
     series = tuple(args.series)
-    raw = _read_input(spark, args.input, args.input_format)  # schema of the files
-    src = file_stream(spark, args.input, raw.schema, fmt=args.input_format)
-    records = _clean(src, args)
-    holidays = _holidays(args.holidays)
+    root = f"{args.out}/{args.job}"
+    raw, _, schema = _read_raw(spark, args)
+    batch = _clean(raw, args)
+    stream = _clean(file_stream(spark, args.input, schema, fmt=args.input_format), args)
+    if args.marker:
+        batch, stream = batch.drop("holiday_flag"), stream.drop("holiday_flag")
+    holidays = _marked(spark, args, root)
+    lateness = args.lateness or ("1 hour" if args.every else replay_lateness(batch))
+    finish = None
+    if args.mode == "append" and not args.every:
+        stream = with_end_marker(stream, f"{root}/end_marker")
+        finish = lambda: end_marker(batch, f"{root}/end_marker", lateness)
     if args.job == "alerts":
         if not args.baseline:
             raise SystemExit("--baseline (the batch output folder) is needed for alerts")
         base = _read_batch(spark, args.baseline, "batch_hourly_baseline", series, args.format)
-        plan = alerts_stream(records, base, series, holidays, args.lateness, mode=args.mode)
+        if args.grain == "record":      # each record as it comes, like the hourly files it is made for
+            finish = None
+            plan = alerts_stream_records(record_stream(stream, series, holidays), base, series)
+        else:
+            plan = alerts_stream(stream, base, series, holidays, lateness, mode=args.mode,
+                                 combine=args.combine)
     elif args.job == "rolling":
-        plan = rolling_stream(records, series, args.hours, args.lateness, mode=args.mode)
+        plan = rolling_stream(stream, series, args.hours, lateness, args.mode, args.combine)
     elif args.job == "cumulative":
-        plan = cumulative_stream(records, series, holidays, args.lateness, mode=args.mode)
+        plan = cumulative_stream(stream, series, holidays, lateness, args.mode, args.combine)
     else:
-        plan = running_day_mean_stream(records, series, args.lateness, mode=args.mode)
-    root = f"{args.out}/{args.job}"
-    trigger = {"processingTime": args.every} if args.every else {"availableNow": True}
-    query = start(plan, f"{root}/out", f"{root}/checkpoint", trigger, name=f"flowtally_{args.job}",
-                  state_partitions=default_state_partitions(spark))
+        plan = running_day_mean_stream(stream, series, lateness, args.mode, args.combine)
+    partitions = args.state_partitions or default_state_partitions(spark)
+    if not args.every:
+        stats: dict = {}
+        out = run_to_table(spark, plan, args.job, root, stats, partitions, args.late, finish)
+        print(f"{args.job}: {stats}")
+        return out
+    query = start(plan, f"{root}/out", f"{root}/checkpoint", {"processingTime": args.every},
+                  name=f"flowtally_{args.job}", state_partitions=partitions)
     query.awaitTermination()
     print(f"{args.job}: {progress_stats(query)}")
     return read_latest(spark, f"{root}/out", plan.keys, output_schema(spark, plan),
@@ -141,6 +191,8 @@ def run_check(spark: SparkSession, args) -> dict[str, DataFrame]:
         "check_normal": check_normal(alerts, base, series),
         "check_endpoint": check_endpoint(total, _read_stream(spark, args.stream, "cumulative",
                                                              series), series),
+        "endpoint_coverage": endpoint_coverage(total, _read_stream(spark, args.stream, "cumulative",
+                                                                   series), series),
         "check_convergence": check_convergence(_read_stream(spark, args.stream, "rolling",
                                                             series), davg, series),
     })
@@ -164,12 +216,11 @@ def run_compact(spark: SparkSession, args) -> int | None:
 
 def run_export(spark: SparkSession, args) -> list[str]:
     """Each named result table (all registered ones by default) as one
-    headered CSV file below ``--out`` -- size-checked, since one file is
-    one writing task."""
+    headered CSV file below ``--out``; one file is one writing task."""
     names = register_result_views(spark, args.batch, args.stream, tuple(args.series), args.format)
     chosen = args.tables or names
     for name in chosen:
-        export_csv(spark.table(name), f"{args.out}/{name}", args.max_rows)
+        export_csv(spark.table(name), f"{args.out}/{name}")
     return chosen
 
 
@@ -183,6 +234,9 @@ def run_sql(spark: SparkSession, args) -> list[DataFrame]:
             _write(df, f"{args.out}/q{i}", args.format)
         else:
             df.show(args.show, truncate=False)
+            total = df.count()
+            if total > args.show:
+                print(f"{args.show} of {total} rows shown; --out writes them all")
     return results
 
 
@@ -201,6 +255,11 @@ def parser() -> argparse.ArgumentParser:
             sp.add_argument("--value", required=True, help="SQL expression of a record's traffic")
             sp.add_argument("--holidays", default="us_federal",
                             help="us_federal | none | comma-separated dates")
+            sp.add_argument("--schema", help="the input's columns as a Spark DDL string")
+            sp.add_argument("--marker", help="SQL condition of rows that mark their day as a holiday; "
+                                             "goes before --holidays")
+            sp.add_argument("--combine", default="sum", choices=["sum", "max"],
+                            help="records of one hour: counts to add up, or readings that repeat")
         sp.add_argument("--series", nargs="*", default=[])
         sp.add_argument("--format", default="csv", choices=["csv", "parquet"])
         sp.add_argument("--out", required=True)
@@ -212,7 +271,12 @@ def parser() -> argparse.ArgumentParser:
     common(s)
     s.add_argument("--job", required=True, choices=list(STREAM_TABLES))
     s.add_argument("--baseline")
-    s.add_argument("--lateness", default="1 hour")
+    s.add_argument("--lateness", help="default: 1 hour with --every; in a replay the input's time span")
+    s.add_argument("--late", default="fail", choices=["fail", "report"],
+                   help="a replay that loses late rows fails, or reports them")
+    s.add_argument("--grain", default="record", choices=["record", "hour"],
+                   help="alerts on each record, or on hours (update mode revises open ones)")
+    s.add_argument("--state-partitions", type=int, help="default: the session's cores at the start")
     s.add_argument("--hours", type=int, default=24)
     s.add_argument("--every", default=None, help="processing-time trigger, e.g. '1 minute'")
     s.add_argument("--mode", default="update", choices=["update", "append"],
@@ -231,7 +295,6 @@ def parser() -> argparse.ArgumentParser:
     x.add_argument("--series", nargs="*", default=[])
     x.add_argument("--format", default="csv", choices=["csv", "parquet"])
     x.add_argument("--tables", nargs="*", default=None)
-    x.add_argument("--max-rows", type=int, default=1_000_000)
     x.add_argument("--out", required=True)
     q = sub.add_parser("sql", help="run SQL over the result tables registered as views")
     q.add_argument("--batch")

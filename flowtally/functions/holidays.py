@@ -2,8 +2,7 @@
 
 A rule calendar or a list of dates becomes one boolean expression on the
 date, so flagging needs no join, no broadcast and stays inside whole-stage
-codegen.  ``calendar_rule_sql`` renders the same rules for DuckDB, for the
-oracle queries.
+codegen.
 """
 
 from __future__ import annotations
@@ -55,14 +54,3 @@ def holiday_flag(date_col: Column, holidays="us_federal") -> Column:
             raise ValueError(f"unknown holiday calendar {holidays!r}")
         return us_federal_holiday(date_col)
     return listed_holiday(date_col, holidays)
-
-
-def calendar_rule_sql(date_sql: str) -> str:
-    """The US federal rule as a DuckDB expression (DuckDB: 0 = Sunday)."""
-    parts = [f"(month({date_sql}) = {m} AND day({date_sql}) = {d})"
-             for m, d in FIXED_DATE_HOLIDAYS]
-    for m, wd, nth in WEEKDAY_RULE_HOLIDAYS:
-        lo, hi = _nth_weekday_days(nth)
-        parts.append(f"(month({date_sql}) = {m} AND dayofweek({date_sql}) = {(wd + 1) % 7}"
-                     f" AND day({date_sql}) BETWEEN {lo} AND {hi})")
-    return "CASE WHEN " + " OR ".join(parts) + " THEN 1 ELSE 0 END"

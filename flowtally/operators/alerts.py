@@ -9,22 +9,21 @@ from pyspark.sql import functions as F
 
 from flowtally.fixed import HIGH_RATIO, LOW_RATIO
 from flowtally.functions.classify import alert_status
-from flowtally.operators.joins import join_on
+from flowtally.operators.joins import join_on, unique_rows
 
 
 def join_baseline(rec: DataFrame, baseline: DataFrame, series: Sequence[str] = ()) -> DataFrame:
     """Inner join of records with their baseline on (series, is_holiday, hour).
 
-    Without series the baseline has at most 2 x 24 = 48 rows by construction,
-    a proven bound, so it is broadcast.  With series its size grows with the
-    number of series; it is not hinted and AQE broadcasts it only when the
-    materialised side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
-    -- otherwise a shuffle join on the same keys runs (skew-split by AQE).
+    The baseline grows with the number of series, so it is not hinted: it is
+    broadcast when its measured size is under Spark's thresholds (static or
+    adaptive); otherwise a shuffle join on the same keys runs (skew-split by
+    AQE).  A baseline key that repeats fails the job.
     Records without a baseline row drop out, as in the reference's inner joins.
     """
     keys = [*series, "is_holiday", "hour"]
-    side = baseline.select(*keys, F.col("avg_traffic").alias("baseline"))
-    return join_on(rec, side, keys, broadcast_right=not series)
+    side = unique_rows(baseline, keys, "avg_traffic").withColumnRenamed("avg_traffic", "baseline")
+    return join_on(rec, side, keys)
 
 
 def alerts(rec: DataFrame, baseline: DataFrame, series: Sequence[str] = (),
@@ -44,5 +43,5 @@ def unmatched_records(rec: DataFrame, baseline: DataFrame, series: Sequence[str]
     a one-row count ``unmatched_records`` -- the metric beside the alerts."""
     keys = [*series, "is_holiday", "hour"]
     side = baseline.select(*keys)
-    return (join_on(rec, side, keys, "left_anti", broadcast_right=not series)  # <= 48 rows
+    return (join_on(rec, side, keys, "left_anti")
             .agg(F.count(F.lit(1)).alias("unmatched_records")))

@@ -9,6 +9,7 @@ one row per hour and task before anything is shuffled.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -33,12 +34,14 @@ def series_names(series: SeriesSpec) -> list[str]:
 
 def clean(df: DataFrame, time_col: str, value: Column | str, series: SeriesSpec = (),
           time_format: str = DATETIME_FORMAT, flag: Column | None = None,
-          time_range: tuple[str, str] | None = None) -> DataFrame:
+          time_range: tuple[str, str] | None = None,
+          dates: Sequence[str] | None = None) -> DataFrame:
     """``(*series, ts timestamp_ntz, traffic bigint[, holiday_flag int])``.
 
     Rows whose time or value is NULL or unparseable are dropped: they cannot
     be placed on the hour grid.  ``time_range`` ``[start, end)`` is applied to
-    the raw time column so that it reaches the scan as a pushed filter.
+    the raw time column so that it reaches the scan as a pushed filter, and
+    so are chosen ``dates`` (F4), one range each.
     ``flag`` is an optional per-row holiday marker (raw files mark only one row
     of a holiday); :func:`hourly` spreads it to the whole day.
 
@@ -51,16 +54,48 @@ def clean(df: DataFrame, time_col: str, value: Column | str, series: SeriesSpec
         lo, hi = time_range
         df = df.where((F.col(time_col) >= F.lit(lo).cast(raw_type))
                       & (F.col(time_col) < F.lit(hi).cast(raw_type)))
+    if dates is not None:
+        df = df.where(_on_dates(time_col, raw_type, dates))
     value_col = F.col(value) if isinstance(value, str) else value
     cols = _series_columns(series) + [
         to_wall_clock(time_col, raw_type, time_format).alias("ts"),
-        value_col.cast("long").alias("traffic"),
+        value_col.try_cast("long").alias("traffic"),
     ]
     if flag is not None:
         cols.append(flag.cast("int").alias("holiday_flag"))
     return df.select(*cols).where(F.col("ts").isNotNull() & F.col("traffic").isNotNull())
 
 
+def rejected(df: DataFrame, time_col: str, value: Column | str,
+             time_format: str = DATETIME_FORMAT) -> DataFrame:
+    """The rows that :func:`clean` drops, whole, with ``reject_reason``
+    (``time`` or ``value``): the quarantine table beside the clean one."""
+    value_col = F.col(value) if isinstance(value, str) else value
+    no_time = to_wall_clock(time_col, df.schema[time_col].dataType, time_format).isNull()
+    no_value = value_col.try_cast("long").isNull()
+    return (df.withColumn("reject_reason", F.when(no_time, "time").when(no_value, "value"))
+            .where(F.col("reject_reason").isNotNull()))
+
+
+def marked_days(clean_df: DataFrame) -> DataFrame:
+    """The dates on which a row carries the holiday marker, as a calendar
+    table: what the streams take as ``holidays`` when the raw file marks its
+    own days."""
+    return (clean_df.where(F.col("holiday_flag") == 1)
+            .select(F.to_date("ts").alias("date")).distinct())
+
+
+def _on_dates(time_col: str, raw_type, dates: Sequence[str]) -> Column:
+    """The raw time column lies on one of ``dates``: ranges on the column as
+    it is stored, which the scan can use; text compares as text."""
+    cond = F.lit(False)
+    for day in sorted({dt.date.fromisoformat(str(d)) for d in dates}):
+        lo, hi = day.isoformat(), (day + dt.timedelta(days=1)).isoformat()
+        cond = cond | ((F.col(time_col) >= F.lit(lo).cast(raw_type))
+                       & (F.col(time_col) < F.lit(hi).cast(raw_type)))
+    return cond
+
+
 def _finish(df: DataFrame, series: list[str], holidays, has_flag: bool,
             date_as_string: bool = True) -> DataFrame:
     """Common columns of both grains; ``day`` is a DateType, ``hour`` an int."""
@@ -137,3 +172,10 @@ def records(clean_df: DataFrame, series: SeriesSpec = (), holidays="us_federal")
         *(["holiday_flag"] if has_flag else []))
     return _finish(df, names, holidays, has_flag, date_as_string=False)
 
+
+def record_stream(clean_df: DataFrame, series: SeriesSpec = (), holidays="us_federal") -> DataFrame:
+    """The clean records one by one as the per-record alerts take them:
+    (*series, date_time, date, hour, is_holiday, traffic)."""
+    rec = records(clean_df, series, holidays)
+    return rec.select(*series_names(series), "date_time", F.col("date").cast("string").alias("date"),
+                      "hour", "is_holiday", "traffic")

@@ -9,7 +9,34 @@ a NULL series is a group of its own.
 
 from __future__ import annotations
 
-from flowtally.functions.holidays import calendar_rule_sql
+import calendar
+import datetime as dt
+
+from flowtally.fixed import (DAY_TYPE_HOLIDAY, DAY_TYPE_ORDINARY, HIGH_ALERT, HIGH_RATIO, LOW_ALERT,
+                             LOW_RATIO, NORMAL)
+
+YEARS = (*range(1990, 2003), 2024)      # of the given tables
+
+
+def _holidays(year: int) -> list[dt.date]:
+    """The US federal holidays of a year, by counting through its calendar
+    (the engine tests a date against rules instead)."""
+    def weekday(month: int, day: int, nth: int) -> dt.date:
+        found = [w[day] for w in calendar.monthcalendar(year, month) if w[day]]
+        return dt.date(year, month, found[nth])
+
+    monday, thursday = calendar.MONDAY, calendar.THURSDAY
+    return [dt.date(year, 1, 1), weekday(1, monday, 2), weekday(2, monday, 2), weekday(5, monday, -1),
+            dt.date(year, 7, 4), weekday(9, monday, 0), weekday(10, monday, 1), dt.date(year, 11, 11),
+            weekday(11, thursday, 3), dt.date(year, 12, 25)]
+
+
+HOLIDAYS = ", ".join(f"DATE '{d}'" for year in YEARS for d in _holidays(year))
+
+
+def is_holiday_sql(day: str) -> str:
+    return f"CASE WHEN {day} IN ({HOLIDAYS}) THEN 1 ELSE 0 END"
+
 
 DT_FMT = "%Y-%m-%d %H:%M:%S"
 
@@ -24,7 +51,7 @@ rec AS (
   SELECT series,
          strftime(CAST(day AS TIMESTAMP) + to_hours(hour), '{DT_FMT}') AS date_time,
          strftime(day, '%Y-%m-%d') AS date, hour,
-         CAST({calendar_rule_sql('day')} AS INTEGER) AS is_holiday,
+         CAST({is_holiday_sql('day')} AS INTEGER) AS is_holiday,
          traffic, n_records, CAST(day AS TIMESTAMP) + to_hours(hour) AS hour_ts
   FROM hourly)"""
 
@@ -34,12 +61,12 @@ base AS (
          CAST(SUM(traffic) AS DOUBLE) / COUNT(traffic) AS avg_traffic
   FROM rec GROUP BY 1, 2, 3)"""
 
-ALERTS = """
+ALERTS = f"""
 alerts AS (
   SELECT r.series, r.date_time, r.traffic, b.avg_traffic AS baseline, r.is_holiday, r.hour,
-         CASE WHEN r.traffic / NULLIF(b.avg_traffic, 0) >= 1.5 THEN 'HIGH_ALERT'
-              WHEN r.traffic / NULLIF(b.avg_traffic, 0) <= 0.5 THEN 'LOW_ALERT'
-              ELSE 'NORMAL' END AS alert_status
+         CASE WHEN r.traffic / NULLIF(b.avg_traffic, 0) >= {HIGH_RATIO} THEN '{HIGH_ALERT}'
+              WHEN r.traffic / NULLIF(b.avg_traffic, 0) <= {LOW_RATIO} THEN '{LOW_ALERT}'
+              ELSE '{NORMAL}' END AS alert_status
   FROM rec r JOIN base b
     ON r.series IS NOT DISTINCT FROM b.series AND r.is_holiday = b.is_holiday AND r.hour = b.hour)"""
 
@@ -90,7 +117,7 @@ def _day_records(tbl: str, series: str, time_col: str, value: str) -> str:
     return f"""
 drec AS (
   SELECT {series} AS series, strftime(CAST({time_col} AS DATE), '%Y-%m-%d') AS date,
-         CAST({calendar_rule_sql(f'CAST({time_col} AS DATE)')} AS INTEGER) AS is_holiday,
+         CAST({is_holiday_sql(f'CAST({time_col} AS DATE)')} AS INTEGER) AS is_holiday,
          CAST(ROUND({value} * 100) AS BIGINT) AS traffic
   FROM {tbl} WHERE {time_col} IS NOT NULL AND {value} IS NOT NULL)"""
 
@@ -122,12 +149,49 @@ ROLL_SQL = _with(REC, ROLL) + "SELECT * FROM roll"
 DAY_MEAN_SQL = _with(REC, DAY_MEAN) + "SELECT * FROM day_mean"
 
 
-def _check(status: str, pred: str) -> str:
-    return _with(REC, BASE, ALERTS) + f"""
-SELECT COUNT(*) AS invalid_count
-FROM alerts a JOIN base b
-  ON a.series IS NOT DISTINCT FROM b.series AND a.is_holiday = b.is_holiday AND a.hour = b.hour
-WHERE a.alert_status = '{status}' AND a.traffic / NULLIF(b.avg_traffic, 0) {pred}"""
+# The ratio that each stored class rests on: alerts carry their baseline.
+RATIOS = """
+ratios AS (SELECT alert_status, traffic / NULLIF(baseline, 0) AS ratio FROM alerts)"""
+
+
+def _misplaced(status: str, wrong: str) -> str:
+    return _with(REC, BASE, ALERTS, RATIOS) + f"""
+SELECT count(*) FILTER (alert_status = '{status}' AND {wrong}) AS invalid_count FROM ratios"""
+
+
+# A day's total is the sum of its hours; the curve's value at an hour is the
+# sum up to it.  V6 follows from one grouping of the hourly records.
+DAY_ENDS = f"""
+day_ends AS (
+  SELECT series, date,
+         CASE max(is_holiday) WHEN 1 THEN '{DAY_TYPE_HOLIDAY}' ELSE '{DAY_TYPE_ORDINARY}' END AS day_type,
+         CAST(sum(traffic) AS BIGINT) AS batch_total, max(hour) AS last_hour,
+         CAST(sum(traffic) FILTER (hour <= 23) AS BIGINT) AS stream_final
+  FROM rec GROUP BY series, date)"""
+
+
+# Raw traffic rows with unreadable values (every 97th event), repeated rows
+# (every 89th) and holidays marked at midnight only; an hour's traffic is the
+# largest of its readings.
+DIRTY = f"""
+WITH raw AS (
+  SELECT event_type AS series, CAST(ts AS DATE) AS day, CAST(hour(ts) AS INTEGER) AS hour,
+         CAST(round(value * 100) AS BIGINT) AS traffic, event_id % 97 = 0 AS bad,
+         CASE WHEN hour(ts) = 0 THEN {is_holiday_sql('CAST(ts AS DATE)')} ELSE 0 END AS mark
+  FROM events, (VALUES (0), (1)) AS twice(again)
+  WHERE ts IS NOT NULL AND value IS NOT NULL AND (again = 0 OR event_id % 89 = 0)),
+days AS (SELECT day, max(mark) AS is_holiday FROM raw WHERE NOT bad GROUP BY day),
+hours AS (SELECT series, day, hour, max(traffic) AS traffic, count(*) AS n_records
+          FROM raw WHERE NOT bad GROUP BY series, day, hour)"""
+DIRTY_HOURS_SQL = DIRTY + f"""
+SELECT series, strftime(CAST(day AS TIMESTAMP) + to_hours(hour), '{DT_FMT}') AS date_time,
+       strftime(day, '%Y-%m-%d') AS date, hour, is_holiday, traffic, n_records
+FROM hours JOIN days USING (day)"""
+DIRTY_CURVE_SQL = DIRTY + """
+SELECT series, strftime(day, '%Y-%m-%d') AS date, hour,
+       CAST(sum(traffic) OVER (PARTITION BY series, day ORDER BY hour) AS BIGINT) AS cumulative_traffic,
+       is_holiday
+FROM hours JOIN days USING (day)"""
 
 
 ORACLE: dict[str, str] = {
@@ -141,71 +205,86 @@ SELECT series, is_holiday, hour, ROUND(avg_traffic) AS avg_traffic FROM base""",
     "daily_average_orders": _daily_average_sql(ORDERS),
     "daily_total_lineitem": _daily_total_sql(LINEITEM),
     "daily_average_lineitem": _daily_average_sql(LINEITEM),
-    "holiday_diff": _with(REC, BASE) + """
-SELECT b1.series, b1.hour,
-       b1.avg_traffic AS non_holiday_baseline,
-       b2.avg_traffic AS holiday_baseline,
+    "holiday_diff": _with(REC, BASE) + """,
+sides AS (
+  SELECT series, hour, max(avg_traffic) FILTER (is_holiday = 0) AS ordinary,
+         max(avg_traffic) FILTER (is_holiday = 1) AS off
+  FROM base GROUP BY series, hour)
+SELECT series, hour, ordinary AS non_holiday_baseline, off AS holiday_baseline,
        -- + 0.0: Spark's decimal rounding never yields -0.0, std::round can
-       ROUND((b2.avg_traffic - b1.avg_traffic) / NULLIF(b1.avg_traffic, 0) * 100, 2) + 0.0 AS diff_percent
-FROM base b1 JOIN base b2 ON b1.series IS NOT DISTINCT FROM b2.series AND b1.hour = b2.hour
-WHERE b1.is_holiday = 0 AND b2.is_holiday = 1
-ORDER BY b1.series, b1.hour""",
+       round((off - ordinary) / nullif(ordinary, 0) * 100, 2) + 0.0 AS diff_percent
+FROM sides WHERE ordinary IS NOT NULL AND off IS NOT NULL""",
     "alerts_batch": ALERTS_SQL,
     "alerts_stream": ALERTS_SQL,
     "alerts_stream_clean": ALERTS_SQL,
     "alert_distribution": _with(REC, BASE, ALERTS) + """
 SELECT alert_status, COUNT(*) AS record_count FROM alerts GROUP BY alert_status""",
-    "check_high": _check("HIGH_ALERT", "< 1.5"),
-    "check_low": _check("LOW_ALERT", "> 0.5"),
-    "check_normal": _with(REC, BASE, ALERTS) + """
-SELECT COUNT(*) AS total_normal,
-       CAST(SUM(CASE WHEN traffic / NULLIF(avg_traffic, 0) < 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS below_low_threshold,
-       CAST(SUM(CASE WHEN traffic / NULLIF(avg_traffic, 0) > 1.5 THEN 1 ELSE 0 END) AS BIGINT) AS above_high_threshold,
-       CAST(SUM(CASE WHEN traffic / NULLIF(avg_traffic, 0) BETWEEN 0.5 AND 1.5 THEN 1 ELSE 0 END) AS BIGINT) AS within_range
-FROM alerts a JOIN base b
-  ON a.series IS NOT DISTINCT FROM b.series AND a.is_holiday = b.is_holiday AND a.hour = b.hour
-WHERE a.alert_status = 'NORMAL'""",
+    "check_high": _misplaced(HIGH_ALERT, f"ratio < {HIGH_RATIO}"),
+    "check_low": _misplaced(LOW_ALERT, f"ratio > {LOW_RATIO}"),
+    "check_normal": _with(REC, BASE, ALERTS, RATIOS) + f"""
+SELECT count(*) AS total_normal,
+       count(*) FILTER (ratio < {LOW_RATIO}) AS below_low_threshold,
+       count(*) FILTER (ratio > {HIGH_RATIO}) AS above_high_threshold,
+       count(*) FILTER (ratio >= {LOW_RATIO} AND ratio <= {HIGH_RATIO}) AS within_range
+FROM ratios WHERE alert_status = '{NORMAL}'""",
     "cumulative_batch": CURVE_SQL,
     "cumulative_stream": CURVE_SQL,
     "rolling24_batch": ROLL_SQL,
     "rolling24_stream": ROLL_SQL,
     "running_day_mean_batch": DAY_MEAN_SQL,
     "running_day_mean_stream": DAY_MEAN_SQL,
-    "check_endpoint": _with(REC, TOTAL, CURVE) + """
-SELECT s.series, s.date,
-       CASE WHEN s.is_holiday = 1 THEN '节假日' ELSE '非节假日' END AS day_type,
-       s.total_daily_traffic AS batch_total,
-       f.cumulative_traffic AS stream_final,
-       s.total_daily_traffic - f.cumulative_traffic AS diff
-FROM total s JOIN curve f ON s.series IS NOT DISTINCT FROM f.series AND s.date = f.date
-WHERE f.hour = 23""",
-    "check_endpoint_last": _with(REC, TOTAL, CURVE) + """,
-ends AS (SELECT series, date, arg_max(cumulative_traffic, hour) AS stream_final
-         FROM curve GROUP BY 1, 2)
-SELECT s.series, s.date,
-       CASE WHEN s.is_holiday = 1 THEN '节假日' ELSE '非节假日' END AS day_type,
-       s.total_daily_traffic AS batch_total,
-       f.stream_final,
-       s.total_daily_traffic - f.stream_final AS diff
-FROM total s JOIN ends f ON s.series IS NOT DISTINCT FROM f.series AND s.date = f.date""",
-    "check_convergence": _with(REC, ROLL, DAVG) + """
-SELECT r.series, r."current_time",
-       r.avg_traffic AS stream_rolling_avg,
-       d.avg_daily_traffic AS batch_daily_avg,
-       ROUND(ABS(r.avg_traffic - d.avg_daily_traffic), 2) AS error,
-       ROUND(ABS(r.avg_traffic - d.avg_daily_traffic) / NULLIF(d.avg_daily_traffic, 0) * 100, 2) AS error_pct
-FROM roll r JOIN davg d
-  ON r.series IS NOT DISTINCT FROM d.series AND CAST(CAST(r."current_time" AS TIMESTAMP) AS DATE) = CAST(d.date AS DATE)
-ORDER BY r.series, r."current_time\"""",
+    "check_endpoint": _with(REC, DAY_ENDS) + """
+SELECT series, date, day_type, batch_total, stream_final, batch_total - stream_final AS diff
+FROM day_ends WHERE last_hour = 23""",
+    "check_endpoint_last": _with(REC, DAY_ENDS) + """
+SELECT series, date, day_type, batch_total, stream_final, batch_total - stream_final AS diff
+FROM day_ends""",
+    "endpoint_coverage": _with(REC, DAY_ENDS) + """
+SELECT count(*) FILTER (last_hour = 23) AS both_sides,
+       count(*) FILTER (last_hour < 23) AS totals_without_end,
+       CAST(0 AS BIGINT) AS ends_without_total
+FROM day_ends""",
+    "check_convergence": _with(REC) + """,
+means AS (
+  SELECT series, date_time,
+         CAST(sum(traffic) OVER day_back AS DOUBLE) / count(*) OVER day_back AS lately,
+         CAST(sum(traffic) OVER whole_day AS DOUBLE) / count(*) OVER whole_day AS daily
+  FROM rec
+  WINDOW day_back AS (PARTITION BY series ORDER BY hour_ts
+                      RANGE BETWEEN INTERVAL 23 HOURS PRECEDING AND CURRENT ROW),
+         whole_day AS (PARTITION BY series, date))
+SELECT series, date_time AS "current_time", lately AS stream_rolling_avg, daily AS batch_daily_avg,
+       round(abs(lately - daily), 2) AS error,
+       round(abs(lately - daily) / nullif(daily, 0) * 100, 2) AS error_pct
+FROM means""",
     "import_counts": _with(REC, BASE, DAVG, TOTAL) + """
-SELECT 'batch_hourly_baseline' AS table_name, COUNT(*) AS row_count FROM base
-UNION ALL SELECT 'batch_daily_average', COUNT(*) FROM davg
-UNION ALL SELECT 'batch_daily_total', COUNT(*) FROM total""",
+SELECT * FROM (VALUES ('batch_hourly_baseline', (SELECT count(*) FROM base)),
+                      ('batch_daily_average', (SELECT count(*) FROM davg)),
+                      ('batch_daily_total', (SELECT count(*) FROM total))) AS t(table_name, row_count)""",
+    "import_check": _with(REC, BASE, DAVG, TOTAL) + """
+SELECT table_name, n AS rows_before, n AS rows_after, CAST(0 AS BIGINT) AS rows_different
+FROM (VALUES ('batch_hourly_baseline', (SELECT count(*) FROM base)),
+             ('batch_daily_average', (SELECT count(*) FROM davg)),
+             ('batch_daily_total', (SELECT count(*) FROM total))) AS t(table_name, n)""",
+    "daily_total_dates": _with(REC, TOTAL) + """
+SELECT * FROM total WHERE date IN ('2024-01-02', '2024-01-15')""",
+    "export_round_trip": _with(REC, TOTAL) + "SELECT * FROM total",
+    "conformed_total": _with(REC, TOTAL) + "SELECT * FROM total",
+    "view_select": _with(REC, TOTAL) + "SELECT * FROM total",
+    "catalog_round_trip": _with(REC, BASE) + "SELECT * FROM base",
+    "total_preview": _with(REC, TOTAL) + "SELECT * FROM total ORDER BY series, date LIMIT 10",
+    "cumulative_stream_append": CURVE_SQL,
+    "alerts_stream_append": ALERTS_SQL,
+    "rolling24_stream_unordered": ROLL_SQL,
+    "dirty_csv": DIRTY_HOURS_SQL,
+    "dirty_csv_stream": DIRTY_CURVE_SQL,
+    "dirty_csv_rejected": DIRTY + """
+SELECT 'value' AS reject_reason, count(*) AS record_count FROM raw WHERE bad""",
     "csv_round_trip": f"""
 WITH marked AS (
   SELECT event_type AS series, CAST(ts AS DATE) AS day, CAST(hour(ts) AS INTEGER) AS hour,
          CAST(ROUND(value * 100) AS BIGINT) AS traffic,
-         CASE WHEN hour(ts) = 0 AND {calendar_rule_sql('CAST(ts AS DATE)')} = 1
+         CASE WHEN hour(ts) = 0 AND {is_holiday_sql('CAST(ts AS DATE)')} = 1
               THEN 1 ELSE 0 END AS mark
   FROM events WHERE ts IS NOT NULL AND value IS NOT NULL),
 days AS (SELECT day, MAX(mark) AS is_holiday FROM marked GROUP BY day),

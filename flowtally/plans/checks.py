@@ -15,7 +15,7 @@ from flowtally.fixed import (DAY_TYPE_HOLIDAY, DAY_TYPE_ORDINARY, ENDPOINT_HOUR,
                              HIGH_RATIO, LOW_ALERT, LOW_RATIO, NORMAL)
 from flowtally.functions.scalar import abs_error, abs_error_pct, pct_diff, safe_div
 from flowtally.operators.aggregates import count_by, flag_sum, row_count
-from flowtally.operators.joins import join_on
+from flowtally.operators.joins import join_on, unique_rows
 
 
 def holiday_diff(baseline: DataFrame, series: Sequence[str] = ()) -> DataFrame:
@@ -45,9 +45,8 @@ def alert_distribution(alert_rows: DataFrame, by: Sequence[str] = ()) -> DataFra
 def _with_baseline(alert_rows: DataFrame, baseline: DataFrame, series: Sequence[str],
                    status: str) -> DataFrame:
     keys = [*series, "is_holiday", "hour"]
-    side = baseline.select(*keys, "avg_traffic")
     return join_on(alert_rows.where(F.col("alert_status") == status).select(*keys, "traffic"),
-                   side, keys, broadcast_right=not series)  # <= 48 rows without series
+                   unique_rows(baseline, keys, "avg_traffic"), keys)
 
 
 def check_high(alert_rows: DataFrame, baseline: DataFrame, series: Sequence[str] = (),
@@ -105,6 +104,20 @@ def check_endpoint(totals: DataFrame, curve: DataFrame, series: Sequence[str] =
                     (F.col("total_daily_traffic") - F.col("stream_final")).alias("diff")))
 
 
+def endpoint_coverage(totals: DataFrame, curve: DataFrame, series: Sequence[str] = (),
+                      endpoint_hour: int | None = ENDPOINT_HOUR) -> DataFrame:
+    """What V6's inner join cannot show: how many (series, date) have both a
+    total and a curve end, a total alone (the stream lost the day, or its last
+    hour), or a curve end alone.  One row."""
+    ends = curve if endpoint_hour is None else curve.where(F.col("hour") == endpoint_hour)
+    sides = (totals.select(*series, "date", F.lit(1).alias("t"), F.lit(0).alias("e"))
+             .unionByName(ends.select(*series, "date", F.lit(0).alias("t"), F.lit(1).alias("e")))
+             .groupBy(*series, "date").agg(F.max("t").alias("t"), F.max("e").alias("e")))
+    return sides.agg(F.count_if((F.col("t") == 1) & (F.col("e") == 1)).alias("both_sides"),
+                     F.count_if(F.col("e") == 0).alias("totals_without_end"),
+                     F.count_if(F.col("t") == 0).alias("ends_without_total"))
+
+
 def check_convergence(rolling: DataFrame, daily_avg: DataFrame, series: Sequence[str] = (),
                       dates: Iterable[str] | None = None) -> DataFrame:
     """V7: rolling mean vs the batch daily mean of its date, with errors.
@@ -136,6 +149,24 @@ def import_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def import_check(before: Mapping[str, DataFrame], after: Mapping[str, DataFrame]) -> DataFrame:
+    """V8 as a check: each table's rows before the write and as read back, and
+    how many differ in either direction (as multisets, values included)."""
+    out = None
+    for name, df in before.items():
+        back = after[name].select(*df.columns)
+        sides = (df.withColumn("_n", F.lit(1)).unionByName(back.withColumn("_n", F.lit(-1)))
+                 .groupBy(*df.columns).agg(F.sum("_n").alias("_n"),
+                                           F.count_if(F.col("_n") == 1).alias("_before"),
+                                           F.count_if(F.col("_n") == -1).alias("_after")))
+        part = sides.agg(F.coalesce(F.sum("_before"), F.lit(0)).alias("rows_before"),
+                         F.coalesce(F.sum("_after"), F.lit(0)).alias("rows_after"),
+                         F.coalesce(F.sum(F.abs("_n")), F.lit(0)).alias("rows_different")).select(
+                             F.lit(name).alias("table_name"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def preview(df: DataFrame, n: int = 10, order_by: Sequence[str] | None = None) -> DataFrame:
     """A look at ``n`` rows (``SELECT * ... LIMIT n``).
 

@@ -16,17 +16,21 @@ from pyspark.sql import types as T
 from flowtally.functions.holidays import us_federal_holiday
 from flowtally.operators import (alerts, clean, cumulative_curve, daily_average, daily_total,
                                  hourly, hourly_baseline, rolling_mean, running_day_mean)
+from flowtally.operators.prepare import marked_days, records, rejected
 from flowtally.plans import (alert_distribution, check_convergence, check_endpoint, check_high,
                              check_low, check_normal, holiday_diff, import_counts)
+from flowtally.plans.checks import endpoint_coverage, import_check, preview
+from flowtally.plans.views import register_result_views
 from flowtally.session import scratch_path
-from flowtally.sinks import write_csv_parts, write_table
-from flowtally.sources import read_raw_csv, read_result_parts
-from flowtally.sources.testdata import (SERIES, event_hourly, event_stream, events_clean,
+from flowtally.sinks import export_csv, save_result_table, write_csv_parts, write_table
+from flowtally.sources import read_raw_csv, read_result_parts, read_result_table
+from flowtally.sources.testdata import (EVENTS_SCHEMA, SERIES, event_hourly, event_stream, events_clean,
                                         lineitem_records, order_records, table)
-from flowtally.schemas import CLEAN_SCHEMA
+from flowtally.schemas import CLEAN_SCHEMA, conform
 from flowtally.sources.stream import file_stream
 from flowtally.streaming import (alerts_stream, alerts_stream_records, cumulative_stream,
-                                 rolling_stream, run_to_table, running_day_mean_stream)
+                                 end_marker, replay_lateness, rolling_stream, run_to_table,
+                                 running_day_mean_stream, with_end_marker)
 
 Query = Callable[[SparkSession, str], DataFrame]
 SERIES_FIELD = T.StructType([T.StructField("series", T.StringType())])
@@ -53,7 +57,16 @@ def q_daily_average(spark, sf_dir):
 
 
 def q_daily_total(spark, sf_dir):
-    return daily_total(event_hourly(spark, sf_dir), SERIES)
+    """Straight from the clean records: a sum needs no hourly step, so there
+    is one shuffle."""
+    return daily_total(records(events_clean(table(spark, sf_dir, "events")), SERIES), SERIES)
+
+
+def q_daily_total_dates(spark, sf_dir, dates=("2024-01-02", "2024-01-15")):
+    """chosen days; the ranges reach the scan."""
+    events = clean(table(spark, sf_dir, "events"), "ts", F.round(F.col("value") * 100),
+                   {"series": "event_type"}, dates=dates)
+    return daily_total(records(events, SERIES), SERIES)
 
 
 def q_daily_total_orders(spark, sf_dir):
@@ -95,16 +108,28 @@ def q_holiday_diff(spark, sf_dir):
 
 # --- stream results ----------------------------------------------------------
 
-def _stored_baseline(spark, sf_dir):
+def _stored_hours(spark, sf_dir):
+    """The hourly records written once: everything else reads these instead
+    of the raw table."""
+    return write_table(event_hourly(spark, sf_dir), scratch_path(spark, "hours"))
+
+
+def _stored_baseline(spark, hours):
     """The baseline written once below the shared folder: the stream looks it
     up every micro-batch without recomputing it."""
-    base = hourly_baseline(event_hourly(spark, sf_dir), SERIES)
-    return write_table(base, scratch_path(spark, "baseline"))
+    return write_table(hourly_baseline(hours, SERIES), scratch_path(spark, "baseline"))
+
+
+def _replayed(spark, sf_dir):
+    """The events as a clean stream, and the lateness that loses none."""
+    lateness = replay_lateness(events_clean(table(spark, sf_dir, "events")))
+    return events_clean(event_stream(spark, sf_dir)), lateness
 
 
 def _stream_alerts(spark, sf_dir):
-    base = _stored_baseline(spark, sf_dir)
-    plan = alerts_stream(events_clean(event_stream(spark, sf_dir)), base, SERIES)
+    base = _stored_baseline(spark, _stored_hours(spark, sf_dir))
+    events, lateness = _replayed(spark, sf_dir)
+    plan = alerts_stream(events, base, SERIES, lateness=lateness)
     return run_to_table(spark, plan, "alerts_stream"), base
 
 
@@ -112,6 +137,39 @@ def q_alerts_stream(spark, sf_dir):
     return _stream_alerts(spark, sf_dir)[0]
 
 
+def _unordered(spark, sf_dir, files=4):
+    """The events dealt over several files without order, one per trigger."""
+    path = scratch_path(spark, "unordered")
+    table(spark, sf_dir, "events").repartition(files, "event_id").write.parquet(path)
+    return events_clean(file_stream(spark, path, EVENTS_SCHEMA, max_files_per_trigger=1))
+
+
+def _appended(spark, sf_dir, name, make):
+    """A stream job in append mode over unordered files, run to its end."""
+    batch = events_clean(table(spark, sf_dir, "events"))
+    lateness, folder = replay_lateness(batch), scratch_path(spark, "end_marker")
+    plan = make(with_end_marker(_unordered(spark, sf_dir), folder), lateness)
+    return run_to_table(spark, plan, name, finish=lambda: end_marker(batch, folder, lateness))
+
+
+def q_cumulative_stream_append(spark, sf_dir):
+    return _appended(spark, sf_dir, "cumulative_append", lambda events, late: cumulative_stream(
+        events, SERIES, lateness=late, mode="append"))
+
+
+def q_alerts_stream_append(spark, sf_dir):
+    """L1 on closed hours only: no class is revised later."""
+    base = _stored_baseline(spark, _stored_hours(spark, sf_dir))
+    return _appended(spark, sf_dir, "alerts_append", lambda events, late: alerts_stream(
+        events, base, SERIES, lateness=late, mode="append"))
+
+
+def q_rolling24_stream_unordered(spark, sf_dir):
+    lateness = replay_lateness(events_clean(table(spark, sf_dir, "events")))
+    plan = rolling_stream(_unordered(spark, sf_dir), SERIES, lateness=lateness)
+    return run_to_table(spark, plan, "rolling24_unordered")
+
+
 CLEAN_STREAM_SCHEMA = T.StructType([T.StructField("series", T.StringType())]
                                    + list(CLEAN_SCHEMA.fields))
 
@@ -120,26 +178,29 @@ def q_alerts_stream_clean(spark, sf_dir):
     """L1 in its stateless form over S2: the hourly records are written as the
     cleaned table (headered CSV parts), and that folder is streamed record by
     record through the baseline join and the classification (append mode)."""
-    h = event_hourly(spark, sf_dir)
+    h = _stored_hours(spark, sf_dir)
     path = scratch_path(spark, "clean_table")
     write_csv_parts(h.select(*CLEAN_STREAM_SCHEMA.names), path)
-    base = _stored_baseline(spark, sf_dir)
+    base = _stored_baseline(spark, h)
     stream = file_stream(spark, path, CLEAN_STREAM_SCHEMA, fmt="csv")
     return run_to_table(spark, alerts_stream_records(stream, base, SERIES), "alerts_stream_clean")
 
 
 def q_cumulative_stream(spark, sf_dir):
-    plan = cumulative_stream(events_clean(event_stream(spark, sf_dir)), SERIES)
+    events, lateness = _replayed(spark, sf_dir)
+    plan = cumulative_stream(events, SERIES, lateness=lateness)
     return run_to_table(spark, plan, "cumulative_stream")
 
 
 def q_rolling24_stream(spark, sf_dir):
-    plan = rolling_stream(events_clean(event_stream(spark, sf_dir)), SERIES)
+    events, lateness = _replayed(spark, sf_dir)
+    plan = rolling_stream(events, SERIES, lateness=lateness)
     return run_to_table(spark, plan, "rolling24_stream")
 
 
 def q_running_day_mean_stream(spark, sf_dir):
-    plan = running_day_mean_stream(events_clean(event_stream(spark, sf_dir)), SERIES)
+    events, lateness = _replayed(spark, sf_dir)
+    plan = running_day_mean_stream(events, SERIES, lateness=lateness)
     return run_to_table(spark, plan, "running_day_mean_stream")
 
 
@@ -178,10 +239,9 @@ def q_check_convergence(spark, sf_dir):
                              SERIES)
 
 
-def q_import_counts(spark, sf_dir):
-    """V8: batch tables written as CSV parts (K1), read back with their
-    declared schema (S3) and counted."""
-    h = event_hourly(spark, sf_dir)
+def _imported(spark, sf_dir):
+    """The batch tables, and as read back (S3) from CSV parts (K1)."""
+    h = _stored_hours(spark, sf_dir)
     root = scratch_path(spark, "batch_output")
     tables = {
         "batch_hourly_baseline": hourly_baseline(h, SERIES),
@@ -192,7 +252,56 @@ def q_import_counts(spark, sf_dir):
     for name, df in tables.items():
         write_csv_parts(df, f"{root}/{name}")
         read_back[name] = read_result_parts(spark, f"{root}/{name}", name, SERIES_FIELD)
-    return import_counts(read_back)
+    return tables, read_back
+
+
+def q_import_counts(spark, sf_dir):
+    """V8: the imported tables counted."""
+    return import_counts(_imported(spark, sf_dir)[1])
+
+
+def q_import_check(spark, sf_dir):
+    """V8 as a check: rows before the import next to rows after it, and the
+    rows that differ in any value."""
+    return import_check(*_imported(spark, sf_dir))
+
+
+def q_export_round_trip(spark, sf_dir):
+    """K4: the daily totals as one CSV file, read back."""
+    path = scratch_path(spark, "export")
+    export_csv(q_daily_total(spark, sf_dir), path)
+    return read_result_parts(spark, path, "batch_daily_total", SERIES_FIELD)
+
+
+def q_conformed_total(spark, sf_dir):
+    """K5: the daily totals in their declared columns and types."""
+    return conform(q_daily_total(spark, sf_dir), "batch_daily_total", SERIES)
+
+
+def q_view_select(spark, sf_dir):
+    """SELECT * on a result table registered under its name."""
+    root = scratch_path(spark, "views")
+    write_csv_parts(q_conformed_total(spark, sf_dir), f"{root}/batch_daily_total")
+    register_result_views(spark, batch_dir=root, series=SERIES)
+    return spark.sql("SELECT * FROM batch_daily_total")
+
+
+def q_catalog_round_trip(spark, sf_dir):
+    """K2 and S4 on the session's catalog."""
+    path = scratch_path(spark, "catalog")
+    name = "baseline_" + path.rsplit("-", 1)[1]
+    save_result_table(q_hourly_baseline(spark, sf_dir), name, "batch_hourly_baseline", path, SERIES)
+    return read_result_table(spark, name, "batch_hourly_baseline", SERIES)
+
+
+def q_total_preview(spark, sf_dir, n: int = 10):
+    """The first rows of a table in a stated order."""
+    return preview(q_daily_total(spark, sf_dir), n, ["series", "date"])
+
+
+def q_endpoint_coverage(spark, sf_dir):
+    """V6's other half: days that only one side has."""
+    return endpoint_coverage(q_daily_total(spark, sf_dir), q_cumulative_stream(spark, sf_dir), SERIES)
 
 
 RAW_CSV_SCHEMA = T.StructType([
@@ -220,6 +329,57 @@ def q_csv_round_trip(spark, sf_dir):
                                     "traffic", "n_records")
 
 
+DIRTY_CSV_SCHEMA = T.StructType([
+    T.StructField("series", T.StringType()), T.StructField("holiday", T.StringType()),
+    T.StructField("date_time", T.StringType()), T.StructField("traffic_volume", T.StringType())])
+
+
+def _dirty_csv(spark, sf_dir):
+    """Events as a raw traffic file with unreadable values, repeated rows and
+    holidays marked at midnight only; the folder."""
+    ev = table(spark, sf_dir, "events").where("ts IS NOT NULL AND value IS NOT NULL")
+    twice = ev.unionByName(ev.where("event_id % 89 = 0"))
+    marked = (F.hour("ts") == 0) & (us_federal_holiday(F.to_date("ts")) == 1)
+    cell = F.when(F.col("event_id") % 97 == 0, "n/a").otherwise(
+        F.round(F.col("value") * 100).cast("long").cast("string"))
+    path = scratch_path(spark, "dirty_csv")
+    write_csv_parts(twice.select(
+        F.col("event_type").alias("series"), F.when(marked, "Holiday").otherwise("None").alias("holiday"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("date_time"), cell.alias("traffic_volume")), path)
+    return path
+
+
+def _dirty_clean(raw):
+    return clean(raw, "date_time", "traffic_volume", ["series"],
+                 flag=(F.col("holiday") != "None").cast("int"))
+
+
+def q_dirty_csv(spark, sf_dir):
+    """P1-P3 on a raw file: unreadable values go, repeated readings of an hour
+    count once (the largest), a marker flags its day."""
+    good, _ = read_raw_csv(spark, _dirty_csv(spark, sf_dir), DIRTY_CSV_SCHEMA)
+    return hourly(_dirty_clean(good), SERIES, combine="max").select(
+        "series", "date_time", "date", "hour", "is_holiday", "traffic", "n_records")
+
+
+def q_dirty_csv_rejected(spark, sf_dir):
+    """The rows that cleaning drops, counted by reason."""
+    good, _ = read_raw_csv(spark, _dirty_csv(spark, sf_dir), DIRTY_CSV_SCHEMA)
+    return rejected(good, "date_time", "traffic_volume").groupBy("reject_reason").agg(
+        F.count(F.lit(1)).alias("record_count"))
+
+
+def q_dirty_csv_stream(spark, sf_dir):
+    """The same rules on the stream side: the curve over the raw file."""
+    path = _dirty_csv(spark, sf_dir)
+    batch = _dirty_clean(read_raw_csv(spark, path, DIRTY_CSV_SCHEMA)[0])
+    days = write_table(marked_days(batch), scratch_path(spark, "marked_days"))
+    stream = _dirty_clean(file_stream(spark, path, DIRTY_CSV_SCHEMA, fmt="csv")).drop("holiday_flag")
+    plan = cumulative_stream(stream, SERIES, holidays=days, lateness=replay_lateness(batch),
+                             combine="max")
+    return run_to_table(spark, plan, "dirty_csv_stream")
+
+
 # --- ordering and top-k ------------------------------------------------------
 
 def q_rolling_topk(spark, sf_dir, k: int = 20):
@@ -238,6 +398,7 @@ QUERIES: dict[str, Query] = {
     "hourly_baseline_rounded": q_hourly_baseline_rounded,
     "daily_average": q_daily_average,
     "daily_total": q_daily_total,
+    "daily_total_dates": q_daily_total_dates,
     "daily_total_orders": q_daily_total_orders,
     "daily_average_orders": q_daily_average_orders,
     "daily_total_lineitem": q_daily_total_lineitem,
@@ -259,7 +420,20 @@ QUERIES: dict[str, Query] = {
     "check_endpoint": q_check_endpoint,
     "check_endpoint_last": q_check_endpoint_last,
     "check_convergence": q_check_convergence,
+    "endpoint_coverage": q_endpoint_coverage,
     "import_counts": q_import_counts,
+    "import_check": q_import_check,
+    "export_round_trip": q_export_round_trip,
+    "conformed_total": q_conformed_total,
+    "view_select": q_view_select,
+    "catalog_round_trip": q_catalog_round_trip,
+    "total_preview": q_total_preview,
+    "cumulative_stream_append": q_cumulative_stream_append,
+    "alerts_stream_append": q_alerts_stream_append,
+    "rolling24_stream_unordered": q_rolling24_stream_unordered,
+    "dirty_csv": q_dirty_csv,
+    "dirty_csv_rejected": q_dirty_csv_rejected,
+    "dirty_csv_stream": q_dirty_csv_stream,
     "csv_round_trip": q_csv_round_trip,
     "rolling_topk": q_rolling_topk,
     "curve_ordered": q_curve_ordered,

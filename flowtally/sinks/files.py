@@ -26,16 +26,18 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
-               mode: str = "append", result_table: str | None = None,
+               mode: str = "overwrite", result_table: str | None = None,
                series: tuple[str, ...] = ()) -> None:
     """K2: write a result to a relational table with its declared schema.
 
     Spark's JDBC writer opens one connection per partition and batches the
     inserts (``batchsize``); ``numPartitions`` caps concurrent connections.
+    The default replaces the table's rows (``truncate``, keeping its
+    definition), so an import that is run twice leaves it the same.
     """
     if result_table is not None:
         df = conform(df, result_table, series)
-    df.write.mode(mode).jdbc(url, table, properties=properties or {})
+    df.write.mode(mode).option("truncate", True).jdbc(url, table, properties=properties or {})
 
 
 def save_result_table(df: DataFrame, name: str, result_table: str, path: str,
@@ -48,14 +50,12 @@ def save_result_table(df: DataFrame, name: str, result_table: str, path: str,
     return df.sparkSession.table(name)
 
 
-def export_csv(df: DataFrame, path: str, max_rows_single_file: int = 1_000_000) -> None:
+def export_csv(df: DataFrame, path: str) -> None:
     """K4: export a result table as ONE headered CSV file.
 
-    A single file means a single writing task, so the size is checked first:
-    above ``max_rows_single_file`` rows the export is refused and
-    :func:`write_csv_parts` is the way to go.
+    The result is computed in parallel; only the writing of the finished rows
+    is one task, which is what one file means.  For results that should not
+    pass through one task, :func:`write_csv_parts` writes a file per task.
     """
-    n = df.count()
-    if n > max_rows_single_file:
-        raise ValueError(f"{n} rows is too many for one file; use write_csv_parts")
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    (df.repartition(1).write.mode("overwrite").option("header", True)
+     .option("maxRecordsPerFile", 0).csv(path))

@@ -25,7 +25,7 @@ def test_batch_stream_check(spark, tmp_path):
 
     streams = {}
     for job in ("alerts", "rolling", "cumulative", "day_mean"):
-        extra = ["--baseline", f"{out}/batch"] if job == "alerts" else []
+        extra = ["--baseline", f"{out}/batch", "--grain", "hour"] if job == "alerts" else []
         streams[job] = main(["stream", "--input", events, *COMMON, "--job", job, *extra,
                              "--out", f"{out}/stream"], spark)
     roll = rolling_mean(h, ["event_type"])

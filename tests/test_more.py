@@ -17,7 +17,7 @@ from flowtally.operators import rolling_mean
 from tests.conftest import SF_SMALL
 
 
-def test_export_single_csv_and_size_check(spark, tmp_path):
+def test_export_single_csv(spark, tmp_path):
     base = hourly_baseline(event_hourly(spark, SF_SMALL), SERIES)
     out = str(tmp_path / "base")
     export_csv(base, out)
@@ -25,8 +25,15 @@ def test_export_single_csv_and_size_check(spark, tmp_path):
     assert len(files) == 1
     lines = open(os.path.join(out, files[0])).read().splitlines()
     assert lines[0] == "series,is_holiday,hour,avg_traffic" and len(lines) == base.count() + 1
-    with pytest.raises(ValueError):
-        export_csv(base, str(tmp_path / "too_big"), max_rows_single_file=10)
+
+
+def test_export_has_no_row_limit(spark, tmp_path):
+    n = 1_050_000
+    df = spark.range(n).select("id", (F.col("id") * 3).alias("v"))
+    export_csv(df, str(tmp_path / "big"))
+    assert len([f for f in os.listdir(tmp_path / "big") if f.endswith(".csv")]) == 1
+    back = spark.read.schema("id long, v long").option("header", True).csv(str(tmp_path / "big"))
+    assert back.agg(F.count("*"), F.sum("id"), F.sum("v")).first() == (n, n * (n - 1) // 2, 3 * n * (n - 1) // 2)
 
 
 def test_chosen_dates(spark):
