@@ -12,7 +12,7 @@ leave-one-out votes turns the vote into a probability.  Texts without a term
 of the vocabulary have no neighbours and take the rate of such examples.
 
 The examples are a sample of at most about ``FIT_ROWS`` labelled rows (chosen
-by a hash of doc_id); vocabulary and index are bounded by it and by
+by a hash of doc_id; of rows that share text and label one); vocabulary and index are bounded by it and by
 ``TERMS``.  Everything else covers every row.
 """
 
@@ -26,18 +26,20 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowtally.llm.common import share_hash, store
 
-FIT_ROWS = 20_000
-TERMS = 2_000
+FIT_ROWS = 10_000
+TERMS = 500
 LEAST_DF = 5
 TERM_LEVEL = 0.01           # chance that any of all tested terms is chosen without cause
 NEIGHBOURS = 15
 BLOCK = 64
+BLOCKS_ONE_BY_ONE = 6       # further blocks are read together, list by list
+REMEMBERED = 20_000         # answers for equal vectors that a worker keeps
 PREFIXES = (4, 5)
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -78,6 +80,8 @@ class Examples:
         self.bare_rate = 0.0
         self.base_rate = 0.0
         self.votes, self.rates = np.array([0.0]), np.array([0.0])
+        self.lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.answers: dict = {}
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers and unit-length TF-IDF weights of a text."""
@@ -109,48 +113,89 @@ class Examples:
         self.labels = np.array([labels[i] for i in order], dtype=float)
         blocks = max(1, math.ceil(len(order) / BLOCK))
         self.bounds = np.zeros((len(self.idf), blocks))
-        lists: dict[tuple[int, int], tuple[list, list]] = {}
+        lists: dict[int, tuple[list, list]] = {}
         for place, i in enumerate(order):
-            b, slot = divmod(place, BLOCK)
             for t, w in zip(*vectors[i]):
-                slots, weights = lists.setdefault((b, int(t)), ([], []))
-                slots.append(slot)
+                places, weights = lists.setdefault(int(t), ([], []))
+                places.append(place)
                 weights.append(w)
-                self.bounds[t, b] = max(self.bounds[t, b], w)
-        self.postings = {k: (np.array(s), np.array(w)) for k, (s, w) in lists.items()}
+                self.bounds[t, place // BLOCK] = max(self.bounds[t, place // BLOCK], w)
+        self.lists = {t: (np.array(p), np.array(w)) for t, (p, w) in lists.items()}
+        # Where each block begins in each list.
+        edges = np.arange(blocks + 1) * BLOCK
+        self.starts_at = {t: np.searchsorted(p, edges) for t, (p, _) in self.lists.items()}
         bare = [labels[i] for i, v in enumerate(vectors) if not len(v[0])]
         self.base_rate = float(np.mean(labels)) if len(labels) else 0.0
         # One example's worth of the base rate steadies small groups.
         self.bare_rate = (sum(bare) + self.base_rate) / (len(bare) + 1)
 
+    def _block(self, b: int, query: list[tuple[int, float]]) -> np.ndarray:
+        """The cosines of one block's examples."""
+        cosines = np.zeros(BLOCK)
+        for t, w in query:
+            lo, hi = self.starts_at[t][b], self.starts_at[t][b + 1]
+            if hi > lo:
+                places, weights = self.lists[t]
+                cosines[places[lo:hi] - b * BLOCK] += w * weights[lo:hi]
+        return cosines
+
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS,
                 without: int | None = None) -> list[tuple[float, int]]:
         """(cosine, place) of the k nearest examples with a positive cosine,
         ties to the smaller id; ``without`` is an example's own place."""
-        if not len(at) or not len(self.ids):
+        query = [(int(t), float(w)) for t, w in zip(at, weights) if int(t) in self.lists]
+        if not query or not len(self.ids):
             return []
         upper = weights @ self.bounds[at]
+        order = np.argsort(-upper, kind="stable")
         best: list[tuple[float, int, int]] = []
-        for b in np.argsort(-upper, kind="stable"):
-            if upper[b] <= 0 or len(best) == k and upper[b] < -best[-1][0] - 1e-12:
-                break
-            cosines = np.zeros(BLOCK)
-            for t, w in zip(at, weights):
-                found = self.postings.get((int(b), int(t)))
-                if found is not None:
-                    cosines[found[0]] += w * found[1]
-            for slot in np.flatnonzero(cosines > 0):
-                place = int(b) * BLOCK + int(slot)
-                if place != without:
-                    best.append((-round(float(cosines[slot]), 12), int(self.ids[place]), place))
+
+        def least() -> float:
+            return -best[-1][0] - 1e-9 if len(best) == k else 0.0
+
+        def merge(places: np.ndarray, cosines: np.ndarray) -> None:
+            nonlocal best
+            if len(places) > k:     # ties of the k-th value stay in
+                kth = np.partition(cosines, -k)[-k]
+                keep = cosines >= kth - 1e-9
+                places, cosines = places[keep], cosines[keep]
+            best += [(-round(float(c), 12), int(self.ids[p]), int(p)) for p, c in zip(places, cosines)]
             best = sorted(best)[:k]
+
+        for n, b in enumerate(order):
+            if upper[b] <= 0 or upper[b] < least():
+                return [(-c, place) for c, _, place in best]
+            if n == BLOCKS_ONE_BY_ONE:
+                break
+            cosines = self._block(int(b), query)
+            slots = np.flatnonzero((cosines > 0) & (cosines >= least()))
+            places = slots + int(b) * BLOCK
+            own = places != (-1 if without is None else without)
+            merge(places[own], cosines[slots][own])
+        else:
+            return [(-c, place) for c, _, place in best]
+        # Many blocks may still hold a neighbour: the lists are read whole.
+        cosines = np.zeros(len(self.ids))
+        for t, w in query:
+            places, listed = self.lists[t]
+            cosines[places] += w * listed
+        open_block = np.zeros(len(upper), dtype=bool)
+        open_block[order[BLOCKS_ONE_BY_ONE:]] = upper[order[BLOCKS_ONE_BY_ONE:]] >= least()
+        places = np.flatnonzero((cosines > 0) & (cosines >= least()))
+        places = places[open_block[places // BLOCK]]
+        if without is not None:
+            places = places[places != without]
+        merge(places, cosines[places])
         return [(-c, place) for c, _, place in best]
 
     def vote(self, near: list[tuple[float, int]]) -> float:
-        """The distance-weighted share of toxic neighbours."""
+        """The distance-weighted share of toxic neighbours, against as many
+        neighbours at cosine 0 that vote the base rate: agreement of close
+        examples counts for more than that of distant ones."""
         weights = np.array([1 / (1.05 - c) for c, _ in near])
         labels = np.array([self.labels[p] for _, p in near])
-        return float((weights * labels).sum() / weights.sum())
+        ground = NEIGHBOURS / 1.05
+        return float(((weights * labels).sum() + ground * self.base_rate) / (weights.sum() + ground))
 
     def calibrate(self, votes: np.ndarray, labels: np.ndarray) -> None:
         """Isotonic regression (pool adjacent violators) of labels on votes."""
@@ -173,6 +218,16 @@ class Examples:
         """Probability of being toxic, and the evidence: neighbours' ids and
         cosines."""
         at, weights = self.vector(text)
+        if not len(at):
+            return self.bare_rate, [], []
+        key = (at.tobytes(), weights.tobytes())
+        if key not in self.answers:
+            if len(self.answers) >= REMEMBERED:
+                self.answers.clear()
+            self.answers[key] = self._answer(at, weights)
+        return self.answers[key]
+
+    def _answer(self, at: np.ndarray, weights: np.ndarray) -> tuple[float, list[int], list[float]]:
         near = self.nearest(at, weights)
         if not near:
             return self.bare_rate, [], []
@@ -198,7 +253,11 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, terms: int
     known = labelled(docs, labels)
     total = known.count()
     rate = min(1.0, fit_rows / total) if total else 0.0
-    rows = store(known.filter(share_hash("doc_id") < int(rate * 1_000_000)), "toxicity-fit")
+    # Copies of a text would make all its words look telling: one of each stays.
+    rows = known.filter(share_hash("doc_id") < int(rate * 1_000_000)).withColumn(
+        "copy", F.row_number().over(Window.partitionBy(F.xxhash64("text"), F.length("text"), "label")
+                                    .orderBy("doc_id")))
+    rows = store(rows.filter("copy = 1").drop("copy"), "toxicity-fit")
     seen = rows.agg(F.count("*"), F.sum("label")).first()
     n, n_toxic = seen[0], seen[1] or 0
     counts = store(rows.select("text", "label")
@@ -209,11 +268,11 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, terms: int
     least = NormalDist().inv_cdf(1 - TERM_LEVEL / tested / 2) ** 2     # Bonferroni
     b, c = F.col("df") - F.col("a"), F.lit(n_toxic) - F.col("a")
     d = F.lit(n - n_toxic) - b
-    odds = F.col("a") * d - b * c
-    below = (F.col("df") * (F.lit(n) - F.col("df"))).cast("double") * F.lit(float(max(n_toxic, 0))) \
+    odds = (F.col("a") * d - b * c).cast("double")
+    below = (F.col("df") * (F.lit(n) - F.col("df"))).cast("double") * F.lit(float(n_toxic)) \
         * F.lit(float(n - n_toxic))
-    chi2 = F.lit(float(n)) * odds.cast("double") * odds / below
-    chosen = (counts.withColumn("chi2", F.when(below > 0, chi2)).filter(F.col("chi2") >= least)
+    chosen = (counts.withColumn("chi2", F.when(below > 0, F.lit(float(n)) * odds * odds / below))
+              .filter(F.col("chi2") >= least)
               .orderBy(F.desc("chi2"), "term").limit(terms).collect())      # bounded by ``terms``
     model = Examples({r.term: math.log((1 + n) / (1 + r.df)) + 1 for r in chosen})
     spark = docs.sparkSession
@@ -226,11 +285,11 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, terms: int
                                 "at": [v[0].tolist() for v in made],
                                 "weights": [v[1].tolist() for v in made]})
 
-    sample = (rows.mapInPandas(vectors, "doc_id long, label int, at array<long>, weights array<double>")
-              .orderBy("doc_id").collect())      # bounded by ``fit_rows``, sparse
-    made = [(np.array(r["at"], dtype=np.int64), np.array(r["weights"])) for r in sample]
-    ids, toxic = [r.doc_id for r in sample], [r.label for r in sample]
-    model.build(ids, toxic, made)
+    sample = store(rows.mapInPandas(vectors, "doc_id long, label int, at array<long>, "
+                                             "weights array<double>"), "toxicity-vectors")
+    listed = sample.orderBy("doc_id", "label", "at").collect()      # bounded by ``fit_rows``, sparse
+    made = [(np.array(r["at"], dtype=np.int64), np.array(r["weights"])) for r in listed]
+    model.build([r.doc_id for r in listed], [r.label for r in listed], made)
     place = {int(i): p for p, i in enumerate(model.ids)}
     held = spark.sparkContext.broadcast((model, place))
 
@@ -238,13 +297,15 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, terms: int
         examples, places = held.value
         for batch in batches:
             out = []
-            for doc_id, text, label in zip(batch["doc_id"], batch["text"], batch["label"]):
-                near = examples.nearest(*examples.vector(text), without=places.get(int(doc_id)))
+            for doc_id, label, at, weights in zip(*(batch[c] for c in ("doc_id", "label", "at", "weights"))):
+                near = examples.nearest(np.asarray(at, dtype=np.int64), np.asarray(weights),
+                                        without=places.get(int(doc_id)))
                 if near:
                     out.append((examples.vote(near), label))
-            yield pd.DataFrame(out, columns=["vote", "label"])
+            yield pd.DataFrame(out, columns=["vote", "label"]).astype({"vote": "float64", "label": "int32"})
 
-    votes = rows.mapInPandas(own_votes, "vote double, label int").orderBy("vote", "label").collect()
+    votes = (sample.repartition(64, "doc_id").mapInPandas(own_votes, "vote double, label int")
+             .orderBy("vote", "label").collect())
     if votes:
         model.calibrate(np.array([r.vote for r in votes]), np.array([float(r.label) for r in votes]))
     return model
