@@ -3,7 +3,6 @@ stream alerts, previews, endpoint at the last hour."""
 
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from flowtally.operators import alerts, clean, cumulative_curve, daily_average, daily_total, hourly, hourly_baseline
