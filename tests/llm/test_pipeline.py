@@ -6,7 +6,6 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from flowtally.llm import pii, simhash
 from flowtally.llm.common import store
 from flowtally.llm.packing import text_ids
 from flowtally.llm.queries import LLM_ORACLE, LLM_QUERIES, tokenizer_path
@@ -78,7 +77,3 @@ def test_run_returns_the_last_stage(spark, code, folder):
     out = corpus_pipeline.run(spark, folder)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert out.count() > 0
-
-
-def test_module_helpers():
-    assert simhash.masks(1) and pii.KINDS[0] == "email"
