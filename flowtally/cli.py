@@ -140,7 +140,9 @@ def run_stream(spark: SparkSession, args):
     holidays = _marked(spark, args, root)
     lateness = args.lateness or ("1 hour" if args.every else replay_lateness(batch))
     finish = None
-    if args.mode == "append" and not args.every:
+    # Hours are classified once closed; an open hour's class could change.
+    mode = "append" if args.job == "alerts" and args.grain == "hour" else args.mode
+    if mode == "append" and not args.every and not (args.job == "alerts" and args.grain == "record"):
         stream = with_end_marker(stream, f"{root}/end_marker")
         finish = lambda: end_marker(batch, f"{root}/end_marker", lateness)
     if args.job == "alerts":
@@ -148,17 +150,16 @@ def run_stream(spark: SparkSession, args):
             raise SystemExit("--baseline (the batch output folder) is needed for alerts")
         base = _read_batch(spark, args.baseline, "batch_hourly_baseline", series, args.format)
         if args.grain == "record":      # each record as it comes, like the hourly files it is made for
-            finish = None
             plan = alerts_stream_records(record_stream(stream, series, holidays), base, series)
         else:
-            plan = alerts_stream(stream, base, series, holidays, lateness, mode=args.mode,
+            plan = alerts_stream(stream, base, series, holidays, lateness, mode=mode,
                                  combine=args.combine)
     elif args.job == "rolling":
-        plan = rolling_stream(stream, series, args.hours, lateness, args.mode, args.combine)
+        plan = rolling_stream(stream, series, args.hours, lateness, mode, args.combine)
     elif args.job == "cumulative":
-        plan = cumulative_stream(stream, series, holidays, lateness, args.mode, args.combine)
+        plan = cumulative_stream(stream, series, holidays, lateness, mode, args.combine)
     else:
-        plan = running_day_mean_stream(stream, series, lateness, args.mode, args.combine)
+        plan = running_day_mean_stream(stream, series, lateness, mode, args.combine)
     partitions = args.state_partitions or default_state_partitions(spark)
     if not args.every:
         stats: dict = {}
@@ -275,7 +276,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--late", default="fail", choices=["fail", "report"],
                    help="a replay that loses late rows fails, or reports them")
     s.add_argument("--grain", default="record", choices=["record", "hour"],
-                   help="alerts on each record, or on hours (update mode revises open ones)")
+                   help="alerts on each record as it comes, or on each hour once it is closed")
     s.add_argument("--state-partitions", type=int, help="default: the session's cores at the start")
     s.add_argument("--hours", type=int, default=24)
     s.add_argument("--every", default=None, help="processing-time trigger, e.g. '1 minute'")
