@@ -41,16 +41,26 @@ def signatures(text: Column, chain: int = CHAIN, anchors=ANCHORS) -> Column:
     texts always have equal sets.
     """
     common = "(?:" + "|".join(sorted(set(anchors))) + ") "
-    content = f"(?:{common})*+[^ ]+ "
-    spot = f"(?<= )(?=({common}{content * chain})){common}"
     plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))),
                                                   r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    plain = F.regexp_replace(plain, " {2,}", " ")
-    spots = F.array_join(F.regexp_extract_all(plain, F.lit(spot), F.lit(1)), "\n")
-    chains = F.regexp_replace(spots, f"(?<= )(?:{common})+", "")
+    # One line per content word: the common words before it, then itself.
+    lines = F.split(F.regexp_replace(F.regexp_replace(plain, " {2,}", " "),
+                                     f"(?<= )(?!{common})([^ ]+) ", "$1\n"), "\n")
+
+    def chains(run: Column) -> Column:
+        def of_line(line: Column, i: Column) -> Column:
+            words = F.split(F.ltrim(line), " ")
+            following = [F.substring_index(F.get(run, i + k), " ", -1) for k in range(chain)]
+            return F.when(
+                (i + chain < F.size(run)) & F.contains(F.ltrim(line), F.lit(" ")),
+                F.transform(F.slice(words, F.lit(1), F.size(words) - 1),
+                            lambda anchor: F.xxhash64(anchor, *following)))
+        return F.flatten(F.filter(F.transform(run, of_line), lambda x: x.isNotNull()))
+
+    # Inside a lambda the lines are worked out once.
+    found = F.get(F.transform(F.array(lines), lambda run: F.array_sort(F.array_distinct(chains(run)))), F.lit(0))
     whole = F.array(F.xxhash64(F.lit("text"), F.coalesce(text, F.lit(""))))
-    found = F.array_sort(F.array_distinct(F.transform(F.split(chains, "\n"), lambda s: F.xxhash64(s))))
-    return F.when(spots == "", whole).otherwise(found)
+    return F.get(F.transform(F.array(found), lambda x: F.when(F.size(x) > 0, x).otherwise(whole)), F.lit(0))
 
 
 def digest(sigs: Column) -> Column:
