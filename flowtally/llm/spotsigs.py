@@ -108,18 +108,16 @@ def _bucketed(rows: DataFrame, bucket_rows: int) -> DataFrame:
 
 
 def with_next(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """doc_id, text, sigs and the same of the next document: descending
-    doc_id, null ones last, rows that repeat a doc_id by text; after the last
-    comes the first.  Texts are shuffled once, into buckets of neighbours."""
+    """doc_id, text and the next document's text: descending doc_id, null ones
+    last, rows that repeat a doc_id by text; after the last comes the first.
+    Texts are shuffled once, into buckets of neighbours."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = _bucketed(rows, bucket_rows).withColumn("sigs", signatures(F.col("text")))
+    rows = _bucketed(rows, bucket_rows)
     order = Window.partitionBy("bucket").orderBy("guest", F.col("doc_id").desc_nulls_last(), "text")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    pair = F.struct("text", "sigs")
-    following = F.coalesce(F.lead(pair, 1).over(order), F.first(pair).over(whole))
-    return (rows.withColumn("next", following).filter("NOT guest")
-            .select("doc_id", "text", "sigs", F.col("next.text").alias("next_text"),
-                    F.col("next.sigs").alias("next_sigs")))
+    following = F.coalesce(F.lead("text", 1).over(order), F.first("text").over(whole))
+    return (rows.withColumn("next_text", following).filter("NOT guest")
+            .select("doc_id", "text", "next_text"))
 
 
 def edited_text(text: Column, following: Column) -> Column:
@@ -136,13 +134,15 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have the fingerprint of the empty text.  Repeated
     rows each give a row; a single document is its own next; an empty table
-    gives no rows.
+    gives no rows.  Signatures are worked out after the shuffle, the next
+    document's once more: they are dearer to move than to make.
     """
     rows = with_next(docs)
     edited = rows.withColumn("edited", edited_text(F.col("text"), F.col("next_text")))
     edited = edited.select(
         "doc_id", F.char_length("text").cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"), "sigs", "next_sigs",
+        F.sha2("edited", 256).alias("edited_sha256"), signatures(F.col("text")).alias("sigs"),
+        signatures(F.col("next_text")).alias("next_sigs"),
         signatures(F.col("edited")).alias("edited_sigs"))
     return edited.select(
         "doc_id", "n_chars", "edited_sha256", digest(F.col("sigs")).alias("fingerprint"),
