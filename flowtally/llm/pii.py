@@ -48,7 +48,9 @@ CARD = (r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\3[0-9]{4}\3[0-9
 PHONE = (r"(?<![0-9A-Za-z+(])(?:(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
          r"|\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,4}){2,4})"
          r"(?![0-9A-Za-z]|[.-][0-9])")
-PATTERN = "|".join((EMAIL, IBAN, DATE, IP, SSN, CARD, PHONE))
+NUMBERS = (IBAN, DATE, IP, SSN, CARD, PHONE)
+PATTERN = "|".join((EMAIL, *NUMBERS))
+WITHOUT_EMAIL = "|".join(NUMBERS)
 KINDS = ("email", "iban", "date", "ip", "ssn", "card", "phone")
 FIRST_DAY, DAYS = "1900-01-01", (229, 319)      # 229 * 319 days, to 2099-12-31
 AREAS, GROUPS, SERIALS = 898, 99, 9999          # 001-899 without 666; 01-99; 0001-9999
@@ -56,6 +58,12 @@ ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUV
              "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ")
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is
+    used: an element of an array is a variable to the function over it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _hash(key: str, kind: str, turn: Column, part: Column) -> Column:
     return F.sha2(F.concat_ws(":", F.lit(key), F.lit(kind), turn.cast("string"), part.cast("string")), 256)
 
@@ -84,11 +92,15 @@ def _ten_to(n: Column) -> Column:
 
 def permute_digits(digits: Column, key: str, kind: str) -> Column:
     """A permutation of the digit strings of each length from 2 to 36."""
-    n = F.length(digits)
-    u = F.floor(n / 2).cast("int")
-    moved = feistel(F.substring(digits, F.lit(1), u), F.substring(digits, u + 1, n - u),
-                    _ten_to(u), _ten_to(n - u), key, kind)
-    return F.concat(F.lpad(moved.x.cast("string"), u, "0"), F.lpad(moved.y.cast("string"), n - u, "0"))
+    def permuted(d: Column) -> Column:
+        n = F.length(d)
+        u = F.floor(n / 2).cast("int")
+        pair = feistel(F.substring(d, F.lit(1), u), F.substring(d, u + 1, n - u),
+                       _ten_to(u), _ten_to(n - u), key, kind)
+        return let(pair, lambda m: F.concat(F.lpad(m.x.cast("string"), u, "0"),
+                                            F.lpad(m.y.cast("string"), n - u, "0")))
+
+    return let(digits, permuted)
 
 
 def only_digits(value: Column) -> Column:
@@ -97,22 +109,25 @@ def only_digits(value: Column) -> Column:
 
 def refill(form: Column, digits: Column) -> Column:
     """``form`` with its digits replaced by ``digits``, one by one."""
-    return F.array_join(F.transform(F.split(form, ""), lambda ch, i: F.when(
+    return let(digits, lambda d: F.array_join(F.transform(F.split(form, ""), lambda ch, i: F.when(
         ch.rlike("^[0-9]$"),
-        F.substring(digits, F.length(only_digits(F.substring(form, F.lit(1), i + 1))), F.lit(1)))
-        .otherwise(ch)), "")
+        F.substring(d, F.length(only_digits(F.substring(form, F.lit(1), i + 1))), F.lit(1)))
+        .otherwise(ch)), ""))
 
 
 def luhn_digit(digits: Column) -> Column:
     """The check digit that follows ``digits``."""
-    n = F.length(digits)
+    def check(all_digits: Column) -> Column:
+        n = F.length(all_digits)
 
-    def add(total: Column, i: Column) -> Column:
-        d = F.substring(digits, n - i + 1, F.lit(1)).cast("int")
-        return total + F.when(i % 2 == 1, 2 * d - F.when(d > 4, 9).otherwise(0)).otherwise(d)
+        def add(total: Column, i: Column) -> Column:
+            d = F.substring(all_digits, n - i + 1, F.lit(1)).cast("int")
+            return total + F.when(i % 2 == 1, 2 * d - F.when(d > 4, 9).otherwise(0)).otherwise(d)
 
-    total = F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add)
-    return ((10 - total % 10) % 10).cast("string")
+        total = F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add)
+        return ((10 - total % 10) % 10).cast("string")
+
+    return let(digits, check)
 
 
 def mod97(account: Column) -> Column:
@@ -126,16 +141,19 @@ def mod97(account: Column) -> Column:
 
 def _shift(text: Column, hexes: Column) -> Column:
     """Every character moved within its alphabet by the hash's bytes."""
-    def moved(ch: Column, i: Column) -> Column:
-        by = F.conv(F.substring(hexes, (i % 32) * 2 + 1, F.lit(2)), 16, 10).cast("int")
-        out = ch
-        for letters in ALPHABETS:
-            at = F.instr(F.lit(letters), ch)
-            out = F.when((ch != "") & (at > 0), F.substring(
-                F.lit(letters), (at - 1 + by) % len(letters) + 1, F.lit(1))).otherwise(out)
-        return out
+    def shifted(h: Column) -> Column:
+        def moved(ch: Column, i: Column) -> Column:
+            by = F.conv(F.substring(h, (i % 32) * 2 + 1, F.lit(2)), 16, 10).cast("int")
+            out = ch
+            for letters in ALPHABETS:
+                at = F.instr(F.lit(letters), ch)
+                out = F.when((ch != "") & (at > 0), F.substring(
+                    F.lit(letters), (at - 1 + by) % len(letters) + 1, F.lit(1))).otherwise(out)
+            return out
 
-    return F.array_join(F.transform(F.split(text, ""), moved), "")
+        return F.array_join(F.transform(F.split(text, ""), moved), "")
+
+    return let(hexes, shifted)
 
 
 def permute_text(text: Column, key: str, kind: str) -> Column:
@@ -150,8 +168,8 @@ def permute_text(text: Column, key: str, kind: str) -> Column:
             _shift(at.x, _hash(key, kind, i, at.y)).alias("x"), at.y.alias("y"))).otherwise(
                 F.struct(at.x.alias("x"), _shift(at.y, _hash(key, kind, i, at.x)).alias("y")))
 
-    moved = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn)
-    return F.concat(moved.x, moved.y)
+    return let(F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn),
+               lambda moved: F.concat(moved.x, moved.y))
 
 
 def _email(m: Column, key: str) -> Column:
@@ -165,7 +183,7 @@ def _card(m: Column, key: str) -> Column:
     body = F.concat(F.substring(digits, 1, 1), permute_digits(
         F.substring(digits, F.lit(2), n - 2), key, "card"))
     fine = luhn_digit(F.substring(digits, F.lit(1), n - 1)) == F.substring(digits, n, F.lit(1))
-    return F.when(fine, refill(m, F.concat(body, luhn_digit(body))))
+    return F.when(fine, let(body, lambda b: refill(m, F.concat(b, luhn_digit(b)))))
 
 
 def _iban(m: Column, key: str) -> Column:
@@ -173,10 +191,13 @@ def _iban(m: Column, key: str) -> Column:
     country, account = F.substring(flat, 1, 2), F.substring(flat, F.lit(5), F.length(flat) - 4)
     numbers = only_digits(account)
     moved = F.when(F.length(numbers) < 2, numbers).otherwise(permute_digits(numbers, key, "iban"))
-    fresh = refill(account, moved)
-    check = F.lpad((98 - mod97(F.concat(fresh, country, F.lit("00")))).cast("string"), 2, "0")
     fine = mod97(F.concat(account, F.substring(flat, 1, 4))) == 1
-    return F.when(fine, refill(m, F.concat(check, moved)))
+
+    def checked(fresh: Column) -> Column:
+        rest = mod97(F.concat(refill(account, fresh), country, F.lit("00")))
+        return refill(m, F.concat(F.lpad((98 - rest).cast("string"), 2, "0"), fresh))
+
+    return F.when(fine, let(moved, checked))
 
 
 def _ssn(m: Column, key: str) -> Column:
@@ -184,11 +205,10 @@ def _ssn(m: Column, key: str) -> Column:
     fine = (area >= 1) & (area <= 899) & (area != 666) & (group >= 1) & (serial >= 1)
     moved = feistel(area - 1 - F.when(area > 666, 1).otherwise(0), (group - 1) * SERIALS + serial - 1,
                     AREAS, GROUPS * SERIALS, key, "ssn")
-    fresh = moved.x + 1 + F.when(moved.x >= 665, 1).otherwise(0)
-    return F.when(fine, F.concat_ws(
-        "-", F.lpad(fresh.cast("string"), 3, "0"),
-        F.lpad((F.floor(moved.y / SERIALS) + 1).cast("string"), 2, "0"),
-        F.lpad((moved.y % SERIALS + 1).cast("string"), 4, "0")))
+    return F.when(fine, let(moved, lambda p: F.concat_ws(
+        "-", F.lpad((p.x + 1 + F.when(p.x >= 665, 1).otherwise(0)).cast("string"), 3, "0"),
+        F.lpad((F.floor(p.y / SERIALS) + 1).cast("string"), 2, "0"),
+        F.lpad((p.y % SERIALS + 1).cast("string"), 4, "0"))))
 
 
 def _phone(m: Column, key: str) -> Column:
@@ -203,8 +223,9 @@ def _ip(m: Column, key: str) -> Column:
     parts = [F.substring_index(F.substring_index(m, ".", k), ".", -1).cast("long") for k in (1, 2, 3, 4)]
     fine = F.greatest(*parts) <= 255
     moved = feistel(parts[0] * 256 + parts[1], parts[2] * 256 + parts[3], 1 << 16, 1 << 16, key, "ip")
-    return F.when(fine, F.concat_ws(".", *((F.floor(v / 256) if high else v % 256).cast("string")
-                                           for v in (moved.x, moved.y) for high in (True, False))))
+    return F.when(fine, let(moved, lambda p: F.concat_ws(
+        ".", *((F.floor(v / 256) if high else v % 256).cast("string")
+               for v in (p.x, p.y) for high in (True, False)))))
 
 
 def _date(m: Column, key: str) -> Column:
@@ -215,7 +236,8 @@ def _date(m: Column, key: str) -> Column:
         day = F.try_to_timestamp(m, F.lit(form)).cast("date")
         at = F.datediff(day, F.to_date(F.lit(FIRST_DAY)))
         moved = feistel(F.floor(at / DAYS[1]), at % DAYS[1], *DAYS, key, "date")
-        fresh = F.date_add(F.to_date(F.lit(FIRST_DAY)), (moved.x * DAYS[1] + moved.y).cast("int"))
+        fresh = let(moved, lambda p: F.date_add(F.to_date(F.lit(FIRST_DAY)),
+                                                (p.x * DAYS[1] + p.y).cast("int")))
         shape = "^" + form.translate(str.maketrans({c: "[0-9]" for c in "yMd"})).replace(".", r"\.") + "$"
         out = F.when(m.rlike(shape) & (at >= 0) & (at < DAYS[0] * DAYS[1]),
                      F.date_format(fresh, form)).otherwise(out)
@@ -235,12 +257,14 @@ def kind_of(m: Column) -> Column:
 
 def pseudonym(m: Column, key: str = KEY) -> Column:
     """The pseudonym of a finding, null if it fails the check of its kind."""
-    kind = kind_of(m)
-    out = F.lit(None).cast("string")
-    for name, make in (("email", _email), ("iban", _iban), ("date", _date), ("ip", _ip),
-                       ("ssn", _ssn), ("card", _card), ("phone", _phone)):
-        out = F.when(kind == name, make(m, key)).otherwise(out)
-    return out
+    def by_kind(kind: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for name, make in (("email", _email), ("iban", _iban), ("date", _date), ("ip", _ip),
+                           ("ssn", _ssn), ("card", _card), ("phone", _phone)):
+            out = F.when(kind == name, make(m, key)).otherwise(out)
+        return out
+
+    return let(kind_of(m), by_kind)
 
 
 def pseudonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
@@ -257,13 +281,18 @@ def pseudonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
 def _replace(docs: DataFrame, key: str) -> DataFrame:
     """All columns of ``docs`` with the new text, and ``replaced``."""
     names = [c for c in docs.columns if c != "text"]
-    found = docs.select(*names, "text", F.regexp_extract_all(
-        F.coalesce("text", F.lit("")), F.lit(PATTERN), F.lit(0)).alias("__found"))
+    # Every form has a digit or an @; the dear pattern runs only where it can match.
+    sign, digit = F.contains(F.col("text"), F.lit("@")), F.col("text").rlike("[0-9]")
+    found = docs.select(*names, "text", sign.alias("__sign"), F.when(
+        sign, F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).when(
+        digit, F.regexp_extract_all("text", F.lit(WITHOUT_EMAIL), F.lit(0))).otherwise(
+        F.array().cast("array<string>")).alias("__found"))
     some = F.size("__found") > 0
     # Without findings nothing else is worked out.
-    made = found.select(*names, "text", "__found", F.when(some, F.transform(
+    made = found.select(*names, "text", "__sign", "__found", F.when(some, F.transform(
         "__found", lambda m: pseudonym(m, key))).alias("__made"))
-    between = F.split("text", PATTERN, -1)
+    between = F.when(F.col("__sign"), F.split("text", PATTERN, -1)).otherwise(
+        F.split("text", WITHOUT_EMAIL, -1))
     text = F.when(some, F.array_join(F.transform(between, lambda part, i: F.concat(
         part, F.coalesce(F.get("__made", i), F.get("__found", i), F.lit("")))), "")).otherwise(F.col("text"))
     pairs = F.filter(F.transform("__made", lambda m, i: F.struct(
