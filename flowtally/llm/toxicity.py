@@ -1,19 +1,24 @@
 """Toxicity by nearest labelled examples.
 
-Terms are words and their prefixes of four and five letters.  Terms that tell
-toxic from other labelled texts (chi-squared) are the vocabulary; texts are
-TF-IDF vectors over it.  A text's neighbours are the labelled examples of the
-largest exact cosine, found in a block-max inverted index: examples are dealt
-into blocks of ``BLOCK``, every term keeps its largest weight in each block,
-and blocks are visited by falling upper bound until no bound reaches the
-``NEIGHBOURS``-th cosine found.  Neighbours vote with a weight that grows as
-their distance falls, and isotonic regression over the examples' own
-leave-one-out votes turns the vote into a probability.  Texts without a term
-of the vocabulary have no neighbours and take the rate of such examples.
+Terms are words and their prefixes of four and five letters.  Texts are TF-IDF
+vectors over all their terms, with document counts of the whole corpus; terms
+that tell toxic from other labelled texts (chi-squared) weigh ``TELLING`` times
+as much.  A text's neighbours are the labelled examples of the largest exact
+cosine, found in a block-max inverted index.  The lists of most terms are short
+and read whole.  Terms that more than one example in ``COMMON`` holds are a
+dense matrix by example; examples are dealt into blocks of ``BLOCK``, every
+such term keeps its largest weight in each block, and only examples whose
+bound reaches the ``NEIGHBOURS``-th cosine are multiplied out.  Neighbours vote
+with a weight that grows as their distance falls, and isotonic regression over
+the examples' own leave-one-out votes turns the vote into a probability.
+Texts without a term of any example have no neighbours and take the rate of
+such examples.
 
 The examples are a sample of at most about ``FIT_ROWS`` labelled rows (chosen
-by a hash of doc_id; of rows that share text and label one); vocabulary and index are bounded by it and by
-``TERMS``.  Everything else covers every row.
+by a hash of doc_id; of rows that share text and label one).  Vocabulary and
+index hold all their terms and are bounded by it.  Terms that no example has
+count in a text's length, with the root mean square IDF of such terms in the
+corpus.  Everything else covers every row.
 """
 
 from __future__ import annotations
@@ -26,20 +31,23 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowtally.llm.common import share_hash, store
 
-FIT_ROWS = 10_000
-TERMS = 500
-LEAST_DF = 5
+FIT_ROWS = 20_000
+LEAST_DF = 5                # examples that hold a term that is tested
 TERM_LEVEL = 0.01           # chance that any of all tested terms is chosen without cause
+TELLING = 3.0
 NEIGHBOURS = 15
 BLOCK = 64
-BLOCKS_ONE_BY_ONE = 6       # further blocks are read together, list by list
-REMEMBERED = 20_000         # answers for equal vectors that a worker keeps
+COMMON = 8
+FIRST = 64                  # examples multiplied out for a first k-th cosine
+COUNTED = 1 << 18           # terms that a worker counts before it passes them on
+REMEMBERED = 20_000         # answers for equal texts that a worker keeps
 PREFIXES = (4, 5)
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -53,139 +61,153 @@ def prefixes(words) -> set[str]:
     return {w[:n] + "*" for n in PREFIXES for w in words if len(w) > n}
 
 
+def term_keys(terms) -> np.ndarray:
+    """64-bit numbers that stand for the terms."""
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(t.encode("utf-8", "surrogatepass")) for t in terms),
+                       dtype=np.uint64, count=len(terms)).view(np.int64)
+
+
+def text_digest(text: str) -> bytes:
+    return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+
+
 def _term_counts(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows and toxic rows that hold each term, for batches together."""
+    every, toxic = Counter(), Counter()
+
+    def counted() -> pd.DataFrame:
+        return pd.DataFrame({"term": term_keys(every), "n": list(every.values()),
+                             "n_toxic": [toxic[t] for t in every]})
+
     for batch in rows:
-        every, toxic = Counter(), Counter()
-        for text, label in zip(batch["text"], batch["label"]):
+        labels = batch["label"] if "label" in batch else [0] * len(batch)
+        for text, label in zip(batch["text"], labels):
             words = set(text_words(text))
             terms = words | prefixes(words)
             every.update(terms)
             if label:
                 toxic.update(terms)
-        yield pd.DataFrame({"term": list(every), "n": list(every.values()),
-                            "n_toxic": [toxic[t] for t in every]})
+            if len(every) >= COUNTED:
+                yield counted()
+                every, toxic = Counter(), Counter()
+    yield counted()
 
 
 class Examples:
     """The vocabulary and the block-max index of the labelled examples."""
 
     def __init__(self, idf: dict[str, float]):
-        self.terms = {t: i for i, t in enumerate(idf)}
-        self.idf = np.array(list(idf.values()), dtype=float)
-        self.words = frozenset(t for t in self.terms if not t.endswith("*"))
-        self.starts = {n: frozenset(t[:-1] for t in self.terms
-                                    if t.endswith("*") and len(t) == n + 1) for n in PREFIXES}
+        self.name_terms(term_keys(idf), np.array(list(idf.values()), dtype=float))
         self.ids = np.zeros(0, dtype=np.int64)
         self.labels = np.zeros(0)
         self.bare_rate = 0.0
         self.base_rate = 0.0
         self.votes, self.rates = np.array([0.0]), np.array([0.0])
-        self.lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.answers: dict = {}
 
+    def name_terms(self, keys: np.ndarray, idf: np.ndarray, other: float = 1.0) -> None:
+        """Set the terms, their weights and that of a term of no example."""
+        order = np.argsort(keys)
+        self.keys, self.idf, self.other = keys[order], idf[order], other
+
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers and unit-length TF-IDF weights of a text."""
-        words = text_words(text)
-        used = set(words)
-        counts: Counter = Counter()
-        hits = used & self.words
-        if hits:
-            for w in words:
-                if w in hits:
-                    counts[self.terms[w]] += 1
-        for n, starts in self.starts.items():
-            if starts and not starts.isdisjoint({w[:n] for w in used}):
-                for w in words:
-                    if len(w) > n and w[:n] in starts:
-                        counts[self.terms[w[:n] + "*"]] += 1
-        at = np.array(sorted(counts), dtype=np.int64)
-        if not len(at):
-            return at, np.zeros(0)
-        weights = (1 + np.log([counts[i] for i in at])) * self.idf[at]
-        return at, weights / math.sqrt(float((weights * weights).sum()))
+        """Term numbers and TF-IDF weights of the examples' terms in a text,
+        as parts of a vector of unit length over all terms of the text."""
+        counts = Counter(text_words(text))
+        starts: Counter = Counter()
+        for n in PREFIXES:
+            for w, c in counts.items():
+                if len(w) > n:
+                    starts[w[:n] + "*"] += c
+        counts.update(starts)
+        if not counts:
+            return np.zeros(0, dtype=np.int64), np.zeros(0)
+        keys = term_keys(counts)
+        order = np.argsort(keys)
+        keys = keys[order]
+        at = np.searchsorted(self.keys, keys)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == keys[known]
+        weights = 1 + np.log(np.fromiter(counts.values(), dtype=float, count=len(counts))[order])
+        weights[known] *= self.idf[at[known]]
+        weights[~known] *= self.other
+        return at[known], weights[known] / math.sqrt(float((weights * weights).sum()))
 
     def build(self, ids, labels, vectors) -> None:
-        """Index the examples that have a vector, those of one leading term
-        side by side so that blocks differ."""
-        order = sorted((i for i, v in enumerate(vectors) if len(v[0])),
-                       key=lambda i: (int(vectors[i][0][np.argmax(vectors[i][1])]), ids[i]))
+        """Index the examples that have a vector, those of one leading common
+        term side by side so that blocks differ."""
+        sizes = np.bincount(np.concatenate([np.zeros(0, dtype=np.int64), *(v[0] for v in vectors)])
+                            .astype(np.int64), minlength=len(self.idf))
+        live = [i for i, v in enumerate(vectors) if len(v[0])]
+        common = np.flatnonzero(sizes * COMMON > len(live))
+        self.column = np.full(len(self.idf), -1, dtype=np.int32)
+        self.column[common] = np.arange(len(common))
+
+        def leading(i: int) -> int:
+            at, weights = vectors[i]
+            weights = np.where(self.column[at] >= 0, weights, 0)
+            return int(at[np.argmax(weights)]) if weights.any() else -1
+
+        order = sorted(live, key=lambda i: (leading(i), ids[i]))
         self.ids = np.array([ids[i] for i in order], dtype=np.int64)
         self.labels = np.array([labels[i] for i in order], dtype=float)
-        blocks = max(1, math.ceil(len(order) / BLOCK))
-        self.bounds = np.zeros((len(self.idf), blocks))
-        lists: dict[int, tuple[list, list]] = {}
+        # Common terms: a dense row for each example, the largest weight in each block.
+        self.dense = np.zeros((len(order), len(common)))
+        sizes[common] = 0
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.places = np.zeros(self.starts[-1], dtype=np.int32)
+        self.weights = np.zeros(self.starts[-1])
+        end = self.starts[:-1].copy()
         for place, i in enumerate(order):
-            for t, w in zip(*vectors[i]):
-                places, weights = lists.setdefault(int(t), ([], []))
-                places.append(place)
-                weights.append(w)
-                self.bounds[t, place // BLOCK] = max(self.bounds[t, place // BLOCK], w)
-        self.lists = {t: (np.array(p), np.array(w)) for t, (p, w) in lists.items()}
-        # Where each block begins in each list.
-        edges = np.arange(blocks + 1) * BLOCK
-        self.starts_at = {t: np.searchsorted(p, edges) for t, (p, _) in self.lists.items()}
+            at, weights = vectors[i]
+            columns = self.column[at]
+            self.dense[place, columns[columns >= 0]] = weights[columns >= 0]
+            at, weights = at[columns < 0], weights[columns < 0]
+            self.places[end[at]] = place
+            self.weights[end[at]] = weights
+            end[at] += 1
+        self.bounds = np.zeros((len(common), -(-len(order) // BLOCK)))
+        for b in range(self.bounds.shape[1]):
+            self.bounds[:, b] = self.dense[b * BLOCK:(b + 1) * BLOCK].max(axis=0, initial=0)
         bare = [labels[i] for i, v in enumerate(vectors) if not len(v[0])]
         self.base_rate = float(np.mean(labels)) if len(labels) else 0.0
         # One example's worth of the base rate steadies small groups.
         self.bare_rate = (sum(bare) + self.base_rate) / (len(bare) + 1)
 
-    def _block(self, b: int, query: list[tuple[int, float]]) -> np.ndarray:
-        """The cosines of one block's examples."""
-        cosines = np.zeros(BLOCK)
-        for t, w in query:
-            lo, hi = self.starts_at[t][b], self.starts_at[t][b + 1]
-            if hi > lo:
-                places, weights = self.lists[t]
-                cosines[places[lo:hi] - b * BLOCK] += w * weights[lo:hi]
-        return cosines
-
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS,
                 without: int | None = None) -> list[tuple[float, int]]:
         """(cosine, place) of the k nearest examples with a positive cosine,
         ties to the smaller id; ``without`` is an example's own place."""
-        query = [(int(t), float(w)) for t, w in zip(at, weights) if int(t) in self.lists]
-        if not query or not len(self.ids):
+        n = len(self.ids)
+        if not len(at) or not n:
             return []
-        upper = weights @ self.bounds[at]
-        order = np.argsort(-upper, kind="stable")
-        best: list[tuple[float, int, int]] = []
-
-        def least() -> float:
-            return -best[-1][0] - 1e-9 if len(best) == k else 0.0
-
-        def merge(places: np.ndarray, cosines: np.ndarray) -> None:
-            nonlocal best
-            if len(places) > k:     # ties of the k-th value stay in
-                kth = np.partition(cosines, -k)[-k]
-                keep = cosines >= kth - 1e-9
-                places, cosines = places[keep], cosines[keep]
-            best += [(-round(float(c), 12), int(self.ids[p]), int(p)) for p, c in zip(places, cosines)]
-            best = sorted(best)[:k]
-
-        for n, b in enumerate(order):
-            if upper[b] <= 0 or upper[b] < least():
-                return [(-c, place) for c, _, place in best]
-            if n == BLOCKS_ONE_BY_ONE:
-                break
-            cosines = self._block(int(b), query)
-            slots = np.flatnonzero((cosines > 0) & (cosines >= least()))
-            places = slots + int(b) * BLOCK
-            own = places != (-1 if without is None else without)
-            merge(places[own], cosines[slots][own])
-        else:
-            return [(-c, place) for c, _, place in best]
-        # Many blocks may still hold a neighbour: the lists are read whole.
-        cosines = np.zeros(len(self.ids))
-        for t, w in query:
-            places, listed = self.lists[t]
-            cosines[places] += w * listed
-        open_block = np.zeros(len(upper), dtype=bool)
-        open_block[order[BLOCKS_ONE_BY_ONE:]] = upper[order[BLOCKS_ONE_BY_ONE:]] >= least()
-        places = np.flatnonzero((cosines > 0) & (cosines >= least()))
-        places = places[open_block[places // BLOCK]]
+        columns = self.column[at]
+        listed = at[columns < 0]
+        lo = self.starts[listed]
+        size = self.starts[listed + 1] - lo
+        index = np.arange(size.sum()) + np.repeat(lo - np.cumsum(size) + size, size)
+        part = np.bincount(self.places[index], minlength=n,
+                           weights=self.weights[index] * np.repeat(weights[columns < 0], size))
+        query = np.zeros(self.dense.shape[1])
+        query[columns[columns >= 0]] = weights[columns >= 0]
+        upper = part + np.repeat(query @ self.bounds, BLOCK)[:n]
         if without is not None:
-            places = places[places != without]
-        merge(places, cosines[places])
+            upper[without] = 0
+        places = np.flatnonzero(upper > 0)
+        if len(places) > FIRST:
+            first = places[np.argpartition(-upper[places], FIRST)[:FIRST]]
+            known = part[first] + self.dense[first] @ query
+            places = places[upper[places] >= np.partition(known, -k)[-k] - 1e-9]
+        if 2 * len(places) > n:
+            cosines = (part + self.dense @ query)[places]
+        else:
+            cosines = part[places] + self.dense[places] @ query
+        if len(places) > k:     # ties of the k-th value stay in
+            keep = cosines >= np.partition(cosines, -k)[-k] - 1e-9
+            places, cosines = places[keep], cosines[keep]
+        best = sorted((-round(float(c), 12), int(self.ids[p]), int(p))
+                      for p, c in zip(places, cosines) if c > 0)[:k]
         return [(-c, place) for c, _, place in best]
 
     def vote(self, near: list[tuple[float, int]]) -> float:
@@ -198,33 +220,29 @@ class Examples:
         return float(((weights * labels).sum() + ground * self.base_rate) / (weights.sum() + ground))
 
     def calibrate(self, votes: np.ndarray, labels: np.ndarray) -> None:
-        """Isotonic regression (pool adjacent violators) of labels on votes."""
+        """Centred isotonic regression of labels on votes: adjacent violators
+        are pooled, and the rate is linear between the pools' mean votes."""
         order = np.argsort(votes, kind="stable")
-        pools: list[list[float]] = []       # first vote, sum of labels, size
+        pools: list[list[float]] = []       # sum of votes, sum of labels, size
         for v, y in zip(votes[order], labels[order]):
-            if pools and pools[-1][0] == v:
-                pools[-1][1] += y
-                pools[-1][2] += 1
-            else:
-                pools.append([v, y, 1])
-            while len(pools) > 1 and (pools[-2][1] / pools[-2][2] >= pools[-1][1] / pools[-1][2]):
-                _, y1, n1 = pools.pop()
+            pools.append([v, y, 1])
+            while len(pools) > 1 and (pools[-2][1] / pools[-2][2] >= pools[-1][1] / pools[-1][2]
+                                      or pools[-2][0] / pools[-2][2] >= pools[-1][0] / pools[-1][2]):
+                v1, y1, n1 = pools.pop()
+                pools[-1][0] += v1
                 pools[-1][1] += y1
                 pools[-1][2] += n1
-        self.votes = np.array([p[0] for p in pools])
+        self.votes = np.array([p[0] / p[2] for p in pools])
         self.rates = np.array([p[1] / p[2] for p in pools])
 
     def score(self, text: str | None) -> tuple[float, list[int], list[float]]:
         """Probability of being toxic, and the evidence: neighbours' ids and
         cosines."""
-        at, weights = self.vector(text)
-        if not len(at):
-            return self.bare_rate, [], []
-        key = (at.tobytes(), weights.tobytes())
+        key = text_digest(text or "")
         if key not in self.answers:
             if len(self.answers) >= REMEMBERED:
                 self.answers.clear()
-            self.answers[key] = self._answer(at, weights)
+            self.answers[key] = self._answer(*self.vector(text))
         return self.answers[key]
 
     def _answer(self, at: np.ndarray, weights: np.ndarray) -> tuple[float, list[int], list[float]]:
@@ -232,9 +250,9 @@ class Examples:
         if not near:
             return self.bare_rate, [], []
         vote = self.vote(near)
-        k = max(0, int(np.searchsorted(self.votes, vote, side="right")) - 1)
-        # Pools share a rate; the vote itself orders texts within a pool.
-        score = min(1.0, max(0.0, 0.999 * float(self.rates[k]) + 0.001 * vote))
+        # The vote itself orders texts beyond the outermost pools.
+        rate = float(np.interp(vote, self.votes, self.rates))
+        score = min(1.0, max(0.0, 0.999 * rate + 0.001 * vote))
         return score, [int(self.ids[p]) for _, p in near], [c for c, _ in near]
 
 
@@ -248,11 +266,15 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
             .filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0))
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, terms: int = TERMS) -> Examples:
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Examples:
     """Learn vocabulary, index and calibration from about ``fit_rows`` rows."""
     known = labelled(docs, labels)
     total = known.count()
-    rate = min(1.0, fit_rows / total) if total else 0.0
+    model = Examples({})
+    if not total:
+        model.build([], [], [])
+        return model
+    rate = min(1.0, fit_rows / total)
     # Copies of a text would make all its words look telling: one of each stays.
     rows = known.filter(share_hash("doc_id") < int(rate * 1_000_000)).withColumn(
         "copy", F.row_number().over(Window.partitionBy(F.xxhash64("text"), F.length("text"), "label")
@@ -260,21 +282,29 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, terms: int
     rows = store(rows.filter("copy = 1").drop("copy"), "toxicity-fit")
     seen = rows.agg(F.count("*"), F.sum("label")).first()
     n, n_toxic = seen[0], seen[1] or 0
-    counts = store(rows.select("text", "label")
-                   .mapInPandas(_term_counts, "term string, n long, n_toxic long")
-                   .groupBy("term").agg(F.sum("n").alias("df"), F.sum("n_toxic").alias("a"))
-                   .filter(F.col("df") >= LEAST_DF), "toxicity-terms")
-    tested = max(1, counts.count())
-    least = NormalDist().inv_cdf(1 - TERM_LEVEL / tested / 2) ** 2     # Bonferroni
+    counts = (rows.select("text", "label").mapInPandas(_term_counts, "term long, n long, n_toxic long")
+              .groupBy("term").agg(F.sum("n").alias("df"), F.sum("n_toxic").alias("a")))
+    corpus = (docs.select("text").mapInPandas(_term_counts, "term long, n long, n_toxic long")
+              .groupBy("term").agg(F.sum("n").alias("docs")))
+    n_docs = docs.count()
+    idf = F.log(F.lit(1.0 + n_docs) / (1 + F.col("docs"))) + 1
+    terms = store(corpus.join(counts, "term", "left").withColumn("idf", idf), "toxicity-terms")
+    facts = terms.agg(
+        F.sum((F.col("df") >= LEAST_DF).cast("long")),
+        F.sqrt(F.sum(F.when(F.col("df").isNull(), F.col("docs") * F.col("idf") * F.col("idf")))
+               / F.sum(F.when(F.col("df").isNull(), F.col("docs"))))).first()
+    least = NormalDist().inv_cdf(1 - TERM_LEVEL / max(1, facts[0] or 0) / 2) ** 2     # Bonferroni
     b, c = F.col("df") - F.col("a"), F.lit(n_toxic) - F.col("a")
     d = F.lit(n - n_toxic) - b
     odds = (F.col("a") * d - b * c).cast("double")
     below = (F.col("df") * (F.lit(n) - F.col("df"))).cast("double") * F.lit(float(n_toxic)) \
         * F.lit(float(n - n_toxic))
-    chosen = (counts.withColumn("chi2", F.when(below > 0, F.lit(float(n)) * odds * odds / below))
-              .filter(F.col("chi2") >= least)
-              .orderBy(F.desc("chi2"), "term").limit(terms).collect())      # bounded by ``terms``
-    model = Examples({r.term: math.log((1 + n) / (1 + r.df)) + 1 for r in chosen})
+    telling = (F.col("df") >= LEAST_DF) & (below > 0) & (
+        F.lit(float(n)) * odds * odds / F.when(below > 0, below) >= least)
+    chosen = terms.filter("df IS NOT NULL").select(
+        "term", (F.col("idf") * F.when(telling, TELLING).otherwise(1.0)).alias("weight")
+    ).toArrow()     # the terms of at most about ``fit_rows`` rows, 16 bytes each
+    model.name_terms(chosen["term"].to_numpy(), chosen["weight"].to_numpy(), facts[1] or 1.0)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
@@ -282,14 +312,16 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, terms: int
         for batch in batches:
             made = [shared.value.vector(t) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"],
-                                "at": [v[0].tolist() for v in made],
-                                "weights": [v[1].tolist() for v in made]})
-
-    sample = store(rows.mapInPandas(vectors, "doc_id long, label int, at array<long>, "
-                                             "weights array<double>"), "toxicity-vectors")
-    listed = sample.orderBy("doc_id", "label", "at").collect()      # bounded by ``fit_rows``, sparse
-    made = [(np.array(r["at"], dtype=np.int64), np.array(r["weights"])) for r in listed]
-    model.build([r.doc_id for r in listed], [r.label for r in listed], made)
+                                "at": [v[0].astype("<i4").tobytes() for v in made],
+                                "weights": [v[1].astype("<f8").tobytes() for v in made]})
+
+    sample = store(rows.mapInPandas(vectors, "doc_id long, label int, at binary, weights binary"),
+                   "toxicity-vectors")
+    listed = sample.orderBy("doc_id", "label", "at").toArrow()      # bounded by ``fit_rows``, sparse
+    made = [(np.frombuffer(at.as_buffer(), dtype="<i4"), np.frombuffer(weights.as_buffer(), dtype="<f8"))
+            for at, weights in zip(listed["at"], listed["weights"])]
+    model.build(listed["doc_id"].to_pylist(), listed["label"].to_pylist(), made)
+    del made, listed
     place = {int(i): p for p, i in enumerate(model.ids)}
     held = spark.sparkContext.broadcast((model, place))
 
@@ -298,7 +330,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, terms: int
         for batch in batches:
             out = []
             for doc_id, label, at, weights in zip(*(batch[c] for c in ("doc_id", "label", "at", "weights"))):
-                near = examples.nearest(np.asarray(at, dtype=np.int64), np.asarray(weights),
+                near = examples.nearest(np.frombuffer(at, dtype="<i4"), np.frombuffer(weights, dtype="<f8"),
                                         without=places.get(int(doc_id)))
                 if near:
                     out.append((examples.vote(near), label))
@@ -308,6 +340,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, terms: int
              .orderBy("vote", "label").collect())
     if votes:
         model.calibrate(np.array([r.vote for r in votes]), np.array([float(r.label) for r in votes]))
+    shared.unpersist()
+    held.unpersist()
     return model
 
 
@@ -321,7 +355,7 @@ def toxicity_scores(docs: DataFrame, model: Examples) -> DataFrame:
     """doc_id, held_out, score, predicted, neighbours and cosines of every row
     of ``docs`` (doc_id, text; other columns are not read).
 
-    Null and empty texts, and texts without a vocabulary term, have no
+    Null and empty texts, and texts without a term of any example, have no
     neighbours and the score of such examples.  Repeated rows each give a row.
     A null doc_id stays null and counts as held out.  Without labelled rows
     every score is 0.

@@ -92,3 +92,29 @@ def test_awkward(spark, awkward, nothing, model, docs_of, rows):
     assert toxicity.labelled(docs_of(rows), nulls).count() <= 1
     kept = toxicity.without_toxic(docs_of(rows), model)
     assert kept.columns == docs_of(rows).columns and kept.count() == 300
+
+
+def test_no_word_of_a_text_is_dropped(spark, docs_of, rows):
+    """A near copy of a toxic example that has no telling word."""
+    other = [f"{a}{b}" for a in ("gri", "plo", "sna", "tru") for b in ("mbo", "ndle", "vix", "zzt", "lpa")]
+    told = docs_of([*rows, (1001, " ".join(other))])
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows] + [(1001, 1)],
+                                   "doc_id long, toxic int")
+    got = toxicity.fit(told, labels)
+    found = toxicity.toxicity_scores(docs_of([(2000, " ".join(other[:-1]) + " unseen")]), got).first()
+    assert found.neighbours == [1001] and 0.9 < found.cosines[0] < 1
+    at, weights = got.vector(" ".join(other[:-1]))
+    assert len(at) > len(other) and np.isclose((weights ** 2).sum(), 1)
+    # A word that no example has counts in the length.
+    assert (got.vector(" ".join(other[:-1]) + " unseen")[1] ** 2).sum() < 1
+
+
+def test_documents_are_counted_over_the_corpus(spark, docs_of, rows):
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    more = docs_of([*rows, *((5000 + i, "bridge") for i in range(400))])
+
+    def weight(model, term):
+        return model.idf[np.searchsorted(model.keys, toxicity.term_keys([term])[0])]
+
+    bridge = sum("bridge" in t.split() for _, t in rows)
+    assert np.isclose(weight(toxicity.fit(more, labels), "bridge"), np.log(801 / (401 + bridge)) + 1)
