@@ -155,6 +155,13 @@ def connected(links: DataFrame, name: str = "components") -> DataFrame:
         mark = tuple(now)
 
 
+def _rooted(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """fp, rep and the root of its component for distinct ``fp``."""
+    roots = connected(near_links(nodes.select("fp"), max_bits))
+    return (nodes.join(roots, nodes.fp == roots.node, "left")
+            .select("fp", "rep", F.coalesce("root", "fp").alias("root")))
+
+
 def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row of
     ``docs`` (doc_id, text; other columns are not read).
@@ -167,10 +174,7 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3) ->
     """
     prints = store(docs.select("doc_id", fingerprint_udf(shingle)("text").alias("fp")),
                    "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    roots = connected(near_links(nodes.select("fp"), max_bits))
-    tree = (nodes.join(roots, nodes.fp == roots.node, "left")
-            .select("fp", "rep", F.coalesce("root", "fp").alias("root")))
+    tree = _rooted(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), max_bits)
     least = tree.groupBy("root").agg(F.min("rep").alias("component_id"))
     classes = tree.join(least, "root").select("fp", "component_id")
     return (prints.join(classes, "fp")
@@ -181,16 +185,22 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3) ->
 def one_per_component(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
     """``docs`` with one row of every component: that of its smallest doc_id.
 
-    All columns are kept.  Rows with a null doc_id stay only where their
-    component has no other; rows that repeat a doc_id are reduced to one.
+    All columns are kept.  A null doc_id comes after all others; of rows that
+    share the doc_id the one of the smallest text hash, then row hash, stays.
     """
-    found = store(simhash_components(docs, shingle, max_bits).select("doc_id", "component_id",
-                                                                     "fingerprint"), "simhash")
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = kept.groupBy("doc_id").agg(F.count("*").alias("__times"))
-    own = docs.withColumn("__id", F.col("doc_id"))
-    match = own.join(ids.select(F.col("doc_id").alias("__kept"), "__times"),
-                     F.col("__id").eqNullSafe(F.col("__kept")))
-    once = match.filter("__times = 1").select(*docs.columns)
-    repeated = match.filter("__times > 1").dropDuplicates(["doc_id"]).select(*docs.columns)
+    names = docs.columns
+    rows = store(docs.select("doc_id", fingerprint_udf(shingle)("text").alias("fp"),
+                             F.xxhash64("text").alias("of_text"), F.xxhash64(*names).alias("of_row"))
+                 .groupBy("fp", "doc_id", "of_text", "of_row").agg(F.count("*").alias("times")), "simhash")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "of_text", "of_row", "times")
+    tree = _rooted(rows.groupBy("fp").agg(F.min(place).alias("rep")), max_bits)
+    kept = tree.groupBy("root").agg(F.min("rep").alias("kept")).select(
+        F.col("kept.doc_id").alias("__id"), F.col("kept.of_text").alias("__text"),
+        F.col("kept.of_row").alias("__row"), F.col("kept.times").alias("__times"))
+    own = docs.select("*", F.xxhash64("text").alias("__of_text"), F.xxhash64(*names).alias("__of_row"))
+    match = own.join(kept, (F.col("__of_row") == F.col("__row")) & (F.col("__of_text") == F.col("__text"))
+                     & F.col("doc_id").eqNullSafe(F.col("__id")))
+    once = match.filter("__times = 1").select(*names)
+    # Rows that are equal in every column.
+    repeated = match.filter("__times > 1").dropDuplicates(["__id", "__text", "__row"]).select(*names)
     return once.unionByName(repeated)

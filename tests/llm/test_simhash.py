@@ -101,3 +101,20 @@ def test_awkward(awkward, nothing):
     assert kept.columns == awkward.columns and ids == sorted(set(ids))
     assert 1 in ids and 2 not in ids and 4 in ids and 5 not in ids
     assert simhash.one_per_component(nothing, 3, 3).count() == 0
+
+
+def test_one_row_of_every_component(docs_of, awkward):
+    """Null and repeated doc_ids: components count, not ids."""
+    a, b, c, d, e = (prose(i, 80) for i in range(50, 55))
+    rows = [(None, a), (None, a), (None, b), (1, c), (None, c), (2, c), (2, d), (3, e), (3, a + " x y"), (3, e)]
+    texts = {t: brute_print(t) for _, t in rows}
+    roots = brute_components(texts)
+    kept = [(r.doc_id, r.text) for r in simhash.one_per_component(docs_of(rows), 3, 3).collect()]
+    assert len(kept) == len(set(roots.values())) and len({roots[t] for _, t in kept}) == len(kept)
+    for doc_id, text in kept:
+        ids = [i for i, t in rows if roots[t] == roots[text] and i is not None]
+        assert doc_id == min(ids, default=None) and (doc_id, text) in rows
+    # The null text without an id is a copy of doc 1; the other null id has a text of its own.
+    ids = [(r.doc_id, r.text) for r in simhash.one_per_component(awkward, 3, 3).collect()]
+    assert [x for x in ids if x[0] is None] == [(None, prose(3, 50))]
+    assert (None, None) not in ids and (1, None) in ids
