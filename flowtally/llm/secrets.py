@@ -11,25 +11,30 @@ ask whether the token is a uniform draw from it:
 Their p-values are combined by Fisher's method.  A token is a finding when the
 battery does not reject it; how much that says depends on its length, as short
 pieces of ordinary text pass easily.  So false discoveries are controlled by
-length class.  Decoys, runs of letters of each class's length from a place in
-every text, take the same battery.  The share of tokens that are ordinary is
+length class.  Decoys, the successive runs of letters of each class's length
+over the whole of every distinct text, take the same battery.  The share of tokens that are ordinary is
 estimated from the rejected ones (Storey), and the threshold is the largest at
 which the estimated false discovery rate, that share times the decoys' pass
 rate over the tokens' pass rate, is within ``fdr``.
 
-Texts are scanned once; what leaves the scan are spans, scores and counts per
-(length class, score bin), a table of fixed size.
+Texts are scanned once; what leaves the scan are spans, scores and, with the
+first row of a text in its task, the text's digest and its decoys' counts by
+(length class, score bin).  Counts of one digest count once.
+
+A run of token characters that fits no alphabet because it holds both of
+``+/`` and of ``-_`` is cut: its parts between ``-_``, those between ``+/`` and
+those between all four are tokens of their own, which may overlap.
 """
 
 from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,12 +62,14 @@ ALPHABETS = {
 }
 ENCODINGS = tuple(ALPHABETS)
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+PARTS = tuple(map(re.compile, (r"[A-Za-z0-9+/]{16,}", r"[A-Za-z0-9_-]{16,}", r"[A-Za-z0-9]{16,}")))
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 NOT_LETTERS = re.compile(r"[^a-z]+")
 LENGTHS = (16, 20, 24, 32, 40, 48, 64, 96, 128)     # length classes begin here
 BINS = 64                                            # of the score, -log10 p, in tenths
 REJECTED = 30                                        # from this bin on: p below 0.001
 FDR = 0.01
+DECOY_LETTERS = 1 << 20     # letters of decoys that take the battery at a time
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -88,6 +95,20 @@ def infer_encoding(token: str) -> str | None:
     return None
 
 
+def text_tokens(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, encoding) of what the battery tests in a text."""
+    out = []
+    for m in TOKEN.finditer(text):
+        token = m.group()
+        encoding = infer_encoding(token)
+        if encoding:
+            out.append((m.start(), m.end(), encoding))
+        elif not set("+/").isdisjoint(token) and not set("-_").isdisjoint(token):
+            parts = {p.span(): infer_encoding(p.group()) for form in PARTS for p in form.finditer(token)}
+            out += [(m.start() + s, m.start() + e, x) for (s, e), x in sorted(parts.items()) if x]
+    return out
+
+
 def _chi2_tail(x: np.ndarray, k: np.ndarray) -> np.ndarray:
     """Upper tail of chi-squared with k degrees (Wilson-Hilferty)."""
     z = (np.cbrt(x / k) - (1 - 2 / (9 * k))) / np.sqrt(2 / (9 * k))
@@ -121,14 +142,35 @@ def battery(tokens: list[str], letters: str) -> np.ndarray:
     codes = _symbols(letters)[np.frombuffer("".join(tokens).encode("ascii"), dtype=np.uint8)]
     owner = np.repeat(np.arange(len(tokens)), n)
     counts = np.bincount(owner * k + codes, minlength=k * len(tokens)).reshape(-1, k)
-    chi = (counts.astype(float) ** 2).sum(axis=1) * k / n - n
-    p_chi = _chi2_tail(np.maximum(chi, 1e-9), np.full(len(n), k - 1.0))
-    # Runs about the middle of the alphabet.
+    squares = (counts.astype(float) ** 2).sum(axis=1)
     high = codes >= k / 2
     inner = np.flatnonzero(owner[1:] == owner[:-1])
     changes = np.bincount(owner[inner], weights=high[inner] != high[inner + 1],
                           minlength=len(n))
     up = np.bincount(owner, weights=high, minlength=len(n))
+    x = (codes - (k - 1) / 2) / math.sqrt((k * k - 1) / 12)
+    lag = np.bincount(owner[inner], weights=x[inner] * x[inner + 1], minlength=len(n))
+    return _combined(k, n, squares, changes, up, lag)
+
+
+def decoy_battery(letters: np.ndarray) -> np.ndarray:
+    """The battery of equally long runs of a-z, codes by row."""
+    m, width = letters.shape
+    cells = letters + np.arange(m, dtype=np.int32)[:, None] * 26
+    counts = np.bincount(cells.ravel(), minlength=26 * m).reshape(-1, 26).astype(float)
+    high = letters >= 13
+    x = (letters - 12.5) / math.sqrt((26 * 26 - 1) / 12)
+    return _combined(26, np.full(m, width), np.einsum("ij,ij->i", counts, counts),
+                     (high[:, 1:] != high[:, :-1]).sum(axis=1).astype(float),
+                     high.sum(axis=1).astype(float), np.einsum("ij,ij->i", x[:, 1:], x[:, :-1]))
+
+
+def _combined(k: int, n, squares, changes, up, lag) -> np.ndarray:
+    """Score of tokens of length ``n`` over ``k`` symbols by the sum of their
+    squared symbol counts, their changes of half, symbols of the upper half
+    and products of neighbours."""
+    p_chi = _chi2_tail(np.maximum(squares * k / n - n, 1e-9), np.full(len(n), k - 1.0))
+    # Runs about the middle of the alphabet.
     down = n - up
     mean = 2 * up * down / n + 1
     var = np.maximum((mean - 1) * (mean - 2) / np.maximum(n - 1, 1), 1e-9)
@@ -136,8 +178,6 @@ def battery(tokens: list[str], letters: str) -> np.ndarray:
                       2 * _normal_tail(np.abs(changes + 1 - mean) / np.sqrt(var)),
                       2.0 ** (1 - n.astype(float)))
     # Serial correlation at lag one, of symbols scaled to unit variance.
-    x = (codes - (k - 1) / 2) / math.sqrt((k * k - 1) / 12)
-    lag = np.bincount(owner[inner], weights=x[inner] * x[inner + 1], minlength=len(n))
     p_serial = 2 * _normal_tail(np.abs(lag) / np.sqrt(np.maximum(n - 1, 1)))
     fisher = -2 * sum(np.log(np.clip(p, 1e-300, 1.0)) for p in (p_chi, p_runs, p_serial))
     half = fisher / 2       # chi-squared with 6 degrees has a closed tail
@@ -154,7 +194,7 @@ def _score_bin(score: np.ndarray) -> np.ndarray:
 
 
 SCAN = T.StructType([
-    T.StructField("counts", T.BooleanType()), T.StructField("doc_id", T.LongType()),
+    T.StructField("doc_id", T.LongType()),
     T.StructField("base", T.ArrayType(T.StructType([
         T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
         T.StructField("kind", T.StringType())]))),
@@ -162,57 +202,76 @@ SCAN = T.StructType([
         T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
         T.StructField("encoding", T.StringType()), T.StructField("length_class", T.IntegerType()),
         T.StructField("score_bin", T.IntegerType())]))),
-    T.StructField("histogram", T.ArrayType(T.LongType()))])
-
-
-def decoy_runs(text: str) -> list[str]:
-    """A run of letters of every class's length, from one place in ``text``."""
-    out = []
-    at = zlib.crc32(text.encode("utf-8", "replace")) % (len(text) + 1)
-    letters = NOT_LETTERS.sub("", text[at:at + 2 * LENGTHS[-1]].lower())
-    for n in LENGTHS:
-        if len(letters) < n:
-            break
-        out.append(letters[:n])
+    T.StructField("digest", T.BinaryType()),
+    T.StructField("decoys", T.ArrayType(T.LongType()))])
+
+
+def decoy_counts(texts: list[str]) -> list[list[int]]:
+    """Per text, ``cell << 40 | n`` for the cells (length class, score bin)
+    that its decoys fall in: for every class, the successive runs of letters
+    of its length over the whole text."""
+    letters = [np.frombuffer(NOT_LETTERS.sub("", t.lower()).encode("ascii"), dtype=np.uint8)
+               .astype(np.int32) - 97 for t in texts]
+    shape = len(LENGTHS) * BINS
+    out: list[list[int]] = []
+    at = 0
+    while at < len(letters):
+        # Texts of about DECOY_LETTERS letters together.
+        upto, size = at, 0
+        while upto < len(letters) and (upto == at or size + len(letters[upto]) <= DECOY_LETTERS):
+            size += len(letters[upto])
+            upto += 1
+        part = letters[at:upto]
+        found = []
+        for c, n in enumerate(LENGTHS):
+            rows = np.array([len(x) // n for x in part])
+            joined = np.concatenate([x[:r * n] for x, r in zip(part, rows)]).reshape(-1, n)
+            owner = np.repeat(np.arange(len(part)), rows)
+            step = max(1, DECOY_LETTERS // n)
+            for lo in range(0, len(joined), step):
+                bins = _score_bin(decoy_battery(joined[lo:lo + step]))
+                found.append(owner[lo:lo + step] * shape + c * BINS + bins)
+        cells, n = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *found]), return_counts=True)
+        packed = (cells % shape) << 40 | n
+        edges = np.searchsorted(cells, np.arange(len(part) + 1) * shape)
+        out += [packed[lo:hi].tolist() for lo, hi in zip(edges, edges[1:])]
+        at = upto
     return out
 
 
-def scan_batch(ids, texts) -> list[tuple]:
-    """One row per text, and one that counts the decoys of all of them."""
-    bases, spans, decoys = [], [], []
+def scan_batch(ids, texts, known: set[bytes]) -> list[tuple]:
+    """One row per text; decoys are counted with digests not yet ``known``."""
+    bases, spans, digests, fresh = [], [], [], []
     by_encoding: dict[str, list] = {}
     for i, text in enumerate(texts):
         text = text or ""
         bases.append(base_spans(text))
         spans.append([])
-        for m in TOKEN.finditer(text):
-            token = m.group()
-            encoding = infer_encoding(token)
-            if encoding:
-                by_encoding.setdefault(encoding, []).append((i, m.start(), m.end(), token))
-        decoys += decoy_runs(text)
+        for s, e, encoding in text_tokens(text):
+            by_encoding.setdefault(encoding, []).append((i, s, e, text[s:e]))
+        digest = xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+        digests.append(None if digest in known else digest)
+        if digest not in known:
+            known.add(digest)
+            fresh.append(text)
     for encoding, found in by_encoding.items():
         scores = battery([x[3] for x in found], ALPHABETS[encoding])
         classes = _length_class(np.array([len(x[3]) for x in found]))
         for (i, s, e, _), c, b in zip(found, classes, _score_bin(scores)):
             spans[i].append((s, e, encoding, int(c), int(b)))
-    counts = np.zeros(len(LENGTHS) * BINS, dtype=np.int64)
-    if decoys:
-        classes = _length_class(np.array([len(x) for x in decoys]))
-        scores = battery(decoys, "abcdefghijklmnopqrstuvwxyz")
-        np.add.at(counts, classes * BINS + _score_bin(scores), 1)
-    rows = [(False, None if pd.isna(d) else int(d), b, sorted(s), None)
-            for d, b, s in zip(ids, bases, spans)]
-    return rows + [(True, None, None, None, counts.tolist())]
+    counts = iter(decoy_counts(fresh))
+    return [(None if pd.isna(d) else int(d), b, sorted(s), x, next(counts) if x else None)
+            for d, b, s, x in zip(ids, bases, spans, digests)]
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """Base findings and scored tokens per document, and rows of decoy counts."""
+    """Base findings, scored tokens and decoy counts per document."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: set[bytes] = set()       # 16 bytes for each text of the task
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 part = batch.iloc[at:at + 1000]
-                rows = scan_batch(part["doc_id"], part["text"])
+                rows = scan_batch(part["doc_id"], part["text"], known)
                 yield pd.DataFrame(rows, columns=SCAN.names).astype({"doc_id": "Int64"})
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, SCAN)
@@ -248,12 +307,14 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     """
     found = store(scan(docs), "secrets")
     shape = (len(LENGTHS), BINS)
-    cells = (found.filter("counts").select(F.posexplode("histogram").alias("cell", "n"))
-             .groupBy("cell").agg(F.sum("n").alias("n")))
+    once = found.filter("digest IS NOT NULL").groupBy("digest").agg(F.first("decoys").alias("decoys"))
+    cells = (once.select(F.explode("decoys").alias("d"))
+             .groupBy(F.shiftright("d", 40).alias("cell"))
+             .agg(F.sum(F.col("d").bitwiseAND(F.lit((1 << 40) - 1))).alias("n")))
     decoys, tokens = np.zeros(shape), np.zeros(shape)
     for r in cells.collect():       # one row per (length class, score bin)
         decoys[r.cell // BINS, r.cell % BINS] = r.n
-    seen = (found.filter("NOT counts").select(F.explode("tokens").alias("t"))
+    seen = (found.select(F.explode("tokens").alias("t"))
             .groupBy("t.length_class", "t.score_bin").agg(F.count("*").alias("n")))
     for r in seen.collect():        # likewise
         tokens[r.length_class, r.score_bin] = r.n
@@ -261,7 +322,7 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     random = F.transform(
         F.filter("tokens", lambda t: t.score_bin <= F.element_at(upto, t.length_class + 1)),
         lambda t: F.struct(t.start.alias("start"), t.end.alias("end"), F.lit("random").alias("kind")))
-    rows = found.filter("NOT counts").select(
+    rows = found.select(
         "doc_id", "base", F.concat("base", random).alias("all"))
     return rows.select("doc_id", "base", F.expr("""array_sort(all, (a, b) -> CASE
         WHEN a.start <> b.start THEN CAST(sign(a.start - b.start) AS int)

@@ -74,3 +74,39 @@ def test_awkward(awkward, nothing):
     got = secrets.secret_digests(awkward).collect()
     assert len(got) == awkward.count() and sum(r.doc_id is None for r in got) == 2
     assert secrets.secret_digests(nothing).count() == 0
+
+
+def test_decoys_are_the_whole_of_every_distinct_text(docs_of):
+    text = prose(1, 20_000)
+    letters = len(re.sub("[^a-z]", "", text))
+    want = [letters // n for n in secrets.LENGTHS]
+    packed = secrets.decoy_counts([text, "", prose(2, 5)])
+    assert [sum(x & (1 << 40) - 1 for x in packed[0] if (x >> 40) // secrets.BINS == c)
+            for c in range(len(secrets.LENGTHS))] == want and packed[1] == []
+    runs = re.sub("[^a-z]", "", text)
+    runs = [runs[i:i + 24] for i in range(0, len(runs) - 23, 24)]
+    bins = np.bincount(secrets._score_bin(secrets.battery(runs, "abcdefghijklmnopqrstuvwxyz")))
+    assert {(2 * secrets.BINS + b) << 40 | int(n) for b, n in enumerate(bins) if n} <= set(packed[0])
+
+
+def test_copies_of_a_text_do_not_set_the_thresholds(docs_of):
+    """A text whose letters pass the battery, held by half of all rows."""
+    r = random.Random(1)
+    token = lambda: "".join(r.choice(secrets.ALPHABETS["BASE36"]) for _ in range(40))
+    alike = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(60))
+    alike = " ".join(alike[i:i + 6] for i in range(0, 60, 6))
+    rows = [(i, prose(i, 200) + " " + token() + " end") for i in range(120)]
+    rows += [(1000 + i, alike) for i in range(120)]
+    got = {x.doc_id: x.spans for x in secrets.secret_digests(docs_of(rows).repartition(3)).collect()}
+    assert sum("random" in got[i] for i in range(120)) > 90
+
+
+def test_mixed_separators_are_cut(docs_of):
+    r = random.Random(6)
+    drawn = lambda: "".join(r.choice(secrets.ALPHABETS["base36"].upper()) for _ in range(44))
+    assert (16, 36, "BASE36") in secrets.text_tokens("see path/to_dir/ABCDEFGH1234567890XY")
+    key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+    assert (3, 43, "base64") in secrets.text_tokens("id_" + key)
+    rows = [(i, prose(i, 200) + f" conf/key_{drawn()} end") for i in range(120)]
+    got = {x.doc_id: x.spans for x in secrets.secret_digests(docs_of(rows)).collect()}
+    assert sum("random" in got[i] for i in range(120)) > 90
