@@ -59,3 +59,40 @@ def test_report(docs_of, awkward, nothing):
     assert all(got[i].n_findings == 0 and got[i].spans == "" for i in (2, 3, 4))
     assert licences.licence_report(awkward).count() == awkward.count()
     assert licences.licence_report(nothing).count() == 0
+
+
+HEADER = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as "
+          "published by the Free Software Foundation, either version {} of the License, or (at your option) any "
+          "later version.")
+
+
+@pytest.mark.parametrize("kind,version,name", [
+    ("General Public License", "3", "GPL-3.0"), ("General Public License", "2", "GPL-2.0"),
+    ("Lesser General Public License", "3", "LGPL-3.0"), ("Lesser General Public License", "2.1", "LGPL-2.1"),
+    ("Affero General Public License", "3", "AGPL-3.0")])
+def test_standard_headers(matcher, kind, version, name):
+    header = HEADER.format(kind, version)
+    notice = header + "\n" + licences.TEMPLATES["GPL"][0].replace("*", "program")
+    text = prose(1, 30) + ".\n" + notice + "\n" + prose(2, 30) + "."
+    assert [f[2] for f in matcher.find(text)] == [name, name]
+    changed = header.replace("program", "library").replace("published", "issued")
+    assert [f[2] for f in matcher.find(prose(1, 30) + ".\n" + changed)] == [name]
+
+
+def test_a_changed_deciding_word_is_no_finding(matcher):
+    for text in (HEADER.format("General Public License", "1"), HEADER.format("Affero General Public License", "2"),
+                 "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.",
+                 "Licensed under CC BY 3.0.", "Licensed under the BSD 4-Clause License."):
+        assert matcher.find(text) == []
+
+
+def test_clauses_decide_between_bsd_licenses(matcher):
+    first, one, two, warranty = licences.TEMPLATES["BSD"]
+    three = licences.TEMPLATES["BSD-3-Clause"][1]
+    assert [f[2] for f in matcher.find(first)] == ["BSD"]
+    short = f"{first}\n\n1. {one}\n2. {two}\n\n{warranty}"
+    assert {f[2] for f in matcher.find(short)} == {"BSD-2-Clause"}
+    whole = f"{first}\n\n1. {one}\n2. {two}\n3. {three}\n\n{warranty}"
+    assert {f[2] for f in matcher.find(whole)} == {"BSD-3-Clause"} and len(matcher.find(whole)) == 5
+    mit = licences.TEMPLATES["MIT"]
+    assert [f[2] for f in matcher.find("\n\n".join(mit[2:5]))] == ["MIT"] * 3
