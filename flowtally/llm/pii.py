@@ -25,11 +25,19 @@ ip        four numbers up to 255                         dots
 date      a day of 1900 to 2099                          order and punctuation
 ========  =============================================  =======================
 
-Values that fail their check are left as they are.
+Letters and digits of an e-mail's name move within ASCII, Latin-1, or the run
+of consecutive code points that are letters or digits; those that stand alone
+move among themselves.
+
+Values that fail their check are left as they are.  So is a value that the
+permutation maps to itself (a name without letters, or by chance); it is not
+listed as replaced.
 """
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +66,24 @@ ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUV
              "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ")
 
 
+def _other_letters() -> tuple[list[int], list[int], str]:
+    """Where runs of two and more letters or digits outside ``ALPHABETS``
+    begin and end, and the letters and digits without a neighbour."""
+    own, runs = set("".join(ALPHABETS)), []
+    for code in range(0x40000):     # no letters beyond
+        if unicodedata.category(chr(code))[0] in "LN" and chr(code) not in own:
+            if runs and runs[-1][1] == code:
+                runs[-1][1] += 1
+            else:
+                runs.append([code, code + 1])
+    long = [r for r in runs if r[1] - r[0] > 1]
+    return ([lo for lo, _ in long], [hi for _, hi in long],
+            "".join(chr(lo) for lo, hi in runs if hi - lo == 1))
+
+
+RUN_STARTS, RUN_ENDS, ALONE = _other_letters()
+
+
 def let(value: Column, use) -> Column:
     """``use(value)`` with the value worked out once, however often it is
     used: an element of an array is a variable to the function over it."""
@@ -139,12 +165,27 @@ def mod97(account: Column) -> Column:
         .otherwise((r * 100 + F.instr(F.lit(codes), ch) - 1) % 97)).cast("int"))
 
 
+def _shift_other(ch: Column, by: Column) -> Column:
+    """A letter outside ``ALPHABETS`` moved within its run."""
+    starts, ends = (F.split(F.lit(",".join(map(str, x))), ",").cast("array<int>") for x in (RUN_STARTS, RUN_ENDS))
+    code, alone = F.ascii(ch), F.instr(F.lit(ALONE), ch)
+    run = F.struct(F.array_max(F.filter(starts, lambda s: s <= code)).alias("lo"),
+                   F.array_min(F.filter(ends, lambda e: e > code)).alias("hi"))
+    return F.when(alone > 0, F.substring(F.lit(ALONE), (alone - 1 + by) % len(ALONE) + 1, F.lit(1))).otherwise(
+        let(run, lambda r: F.when(
+            F.array_position(starts, r.lo) == F.array_position(ends, r.hi),
+            F.decode(F.unhex(F.lpad(F.hex(r.lo + (code - r.lo + by) % (r.hi - r.lo)), 8, "0")), "UTF-32"))
+            .otherwise(ch)))
+
+
 def _shift(text: Column, hexes: Column) -> Column:
     """Every character moved within its alphabet by the hash's bytes."""
     def shifted(h: Column) -> Column:
         def moved(ch: Column, i: Column) -> Column:
             by = F.conv(F.substring(h, (i % 32) * 2 + 1, F.lit(2)), 16, 10).cast("int")
-            out = ch
+            # Two bytes, as some runs are long.
+            far = F.conv(F.substring(h, (i % 31) * 2 + 1, F.lit(4)), 16, 10).cast("int")
+            out = F.when(F.ascii(ch) > 127, _shift_other(ch, far)).otherwise(ch)
             for letters in ALPHABETS:
                 at = F.instr(F.lit(letters), ch)
                 out = F.when((ch != "") & (at > 0), F.substring(
@@ -256,13 +297,14 @@ def kind_of(m: Column) -> Column:
 
 
 def pseudonym(m: Column, key: str = KEY) -> Column:
-    """The pseudonym of a finding, null if it fails the check of its kind."""
+    """The pseudonym of a finding, null if it fails the check of its kind or
+    would stay as it is."""
     def by_kind(kind: Column) -> Column:
         out = F.lit(None).cast("string")
         for name, make in (("email", _email), ("iban", _iban), ("date", _date), ("ip", _ip),
                            ("ssn", _ssn), ("card", _card), ("phone", _phone)):
             out = F.when(kind == name, make(m, key)).otherwise(out)
-        return out
+        return let(out, lambda p: F.when(p != m, p))
 
     return let(kind_of(m), by_kind)
 

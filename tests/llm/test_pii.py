@@ -111,3 +111,28 @@ def test_awkward(awkward, nothing):
 def test_n_chars_follows(docs_of):
     got = pii.pseudonymised_documents(docs_of([(1, "mail ada@x.org now"), (2, prose(1, 5))])).collect()
     assert all(r.n_chars == len(r.text) for r in got)
+
+
+NAMES = ("иван.петров", "γιάννης", "محمد", "山田太郎", "김철수", "straße", "œuvre", "żółw", "ışık.çağ", "ivan.петров",
+         "\U0001d49c\U0001d49e\U0001d4aa", "ÿµß")
+
+
+def test_names_of_any_letters_are_replaced(docs_of):
+    rows = [(i, f"to {n}@mail.example.com now") for i, n in enumerate(NAMES)] + [(99, "to .-+_@mail.example.com now")]
+    got = {r.doc_id: r for r in pii.pseudonymised(docs_of(rows)).collect()}
+    for i, name in enumerate(NAMES):
+        fresh = got[i].replaced[0].pseudonym
+        assert [x.kind for x in got[i].replaced] == ["email"] and got[i].text == f"to {fresh} now"
+        moved = fresh.removesuffix("@mail.example.com")
+        assert len(moved) == len(name) and moved != name
+        # Letters stay letters, and no part of two letters and more stays.
+        assert all(a == b if not a.isalnum() else b.isalnum() for a, b in zip(name, moved))
+        assert all(a not in moved for a in re.findall(r"\w{3,}", name))
+    assert got[99].replaced == [] and got[99].text == rows[-1][1]
+
+
+def test_runs_of_letters_are_permuted(docs_of):
+    letters = [chr(c) for c in (*range(0x430, 0x460), *range(0x5d0, 0x5eb), *range(0x100, 0x180))] + list("ßÿªµº")
+    rows = [(i, f"{x}{y}@x.org") for i, (x, y) in enumerate(zip(letters, letters[1:] + letters[:1]))]
+    texts = [r.text for r in pii.pseudonymised(docs_of(rows)).collect()]
+    assert len(set(texts)) == len(rows) and not set(texts) & {t for _, t in rows}
