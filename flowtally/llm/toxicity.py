@@ -340,8 +340,9 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Example
              .orderBy("vote", "label").collect())
     if votes:
         model.calibrate(np.array([r.vote for r in votes]), np.array([float(r.label) for r in votes]))
-    shared.unpersist()
-    held.unpersist()
+    # Every executor holds a file of each: what used them is written or collected.
+    shared.destroy()
+    held.destroy()
     return model
 
 
