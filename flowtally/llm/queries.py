@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import os
 
-from flowtally.llm import language, licences, mixing, neighbours, packing, pii, secrets, simhash, spotsigs, toxicity
+from flowtally.llm import (alignment, importance, language, licences, mixing, neighbours, packing, pii, secrets, simhash,
+                           spotsigs, toxicity)
 from flowtally.llm.common import table
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
@@ -62,6 +63,15 @@ def op10_spotsigs(spark, sf_dir):
     return spotsigs.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark, sf_dir):
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                           tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_importance(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_toxicity": op2_toxicity,
@@ -73,6 +83,8 @@ LLM_QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_neighbours": op9_neighbours,
     "op10_spotsigs": op10_spotsigs,
+    "op11_alignment": op11_alignment,
+    "op13_importance": op13_importance,
 }
 
 LLM_ORACLE: dict[str, str] = {

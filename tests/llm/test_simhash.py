@@ -87,9 +87,21 @@ def test_chain_of_components(spark, code):
 
 
 def test_spanning_links_connect():
-    values = np.array([0, 1, 3, 7, 15, 1 << 40], dtype=np.int64)
-    flat = simhash.spanning_links(values, 1)
-    assert len(flat) == 8 and all((a ^ b).bit_count() == 1 for a, b in zip(flat[::2], flat[1::2]))
+    values = [0, 1, 3, 7, 15, 1 << 40, 3 << 50, 7 << 50]
+    flat = simhash.spanning_links(np.array(values, dtype=np.int64), 1)
+    links = list(zip(flat[::2], flat[1::2]))
+    assert all((a ^ b).bit_count() == 1 for a, b in links)
+    near = [(a, b) for a in values for b in values if (a ^ b).bit_count() == 1]
+
+    def parts(pairs):
+        root = {v: v for v in values}
+        for _ in values:
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    # Links connect what brute force connects, with one link fewer than members.
+    assert parts(links) == parts(near) and len(links) == len(values) - len(set(parts(near).values())) == 6
 
 
 def test_awkward(awkward, nothing):
