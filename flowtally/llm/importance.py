@@ -39,7 +39,7 @@ LEAST_WORDS = 20
 PERCENT = 5
 SEED = "42"
 LONGEST = 256           # bytes of a feature that joins an array of its length
-ROWS = 1 << 16          # features of one array
+ROWS = 1 << 14          # features of one array
 COPIES = 10_000         # equal rows that one task gives out
 
 # A-Z lower-cased; words are 0-9, a-z and every byte of a character beyond ASCII.

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 22       # text that is worked on at a time; a longer text is a chunk of its own
+CHUNK_BYTES = 1 << 20       # text that is worked on at a time; a longer text is a chunk of its own
 SPACE = 0x20
 
 # White space as in ``[^\x20\x09-\x0D]+``; every other byte belongs to a word.
