@@ -5,8 +5,8 @@ from __future__ import annotations
 
 import os
 
-from flowtally.llm import (alignment, importance, language, licences, mixing, neighbours, packing, pii, secrets, simhash,
-                           spotsigs, toxicity)
+from flowtally.llm import (alignment, importance, language, licences, mixing, neighbours, packing, pii, repeats,
+                           secrets, simhash, spotsigs, toxicity)
 from flowtally.llm.common import table
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
@@ -68,6 +68,10 @@ def op11_alignment(spark, sf_dir):
                            tokenizer_path("piece_bpe_32k.model"))
 
 
+def op12_repeats(spark, sf_dir):
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op13_importance(spark, sf_dir):
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -84,6 +88,7 @@ LLM_QUERIES = {
     "op9_neighbours": op9_neighbours,
     "op10_spotsigs": op10_spotsigs,
     "op11_alignment": op11_alignment,
+    "op12_repeats": op12_repeats,
     "op13_importance": op13_importance,
 }
 
