@@ -19,10 +19,14 @@ task after a check against that bound.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +34,9 @@ from pyspark.sql import functions as F
 from flowtally.llm.common import store
 from flowtally.llm.words import text_chunks
 
+PARTS_KEPT = 1 << 17        # parts of texts whose ids a worker remembers
+BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+
 _PAIRS: dict[tuple[str, str], "Pair"] = {}
 
 
@@ -62,6 +69,7 @@ class Pair:
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.sizes_a = np.array([len(t) for t in self.bytes_a], dtype=np.int64)
         self.sizes_b = np.array([len(t) for t in self.bytes_b], dtype=np.int64)
+        self.splits, self.known = self._splits(), {}
         self.spelt = [np.array([f"{i}{mark}" for i in range(max(len(self.bytes_a), len(self.bytes_b)))],
                                dtype=object) for mark in ",|;"]
 
@@ -84,18 +92,61 @@ class Pair:
                                           if token[i:] in shorter)
         return total
 
+    def _splits(self) -> bool:
+        """Whether both tokenizers part a text before a single space between
+        two other characters, whatever stands around: A's pre-tokenizer does
+        by its pattern; B does if none of its pieces has a space after another
+        character and it leaves characters as they are."""
+        made = json.loads(self.a.to_str())
+        before = made["pre_tokenizer"] or {}
+        odd = "ﬁ①Å 　x"
+        return (made["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+                and not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
+                and self.b.normalize(odd) == "▁" + odd.replace(" ", "▁"))
+
+    def _learn(self, parts: list[str]) -> None:
+        """Remember the ids of the parts (with a space before each); none of
+        a part that its tokens do not spell."""
+        spaced = [" " + x for x in parts]
+        a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        b = self.b.encode(parts, num_threads=1)
+        want = [x.encode("utf-8", "surrogatepass") for x in spaced]
+        whole, sizes = b"".join(want), list(map(len, want))
+        bad: set[int] = set()
+        for found, spelt in ((a, self.bytes_a), (b, self.bytes_b)):
+            tokens = [spelt[i] for ids in found for i in ids]
+            ends = np.concatenate([[0], np.cumsum(list(map(len, tokens)))])[np.cumsum(list(map(len, found)))]
+            if b"".join(tokens) != whole or np.any(ends != np.cumsum(sizes)):
+                bad.update(i for i, ids in enumerate(found) if b"".join([spelt[k] for k in ids]) != want[i])
+        for i, part in enumerate(parts):
+            self.known[part] = None if i in bad else (array("i", a[i]).tobytes(), array("i", b[i]).tobytes())
+
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of A and of B for each text; none of a text whose tokens do
-        not spell it."""
-        spaced = [" " + t for t in texts]
-        found_a = [e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)]
-        found_b = self.b.encode(texts, num_threads=1)
-        for i, text in enumerate(spaced):
-            want = text.encode("utf-8", "surrogatepass")
-            if (len(want) == 1 or b"".join(map(self.bytes_a.__getitem__, found_a[i])) != want
-                    or b"".join(map(self.bytes_b.__getitem__, found_b[i])) != want):
-                found_a[i] = found_b[i] = []
-        return ([np.array(x, dtype=np.int64) for x in found_a], [np.array(x, dtype=np.int64) for x in found_b])
+        not spell it.  Parts between single spaces are encoded once."""
+        parts = [(BETWEEN.split(t) if self.splits else [t]) if t else [] for t in texts]
+        of_text = np.cumsum([0] + list(map(len, parts)))
+        code, distinct = pd.factorize(np.array([x for part in parts for x in part], dtype=object))
+        if len(self.known) > PARTS_KEPT:
+            self.known.clear()
+        new = [x for x in distinct if x not in self.known]
+        if new:
+            self._learn(new)
+        found = [self.known[x] for x in distinct]
+        spelt = np.array([x is not None for x in found], dtype=bool)
+        broken = np.concatenate([[0], np.cumsum(~spelt[code])])
+        out = []
+        for side in (0, 1):
+            ids = [b"" if x is None else x[side] for x in found]
+            sizes = np.array(list(map(len, ids)), dtype=np.int64) // 4
+            starts = np.cumsum(sizes) - sizes
+            each = sizes[code]
+            upto = np.concatenate([[0], np.cumsum(each)])
+            at = np.arange(upto[-1]) + np.repeat(starts[code] - upto[:-1], each)
+            joined = np.frombuffer(b"".join(ids), dtype=np.int32)[at]
+            out.append([joined[upto[lo]:upto[hi]] if broken[lo] == broken[hi] else joined[:0]
+                        for lo, hi in zip(of_text, of_text[1:])])
+        return out[0], out[1]
 
 
 def _times(tokens: list[bytes]) -> dict[bytes, int]:

@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 from itertools import accumulate
 
@@ -80,6 +81,22 @@ def test_awkward(awkward, docs_of, nothing):
     assert alignment.align(nothing, A, B).count() == 0
 
 
+def test_parts_as_whole_texts():
+    """Ids put together from remembered parts are those of the whole text."""
+    both = alignment.pair(A, B)
+    assert both.splits
+    r = random.Random(4)
+    bits = [" ", " ", "  ", "\n", "\t ", "\u00a0", "\u3000", "\x1c", "\u180e", "'s", "n't", "12", "é", "e\u0301", "\u0301",
+            "日本", "\U0001f600", "\u200d", "ab", "The", ".", ",", "--", "<|endoftext|>", "</s>", "ſ", "\u0130"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randrange(1, 25))) for _ in range(3000)]
+    for text, a, b in zip(texts, *both.encode(texts)):
+        ids_a, spelt_a, ids_b, spelt_b = tokens(text)
+        if b"".join(spelt_a) == b"".join(spelt_b) == (" " + text).encode():
+            assert (a.tolist(), b.tolist()) == (ids_a, ids_b)
+        else:
+            assert not len(a) and not len(b)
+
+
 def test_groups_spell_the_text(docs_of):
     text = "Naïve tokenisers disagree: 12345 übergroß, isn't it?"
     row = alignment.alignments(docs_of([(1, text)]), A, B, keep_groups=True).first()
