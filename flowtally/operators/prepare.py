@@ -141,19 +141,31 @@ def hourly(clean_df: DataFrame, series: SeriesSpec = (), holidays="us_federal",
     ``combine="max"`` keeps one value for repeated measurement rows of the
     same hour (raw files that repeat a reading).
     """
+    return hour_records(hour_sums(clean_df, series, combine), series_names(series), holidays)
+
+
+def hour_records(grouped: DataFrame, series: Sequence[str] = (), holidays="us_federal") -> DataFrame:
+    """The hourly records of hour sums ``(*series, day, hour, traffic,
+    n_records[, holiday_flag])``: the last step of :func:`hourly`, for sums
+    that are kept elsewhere (:mod:`flowtally.plans.incremental`)."""
+    named = grouped.withColumn(
+        "date_time", F.concat(date_string(F.col("day")), F.lit(" "),
+                              F.lpad(F.col("hour").cast("string"), 2, "0"), F.lit(":00:00")))
+    return _finish(named, list(series), holidays, "holiday_flag" in grouped.columns)
+
+
+def hour_sums(clean_df: DataFrame, series: SeriesSpec = (), combine: str = "sum") -> DataFrame:
+    """Clean records added up by hour: ``(*series, day, hour, traffic,
+    n_records[, holiday_flag])``.  Sums of sums are the sums of all records,
+    so parts of the input can be added up one after the other."""
     names = series_names(series)
     agg = {"sum": F.sum, "max": F.max}[combine]
-    has_flag = "holiday_flag" in clean_df.columns
     aggs = [agg("traffic").alias("traffic"), F.count(F.lit(1)).alias("n_records")]
-    if has_flag:
+    if "holiday_flag" in clean_df.columns:
         aggs.append(F.max("holiday_flag").alias("holiday_flag"))
-    grouped = (clean_df
-               .groupBy(*names, F.to_date("ts").alias("day"), F.hour("ts").alias("hour"))
-               .agg(*aggs))
-    grouped = grouped.withColumn(
-        "date_time", F.concat(date_string(F.col("day")), F.lit(" "),
-                              F.lpad(F.col("hour").cast("string"), 2, "0"), F.lit(":00:00")))
-    return _finish(grouped, names, holidays, has_flag)
+    return (clean_df
+            .groupBy(*names, F.to_date("ts").alias("day"), F.hour("ts").alias("hour"))
+            .agg(*aggs))
 
 
 def records(clean_df: DataFrame, series: SeriesSpec = (), holidays="us_federal") -> DataFrame:

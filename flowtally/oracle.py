@@ -194,6 +194,29 @@ SELECT series, strftime(day, '%Y-%m-%d') AS date, hour,
 FROM hours JOIN days USING (day)"""
 
 
+# Files by remainder of event_id come in turn.  A row is late when its day had
+# ended 5 days before the last time of the files before the previous one.
+ARRIVED = """
+arrived AS (
+  SELECT event_id, event_type, value, ts, event_id % 4 AS file, CAST(CAST(ts AS DATE) + 1 AS TIMESTAMP) AS closed_at
+  FROM events WHERE ts IS NOT NULL AND value IS NOT NULL),
+marks AS (
+  SELECT a.file, date_trunc('second', max(b.ts)) - INTERVAL 5 DAY AS watermark
+  FROM (SELECT DISTINCT file FROM arrived) a JOIN arrived b ON b.file <= a.file - 2 GROUP BY a.file),
+judged AS (
+  SELECT arrived.*, watermark, coalesce(closed_at <= watermark, false) AS late
+  FROM arrived LEFT JOIN marks USING (file))"""
+LATE_CURVE = f"""
+late_hours AS (
+  SELECT event_type AS series, CAST(ts AS DATE) AS day, CAST(hour(ts) AS INTEGER) AS hour,
+         sum(CAST(round(value * 100) AS BIGINT)) AS traffic
+  FROM judged WHERE NOT late GROUP BY 1, 2, 3)
+SELECT series, strftime(day, '%Y-%m-%d') AS date, hour,
+       CAST(sum(traffic) OVER (PARTITION BY series, day ORDER BY hour) AS BIGINT) AS cumulative_traffic,
+       CAST({is_holiday_sql('day')} AS INTEGER) AS is_holiday
+FROM late_hours"""
+
+
 ORACLE: dict[str, str] = {
     "hourly_records": HOURLY_RECORDS,
     "hourly_baseline": _with(REC, BASE) + "SELECT * FROM base",
@@ -294,6 +317,18 @@ SELECT h.series, strftime(CAST(h.day AS TIMESTAMP) + to_hours(h.hour), '{DT_FMT}
        strftime(h.day, '%Y-%m-%d') AS date, h.hour, CAST(d.is_holiday AS INTEGER) AS is_holiday,
        h.traffic, h.n_records
 FROM hourly h JOIN days d ON h.day = d.day""",
+    "late_rows": _with(ARRIVED) + f"""
+SELECT event_id, event_type AS series, value, CAST(file AS BIGINT) AS batch_id,
+       strftime(closed_at, '{DT_FMT}') AS closed_at, strftime(watermark, '{DT_FMT}') AS watermark
+FROM judged WHERE late""",
+    "late_curve": _with(ARRIVED, LATE_CURVE),
+    "replay_in_order": _with(LINEITEM) + """
+SELECT series, date, 0 AS hour, CAST(sum(traffic) AS BIGINT) AS cumulative_traffic, is_holiday
+FROM drec GROUP BY series, date, is_holiday""",
+    "cumulative_stream_keyed": CURVE_SQL,
+    "incremental_baseline": _with(REC, BASE) + "SELECT * FROM base",
+    "incremental_average": _with(REC, DAVG) + "SELECT * FROM davg",
+    "incremental_total": _with(REC, TOTAL) + "SELECT * FROM total",
     "rolling_topk": _with(REC, ROLL) + """
 SELECT * FROM roll ORDER BY "current_time", series LIMIT 20""",
     "curve_ordered": _with(REC, CURVE) + "SELECT * FROM curve ORDER BY series, date, hour",

@@ -27,10 +27,13 @@ from flowtally.sources import read_raw_csv, read_result_parts, read_result_table
 from flowtally.sources.testdata import (EVENTS_SCHEMA, SERIES, event_hourly, event_stream, events_clean,
                                         lineitem_records, order_records, table)
 from flowtally.schemas import CLEAN_SCHEMA, conform
-from flowtally.sources.stream import file_stream
-from flowtally.streaming import (alerts_stream, alerts_stream_records, cumulative_stream,
-                                 end_marker, replay_lateness, rolling_stream, run_to_table,
-                                 running_day_mean_stream, with_end_marker)
+from flowtally.sinks.keyed import KeyedTable
+from flowtally.sources.stream import FileInput, file_stream
+from flowtally.plans.incremental import arrive, hour_state, results
+from flowtally.streaming import (LateRows, alerts_stream, alerts_stream_records, cumulative_stream,
+                                 end_marker, read_late, replay_in_order, replay_lateness, rolling_stream,
+                                 run_to_table, running_day_mean_stream, with_end_marker)
+from flowtally.streaming.runner import output_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 SERIES_FIELD = T.StructType([T.StructField("series", T.StringType())])
@@ -170,6 +173,92 @@ def q_rolling24_stream_unordered(spark, sf_dir):
     return run_to_table(spark, plan, "rolling24_unordered")
 
 
+def _files_in_turn(spark, sf_dir, files=4):
+    """The events as files that came one after the other, each over the whole
+    time: file k holds the ids with remainder k."""
+    path = scratch_path(spark, "in_turn")
+    for k in range(files):
+        table(spark, sf_dir, "events").where(F.col("event_id") % files == k).coalesce(1) \
+            .write.mode("append").parquet(path)
+    return FileInput(path, EVENTS_SCHEMA)
+
+
+def _late_replay(spark, sf_dir, lateness="5 days"):
+    """The curve of what a short lateness keeps, and the rows it does not."""
+    source, root = _files_in_turn(spark, sf_dir), scratch_path(spark, "late")
+    late = LateRows(source, "ts", F.col("ts").isNotNull() & F.col("value").isNotNull())
+    plan = cumulative_stream(events_clean(source.stream(spark, 1)), SERIES, lateness=lateness)
+    curve = run_to_table(spark, plan, "late", root, late="store", late_rows=late)
+    return curve, read_late(spark, f"{root}/late", late)
+
+
+def q_late_rows(spark, sf_dir):
+    """The rows that came too late, whole, with the end of their window."""
+    return _late_replay(spark, sf_dir)[1].select(
+        "event_id", F.col("event_type").alias("series"), "value", "batch_id",
+        F.date_format("closed_at", "yyyy-MM-dd HH:mm:ss").alias("closed_at"),
+        F.date_format("watermark", "yyyy-MM-dd HH:mm:ss").alias("watermark"))
+
+
+def q_late_curve(spark, sf_dir):
+    """W2 over the rows that came in time."""
+    return _late_replay(spark, sf_dir)[0]
+
+
+def q_replay_in_order(spark, sf_dir, files=24):
+    """The line items, clustered by date over files, replayed in time
+    order with the lateness that the files' overlap asks for."""
+    path = scratch_path(spark, "clustered")
+    table(spark, sf_dir, "lineitem").repartitionByRange(files, "l_shipdate").write.parquet(path)
+    source = FileInput(path, spark.read.parquet(path).schema)
+
+    def curve(raw, lateness):
+        rows = clean(raw, "l_shipdate", F.round(F.col("l_extendedprice") * 100), {"series": "l_returnflag"})
+        return cumulative_stream(rows, SERIES, lateness=lateness)
+
+    return replay_in_order(spark, source, "l_shipdate", curve, "replay_in_order", files_per_wave=6)
+
+
+def q_cumulative_stream_keyed(spark, sf_dir):
+    """K3: micro-batches merged by key into a table of few files a month."""
+    events, lateness = _unordered(spark, sf_dir, files=8), replay_lateness(events_clean(table(spark, sf_dir, "events")))
+    plan = cumulative_stream(events, SERIES, lateness=lateness)
+    kept = KeyedTable(spark, scratch_path(spark, "keyed"), output_schema(spark, plan), plan.keys,
+                      "substring(date, 1, 7)", deltas=3)
+    return run_to_table(spark, plan, "cumulative_keyed", table=kept)
+
+
+def _arrivals(spark, sf_dir, files=3):
+    """Hour sums after the events came file by file, with a repeated arrival."""
+    source = scratch_path(spark, "arrivals")
+    state = hour_state(spark, scratch_path(spark, "hour_state"), SERIES_FIELD, deltas=2)
+
+    def read(paths):
+        return events_clean(spark.read.schema(EVENTS_SCHEMA).parquet(*paths))
+
+    for k in range(files):
+        table(spark, sf_dir, "events").where(F.col("event_id") % files == k).coalesce(1) \
+            .write.mode("append").parquet(source)
+        arrive(state, source, read, SERIES)
+    arrive(state, source, read, SERIES)
+    return state
+
+
+def q_incremental_baseline(spark, sf_dir):
+    """A1 from the stored hour sums."""
+    return results(_arrivals(spark, sf_dir), SERIES)["batch_hourly_baseline"]
+
+
+def q_incremental_average(spark, sf_dir):
+    """A2 from the stored hour sums."""
+    return results(_arrivals(spark, sf_dir), SERIES)["batch_daily_average"]
+
+
+def q_incremental_total(spark, sf_dir):
+    """A3 from the stored hour sums."""
+    return results(_arrivals(spark, sf_dir), SERIES)["batch_daily_total"]
+
+
 CLEAN_STREAM_SCHEMA = T.StructType([T.StructField("series", T.StringType())]
                                    + list(CLEAN_SCHEMA.fields))
 
@@ -435,6 +524,13 @@ QUERIES: dict[str, Query] = {
     "dirty_csv_rejected": q_dirty_csv_rejected,
     "dirty_csv_stream": q_dirty_csv_stream,
     "csv_round_trip": q_csv_round_trip,
+    "late_rows": q_late_rows,
+    "late_curve": q_late_curve,
+    "replay_in_order": q_replay_in_order,
+    "cumulative_stream_keyed": q_cumulative_stream_keyed,
+    "incremental_baseline": q_incremental_baseline,
+    "incremental_average": q_incremental_average,
+    "incremental_total": q_incremental_total,
     "rolling_topk": q_rolling_topk,
     "curve_ordered": q_curve_ordered,
 }

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import shutil
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -62,3 +65,49 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
     return reader.load(path)
+
+
+@dataclass
+class FileInput:
+    """A folder of files that a stream reads, and any of them as a batch."""
+
+    path: str
+    schema: T.StructType
+    fmt: str = "parquet"
+    glob: str | None = None
+    options: dict = field(default_factory=dict)
+
+    def stream(self, spark: SparkSession, max_files_per_trigger: int | None = None,
+               glob: str | None = None) -> DataFrame:
+        return file_stream(spark, self.path, self.schema, self.fmt, glob or self.glob,
+                           max_files_per_trigger, self.options)
+
+    def rows(self, spark: SparkSession, paths: Sequence[str] | None = None) -> DataFrame:
+        """The rows of ``paths``, by default of all files."""
+        reader = spark.read.schema(self.schema).format(self.fmt).options(**self.options)
+        if self.fmt == "csv":
+            reader = reader.option("header", True)
+        if paths is not None:
+            return reader.load(list(paths))
+        return (reader.option("pathGlobFilter", self.glob) if self.glob else reader).load(self.path)
+
+
+def modified(spark: SparkSession, path: str) -> dict[str, float]:
+    """When the entries directly below ``path`` were last changed, by name
+    (seconds since the epoch)."""
+    fs, p = _file_system(spark, path)
+    if fs is None:
+        names = os.listdir(path) if os.path.isdir(path) else []
+        return {n: os.path.getmtime(f"{path}/{n}") for n in names}
+    if not fs.exists(p):
+        return {}
+    return {st.getPath().getName(): st.getModificationTime() / 1000 for st in fs.listStatus(p)}
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` and what is below it."""
+    fs, p = _file_system(spark, path)
+    if fs is None:
+        shutil.rmtree(path, ignore_errors=True)
+    else:
+        fs.delete(p, True)

@@ -46,6 +46,7 @@ class StreamPlan:
     mode: str
     per_batch: Callable[[DataFrame], DataFrame] | None = None
     stateful: bool = True
+    closes: Callable[[Column], Column] | None = None    # when the first window of a row of that ``ts`` ends
 
 
 def replay_lateness(clean_batch: DataFrame) -> str:
@@ -76,6 +77,14 @@ def end_marker(clean_batch: DataFrame, folder: str, lateness: str, days: int = 1
     last.where(F.col("ts").isNotNull()).select(*empty).write.mode("append").parquet(folder)
 
 
+def _hour_end(ts: Column) -> Column:
+    return event_time(F.date_trunc("hour", ts).cast("timestamp_ntz")) + F.expr("interval 1 hour")
+
+
+def _day_end(ts: Column) -> Column:
+    return event_time(F.to_date(ts).cast("timestamp_ntz")) + F.expr("interval 1 day")
+
+
 def _combined(combine: str):
     """How the records of one hour become its traffic, as in the batch."""
     return {"sum": F.sum, "max": F.max}[combine]
@@ -129,7 +138,7 @@ def alerts_stream(clean_stream: DataFrame, baseline: DataFrame, series: Sequence
     frame = _flagged(hours, holidays).select(*series, _hour_string(F.col("day"), F.col("hour")).alias("date_time"),
                          date_string(F.col("day")).alias("date"), "hour", "is_holiday", "traffic")
     return StreamPlan(frame, [*series, "date_time"], _mode(mode),
-                      lambda b: alerts_batch(b, baseline, series, high, low))
+                      lambda b: alerts_batch(b, baseline, series, high, low), closes=_hour_end)
 
 
 def alerts_stream_records(hourly_stream: DataFrame, baseline: DataFrame,
@@ -181,7 +190,7 @@ def cumulative_stream(clean_stream: DataFrame, series: Sequence[str] = (),
              .select(*series, date_string(F.col("day")).alias("date"),
                      F.col("hour").cast("int").alias("hour"),
                      F.col("cum").alias("cumulative_traffic"), "is_holiday"))
-    return StreamPlan(frame, [*series, "date", "hour"], _mode(mode))
+    return StreamPlan(frame, [*series, "date", "hour"], _mode(mode), closes=_day_end)
 
 
 def running_day_mean_stream(clean_stream: DataFrame, series: Sequence[str] = (),
@@ -197,7 +206,7 @@ def running_day_mean_stream(clean_stream: DataFrame, series: Sequence[str] = (),
                      F.concat(date_string(F.col("day")), F.lit(" 00:00:00")).alias("window_start"),
                      mean_of(F.col("cum"), F.col("seen")).alias("avg_traffic"),
                      F.col("seen").cast("int").alias("data_count")))
-    return StreamPlan(frame, [*series, "current_time"], _mode(mode))
+    return StreamPlan(frame, [*series, "current_time"], _mode(mode), closes=_day_end)
 
 
 def rolling_stream(clean_stream: DataFrame, series: Sequence[str] = (),
@@ -243,4 +252,4 @@ def rolling_stream(clean_stream: DataFrame, series: Sequence[str] = (),
                      hour_index_to_string(t - (hours - 1)).alias("window_start"),
                      mean_of(F.col("_s"), F.col("_n")).alias("avg_traffic"),
                      F.col("_n").cast("int").alias("data_count")))
-    return StreamPlan(frame, [*series, "current_time"], _mode(mode))
+    return StreamPlan(frame, [*series, "current_time"], _mode(mode), closes=_day_end)
