@@ -21,13 +21,12 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import re
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +34,7 @@ from flowtally.llm.common import store
 from flowtally.llm.words import text_chunks
 
 PARTS_KEPT = 1 << 17        # parts of texts whose ids a worker remembers
-BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+LINKS = 1 << 18             # links that are counted at a time
 
 _PAIRS: dict[tuple[str, str], "Pair"] = {}
 
@@ -104,29 +103,23 @@ class Pair:
                 and not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
                 and self.b.normalize(odd) == "▁" + odd.replace(" ", "▁"))
 
-    def _learn(self, parts: list[str]) -> None:
-        """Remember the ids of the parts (with a space before each); none of
-        a part that its tokens do not spell."""
-        spaced = [" " + x for x in parts]
+    def _learn(self, parts: list[bytes]) -> None:
+        """Remember the ids of the parts, which start with a space; none of a
+        part that its tokens do not spell."""
+        spaced = [x.decode("utf-8", "replace") for x in parts]
         a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        b = self.b.encode(parts, num_threads=1)
-        want = [x.encode("utf-8", "surrogatepass") for x in spaced]
-        whole, sizes = b"".join(want), list(map(len, want))
-        bad: set[int] = set()
-        for found, spelt in ((a, self.bytes_a), (b, self.bytes_b)):
-            tokens = [spelt[i] for ids in found for i in ids]
-            ends = np.concatenate([[0], np.cumsum(list(map(len, tokens)))])[np.cumsum(list(map(len, found)))]
-            if b"".join(tokens) != whole or np.any(ends != np.cumsum(sizes)):
-                bad.update(i for i, ids in enumerate(found) if b"".join([spelt[k] for k in ids]) != want[i])
-        for i, part in enumerate(parts):
-            self.known[part] = None if i in bad else (array("i", a[i]).tobytes(), array("i", b[i]).tobytes())
-
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        b = self.b.encode([x[1:] for x in spaced], num_threads=1)
+        for part, ids_a, ids_b in zip(parts, a, b):
+            spelt = (b"".join([self.bytes_a[i] for i in ids_a]) == part
+                     and b"".join([self.bytes_b[i] for i in ids_b]) == part)
+            self.known[part] = (array("i", ids_a).tobytes(), array("i", ids_b).tobytes()) if spelt else None
+
+    def encode(self, texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of A and of B for each text; none of a text whose tokens do
         not spell it.  Parts between single spaces are encoded once."""
-        parts = [(BETWEEN.split(t) if self.splits else [t]) if t else [] for t in texts]
-        of_text = np.cumsum([0] + list(map(len, parts)))
-        code, distinct = pd.factorize(np.array([x for part in parts for x in part], dtype=object))
+        parts, of_text = spaced_parts(texts, self.splits)
+        coded = parts.dictionary_encode()
+        code, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
         if len(self.known) > PARTS_KEPT:
             self.known.clear()
         new = [x for x in distinct if x not in self.known]
@@ -149,6 +142,37 @@ class Pair:
         return out[0], out[1]
 
 
+def spaced_parts(texts: pa.Array, split: bool = True) -> tuple[pa.Array, np.ndarray]:
+    """The parts of every text with a space before it, and the first part of
+    each text: the bytes of all parts in a row are those of the spaced texts.
+
+    A text is parted before a single space between two characters that are
+    surely not white space: printable ASCII, or two bytes from U+00C0 on.
+    Null and empty texts have no part.
+    """
+    column = pc.fill_null(texts.cast(pa.large_binary()), b"")
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:column.offset + len(column) + 1]
+    raw = column.buffers()[2]
+    data = np.frombuffer(raw, dtype=np.uint8)[offsets[0]:offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
+    edges = offsets - offsets[0]
+    full = np.flatnonzero(np.diff(edges))
+    data = np.insert(data, edges[:-1][full], 0x20)
+    first = edges[:-1][full] + np.arange(len(full))         # the added spaces
+    cut = np.zeros(len(data), dtype=bool)
+    if split and len(data) > 2:
+        ascii_, lead = (data > 0x20) & (data < 0x7F), (data >= 0xC3) & (data <= 0xDF)
+        ends = ascii_.copy()
+        ends[1:] |= lead[:-1] & (data[1:] >= 0x80)
+        cut[1:-1] = (data[1:-1] == 0x20) & ends[:-2] & (ascii_ | lead)[2:]
+    cut[first] = True
+    starts = np.flatnonzero(cut).astype(np.int64)
+    parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [
+        None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(np.ascontiguousarray(data))])
+    per_text = np.zeros(len(column), dtype=np.int64)
+    per_text[full] = np.diff(np.append(np.searchsorted(starts, first), len(starts)))
+    return parts, np.concatenate([[0], np.cumsum(per_text)])
+
+
 def _times(tokens: list[bytes]) -> dict[bytes, int]:
     out: dict[bytes, int] = {}
     for t in tokens:
@@ -263,7 +287,7 @@ def alignments(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = Fa
         both = pair(path_a, path_b)
         for batch in batches:
             for chunk in text_chunks(batch):
-                ids_a, ids_b = both.encode([t or "" for t in chunk.column("text").to_pylist()])
+                ids_a, ids_b = both.encode(chunk.column("text"))
                 ends = aligned(both, ids_a, ids_b)
                 texts = [groups_text(both, a, b, *e) for a, b, e in zip(ids_a, ids_b, ends)]
                 out = {
@@ -294,10 +318,20 @@ def _flat(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
     return a * width + b, np.diff(batch.column("link_a").offsets.to_numpy())
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``LINKS`` links."""
+    for batch in batches:
+        part = np.cumsum(np.diff(batch.column("link_a").offsets.to_numpy()), dtype=np.int64) // LINKS
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            if hi > lo:
+                yield batch.slice(lo, hi - lo)
+
+
 def link_counts(links: DataFrame, width: int) -> DataFrame:
     """link (``a * width + b``) and n: how often the two ids are linked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             found, n = np.unique(_flat(batch, width)[0], return_counts=True)
             yield pa.RecordBatch.from_pydict({"link": pa.array(found), "n": pa.array(n.astype(np.int64))})
 
@@ -329,7 +363,7 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links, n, best = shared.value
-        for batch in batches:
+        for batch in _slices(batches):
             found, sizes = _flat(batch, width)
             at = np.searchsorted(links, found)
             row = np.repeat(np.arange(batch.num_rows), sizes)

@@ -4,6 +4,7 @@ from collections import Counter
 from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from flowtally.llm import alignment
@@ -89,7 +90,7 @@ def test_parts_as_whole_texts():
     bits = [" ", " ", "  ", "\n", "\t ", "\u00a0", "\u3000", "\x1c", "\u180e", "'s", "n't", "12", "é", "e\u0301", "\u0301",
             "日本", "\U0001f600", "\u200d", "ab", "The", ".", ",", "--", "<|endoftext|>", "</s>", "ſ", "\u0130"]
     texts = ["".join(r.choice(bits) for _ in range(r.randrange(1, 25))) for _ in range(3000)]
-    for text, a, b in zip(texts, *both.encode(texts)):
+    for text, a, b in zip(texts, *both.encode(pa.array(texts))):
         ids_a, spelt_a, ids_b, spelt_b = tokens(text)
         if b"".join(spelt_a) == b"".join(spelt_b) == (" " + text).encode():
             assert (a.tolist(), b.tolist()) == (ids_a, ids_b)
@@ -97,6 +98,15 @@ def test_parts_as_whole_texts():
             assert not len(a) and not len(b)
 
 
+def test_parts_spell_the_texts():
+    texts = pa.array(["a b", None, "", " x  y z", "é ü", "日本 語", "n\u00a0 m o", "end "])
+    parts, first = alignment.spaced_parts(texts)
+    parts = [p.decode() for p in parts.to_pylist()]
+    spelt = [parts[lo:hi] for lo, hi in zip(first, first[1:])]
+    assert spelt == [[" a", " b"], [], [], ["  x  y", " z"], [" é", " ü"], [" 日本 語"], [" n\u00a0 m", " o"],
+                     [" end "]]
+
+
 def test_groups_spell_the_text(docs_of):
     text = "Naïve tokenisers disagree: 12345 übergroß, isn't it?"
     row = alignment.alignments(docs_of([(1, text)]), A, B, keep_groups=True).first()
