@@ -22,7 +22,8 @@ iban      mod 97 is 1                                    country, letters; check
 ssn       area, group and serial in use                  hyphens
 phone     7 to 15 digits                                 country code, punctuation
 ip        four numbers up to 255                         dots
-date      a day of 1900 to 2099                          order and punctuation
+date      a day of 1900 to 2099                          order and punctuation; whether a
+                                                         text is a date in one order only
 ========  =============================================  =======================
 
 Letters and digits of an e-mail's name move within ASCII, Latin-1, or the run
@@ -45,7 +46,7 @@ KEY = "pseudonyms-1"        # a deployment passes its own secret
 ROUNDS = 8
 
 # The forms, in the order in which they are tried.
-EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 DATE = (r"(?<![0-9.\-/])(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4})"
         r"(?![0-9]|[.\-/][0-9])")
@@ -60,7 +61,10 @@ NUMBERS = (IBAN, DATE, IP, SSN, CARD, PHONE)
 PATTERN = "|".join((EMAIL, *NUMBERS))
 WITHOUT_EMAIL = "|".join(NUMBERS)
 KINDS = ("email", "iban", "date", "ip", "ssn", "card", "phone")
-FIRST_DAY, DAYS = "1900-01-01", (229, 319)      # 229 * 319 days, to 2099-12-31
+FIRST_DAY, DAYS = "1900-01-01", (229, 319)      # 229 * 319 days, to 2100-01-02
+MONTHS = 2400                                   # to 2099-12
+TURNED = ("MM-dd-yyyy", "MM.dd.yyyy", "dd/MM/yyyy")     # read only where the other order is no date
+FROM_13TH, FROM_13TH_ROOM = 44_249, (177, 250)  # their days: from the 13th on; one place more
 AREAS, GROUPS, SERIALS = 898, 99, 9999          # 001-899 without 666; 01-99; 0001-9999
 ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
              "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ")
@@ -269,19 +273,54 @@ def _ip(m: Column, key: str) -> Column:
                for v in (p.x, p.y) for high in (True, False)))))
 
 
+def _since_first(day: Column) -> Column:
+    return F.datediff(day, F.to_date(F.lit(FIRST_DAY)))
+
+
+def _moved_day(at: Column, key: str) -> Column:
+    """The pseudonym of day ``at`` among all days."""
+    moved = feistel(F.floor(at / DAYS[1]), at % DAYS[1], *DAYS, key, "date")
+    return let(moved, lambda p: F.date_add(F.to_date(F.lit(FIRST_DAY)), (p.x * DAYS[1] + p.y).cast("int")))
+
+
+def _moved_late_day(day: Column, key: str) -> Column:
+    """The pseudonym of a day from the 13th on among such days."""
+    first, room = F.to_date(F.lit(FIRST_DAY)), FROM_13TH_ROOM[1]
+
+    def month_start(m: Column) -> Column:       # such days before month m
+        return F.datediff(F.add_months(first, m), first) - 12 * m
+
+    def step(at: Column) -> Column:
+        return let(feistel(F.floor(at / room), at % room, *FROM_13TH_ROOM, key, "late date"),
+                   lambda p: p.x * room + p.y)
+
+    def day_at(at: Column) -> Column:
+        guess = F.floor(at * MONTHS / FROM_13TH).cast("int")        # at most one month off
+        month = F.array_max(F.filter(F.array(guess - 1, guess, guess + 1), lambda m: month_start(m) <= at))
+        return let(month, lambda m: F.date_add(F.add_months(first, m), (12 + at - month_start(m)).cast("int")))
+
+    month = (F.year(day) - int(FIRST_DAY[:4])) * 12 + F.month(day) - 1
+    # The one place beyond is stepped over: stepping from it never ends there again.
+    once = let(step((_since_first(day) - 12 * (month + 1)).cast("long")),
+               lambda at: F.when(at == FROM_13TH, step(at)).otherwise(at))
+    return let(once, day_at)
+
+
 def _date(m: Column, key: str) -> Column:
+    """A date keeps its form.  Where two orders of day and month share a form,
+    the texts that are dates in the first order, and those that are dates in
+    the other order only, are permuted each among themselves."""
     out = F.lit(None).cast("string")
     # Day first comes before month first but for slashes; the first valid one counts.
-    for form in ("MM-dd-yyyy", "MM.dd.yyyy", "dd/MM/yyyy", "MM/dd/yyyy", "dd-MM-yyyy", "dd.MM.yyyy",
-                 "yyyy.MM.dd", "yyyy/MM/dd", "yyyy-MM-dd"):
+    for form in (*TURNED, "MM/dd/yyyy", "dd-MM-yyyy", "dd.MM.yyyy", "yyyy.MM.dd", "yyyy/MM/dd", "yyyy-MM-dd"):
         day = F.try_to_timestamp(m, F.lit(form)).cast("date")
-        at = F.datediff(day, F.to_date(F.lit(FIRST_DAY)))
-        moved = feistel(F.floor(at / DAYS[1]), at % DAYS[1], *DAYS, key, "date")
-        fresh = let(moved, lambda p: F.date_add(F.to_date(F.lit(FIRST_DAY)),
-                                                (p.x * DAYS[1] + p.y).cast("int")))
+        at = _since_first(day)
+        if form in TURNED:
+            fine, fresh = (F.dayofmonth(day) > 12) & (at >= 0) & (at < FROM_13TH + 12 * MONTHS), _moved_late_day(day, key)
+        else:
+            fine, fresh = (at >= 0) & (at < DAYS[0] * DAYS[1]), _moved_day(at, key)
         shape = "^" + form.translate(str.maketrans({c: "[0-9]" for c in "yMd"})).replace(".", r"\.") + "$"
-        out = F.when(m.rlike(shape) & (at >= 0) & (at < DAYS[0] * DAYS[1]),
-                     F.date_format(fresh, form)).otherwise(out)
+        out = F.when(m.rlike(shape) & fine, F.date_format(fresh, form)).otherwise(out)
     return out
 
 

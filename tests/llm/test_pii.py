@@ -1,3 +1,4 @@
+import datetime as dt
 import hashlib
 import random
 import re
@@ -113,6 +114,58 @@ def test_n_chars_follows(docs_of):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+FIRST = dt.date(1900, 1, 1)
+
+
+def valid(text, form):
+    """The day that ``text`` is in an order of fields such as "dmy"."""
+    field = dict(zip(form, re.split("[-/.]", text)))
+    try:
+        return dt.date(*(int(field[c]) for c in "ymd"))
+    except ValueError:
+        return None
+
+
+def brute_date(text):
+    """A date's pseudonym by counting through the calendar."""
+    first, other = ("mdy", "dmy") if "/" in text else ("dmy", "mdy")
+    sign = re.search("[-/.]", text)[0]
+    if valid(text, first):
+        at = (valid(text, first) - FIRST).days
+        x, y = brute_feistel(at // 319, at % 319, 229, 319, "date")
+        day, form = FIRST + dt.timedelta(x * 319 + y), first
+    else:
+        late = [FIRST + dt.timedelta(i) for i in range(73_049) if (FIRST + dt.timedelta(i)).day > 12]
+        at = late.index(valid(text, other))
+        while True:
+            x, y = brute_feistel(at // 250, at % 250, 177, 250, "late date")
+            at = x * 250 + y
+            if at < len(late):
+                break
+        day, form = late[at], other
+    return sign.join({"d": f"{day.day:02}", "m": f"{day.month:02}", "y": f"{day.year:04}"}[c] for c in form)
+
+
+@pytest.mark.parametrize("sign", "/-.")
+def test_no_two_dates_share_a_pseudonym(spark, sign):
+    days = [FIRST + dt.timedelta(i) for i in range(73_049)]
+    texts = sorted({t for d in days for t in (f"{d:%m{sign}%d{sign}%Y}", f"{d:%d{sign}%m{sign}%Y}")})
+    assert len(texts) == 117_298
+    df = spark.createDataFrame([(t,) for t in texts], "m string").repartition(8)
+    got = {r.m: r.p or r.m for r in df.select("m", pii.pseudonym(F.col("m")).alias("p")).collect()}
+    assert len(set(got.values())) == len(texts)
+    first = "mdy" if sign == "/" else "dmy"
+    assert all((valid(a, first) is None) == (valid(b, first) is None) for a, b in got.items())
+    r = random.Random(3)
+    for text in r.sample(texts, 60):
+        assert got[text] == brute_date(text)
+
+
+def test_domains_of_any_letters(docs_of):
+    text = pii.pseudonymised(docs_of([(1, "an anna.maier@bücher.de, bitte")])).first().text
+    assert "anna" not in text and "@bücher.de, bitte" in text
+
+
 NAMES = ("иван.петров", "γιάννης", "محمد", "山田太郎", "김철수", "straße", "œuvre", "żółw", "ışık.çağ", "ivan.петров",
          "\U0001d49c\U0001d49e\U0001d4aa", "ÿµß")
 
