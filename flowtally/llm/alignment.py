@@ -34,6 +34,7 @@ from flowtally.llm.common import store
 from flowtally.llm.words import text_chunks
 
 PARTS_KEPT = 1 << 17        # parts of texts whose ids a worker remembers
+LEARNT = 1 << 13            # parts that are encoded at a time
 LINKS = 1 << 18             # links that are counted at a time
 
 _PAIRS: dict[tuple[str, str], "Pair"] = {}
@@ -68,7 +69,7 @@ class Pair:
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.sizes_a = np.array([len(t) for t in self.bytes_a], dtype=np.int64)
         self.sizes_b = np.array([len(t) for t in self.bytes_b], dtype=np.int64)
-        self.splits, self.known = self._splits(), {}
+        self.splits, self.known, self.earlier = self._splits(), {}, {}
         self.spelt = [np.array([f"{i}{mark}" for i in range(max(len(self.bytes_a), len(self.bytes_b)))],
                                dtype=object) for mark in ",|;"]
 
@@ -114,18 +115,26 @@ class Pair:
                      and b"".join([self.bytes_b[i] for i in ids_b]) == part)
             self.known[part] = (array("i", ids_a).tobytes(), array("i", ids_b).tobytes()) if spelt else None
 
+    def _looked_up(self, parts: list[bytes]) -> list:
+        """What is known of the parts.  Parts not met while ``PARTS_KEPT``
+        others were learnt are forgotten."""
+        if len(self.known) > PARTS_KEPT:
+            self.earlier, self.known = self.known, {}
+        known, earlier = self.known, self.earlier
+        new = [x for x in parts if x not in known]
+        known.update((x, earlier[x]) for x in new if x in earlier)
+        new = [x for x in new if x not in earlier]
+        for i in range(0, len(new), LEARNT):
+            self._learn(new[i:i + LEARNT])
+        return [known[x] for x in parts]
+
     def encode(self, texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of A and of B for each text; none of a text whose tokens do
         not spell it.  Parts between single spaces are encoded once."""
         parts, of_text = spaced_parts(texts, self.splits)
         coded = parts.dictionary_encode()
         code, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
-        if len(self.known) > PARTS_KEPT:
-            self.known.clear()
-        new = [x for x in distinct if x not in self.known]
-        if new:
-            self._learn(new)
-        found = [self.known[x] for x in distinct]
+        found = self._looked_up(distinct)
         spelt = np.array([x is not None for x in found], dtype=bool)
         broken = np.concatenate([[0], np.cumsum(~spelt[code])])
         out = []
