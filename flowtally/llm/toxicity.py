@@ -7,10 +7,12 @@ as much.  A text's neighbours are the labelled examples of the largest exact
 cosine, found in a block-max inverted index.  The lists of most terms are short
 and read whole.  Terms that more than one example in ``COMMON`` holds are a
 dense matrix by example; examples are dealt into blocks of ``BLOCK``, every
-such term keeps its largest weight in each block, and only examples whose
-bound reaches the ``NEIGHBOURS``-th cosine are multiplied out.  Neighbours vote
-with a weight that grows as their distance falls, and isotonic regression over
-the examples' own leave-one-out votes turns the vote into a probability.
+such term keeps its largest weight in each block, and only blocks that hold an
+example whose bound reaches the ``NEIGHBOURS``-th cosine are multiplied out:
+first in single precision, for all texts of a batch that need the block, then
+in double precision the examples that may be among the nearest.  Neighbours
+vote with a weight that grows as their distance falls, and isotonic regression
+over the examples' own leave-one-out votes turns the vote into a probability.
 Texts without a term of any example have no neighbours and take the rate of
 such examples.
 
@@ -19,50 +21,56 @@ by a hash of doc_id; of rows that share text and label one).  Vocabulary and
 index hold all their terms and are bounded by it.  Terms that no example has
 count in a text's length, with the root mean square IDF of such terms in the
 corpus.  Everything else covers every row.
+
+The index is kept as numbers of occurrences, from which weights follow, and is
+sent to the tasks once, compressed.
 """
 
 from __future__ import annotations
 
+import io
 import math
 import re
-from collections import Counter
+import uuid
 from collections.abc import Iterator
 from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowtally.llm.common import share_hash, store
+from flowtally.llm.words import text_chunks
 
 FIT_ROWS = 20_000
+FIT_TASKS = 64
 LEAST_DF = 5                # examples that hold a term that is tested
 TERM_LEVEL = 0.01           # chance that any of all tested terms is chosen without cause
 TELLING = 3.0
 NEIGHBOURS = 15
 BLOCK = 64
-COMMON = 8
+COMMON = 20                 # of so many examples one holds a term of the matrix
 FIRST = 64                  # examples multiplied out for a first k-th cosine
-COUNTED = 1 << 18           # terms that a worker counts before it passes them on
+TOGETHER = 64              # texts whose neighbours are sought at a time
+ROUGH = 1e-4                # more than single precision can be off
 REMEMBERED = 20_000         # answers for equal texts that a worker keeps
 PREFIXES = (4, 5)
 WORD = re.compile(r"[^\W\d_]+")
 
+_LOADED: dict[str, "Examples"] = {}
+
 
 def text_words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def prefixes(words) -> set[str]:
-    """Prefix terms (marked by a trailing ``*``) of longer words."""
-    return {w[:n] + "*" for n in PREFIXES for w in words if len(w) > n}
-
-
 def term_keys(terms) -> np.ndarray:
-    """64-bit numbers that stand for the terms."""
+    """64-bit numbers that stand for the terms (prefixes have a trailing ``*``)."""
     digest = xxhash.xxh64_intdigest
     return np.fromiter((digest(t.encode("utf-8", "surrogatepass")) for t in terms),
                        dtype=np.uint64, count=len(terms)).view(np.int64)
@@ -72,26 +80,50 @@ def text_digest(text: str) -> bytes:
     return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
 
 
-def _term_counts(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows and toxic rows that hold each term, for batches together."""
-    every, toxic = Counter(), Counter()
-
-    def counted() -> pd.DataFrame:
-        return pd.DataFrame({"term": term_keys(every), "n": list(every.values()),
-                             "n_toxic": [toxic[t] for t in every]})
-
-    for batch in rows:
-        labels = batch["label"] if "label" in batch else [0] * len(batch)
-        for text, label in zip(batch["text"], labels):
-            words = set(text_words(text))
-            terms = words | prefixes(words)
-            every.update(terms)
-            if label:
-                toxic.update(terms)
-            if len(every) >= COUNTED:
-                yield counted()
-                every, toxic = Counter(), Counter()
-    yield counted()
+def term_table(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, text, term, n): the distinct terms of ``texts`` by ascending key,
+    and for every text and term in it how often it occurs, by text."""
+    words = [text_words(t) for t in texts]
+    of_text = np.repeat(np.arange(len(words)), list(map(len, words)))
+    code, distinct = pd.factorize(np.array([w for ws in words for w in ws], dtype=object))
+    sizes = np.array(list(map(len, distinct)), dtype=np.int64)
+    keys, texts_of, marks = [term_keys(distinct)], [of_text], [code]
+    for n in PREFIXES:
+        longer = np.flatnonzero(sizes > n)
+        place = np.full(len(distinct), -1, dtype=np.int64)
+        place[longer] = sum(map(len, keys)) + np.arange(len(longer))
+        keys.append(term_keys([distinct[i][:n] + "*" for i in longer]))
+        mine = place[code]
+        texts_of.append(of_text[mine >= 0])
+        marks.append(mine[mine >= 0])
+    found, number = np.unique(np.concatenate(keys), return_inverse=True)
+    term = number[np.concatenate(marks)] if len(found) else np.zeros(0, dtype=np.int64)
+    pair, n = np.unique(np.concatenate(texts_of) * max(1, len(found)) + term, return_counts=True)
+    return found, pair // max(1, len(found)), pair % max(1, len(found)), n
+
+
+def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows and toxic rows that hold each term, for the rows of a batch."""
+    for batch in batches:
+        parts = []
+        for chunk in text_chunks(batch):
+            keys, text, term, _ = term_table(chunk.column("text").to_pylist())
+            toxic = (chunk.column("label").to_numpy(zero_copy_only=False)[text] > 0
+                     if "label" in batch.schema.names else np.zeros(len(text), dtype=bool))
+            parts.append((keys, np.bincount(term, minlength=len(keys)),
+                          np.bincount(term[toxic], minlength=len(keys))))
+        if parts:
+            keys, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            every, toxic = (np.bincount(at, weights=np.concatenate([p[i] for p in parts]), minlength=len(keys))
+                            for i in (1, 2))
+            yield pa.RecordBatch.from_pydict({"term": pa.array(keys), "n": pa.array(every.astype(np.int64)),
+                                              "n_toxic": pa.array(toxic.astype(np.int64))})
+
+
+def _tally(counts: np.ndarray) -> np.ndarray:
+    """Counts in as few bytes as they need."""
+    top = counts.max(initial=0)
+    return counts.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32)
 
 
 class Examples:
@@ -99,116 +131,195 @@ class Examples:
 
     def __init__(self, idf: dict[str, float]):
         self.name_terms(term_keys(idf), np.array(list(idf.values()), dtype=float))
+        self.name = uuid.uuid4().hex
         self.ids = np.zeros(0, dtype=np.int64)
+        self.texts = np.zeros(0, dtype=np.int64)
         self.labels = np.zeros(0)
         self.bare_rate = 0.0
         self.base_rate = 0.0
         self.votes, self.rates = np.array([0.0]), np.array([0.0])
         self.answers: dict = {}
+        self._ready = False
+        self._broadcast = None
 
     def name_terms(self, keys: np.ndarray, idf: np.ndarray, other: float = 1.0) -> None:
         """Set the terms, their weights and that of a term of no example."""
         order = np.argsort(keys)
         self.keys, self.idf, self.other = keys[order], idf[order], other
 
-    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers and TF-IDF weights of the examples' terms in a text,
-        as parts of a vector of unit length over all terms of the text."""
-        counts = Counter(text_words(text))
-        starts: Counter = Counter()
-        for n in PREFIXES:
-            for w, c in counts.items():
-                if len(w) > n:
-                    starts[w[:n] + "*"] += c
-        counts.update(starts)
-        if not counts:
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        keys = term_keys(counts)
-        order = np.argsort(keys)
-        keys = keys[order]
+    def vectors(self, texts) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Term numbers and TF-IDF weights of the examples' terms in each
+        text, as parts of a vector of unit length over all terms of the text."""
+        keys, text, term, n = term_table(texts)
         at = np.searchsorted(self.keys, keys)
         known = at < len(self.keys)
         known[known] = self.keys[at[known]] == keys[known]
-        weights = 1 + np.log(np.fromiter(counts.values(), dtype=float, count=len(counts))[order])
-        weights[known] *= self.idf[at[known]]
-        weights[~known] *= self.other
-        return at[known], weights[known] / math.sqrt(float((weights * weights).sum()))
+        idf = np.full(len(keys), float(self.other))
+        idf[known] = self.idf[at[known]]
+        weights = (1 + np.log(n)) * idf[term]
+        cuts = np.searchsorted(text, np.arange(len(texts) + 1))
+        out = []
+        for lo, hi in zip(cuts, cuts[1:]):
+            mine, w = term[lo:hi], weights[lo:hi]
+            length = math.sqrt(float((w * w).sum())) or 1.0
+            held = known[mine]
+            out.append((at[mine[held]], w[held] / length))
+        return out
 
-    def build(self, ids, labels, vectors) -> None:
-        """Index the examples that have a vector, those of one leading common
-        term side by side so that blocks differ."""
-        sizes = np.bincount(np.concatenate([np.zeros(0, dtype=np.int64), *(v[0] for v in vectors)])
-                            .astype(np.int64), minlength=len(self.idf))
-        live = [i for i, v in enumerate(vectors) if len(v[0])]
-        common = np.flatnonzero(sizes * COMMON > len(live))
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        return self.vectors([text])[0]
+
+    def _split_terms(self, sizes: np.ndarray, live: int) -> None:
+        common = np.flatnonzero(sizes * COMMON > live)
         self.column = np.full(len(self.idf), -1, dtype=np.int32)
         self.column[common] = np.arange(len(common))
 
-        def leading(i: int) -> int:
-            at, weights = vectors[i]
-            weights = np.where(self.column[at] >= 0, weights, 0)
-            return int(at[np.argmax(weights)]) if weights.any() else -1
-
-        order = sorted(live, key=lambda i: (leading(i), ids[i]))
-        self.ids = np.array([ids[i] for i in order], dtype=np.int64)
-        self.labels = np.array([labels[i] for i in order], dtype=float)
-        # Common terms: a dense row for each example, the largest weight in each block.
-        self.dense = np.zeros((len(order), len(common)))
-        sizes[common] = 0
-        self.starts = np.concatenate([[0], np.cumsum(sizes)])
-        self.places = np.zeros(self.starts[-1], dtype=np.int32)
-        self.weights = np.zeros(self.starts[-1])
-        end = self.starts[:-1].copy()
-        for place, i in enumerate(order):
-            at, weights = vectors[i]
-            columns = self.column[at]
-            self.dense[place, columns[columns >= 0]] = weights[columns >= 0]
-            at, weights = at[columns < 0], weights[columns < 0]
-            self.places[end[at]] = place
-            self.weights[end[at]] = weights
-            end[at] += 1
-        self.bounds = np.zeros((len(common), -(-len(order) // BLOCK)))
-        for b in range(self.bounds.shape[1]):
-            self.bounds[:, b] = self.dense[b * BLOCK:(b + 1) * BLOCK].max(axis=0, initial=0)
-        bare = [labels[i] for i, v in enumerate(vectors) if not len(v[0])]
+    def _rates(self, bare_labels, labels) -> None:
         self.base_rate = float(np.mean(labels)) if len(labels) else 0.0
         # One example's worth of the base rate steadies small groups.
-        self.bare_rate = (sum(bare) + self.base_rate) / (len(bare) + 1)
+        self.bare_rate = (float(sum(bare_labels)) + self.base_rate) / (len(bare_labels) + 1)
+
+    def build(self, ids, labels, vectors) -> None:
+        """Index the examples that have a vector, those of one leading common
+        term side by side so that blocks differ."""
+        live = [i for i, v in enumerate(vectors) if len(v[0])]
+        row = np.repeat(np.arange(len(live)), [len(vectors[i][0]) for i in live]).astype(np.int64)
+        none = np.zeros(0, dtype=np.int64)
+        at = np.concatenate([none, *(vectors[i][0] for i in live)]).astype(np.int64)
+        weights = np.concatenate([none, *(vectors[i][1] for i in live)]).astype(float)
+        self._split_terms(np.bincount(at, minlength=len(self.idf)), len(live))
+        self._rates([labels[i] for i, v in enumerate(vectors) if not len(v[0])], labels)
+        self._arrange(np.array([ids[i] for i in live], dtype=np.int64), np.zeros(len(live), dtype=np.int64),
+                      np.array([labels[i] for i in live], dtype=float), row, at, weights)
+        self.held, self.exact = self.held_counts, True
+        self._finish()
+
+    def build_counts(self, ids, texts, labels, row, at, counts) -> None:
+        """Index examples by how often (``counts``) each (``row``) holds which
+        term (``at``, ascending in a row): rows by number, all with a term."""
+        self._split_terms(np.bincount(at, minlength=len(self.idf)), len(ids))
+        weights = (1 + np.log(counts.astype(float))) * self.idf[at]
+        norms = np.sqrt(np.bincount(row, weights=weights * weights, minlength=len(ids)))
+        order = self._arrange(ids, texts, labels, row, at, _tally(counts), weights / norms[row])
+        self.norms = norms[order]
+
+    def _arrange(self, ids, texts, labels, row, at, values, weights=None) -> np.ndarray:
+        """Deal examples into places and values into lists and the matrix."""
+        weights = values if weights is None else weights
+        column = self.column[at]
+        dense = column >= 0
+        width = int(self.column.max(initial=-1)) + 1
+        leading = np.full(len(ids), -1, dtype=np.int64)
+        # A row's first of the largest weights comes last here.
+        best = np.lexsort((-at[dense], weights[dense], row[dense]))
+        leading[row[dense][best]] = at[dense][best]
+        order = np.lexsort((ids, leading))
+        place = np.empty(len(ids), dtype=np.int64)
+        place[order] = np.arange(len(ids))
+        self.ids, self.texts, self.labels = ids[order], texts[order], labels[order]
+        self.matrix_counts = np.zeros((len(ids), width), dtype=values.dtype)
+        self.matrix_counts[place[row[dense]], column[dense]] = values[dense]
+        listed, where = at[~dense], place[row[~dense]]
+        by_term = np.argsort(listed * max(1, len(ids)) + where)
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(listed, minlength=len(self.idf)))])
+        self.places = where[by_term].astype(np.uint16 if len(ids) < 1 << 16 else np.int32)
+        self.held_counts = values[~dense][by_term]
+        return order
+
+    def ready(self) -> "Examples":
+        """Work the weights out of the counts, once."""
+        if not self._ready:
+            if not hasattr(self, "norms"):
+                self.norms = np.ones(len(self.ids))
+            common = np.flatnonzero(self.column >= 0)
+            terms = np.repeat(np.arange(len(self.idf)), np.diff(self.starts))
+            self.held = (1 + np.log(self.held_counts.astype(float))) * self.idf[terms] / self.norms[self.places]
+            self.common_idf, self.exact = self.idf[common], False
+            self._finish()
+        return self
+
+    def _finish(self) -> None:
+        blocks = -(-len(self.ids) // BLOCK)
+        every = np.arange(self.matrix_counts.shape[1])
+        self.rough = np.zeros(self.matrix_counts.shape, dtype=np.float32)
+        self.bounds = np.zeros((len(every), blocks))
+        for b in range(blocks):
+            places = np.arange(b * BLOCK, min((b + 1) * BLOCK, len(self.ids)))
+            rows = self._rows(places, every)
+            self.rough[places] = rows
+            self.bounds[:, b] = rows.max(axis=0, initial=0)
+        self._ready = True
+
+    def _rows(self, places: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """Weights of examples in columns of the matrix, in double precision."""
+        stored = self.matrix_counts[places[:, None], columns]
+        if self.exact:
+            return stored
+        times = np.zeros(stored.shape)
+        some = stored > 0
+        times[some] = 1 + np.log(stored[some].astype(float))
+        return times * self.common_idf[columns] / self.norms[places][:, None]
+
+    def nearest_of(self, vectors, k: int = NEIGHBOURS, without=None) -> list[list[tuple[float, int]]]:
+        """For each vector (cosine, place) of the k nearest examples with a
+        positive cosine, ties to the smaller id; ``without`` are the places
+        of examples that are left out, one a vector."""
+        self.ready()
+        n, width = len(self.ids), self.matrix_counts.shape[1]
+        blocks = self.bounds.shape[1]
+        if not n:
+            return [[] for _ in vectors]
+        part = np.zeros((len(vectors), n))
+        query = np.zeros((len(vectors), width))
+        for i, (at, weights) in enumerate(vectors):
+            columns = self.column[at]
+            query[i, columns[columns >= 0]] = weights[columns >= 0]
+            listed = at[columns < 0]
+            if not len(listed):
+                continue
+            spans = [slice(a, b) for a, b in zip(self.starts[listed].tolist(), self.starts[listed + 1].tolist())]
+            size = self.starts[listed + 1] - self.starts[listed]
+            held = np.concatenate([self.held[x] for x in spans])
+            held *= np.repeat(weights[columns < 0], size)
+            part[i] = np.bincount(np.concatenate([self.places[x] for x in spans]), minlength=n, weights=held)
+        if without is not None:
+            part[np.arange(len(vectors)), without] = -np.inf
+        upper = part + np.repeat(query @ self.bounds, BLOCK, axis=1)[:, :n]
+        single = query.astype(np.float32)
+        least = np.zeros(len(vectors))      # no k-th cosine is lower
+        if n > FIRST:
+            first = np.argpartition(upper, n - FIRST, axis=1)[:, n - FIRST:]
+            for i, places in enumerate(first):
+                known = part[i, places] + self.rough[places] @ single[i]
+                least[i] = max(0.0, np.partition(known, -k)[-k] - ROUGH)
+        upper[upper < least[:, None] - 1e-9] = -np.inf
+        padded = np.full((len(vectors), blocks * BLOCK), -np.inf)
+        padded[:, :n] = upper
+        needed = padded.reshape(len(vectors), blocks, BLOCK).max(axis=2) > 0
+        rough = np.full((len(vectors), n), -np.inf, dtype=np.float32)
+        for b in np.flatnonzero(needed.any(axis=0)):
+            rows = np.flatnonzero(needed[:, b])
+            span = slice(b * BLOCK, min((b + 1) * BLOCK, n))
+            rough[rows, span] = single[rows] @ self.rough[span].T + part[rows, span]
+        out = []
+        for i in range(len(vectors)):
+            places = np.flatnonzero((rough[i] > 0) & (rough[i] >= least[i] - ROUGH))
+            if len(places) > k:
+                values = rough[i, places]
+                places = places[values >= np.partition(values, -k)[-k] - 2 * ROUGH]
+            columns = np.flatnonzero(query[i])
+            cosines = part[i, places] + self._rows(places, columns) @ query[i, columns]
+            best = sorted((-round(float(c), 12), int(self.ids[p]), int(p))
+                          for p, c in zip(places, cosines) if c > 0)[:k]
+            out.append([(-c, place) for c, _, place in best])
+        return out
 
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS,
                 without: int | None = None) -> list[tuple[float, int]]:
-        """(cosine, place) of the k nearest examples with a positive cosine,
-        ties to the smaller id; ``without`` is an example's own place."""
-        n = len(self.ids)
-        if not len(at) or not n:
+        """The nearest examples of one vector."""
+        if not len(at) or not len(self.ids):
             return []
-        columns = self.column[at]
-        listed = at[columns < 0]
-        lo = self.starts[listed]
-        size = self.starts[listed + 1] - lo
-        index = np.arange(size.sum()) + np.repeat(lo - np.cumsum(size) + size, size)
-        part = np.bincount(self.places[index], minlength=n,
-                           weights=self.weights[index] * np.repeat(weights[columns < 0], size))
-        query = np.zeros(self.dense.shape[1])
-        query[columns[columns >= 0]] = weights[columns >= 0]
-        upper = part + np.repeat(query @ self.bounds, BLOCK)[:n]
-        if without is not None:
-            upper[without] = 0
-        places = np.flatnonzero(upper > 0)
-        if len(places) > FIRST:
-            first = places[np.argpartition(-upper[places], FIRST)[:FIRST]]
-            known = part[first] + self.dense[first] @ query
-            places = places[upper[places] >= np.partition(known, -k)[-k] - 1e-9]
-        if 2 * len(places) > n:
-            cosines = (part + self.dense @ query)[places]
-        else:
-            cosines = part[places] + self.dense[places] @ query
-        if len(places) > k:     # ties of the k-th value stay in
-            keep = cosines >= np.partition(cosines, -k)[-k] - 1e-9
-            places, cosines = places[keep], cosines[keep]
-        best = sorted((-round(float(c), 12), int(self.ids[p]), int(p))
-                      for p, c in zip(places, cosines) if c > 0)[:k]
-        return [(-c, place) for c, _, place in best]
+        return self.nearest_of([(at, weights)], k, None if without is None else [without])[0]
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         """The distance-weighted share of toxic neighbours, against as many
@@ -235,18 +346,21 @@ class Examples:
         self.votes = np.array([p[0] / p[2] for p in pools])
         self.rates = np.array([p[1] / p[2] for p in pools])
 
-    def score(self, text: str | None) -> tuple[float, list[int], list[float]]:
-        """Probability of being toxic, and the evidence: neighbours' ids and
-        cosines."""
-        key = text_digest(text or "")
-        if key not in self.answers:
-            if len(self.answers) >= REMEMBERED:
-                self.answers.clear()
-            self.answers[key] = self._answer(*self.vector(text))
-        return self.answers[key]
-
-    def _answer(self, at: np.ndarray, weights: np.ndarray) -> tuple[float, list[int], list[float]]:
-        near = self.nearest(at, weights)
+    def scores(self, texts) -> list[tuple[float, list[int], list[float]]]:
+        """For each text the probability of being toxic, and the evidence:
+        neighbours' ids and cosines."""
+        digests = [text_digest(t or "") for t in texts]
+        new = {d: t for d, t in zip(digests, texts) if d not in self.answers}
+        if len(self.answers) + len(new) > REMEMBERED:
+            self.answers.clear()
+            new = dict(zip(digests, texts))
+        asked, vectors = list(new), self.vectors(list(new.values()))
+        for i in range(0, len(asked), TOGETHER):
+            for d, near in zip(asked[i:i + TOGETHER], self.nearest_of(vectors[i:i + TOGETHER])):
+                self.answers[d] = self._answer(near)
+        return [self.answers[d] for d in digests]
+
+    def _answer(self, near: list[tuple[float, int]]) -> tuple[float, list[int], list[float]]:
         if not near:
             return self.bare_rate, [], []
         vote = self.vote(near)
@@ -255,36 +369,87 @@ class Examples:
         score = min(1.0, max(0.0, 0.999 * rate + 0.001 * vote))
         return score, [int(self.ids[p]) for _, p in near], [c for c, _ in near]
 
+    def shared(self, spark):
+        """The index as the tasks get it, sent once: compressed counts."""
+        if self._broadcast is None:
+            out = io.BytesIO()
+            arrays = {a: getattr(self, a) for a in ("keys", "idf", "ids", "texts", "labels", "column", "starts", "places",
+                                                    "held_counts", "matrix_counts", "norms") if hasattr(self, a)}
+            np.savez(out, other=self.other, base_rate=self.base_rate, **arrays)
+            packed = zstandard.ZstdCompressor(3).compress(out.getbuffer())
+            self._broadcast = spark.sparkContext.broadcast((self.name, packed))
+        return self._broadcast
+
+    def outcome(self) -> tuple[np.ndarray, np.ndarray, float]:
+        """What turns votes into scores."""
+        return self.votes, self.rates, self.bare_rate
+
+
+def loaded(shared, outcome=None) -> Examples:
+    """The index in a worker, unpacked once."""
+    name, packed = shared.value
+    if name not in _LOADED:
+        _LOADED.clear()
+        model = Examples({})
+        made = np.load(io.BytesIO(zstandard.ZstdDecompressor().decompress(packed)))
+        for a in made.files:
+            setattr(model, a, made[a])
+        model.other, model.base_rate = float(made["other"]), float(made["base_rate"])
+        _LOADED[name] = model.ready()
+    model = _LOADED[name]
+    if outcome is not None:
+        model.votes, model.rates, model.bare_rate = outcome
+    return model
+
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text, label of the rows that may be learnt from: labelled, and
     crc32(doc_id as text) mod 5 is not 0.  A doc_id that repeats in ``labels``
     is toxic where one of its rows is."""
-    known = (labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
-             .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label")))
-    return (docs.select("doc_id", "text").join(known, "doc_id")
-            .filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0))
+    return docs.select("doc_id", "text").join(_labels(labels), "doc_id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Examples:
-    """Learn vocabulary, index and calibration from about ``fit_rows`` rows."""
-    known = labelled(docs, labels)
-    total = known.count()
-    model = Examples({})
-    if not total:
-        model.build([], [], [])
-        return model
-    rate = min(1.0, fit_rows / total)
+def _labels(labels: DataFrame) -> DataFrame:
+    return (labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
+            .filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+            .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label")))
+
+
+def sample(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame:
+    """About ``fit_rows`` of the rows that may be learnt from (doc_id, h, text,
+    label), written once; of rows that share text and label the one of the
+    smallest doc_id.  Texts move only when they are chosen."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    own = own.withColumns({"h": F.xxhash64("text"), "size": F.coalesce(F.length("text"), F.lit(0))})
+    known = store(own.select("doc_id", "h", "size").join(_labels(labels), "doc_id"), "toxicity-labels")
+    rate = min(1.0, fit_rows / max(1, known.count()))
     # Copies of a text would make all its words look telling: one of each stays.
-    rows = known.filter(share_hash("doc_id") < int(rate * 1_000_000)).withColumn(
-        "copy", F.row_number().over(Window.partitionBy(F.xxhash64("text"), F.length("text"), "label")
-                                    .orderBy("doc_id")))
-    rows = store(rows.filter("copy = 1").drop("copy"), "toxicity-fit")
+    picked = store(known.filter(share_hash("doc_id") < int(rate * 1_000_000))
+                   .groupBy("h", "size", "label").agg(F.min("doc_id").alias("doc_id")), "toxicity-picked")
+    few = picked.count() <= 2 * fit_rows        # as expected: ids and hashes of that many rows
+    rows = own.join(F.broadcast(picked) if few else picked, ["doc_id", "h", "size"])
+    names = ["doc_id", "h", "size", "label"]
+    return store(rows.repartition(FIT_TASKS, *names).groupBy(*names).agg(F.first("text").alias("text")), "toxicity-fit")
+
+
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, telling: float = TELLING) -> Examples:
+    """Learn vocabulary, index and calibration from about ``fit_rows`` rows.
+
+    Null doc_ids and null labels are not learnt from; null texts are, as texts
+    without terms.  Without labelled rows the model gives every text 0.
+    """
+    spark = docs.sparkSession
+    rows = sample(docs, labels, fit_rows)
     seen = rows.agg(F.count("*"), F.sum("label")).first()
     n, n_toxic = seen[0], seen[1] or 0
-    counts = (rows.select("text", "label").mapInPandas(_term_counts, "term long, n long, n_toxic long")
+    model = Examples({})
+    if not n:
+        model.build([], [], [])
+        return model
+    counts = (rows.select("text", "label").mapInArrow(_term_counts, "term long, n long, n_toxic long")
               .groupBy("term").agg(F.sum("n").alias("df"), F.sum("n_toxic").alias("a")))
-    corpus = (docs.select("text").mapInPandas(_term_counts, "term long, n long, n_toxic long")
+    corpus = (docs.select(F.col("text").cast("string").alias("text"))
+              .mapInArrow(_term_counts, "term long, n long, n_toxic long")
               .groupBy("term").agg(F.sum("n").alias("docs")))
     n_docs = docs.count()
     idf = F.log(F.lit(1.0 + n_docs) / (1 + F.col("docs"))) + 1
@@ -299,53 +464,86 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Example
     odds = (F.col("a") * d - b * c).cast("double")
     below = (F.col("df") * (F.lit(n) - F.col("df"))).cast("double") * F.lit(float(n_toxic)) \
         * F.lit(float(n - n_toxic))
-    telling = (F.col("df") >= LEAST_DF) & (below > 0) & (
+    tells = (F.col("df") >= LEAST_DF) & (below > 0) & (
         F.lit(float(n)) * odds * odds / F.when(below > 0, below) >= least)
     chosen = terms.filter("df IS NOT NULL").select(
-        "term", (F.col("idf") * F.when(telling, TELLING).otherwise(1.0)).alias("weight")
+        "term", (F.col("idf") * F.when(tells, telling).otherwise(1.0)).alias("weight")
     ).toArrow()     # the terms of at most about ``fit_rows`` rows, 16 bytes each
     model.name_terms(chosen["term"].to_numpy(), chosen["weight"].to_numpy(), facts[1] or 1.0)
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    del chosen
+    vocabulary = spark.sparkContext.broadcast(model.keys)
 
-    def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = vocabulary.value
         for batch in batches:
-            made = [shared.value.vector(t) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"],
-                                "at": [v[0].astype("<i4").tobytes() for v in made],
-                                "weights": [v[1].astype("<f8").tobytes() for v in made]})
-
-    sample = store(rows.mapInPandas(vectors, "doc_id long, label int, at binary, weights binary"),
-                   "toxicity-vectors")
-    listed = sample.orderBy("doc_id", "label", "at").toArrow()      # bounded by ``fit_rows``, sparse
-    made = [(np.frombuffer(at.as_buffer(), dtype="<i4"), np.frombuffer(weights.as_buffer(), dtype="<f8"))
-            for at, weights in zip(listed["at"], listed["weights"])]
-    model.build(listed["doc_id"].to_pylist(), listed["label"].to_pylist(), made)
-    del made, listed
-    place = {int(i): p for p, i in enumerate(model.ids)}
-    held = spark.sparkContext.broadcast((model, place))
-
-    def own_votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        examples, places = held.value
+            for chunk in text_chunks(batch):
+                keys, text, term, n = term_table(chunk.column("text").to_pylist())
+                at = np.searchsorted(known, keys)[term].astype("<i4")
+                cuts = np.searchsorted(text, np.arange(chunk.num_rows + 1))
+                times = n.astype("<u4")
+                yield pa.RecordBatch.from_pydict({
+                    **{c: chunk.column(c) for c in ("doc_id", "h", "label")},
+                    "at": pa.array([at[lo:hi].tobytes() for lo, hi in zip(cuts, cuts[1:])], pa.binary()),
+                    "n": pa.array([_narrow(times[lo:hi]) for lo, hi in zip(cuts, cuts[1:])], pa.binary())})
+
+    made = store(rows.select("doc_id", "h", "label", "text").mapInArrow(
+        tallied, "doc_id long, h long, label int, at binary, n binary"), "toxicity-vectors")
+    _index(model, made)
+    vocabulary.destroy()
+    shared = model.shared(spark)
+
+    def own_votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        examples = loaded(shared)
+        place = {k: p for p, k in enumerate(zip(examples.ids.tolist(), examples.texts.tolist(),
+                                                examples.labels.tolist()))}
         for batch in batches:
-            out = []
-            for doc_id, label, at, weights in zip(*(batch[c] for c in ("doc_id", "label", "at", "weights"))):
-                near = examples.nearest(np.frombuffer(at, dtype="<i4"), np.frombuffer(weights, dtype="<f8"),
-                                        without=places.get(int(doc_id)))
-                if near:
-                    out.append((examples.vote(near), label))
-            yield pd.DataFrame(out, columns=["vote", "label"]).astype({"vote": "float64", "label": "int32"})
-
-    votes = (sample.repartition(64, "doc_id").mapInPandas(own_votes, "vote double, label int")
-             .orderBy("vote", "label").collect())
-    if votes:
-        model.calibrate(np.array([r.vote for r in votes]), np.array([float(r.label) for r in votes]))
-    # Every executor holds a file of each: what used them is written or collected.
-    shared.destroy()
-    held.destroy()
+            for i in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(i, TOGETHER).to_pydict()
+                own = [place.get(x) for x in zip(part["doc_id"], part["h"], map(float, part["label"]))]
+                mine = [j for j, p in enumerate(own) if p is not None]
+                vectors = [_weighed(examples, part["at"][j], part["n"][j], own[j]) for j in mine]
+                near = examples.nearest_of(vectors, without=[own[j] for j in mine]) if mine else []
+                found = [(examples.vote(x), part["label"][j]) for j, x in zip(mine, near) if x]
+                yield pa.RecordBatch.from_pydict({"vote": pa.array([v for v, _ in found], pa.float64()),
+                                                  "label": pa.array([y for _, y in found], pa.int32())})
+
+    votes = made.mapInArrow(own_votes, "vote double, label int").toArrow()
+    if len(votes):
+        order = np.lexsort((votes["label"].to_numpy(), votes["vote"].to_numpy()))
+        model.calibrate(votes["vote"].to_numpy()[order], votes["label"].to_numpy()[order].astype(float))
     return model
 
 
+def _narrow(counts: np.ndarray) -> bytes:
+    """Counts as bytes if all are below 256, else as 32-bit numbers."""
+    return (b"\x01" + counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256
+            else b"\x04" + counts.astype("<u4").tobytes())
+
+
+def _wide(packed) -> np.ndarray:
+    return np.frombuffer(packed, dtype=np.uint8 if memoryview(packed)[0] == 1 else "<u4", offset=1)
+
+
+def _weighed(model: Examples, at, n, place: int) -> tuple[np.ndarray, np.ndarray]:
+    """The vector of an example from its counts."""
+    at = np.frombuffer(at, dtype="<i4").astype(np.int64)
+    return at, (1 + np.log(_wide(n).astype(float))) * model.idf[at] / model.norms[place]
+
+
+def _index(model: Examples, made: DataFrame) -> None:
+    """Build the index from the examples' counts, bounded by ``fit_rows``."""
+    listed = made.orderBy("doc_id", "label", "h").toArrow().combine_chunks()
+    ids, texts, labels = (listed[c].to_numpy() for c in ("doc_id", "h", "label"))
+    sizes = np.array([len(x.as_buffer()) // 4 for x in listed["at"]], dtype=np.int64)
+    at = np.concatenate([np.zeros(0, "<i4"), *(np.frombuffer(x.as_buffer(), dtype="<i4") for x in listed["at"])])
+    counts = np.concatenate([np.zeros(0, np.uint16), *(_tally(_wide(x.as_buffer())) for x in listed["n"])])
+    del listed
+    live = sizes > 0
+    model._rates(labels[~live].tolist(), labels)
+    model.build_counts(ids[live], texts[live], labels[live].astype(float),
+                       np.repeat(np.arange(live.sum(), dtype=np.int32), sizes[live]), at, counts)
+
+
 SCORES = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("score", T.DoubleType()),
     T.StructField("neighbours", T.ArrayType(T.LongType())),
@@ -361,16 +559,19 @@ def toxicity_scores(docs: DataFrame, model: Examples) -> DataFrame:
     A null doc_id stays null and counts as held out.  Without labelled rows
     every score is 0.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, outcome = model.shared(docs.sparkSession), model.outcome()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [shared.value.score(t) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"),
-                                "score": [x[0] for x in out], "neighbours": [x[1] for x in out],
-                                "cosines": [x[2] for x in out]})
-
-    scored = docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, SCORES)
+            for chunk in text_chunks(batch):
+                out = loaded(shared, outcome).scores(chunk.column("text").to_pylist())
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": chunk.column("doc_id"), "score": pa.array([x[0] for x in out], pa.float64()),
+                    "neighbours": pa.array([x[1] for x in out], pa.list_(pa.int64())),
+                    "cosines": pa.array([x[2] for x in out], pa.list_(pa.float64()))})
+
+    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                         F.col("text").cast("string").alias("text")).mapInArrow(run, SCORES)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
     return scored.select("doc_id", held.alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"),
@@ -379,12 +580,17 @@ def toxicity_scores(docs: DataFrame, model: Examples) -> DataFrame:
 
 def without_toxic(docs: DataFrame, model: Examples) -> DataFrame:
     """``docs`` without the rows whose text scores 0.5 or more; all columns
-    and every other row are kept, null texts too."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    and every other row are kept: null and empty texts, null doc_ids and
+    repeated rows too.  An empty table gives no rows.
+    """
+    shared, outcome = model.shared(docs.sparkSession), model.outcome()
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            yield pd.Series([shared.value.score(t)[0] for t in batch], dtype=float)
+            found = []
+            for i in range(0, len(batch), 4 * TOGETHER):
+                found += [x[0] for x in loaded(shared, outcome).scores(batch.iloc[i:i + 4 * TOGETHER].tolist())]
+            yield pd.Series(found, dtype=float)
 
     return docs.filter(score("text") < 0.5)
