@@ -7,9 +7,9 @@ configuration says how many pieces of each class share one sequence.  The
 covering program (fewest sequences that hold all pieces) is solved by
 multiplicative weights: every class has a price that decays with its coverage,
 an unbounded-knapsack dynamic program finds the dearest configuration at these
-prices, and its amount grows by a fixed share of the class that binds.  The
-fractional amounts are rounded down and the pieces left over are placed by
-best fit, in bulk over the same histogram.
+prices, and its amount grows by a fixed share of the class that binds, until
+every class is covered.  The fractional amounts are rounded down and the pieces
+left over are placed by best fit, in bulk over the same histogram.
 
 Spark does the rest: pieces are tokenised once and stored, get a rank within
 their length from two-level counts (length, bucket), and each rank falls into
@@ -19,6 +19,7 @@ one interval of the plan.
 from __future__ import annotations
 
 import bisect
+import json
 import math
 import zlib
 from collections.abc import Iterator
@@ -33,8 +34,7 @@ from flowtally.llm.common import store
 
 END_ID = 1
 UNIT = 4
-ROUNDS = 800
-STEP = 0.5
+STEP = 0.5              # share of the binding class's demand that a round covers
 WORDS_KEPT = 1 << 19        # words whose ids one Python worker remembers
 BUCKET_ROWS = 20_000
 
@@ -52,19 +52,37 @@ def _byte_letters() -> list[str]:
 SPELLED = _byte_letters()
 
 
+# Steps of a tokenizer that drops white space, lower-cases, and never joins across white space.
+NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True}
+
+
+def by_words(made: dict) -> bool:
+    """Whether a tokenizer, as JSON, has exactly the steps for which a text's
+    ids are those of its white-space free pieces in a row."""
+    split = (made.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    return ((made.get("normalizer") or {}).get("normalizers") == NORMALIZER and len(split) == 2 and split[0] == SPLIT
+            and split[1].get("type") == "ByteLevel" and not split[1].get("add_prefix_space")
+            and not split[1].get("use_regex") and made.get("post_processor") is None
+            and made["model"].get("type") == "BPE" and made["model"].get("end_of_word_suffix") == "</w>")
+
+
 class WordIds(dict):
     """Token ids (little-endian 32-bit bytes) of white-space free pieces.
 
-    The tokenizer drops white space and never joins across it, so a text's
-    ids are those of its pieces in a row.  Words seen before are looked up.
+    A tokenizer that drops white space and never joins across it gives a
+    text the ids of its pieces in a row.  Words seen before are looked up.
     A piece of letters alone is one word of the tokenizer's model and goes to
-    it directly; anything else takes the whole tokenizer.
+    it directly; anything else takes the whole tokenizer.  With any other
+    tokenizer (``whole``) texts are encoded as they are.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.whole = not by_words(json.loads(self.tokenizer.to_str()))
 
     def __missing__(self, word: bytes) -> bytes:
         if len(word) > 1 and word[-1:] in (b".", b",") and _letters(word[:-1]):
@@ -97,6 +115,9 @@ def text_ids(text: str | None, path: str, end_id: int = END_ID) -> bytes:
     words = _WORDS.get(path)
     if words is None:
         words = _WORDS[path] = WordIds(path)
+    if words.whole:
+        found = words.tokenizer.encode(text or "", add_special_tokens=False).ids
+        return np.array([*found, end_id], dtype="<u4").tobytes()
     found = (text or "").encode("utf-8", "replace").split()
     return b"".join(map(words.__getitem__, found)) + end_id.to_bytes(4, "little")
 
@@ -132,13 +153,17 @@ def knapsack(prices: np.ndarray) -> dict[int, int]:
     price that fits the capacity; ``prices[s]`` is that of size s."""
     room = len(prices) - 1
     best, taken = np.zeros(room + 1), np.zeros(room + 1, dtype=np.int64)
+    sizes = np.flatnonzero(prices > 0)
+    upto = np.searchsorted(sizes, np.arange(room + 1), side="right")
+    worth = prices[sizes]
     for c in range(1, room + 1):
-        value = best[c - 1::-1][:c] + prices[1:c + 1]     # sizes 1 .. c
-        s = int(value.argmax())
-        if value[s] > best[c - 1]:
-            best[c], taken[c] = value[s], s + 1
-        else:
-            best[c] = best[c - 1]
+        best[c] = best[c - 1]
+        k = upto[c]
+        if k:
+            value = best[c - sizes[:k]] + worth[:k]
+            s = int(value.argmax())
+            if value[s] > best[c]:
+                best[c], taken[c] = value[s], sizes[s]
     out: dict[int, int] = {}
     c = room
     while c > 0:
@@ -150,31 +175,38 @@ def knapsack(prices: np.ndarray) -> dict[int, int]:
     return out
 
 
-def fractional_plan(demand: np.ndarray, rounds: int = ROUNDS,
-                    step: float = STEP) -> list[tuple[float, dict[int, int]]]:
+def fractional_plan(demand: np.ndarray, step: float = STEP) -> tuple[list[tuple[float, dict[int, int]]], float]:
     """Amounts of configurations that cover ``demand`` (by class size in
-    units): multiplicative weights with knapsack pricing."""
+    units) by multiplicative weights with knapsack pricing, and a lower bound
+    on any such amounts.
+
+    Every round covers at least the share ``step`` of the demand of the class
+    that binds, or what is left of it, so there are at most ``1 / step``
+    rounds to a class and the program ends with every class covered.  Prices
+    over the dearest configuration's price are a dual solution: the demand's
+    worth at them bounds the number of sequences from below.
+    """
     need = demand.astype(float)
     live = need > 0
     cover = np.zeros(len(need))
     sizes = np.arange(len(need), dtype=float)
     amounts: dict[tuple, float] = {}
-    for _ in range(rounds):
-        if not live.any():
-            break
+    bound = float((need * sizes).sum()) / max(1, len(need) - 1)
+    while live.any():
         # A price starts at the class's size and decays as it gets covered.
         prices = np.where(live, sizes * np.exp(-cover), 0.0)
-        config = {s: min(c, int(demand[s])) for s, c in knapsack(prices).items() if live[s]}
-        if not config:
-            break
-        grow = step * min(need[s] / c for s, c in config.items())
-        grow = min(max(grow, 1.0), min((1 - cover[s]) * need[s] / c for s, c in config.items()))
+        packed = knapsack(prices)
+        dearest = sum(prices[s] * c for s, c in packed.items())
+        bound = max(bound, float((need * prices).sum()) / dearest)
+        config = {s: min(c, int(demand[s])) for s, c in packed.items()}
+        left = min((1 - cover[s]) * need[s] / c for s, c in config.items())
+        grow = min(max(step * min(need[s] / c for s, c in config.items()), 1.0), left)
         key = tuple(sorted(config.items()))
         amounts[key] = amounts.get(key, 0.0) + grow
         for s, c in config.items():
             cover[s] += grow * c / need[s]
             live[s] = cover[s] < 1 - 1e-9
-    return [(x, dict(k)) for k, x in amounts.items()]
+    return [(x, dict(k)) for k, x in amounts.items()], bound
 
 
 def best_fit(demand: np.ndarray, opened: list[tuple[int, dict[int, int]]] = (),
@@ -233,27 +265,24 @@ def _by_length(config: dict[int, int], times: int, left: np.ndarray, unit: int):
         yield now, chosen
 
 
-def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:
-    """(number of sequences, {length: pieces}) for a length histogram; every
-    piece has a slot.
-
-    The program's amounts are rounded down: configurations open that many
-    sequences, and best fit places the rest, also into the room they leave.
-    Rounding is tried with configurations of three degrees of fullness; the
-    plan of the fewest sequences is taken, plain best fit's among them.
-    """
+def _classes(histogram: dict[int, int], capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Pieces by length, by class, and the tokens of a class."""
     unit = UNIT if capacity % UNIT == 0 else 1
-    room = capacity // unit
     exact = np.zeros(capacity + 1, dtype=np.int64)
-    demand = np.zeros(room + 1, dtype=np.int64)
+    demand = np.zeros(capacity // unit + 1, dtype=np.int64)
     for length, n in histogram.items():
         exact[length] += n
         demand[math.ceil(length / unit)] += n
-    amounts = sorted(fractional_plan(demand), key=lambda x: -x[0])
-    plans = []
+    return exact, demand, unit
+
+
+def _rounded(exact: np.ndarray, demand: np.ndarray, unit: int, amounts) -> list[tuple[int, dict[int, int]]]:
+    """Whole configurations of the program, completed by best fit: the best of
+    three degrees of fullness that a configuration must have."""
+    room, plans = len(demand) - 1, []
     for unused in (0, room // 64, room):
         left, classes, opened = exact.copy(), demand.copy(), []
-        for amount, config in amounts:
+        for amount, config in sorted(amounts, key=lambda x: -x[0]):
             if sum(s * c for s, c in config.items()) < room - unused:
                 continue
             times = min([math.floor(amount + 1e-9)]
@@ -262,7 +291,40 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, dict[int,
                 classes[s] -= times * c
             opened += _by_length(config, times, left, unit)
         plans.append(best_fit(left, opened))
-    return min([*plans, best_fit(exact)], key=lambda made: sum(times for times, _ in made))
+    return min(plans, key=_sequences)
+
+
+def _sequences(made: list[tuple[int, dict[int, int]]]) -> int:
+    return sum(times for times, _ in made)
+
+
+def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:
+    """(number of sequences, {length: pieces}) for a length histogram; every
+    piece has a slot.
+
+    The program's amounts are rounded down: configurations open that many
+    sequences, and best fit places the rest, also into the room they leave.
+    The plan of the fewest sequences is taken, plain best fit's among them.
+    """
+    exact, demand, unit = _classes(histogram, capacity)
+    return min([_rounded(exact, demand, unit, fractional_plan(demand)[0]), best_fit(exact)], key=_sequences)
+
+
+def plan_facts(histogram: dict[int, int], capacity: int) -> dict[str, float]:
+    """What the program gives for a histogram: classes and those it leaves
+    uncovered, its fractional amount and the lower bound (of the program over
+    classes), sequences by the rounded program, by plain best fit, and the
+    bound by tokens alone."""
+    exact, demand, unit = _classes(histogram, capacity)
+    amounts, bound = fractional_plan(demand)
+    cover = np.zeros(len(demand))
+    for amount, config in amounts:
+        for s, c in config.items():
+            cover[s] += amount * c
+    return {"classes": int((demand > 0).sum()), "uncovered": int((cover < demand * (1 - 1e-6)).sum()),
+            "amount": sum(x for x, _ in amounts), "bound": bound,
+            "program": _sequences(_rounded(exact, demand, unit, amounts)), "best_fit": _sequences(best_fit(exact)),
+            "tokens": math.ceil(sum(length * n for length, n in histogram.items()) / capacity)}
 
 
 def _intervals(configs: list[tuple[int, dict[int, int]]]) -> dict[int, tuple]:

@@ -63,6 +63,73 @@ def test_program_beats_best_fit_where_it_can():
     assert sum(t for t, _ in packing.plan(collections.Counter(lengths), 4096)) < plain
 
 
+def lengths_of(kind):
+    rng = np.random.default_rng(7)
+    if kind == "uniform":
+        return rng.integers(1, 4097, 100_000)
+    if kind == "lognormal":
+        return np.clip(rng.lognormal(5.5, 1.0, 100_000).astype(int), 1, 4096)
+    if kind == "narrow":
+        return rng.integers(1000, 2101, 100_000)
+    import duckdb
+    texts = duckdb.sql("SELECT text FROM '/root/testdata/sf0.1/documents.parquet'").fetchall()
+    ids = [len(packing.text_ids(t, PATH)) // 4 for t, in texts]
+    return np.array([min(4096, n - at) for n in ids for at in range(0, n, 4096)])
+
+
+@pytest.mark.parametrize("kind", ["uniform", "lognormal", "narrow", "sf0.1"])
+def test_the_program_covers_every_class(kind):
+    facts = packing.plan_facts(dict(collections.Counter(lengths_of(kind).tolist())), 4096)
+    print(kind, facts)
+    assert facts["classes"] > 200 and facts["uncovered"] == 0
+    # The dual bound holds, and the program's amounts stay within a tenth of it.
+    assert facts["bound"] <= facts["amount"] <= 1.1 * facts["bound"]
+    assert min(facts["program"], facts["best_fit"]) >= facts["tokens"]
+    assert facts["program"] <= 1.05 * facts["best_fit"]
+
+
+def test_bound_against_brute_force():
+    """Small rooms: the bound is below the fewest sequences found by search."""
+    rng = np.random.default_rng(8)
+
+    def fewest(pieces, room):
+        best = len(pieces)
+
+        def put(i, rooms):
+            nonlocal best
+            if len(rooms) >= best:
+                return
+            if i == len(pieces):
+                best = len(rooms)
+                return
+            for k in range(len(rooms)):
+                if rooms[k] >= pieces[i] and rooms[k] not in rooms[:k]:
+                    put(i + 1, rooms[:k] + [rooms[k] - pieces[i]] + rooms[k + 1:])
+            put(i + 1, rooms + [room - pieces[i]])
+
+        put(0, [])
+        return best
+
+    for _ in range(20):
+        pieces = sorted(rng.integers(1, 14, 9).tolist(), reverse=True)
+        facts = packing.plan_facts(dict(collections.Counter(pieces)), 13)
+        assert facts["bound"] <= fewest(pieces, 13) + 1e-9 <= min(facts["program"], facts["best_fit"]) + 1e-9
+        assert facts["uncovered"] == 0
+
+
+def test_other_vocabularies_encode_whole_texts():
+    """The shortcut by words holds for one kind of tokenizer only."""
+    from tokenizers import Tokenizer
+    other = tokenizer_path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(other)
+    r = random.Random(2)
+    bits = ["word", "Word.", "naïve", "don't", "'s", "3.14", "  ", "\n\n", "Ünï", "，"]
+    for _ in range(200):
+        text = "".join(r.choice(bits) + r.choice(["", " "]) for _ in range(r.randint(0, 12)))
+        want = plain.encode(text, add_special_tokens=False).ids + [1]
+        assert np.frombuffer(packing.text_ids(text, other), dtype="<u4").tolist() == want
+
+
 def check(rows, docs, tokenizer, capacity):
     by_sequence, by_doc = collections.defaultdict(list), collections.defaultdict(list)
     for r in rows:
