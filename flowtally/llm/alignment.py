@@ -128,6 +128,9 @@ class Pair:
             self._learn(new[i:i + LEARNT])
         return [known[x] for x in parts]
 
+    def forget(self) -> None:
+        self.known, self.earlier = {}, {}
+
     def encode(self, texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of A and of B for each text; none of a text whose tokens do
         not spell it.  Parts between single spaces are encoded once."""
@@ -310,6 +313,7 @@ def alignments(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = Fa
                 if keep_groups:
                     out["groups"] = pa.array(texts, pa.string())
                 yield pa.RecordBatch.from_pydict(out)
+        both.forget()       # the worker lives on
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
