@@ -120,12 +120,6 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               "n_toxic": pa.array(toxic.astype(np.int64))})
 
 
-def _tally(counts: np.ndarray) -> np.ndarray:
-    """Counts in as few bytes as they need."""
-    top = counts.max(initial=0)
-    return counts.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32)
-
-
 class Examples:
     """The vocabulary and the block-max index of the labelled examples."""
 
@@ -189,42 +183,77 @@ class Examples:
         weights = np.concatenate([none, *(vectors[i][1] for i in live)]).astype(float)
         self._split_terms(np.bincount(at, minlength=len(self.idf)), len(live))
         self._rates([labels[i] for i, v in enumerate(vectors) if not len(v[0])], labels)
-        self._arrange(np.array([ids[i] for i in live], dtype=np.int64), np.zeros(len(live), dtype=np.int64),
+        self._arrange(np.array([ids[i] for i in live], dtype=np.int64),
                       np.array([labels[i] for i in live], dtype=float), row, at, weights)
         self.held, self.exact = self.held_counts, True
         self._finish()
 
-    def build_counts(self, ids, texts, labels, row, at, counts) -> None:
-        """Index examples by how often (``counts``) each (``row``) holds which
-        term (``at``, ascending in a row): rows by number, all with a term."""
-        self._split_terms(np.bincount(at, minlength=len(self.idf)), len(ids))
-        weights = (1 + np.log(counts.astype(float))) * self.idf[at]
-        norms = np.sqrt(np.bincount(row, weights=weights * weights, minlength=len(ids)))
-        order = self._arrange(ids, texts, labels, row, at, _tally(counts), weights / norms[row])
-        self.norms = norms[order]
-
-    def _arrange(self, ids, texts, labels, row, at, values, weights=None) -> np.ndarray:
-        """Deal examples into places and values into lists and the matrix."""
-        weights = values if weights is None else weights
+    def build_counts(self, ids, texts, labels, rows) -> None:
+        """Index examples of which ``rows[i]`` gives the terms, ascending, and
+        how often each occurs.  A few hundred rows are unpacked at a time."""
+        parts = [slice(i, i + 512) for i in range(0, len(rows), 512)]
+        sizes = np.zeros(len(self.idf), dtype=np.int64)
+        for part in parts:
+            sizes += np.bincount(np.concatenate([at for at, _ in rows[part]]), minlength=len(sizes))
+        self._split_terms(sizes, len(rows))
+        norms, leading = np.zeros(len(rows)), np.full(len(rows), -1, dtype=np.int64)
+        for part in parts:
+            lengths = [len(at) for at, _ in rows[part]]
+            row = np.repeat(np.arange(len(lengths)), lengths)
+            at = np.concatenate([at for at, _ in rows[part]])
+            weights = (1 + np.log(np.concatenate([n for _, n in rows[part]]).astype(float))) * self.idf[at]
+            norms[part] = np.sqrt(np.bincount(row, weights=weights * weights))
+            leading[part] = self._leading(len(lengths), row, at, weights)
+        order = np.lexsort((ids, leading))
+        self.ids, self.texts, self.labels, self.norms = ids[order], texts[order], labels[order], norms[order]
+        top = max((n.max() for _, n in rows), default=0)
+        kind = np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32
+        common = self.column >= 0
+        self.matrix_counts = np.zeros((len(rows), int(common.sum())), dtype=kind)
+        held = int(sizes[~common].sum())
+        listed, counts, upto, each = np.zeros(held, np.int32), np.zeros(held, kind), 0, []
+        for place, i in enumerate(order):
+            at, n = rows[i]
+            column = self.column[at]
+            rare = column < 0
+            self.matrix_counts[place, column[~rare]] = n[~rare]
+            each.append(int(rare.sum()))
+            listed[upto:upto + each[-1]] = at[rare]
+            counts[upto:upto + each[-1]] = n[rare]
+            upto += each[-1]
+        by_term = np.argsort(listed, kind="stable")
+        self.starts = np.concatenate([[0], np.cumsum(np.where(common, 0, sizes))])
+        self.places = np.repeat(np.arange(len(rows), dtype=self._place_kind(len(rows))), each)[by_term]
+        self.held_counts = counts[by_term]
+
+    @staticmethod
+    def _place_kind(n: int):
+        return np.uint16 if n < 1 << 16 else np.int32
+
+    def _leading(self, n: int, row, at, weights) -> np.ndarray:
+        """The common term of the largest weight in each of ``n`` rows, or -1."""
+        dense = self.column[at] >= 0
+        out = np.full(n, -1, dtype=np.int64)
+        # A row's first of the largest weights comes last here.
+        best = np.lexsort((-at[dense].astype(np.int64), weights[dense], row[dense]))
+        out[row[dense][best]] = at[dense][best]
+        return out
+
+    def _arrange(self, ids, labels, row, at, weights) -> None:
+        """Deal examples into places, and weights into lists and the matrix."""
         column = self.column[at]
         dense = column >= 0
-        width = int(self.column.max(initial=-1)) + 1
-        leading = np.full(len(ids), -1, dtype=np.int64)
-        # A row's first of the largest weights comes last here.
-        best = np.lexsort((-at[dense], weights[dense], row[dense]))
-        leading[row[dense][best]] = at[dense][best]
-        order = np.lexsort((ids, leading))
+        order = np.lexsort((ids, self._leading(len(ids), row, at, weights)))
         place = np.empty(len(ids), dtype=np.int64)
         place[order] = np.arange(len(ids))
-        self.ids, self.texts, self.labels = ids[order], texts[order], labels[order]
-        self.matrix_counts = np.zeros((len(ids), width), dtype=values.dtype)
-        self.matrix_counts[place[row[dense]], column[dense]] = values[dense]
+        self.ids, self.texts, self.labels = ids[order], np.zeros(len(ids), dtype=np.int64), labels[order]
+        self.matrix_counts = np.zeros((len(ids), int(self.column.max(initial=-1)) + 1))
+        self.matrix_counts[place[row[dense]], column[dense]] = weights[dense]
         listed, where = at[~dense], place[row[~dense]]
         by_term = np.argsort(listed * max(1, len(ids)) + where)
         self.starts = np.concatenate([[0], np.cumsum(np.bincount(listed, minlength=len(self.idf)))])
-        self.places = where[by_term].astype(np.uint16 if len(ids) < 1 << 16 else np.int32)
-        self.held_counts = values[~dense][by_term]
-        return order
+        self.places = where[by_term].astype(self._place_kind(len(ids)))
+        self.held_counts = weights[~dense][by_term]
 
     def ready(self) -> "Examples":
         """Work the weights out of the counts, once."""
@@ -534,14 +563,11 @@ def _index(model: Examples, made: DataFrame) -> None:
     """Build the index from the examples' counts, bounded by ``fit_rows``."""
     listed = made.orderBy("doc_id", "label", "h").toArrow().combine_chunks()
     ids, texts, labels = (listed[c].to_numpy() for c in ("doc_id", "h", "label"))
-    sizes = np.array([len(x.as_buffer()) // 4 for x in listed["at"]], dtype=np.int64)
-    at = np.concatenate([np.zeros(0, "<i4"), *(np.frombuffer(x.as_buffer(), dtype="<i4") for x in listed["at"])])
-    counts = np.concatenate([np.zeros(0, np.uint16), *(_tally(_wide(x.as_buffer())) for x in listed["n"])])
-    del listed
-    live = sizes > 0
+    rows = [(np.frombuffer(at.as_buffer(), dtype="<i4"), _wide(n.as_buffer()))
+            for at, n in zip(listed["at"], listed["n"])]        # views of the table
+    live = np.array([len(at) > 0 for at, _ in rows], dtype=bool)
     model._rates(labels[~live].tolist(), labels)
-    model.build_counts(ids[live], texts[live], labels[live].astype(float),
-                       np.repeat(np.arange(live.sum(), dtype=np.int32), sizes[live]), at, counts)
+    model.build_counts(ids[live], texts[live], labels[live].astype(float), [r for r, x in zip(rows, live) if x])
 
 
 SCORES = T.StructType([
