@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from flowtally.fixed import HOURS_PER_DAY, ROLLING_HOURS
 from flowtally.functions.scalar import mean_of
-from flowtally.functions.time import hour_index_to_string
+from flowtally.functions.time import hour_index, hour_index_to_string
+from flowtally.operators.joins import join_on
+
+RECORD_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def cumulative_curve(hourly_rec: DataFrame, series: Sequence[str] = ()) -> DataFrame:
@@ -65,6 +68,49 @@ def rolling_mean(hourly_rec: DataFrame, series: Sequence[str] = (),
                     F.col("_n").cast("int").alias("data_count")))
 
 
+def rolling_records(clean_df: DataFrame, series: Sequence[str] = (),
+                    hours: int = ROLLING_HOURS) -> DataFrame:
+    """W4 at every record: mean over the records of ``(t - hours, t]``.
+
+    Output ``(*series, current_time, window_start, traffic, avg_traffic,
+    data_count)`` with one row for each clean record ``(*series, ts, traffic)``;
+    records of one time see each other.
+
+    Plan: the window of a record of hour h is the whole hours ``h - hours`` to
+    ``h - 1``, less the records of hour ``h - hours`` that have left it, plus
+    the records of hour h up to t.  Whole hours are a range window over hourly
+    sums (day halo, as in :func:`rolling_mean`).  Each record enters its own
+    hour and leaves, ``hours`` later, that hour: two copies, summed up in the
+    order of time within one (series, hour), so a window partition holds an
+    hour's records and those of the hour that leaves, however many records the
+    series has.
+    """
+    hour = hour_index(F.col("ts"))
+    rec = clean_df.select(*series, "ts", "traffic", hour.alias("_hour"))
+    sums = rec.groupBy(*series, "_hour").agg(F.sum("traffic").alias("_s"), F.count(F.lit(1)).alias("_n"))
+    day = F.floor(F.col("_hour") / HOURS_PER_DAY)
+    spread = sums.withColumn("_bucket", F.explode(F.sequence(
+        day, F.floor((F.col("_hour") + hours) / HOURS_PER_DAY))))
+    before = Window.partitionBy(*series, "_bucket").orderBy("_hour").rangeBetween(-hours, -1)
+    whole = (spread.withColumns({"_whole_s": F.sum("_s").over(before), "_whole_n": F.sum("_n").over(before)})
+             .where(F.col("_bucket") == day).select(*series, "_hour", "_whole_s", "_whole_n"))
+    enters = rec.select(*series, "_hour", "ts", "traffic", F.lit(1).alias("_sign"))
+    leaves = rec.select(*series, (F.col("_hour") + hours).alias("_hour"),
+                        (F.col("ts") + F.expr(f"interval {hours} hours")).alias("ts"), "traffic",
+                        F.lit(-1).alias("_sign"))
+    upto = Window.partitionBy(*series, "_hour").orderBy("ts")       # equal times are peers
+    moved = (enters.unionByName(leaves)
+             .withColumns({"_s": F.sum(F.col("_sign") * F.col("traffic")).over(upto),
+                           "_n": F.sum("_sign").over(upto)}).where(F.col("_sign") == 1))
+    known = join_on(moved, whole, [*series, "_hour"])
+    total = F.coalesce("_whole_s", F.lit(0)) + F.col("_s")
+    count = F.coalesce("_whole_n", F.lit(0)) + F.col("_n")
+    return known.select(
+        *series, F.date_format("ts", RECORD_TIME).alias("current_time"),
+        F.date_format(F.col("ts") - F.expr(f"interval {hours} hours"), RECORD_TIME).alias("window_start"),
+        "traffic", mean_of(total, count).alias("avg_traffic"), count.cast("int").alias("data_count"))
+
+
 def running_day_mean(hourly_rec: DataFrame, series: Sequence[str] = ()) -> DataFrame:
     """W5 (batch twin): mean of the day's hourly records so far, per hour."""
     w = (Window.partitionBy(*series, "date").orderBy("hour")

@@ -217,6 +217,28 @@ SELECT series, strftime(day, '%Y-%m-%d') AS date, hour,
 FROM late_hours"""
 
 
+# A baseline version holds from its time on and is the mean of the hours before.
+ASOF = f"""
+renewed AS (SELECT unnest([TIMESTAMP '2024-01-08', TIMESTAMP '2024-01-15', TIMESTAMP '2024-01-22']) AS valid_from),
+versions AS (
+  SELECT series, is_holiday, hour, valid_from, CAST(sum(traffic) AS DOUBLE) / count(*) AS baseline
+  FROM rec JOIN renewed ON hour_ts < valid_from GROUP BY 1, 2, 3, 4)
+SELECT r.series, r.date_time, r.traffic, v.baseline, r.is_holiday, r.hour,
+       CASE WHEN r.traffic / NULLIF(v.baseline, 0) >= {HIGH_RATIO} THEN '{HIGH_ALERT}'
+            WHEN r.traffic / NULLIF(v.baseline, 0) <= {LOW_RATIO} THEN '{LOW_ALERT}'
+            ELSE '{NORMAL}' END AS alert_status,
+       strftime(v.valid_from, '{DT_FMT}') AS baseline_version
+FROM rec r ASOF JOIN versions v
+  ON r.series = v.series AND r.is_holiday = v.is_holiday AND r.hour = v.hour AND r.hour_ts >= v.valid_from"""
+LIVE = """
+day_sums AS (SELECT series, date, day(CAST(date AS DATE)) AS d, CAST(sum(traffic) AS BIGINT) AS total
+             FROM rec GROUP BY series, date)
+SELECT series, date, CASE WHEN d % 7 <> 3 THEN total ELSE 0 END AS batch_total,
+       CASE WHEN d % 5 <> 2 THEN total ELSE 0 END AS stream_final, CAST(0 AS BIGINT) AS diff,
+       CASE WHEN d % 5 = 2 THEN 'total only' WHEN d % 7 = 3 THEN 'curve only' ELSE 'both' END AS sides
+FROM day_sums WHERE d % 7 <> 3 OR d % 5 <> 2"""
+
+
 ORACLE: dict[str, str] = {
     "hourly_records": HOURLY_RECORDS,
     "hourly_baseline": _with(REC, BASE) + "SELECT * FROM base",
@@ -329,6 +351,27 @@ FROM drec GROUP BY series, date, is_holiday""",
     "incremental_baseline": _with(REC, BASE) + "SELECT * FROM base",
     "incremental_average": _with(REC, DAVG) + "SELECT * FROM davg",
     "incremental_total": _with(REC, TOTAL) + "SELECT * FROM total",
+    "alerts_asof": _with(REC, ASOF),
+    "alerts_asof_stream": _with(REC, ASOF),
+    "endpoint_live": _with(REC, LIVE),
+    "intake_metrics": DIRTY + """
+SELECT run, metric, CAST(value AS BIGINT) AS value
+FROM (SELECT count(*) AS n, count(*) FILTER (bad) AS n_bad FROM raw),
+     (VALUES ('batch'), ('stream')) AS runs(run),
+     LATERAL (VALUES ('rows_read', n), ('malformed', 0), ('rejected_time', 0), ('rejected_value', n_bad),
+                     ('kept', n - n_bad)) AS m(metric, value)""",
+    "dirty_csv_stream_marked": DIRTY_CURVE_SQL,
+    "rolling_records": """
+WITH records AS (
+  SELECT event_type AS series, ts, CAST(round(value * 100) AS BIGINT) AS traffic
+  FROM events WHERE ts IS NOT NULL AND value IS NOT NULL)
+SELECT series, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS "current_time",
+       strftime(ts - INTERVAL 24 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS window_start, traffic,
+       CAST(sum(traffic) OVER lately AS DOUBLE) / count(*) OVER lately AS avg_traffic,
+       CAST(count(*) OVER lately AS INTEGER) AS data_count
+FROM records
+WINDOW lately AS (PARTITION BY series ORDER BY ts
+                  RANGE BETWEEN INTERVAL '23:59:59.999999' PRECEDING AND CURRENT ROW)""",
     "rolling_topk": _with(REC, ROLL) + """
 SELECT * FROM roll ORDER BY "current_time", series LIMIT 20""",
     "curve_ordered": _with(REC, CURVE) + "SELECT * FROM curve ORDER BY series, date, hour",

@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowtally.functions.holidays import us_federal_holiday
 from flowtally.operators import (alerts, clean, cumulative_curve, daily_average, daily_total,
-                                 hourly, hourly_baseline, rolling_mean, running_day_mean)
+                                 hourly, hourly_baseline, rolling_mean, rolling_records, running_day_mean)
+from flowtally.operators.asof import alerts_asof, baseline_table, baseline_version
+from flowtally.operators.observe import METRICS, batch_metrics, observed
 from flowtally.operators.prepare import marked_days, records, rejected
 from flowtally.plans import (alert_distribution, check_convergence, check_endpoint, check_high,
                              check_low, check_normal, holiday_diff, import_counts)
@@ -30,8 +32,8 @@ from flowtally.schemas import CLEAN_SCHEMA, conform
 from flowtally.sinks.keyed import KeyedTable
 from flowtally.sources.stream import FileInput, file_stream
 from flowtally.plans.incremental import arrive, hour_state, results
-from flowtally.streaming import (LateRows, alerts_stream, alerts_stream_records, cumulative_stream,
-                                 end_marker, read_late, replay_in_order, replay_lateness, rolling_stream,
+from flowtally.streaming import (LateRows, alerts_stream, alerts_stream_asof, alerts_stream_records, cumulative_stream,
+                                 cumulative_stream_marked, end_marker, endpoint_stream, read_late, replay_in_order, replay_lateness, rolling_stream,
                                  run_to_table, running_day_mean_stream, with_end_marker)
 from flowtally.streaming.runner import output_schema
 
@@ -259,6 +261,71 @@ def q_incremental_total(spark, sf_dir):
     return results(_arrivals(spark, sf_dir), SERIES)["batch_daily_total"]
 
 
+RENEWED = ("2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00")
+
+
+def _published(spark, hours, times=RENEWED):
+    """Baseline versions of the hours before each of ``times``."""
+    versions = baseline_table(spark, scratch_path(spark, "versions"), SERIES_FIELD)
+    for at in times:
+        versions.add(baseline_version(hours, at, SERIES))
+    return versions
+
+
+def q_alerts_asof(spark, sf_dir):
+    """J5/L3 against a baseline that is renewed every week."""
+    hours = _stored_hours(spark, sf_dir)
+    return alerts_asof(hours, _published(spark, hours).read(), SERIES)
+
+
+def q_alerts_asof_stream(spark, sf_dir):
+    """The same alerts by a replay over unordered files."""
+    versions = _published(spark, _stored_hours(spark, sf_dir))
+    lateness = replay_lateness(events_clean(table(spark, sf_dir, "events")))
+    plan = alerts_stream_asof(_unordered(spark, sf_dir), versions.read, SERIES, lateness=lateness)
+    return run_to_table(spark, plan, "alerts_asof")
+
+
+def q_endpoint_live(spark, sf_dir):
+    """V6 on two streams, either of which lost some days: the records lack
+    the days of the month with remainder 3 by 7, the curve those with 2 by 5."""
+    clean_events = events_clean(table(spark, sf_dir, "events"))
+    lateness, day = replay_lateness(clean_events), F.dayofmonth("ts")
+    root = scratch_path(spark, "live")
+    rec = write_table(clean_events.where(day % 7 != 3), f"{root}/records")
+    hours = cumulative_curve(event_hourly(spark, sf_dir), SERIES)
+    at = F.to_timestamp_ntz(F.concat("date", F.lit(" "), F.lpad(F.col("hour").cast("string"), 2, "0"), F.lit(":00:00")))
+    curve = write_table(hours.select("series", at.alias("ts"), "cumulative_traffic").where(day % 5 != 2), f"{root}/curve")
+    sides = {"records": rec, "curve": curve}
+    streams = {k: with_end_marker(FileInput(f"{root}/{k}", df.schema).stream(spark), f"{root}/end_{k}")
+               for k, df in sides.items()}
+
+    def finish():
+        for k, df in sides.items():
+            end_marker(df, f"{root}/end_{k}", lateness)
+
+    plan = endpoint_stream(streams["records"], streams["curve"], SERIES, lateness)
+    # Which side lacks the day is told by ``sides``; its numbers are 0 here.
+    return run_to_table(spark, plan, "endpoint_live", finish=finish).fillna(0)
+
+
+def q_intake_metrics(spark, sf_dir):
+    """What the intake of the raw file read, rejected and kept, counted
+    in the pass that writes the hours and in the stream's own batches."""
+    path, root = _dirty_csv(spark, sf_dir), scratch_path(spark, "metrics")
+    raw = spark.read.schema(DIRTY_CSV_SCHEMA).option("header", True).csv(path)
+    seen = Observation("intake")
+    write_table(hourly(_dirty_clean(observed(raw, "date_time", "traffic_volume", seen)), SERIES, combine="max"),
+                f"{root}/hours")
+    files = file_stream(spark, path, DIRTY_CSV_SCHEMA, fmt="csv", max_files_per_trigger=1)
+    stream = _dirty_clean(observed(files, "date_time", "traffic_volume")).drop("holiday_flag")
+    plan = cumulative_stream(stream, SERIES, lateness="100 days", combine="max")
+    run_to_table(spark, plan, "metrics", f"{root}/stream", metrics=f"{root}/counts")
+    both = batch_metrics(spark, seen, "batch").unionByName(
+        spark.read.schema(METRICS).parquet(f"{root}/counts").withColumn("run", F.lit("stream")))
+    return both.where(F.col("name") == "intake").groupBy("run", "metric").agg(F.sum("value").alias("value"))
+
+
 CLEAN_STREAM_SCHEMA = T.StructType([T.StructField("series", T.StringType())]
                                    + list(CLEAN_SCHEMA.fields))
 
@@ -469,6 +536,21 @@ def q_dirty_csv_stream(spark, sf_dir):
     return run_to_table(spark, plan, "dirty_csv_stream")
 
 
+def q_dirty_csv_stream_marked(spark, sf_dir):
+    """P3 in a stream: the raw file's own markers, no pass over it before."""
+    path = _dirty_csv(spark, sf_dir)
+    batch = _dirty_clean(read_raw_csv(spark, path, DIRTY_CSV_SCHEMA)[0])
+    lateness, folder = replay_lateness(batch), scratch_path(spark, "end_marker")
+    stream = with_end_marker(_dirty_clean(file_stream(spark, path, DIRTY_CSV_SCHEMA, fmt="csv")), folder)
+    plan = cumulative_stream_marked(stream, SERIES, lateness, combine="max")
+    return run_to_table(spark, plan, "dirty_marked", finish=lambda: end_marker(batch, folder, lateness))
+
+
+def q_rolling_records(spark, sf_dir):
+    """W4 at every record instead of every hour."""
+    return rolling_records(events_clean(table(spark, sf_dir, "events")), SERIES)
+
+
 # --- ordering and top-k ------------------------------------------------------
 
 def q_rolling_topk(spark, sf_dir, k: int = 20):
@@ -531,6 +613,12 @@ QUERIES: dict[str, Query] = {
     "incremental_baseline": q_incremental_baseline,
     "incremental_average": q_incremental_average,
     "incremental_total": q_incremental_total,
+    "alerts_asof": q_alerts_asof,
+    "alerts_asof_stream": q_alerts_asof_stream,
+    "endpoint_live": q_endpoint_live,
+    "intake_metrics": q_intake_metrics,
+    "dirty_csv_stream_marked": q_dirty_csv_stream_marked,
+    "rolling_records": q_rolling_records,
     "rolling_topk": q_rolling_topk,
     "curve_ordered": q_curve_ordered,
 }

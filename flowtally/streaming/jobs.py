@@ -27,6 +27,7 @@ from flowtally.functions.scalar import mean_of
 from flowtally.functions.time import (date_string, event_time, hour_index,
                                       hour_index_to_string, instant_hour_index)
 from flowtally.operators.alerts import alerts as alerts_batch
+from flowtally.operators.asof import alerts_asof
 from flowtally.sources.stream import path_kind
 
 DEFAULT_LATENESS = "1 hour"
@@ -141,6 +142,22 @@ def alerts_stream(clean_stream: DataFrame, baseline: DataFrame, series: Sequence
                       lambda b: alerts_batch(b, baseline, series, high, low), closes=_hour_end)
 
 
+def alerts_stream_asof(clean_stream: DataFrame, versions: Callable[[], DataFrame], series: Sequence[str] = (),
+                       holidays="us_federal", lateness: str = DEFAULT_LATENESS, high: float = HIGH_RATIO,
+                       low: float = LOW_RATIO, mode: str = "update", combine: str = "sum") -> StreamPlan:
+    """L1 on the hour with a baseline that is renewed while the stream runs.
+
+    ``versions`` gives the published baseline versions and is called for every
+    micro-batch; an hour is compared with the version of its own time
+    (:mod:`flowtally.operators.asof`).  A version published with a
+    ``valid_from`` after the hours that are still open changes no alert that
+    was given.
+    """
+    plan = alerts_stream(clean_stream, None, series, holidays, lateness, high, low, mode, combine)
+    plan.per_batch = lambda b: alerts_asof(b, versions(), series, high, low)
+    return plan
+
+
 def alerts_stream_records(hourly_stream: DataFrame, baseline: DataFrame,
                           series: Sequence[str] = (), high: float = HIGH_RATIO,
                           low: float = LOW_RATIO) -> StreamPlan:
@@ -184,13 +201,31 @@ def cumulative_stream(clean_stream: DataFrame, series: Sequence[str] = (),
                       holidays="us_federal", lateness: str = DEFAULT_LATENESS,
                       mode: str = "update", combine: str = "sum") -> StreamPlan:
     """The cumulative daily curve, one row per (series, date, hour seen)."""
-    days = _flagged(_day_slots(clean_stream, series, lateness, combine), holidays)
+    return _curve_plan(_flagged(_day_slots(clean_stream, series, lateness, combine), holidays), series, _mode(mode))
+
+
+def cumulative_stream_marked(clean_stream: DataFrame, series: Sequence[str] = (),
+                             lateness: str = DEFAULT_LATENESS, combine: str = "sum") -> StreamPlan:
+    """W2 of records that carry a holiday marker of their own (``holiday_flag``
+    on any row of a day, of whatever series), without a look at the data before.
+
+    A second aggregate of the same stream holds each day's marker.  A day's
+    curve waits in the join of the two until the watermark has closed the day,
+    so the marker may come last.  Append mode.
+    """
+    slots = _day_slots(clean_stream, series, lateness, combine)
+    marks = (with_event_time(clean_stream, lateness).groupBy(F.window("evt", "1 day").alias("_day"))
+             .agg(F.coalesce(F.max("holiday_flag"), F.lit(0)).cast("int").alias("is_holiday")))
+    return _curve_plan(slots.join(marks, slots["window"] == marks["_day"]), series, "append")
+
+
+def _curve_plan(days: DataFrame, series: Sequence[str], mode: str) -> StreamPlan:
     frame = (days.select(*series, "day", "is_holiday", F.inline(_per_hour(F.col("slots"))))
              .where(F.col("traffic").isNotNull())
              .select(*series, date_string(F.col("day")).alias("date"),
                      F.col("hour").cast("int").alias("hour"),
                      F.col("cum").alias("cumulative_traffic"), "is_holiday"))
-    return StreamPlan(frame, [*series, "date", "hour"], _mode(mode), closes=_day_end)
+    return StreamPlan(frame, [*series, "date", "hour"], mode, closes=_day_end)
 
 
 def running_day_mean_stream(clean_stream: DataFrame, series: Sequence[str] = (),

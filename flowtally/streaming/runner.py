@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
+from flowtally.operators.observe import progress_metrics
 from flowtally.session import scratch_path
 from flowtally.sinks.keyed import KeyedTable, keyed_writer
 from flowtally.streaming.jobs import StreamPlan
@@ -138,7 +139,7 @@ def run_to_table(spark: SparkSession, plan: StreamPlan, name: str,
                  root: str | None = None, stats: dict | None = None,
                  state_partitions: int | None = None, late: str = "fail",
                  finish: Callable[[], None] | None = None, table: KeyedTable | None = None,
-                 late_rows: LateRows | None = None) -> DataFrame:
+                 late_rows: LateRows | None = None, metrics: str | None = None) -> DataFrame:
     """Replay everything available (``availableNow``), then return the stored
     result with one row per key.  Checkpoint and table live below the shared
     checkpoint folder, so a rerun with the same ``root`` resumes.
@@ -148,7 +149,9 @@ def run_to_table(spark: SparkSession, plan: StreamPlan, name: str,
     ``late="store"`` keeps them whole, as ``late_rows`` says
     (:func:`~flowtally.streaming.late.read_late` of ``<root>/late``).  With
     ``table`` the result is merged into it by key.
-    ``stats``, when given, is filled with :func:`progress_stats`.  In append
+    ``stats``, when given, is filled with :func:`progress_stats`; counts that
+    the plan observes (:mod:`flowtally.operators.observe`) are added to the
+    table at ``metrics``, by run and batch.  In append
     mode the windows still open at the end of the data are emitted after
     ``finish`` has moved the watermark (:func:`~flowtally.streaming.jobs.end_marker`);
     without it a stateful plan in append mode is refused, as its result would
@@ -172,6 +175,9 @@ def run_to_table(spark: SparkSession, plan: StreamPlan, name: str,
         if err is not None:
             raise RuntimeError(f"stream {name} failed: {err}")
         add_stats(total, progress_stats(query))
+        if metrics is not None:
+            (progress_metrics(spark, query.recentProgress, str(query.runId)).coalesce(1)
+             .write.mode("append").parquet(metrics))
     if stats is not None:
         stats.update(total)
     if late == "fail":
