@@ -90,6 +90,9 @@ class Curves:
         return hilbert_keys(cells.astype(np.uint64), BITS).astype(np.int64)
 
 
+SALTS = 64
+
+
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
@@ -110,14 +113,19 @@ def valid_vectors(table: DataFrame) -> DataFrame:
 
 def distinct_points(rows: DataFrame, keep: int, query_every: int) -> DataFrame:
     """rep (smallest id), v, ids (the ``keep`` smallest, repeats included),
-    is_query and dim of every distinct vector; ids are cut in salted groups."""
-    salted = (rows.groupBy("v", share_hash("vec_id", buckets=64).alias("salt"))
-              .agg(F.slice(F.array_sort(F.collect_list("vec_id")), 1, keep).alias("ids"),
-                   F.max(F.col("vec_id") % query_every == 0).alias("is_query")))
-    return (salted.groupBy("v").agg(
-        F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, keep).alias("ids"),
-        F.max("is_query").alias("is_query"))
-        .select(F.col("ids")[0].alias("rep"), "v", "ids", "is_query", F.size("v").alias("dim")))
+    is_query and dim of every distinct vector.
+
+    Of a vector's rows only the ``keep`` smallest ids of each salt, among
+    queries and among others, go on: rows are numbered, and what is beyond is
+    dropped before it is shuffled, so that no group grows with the table.
+    """
+    salted = rows.withColumns({"salt": share_hash("vec_id", buckets=SALTS),
+                               "is_query": F.col("vec_id") % query_every == 0})
+    order = Window.partitionBy("v", "salt", "is_query").orderBy("vec_id")
+    few = salted.withColumn("number", F.row_number().over(order)).filter(F.col("number") <= keep)
+    return (few.groupBy("v").agg(F.slice(F.array_sort(F.collect_list("vec_id")), 1, keep).alias("ids"),
+                                 F.max("is_query").alias("is_query"))
+            .select(F.col("ids")[0].alias("rep"), "v", "ids", "is_query", F.size("v").alias("dim")))
 
 
 def _best(batches: Iterator[pd.DataFrame], queries: dict, k: int) -> Iterator[pd.DataFrame]:

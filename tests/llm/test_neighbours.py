@@ -66,6 +66,19 @@ def test_few_rows_dimensions_and_repeats(spark, code):
     assert neighbours.search(frame(spark, [(7, [1.0])])).count() == 0
 
 
+def test_ids_of_a_vector_that_a_third_of_the_rows_hold(spark, code, monkeypatch):
+    """Only the smallest ids of each salt leave a task, queries among them."""
+    rows = [(i, [1.0, 2.0] if i % 3 else [float(i), 1.0]) for i in range(6000)]
+    points = neighbours.distinct_points(neighbours.valid_vectors(frame(spark, rows)), 6, 50)
+    hot = [r for r in points.collect() if list(r.v) == [1.0, 2.0]]
+    assert [list(r.ids) for r in hot] == [[1, 2, 4, 5, 7, 8]] and hot[0].is_query
+    plan = points._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    # No query among the rows: none is made up.
+    few = neighbours.distinct_points(neighbours.valid_vectors(frame(spark, [(i, [1.0]) for i in range(1, 49)])), 6, 50)
+    assert [(list(r.ids), r.is_query) for r in few.collect()] == [([1, 2, 3, 4, 5, 6], False)]
+
+
 def test_hilbert_curve_visits_neighbours():
     side = 16
     cells = np.array([(x, y, z) for x in range(side) for y in range(side) for z in range(side)])
