@@ -166,6 +166,7 @@ YEAR = re.compile(r"(?:19|20)\d\d")
 VERSION = re.compile(r"v?\d+(?:\.\d+)*")
 MOST_DIFFERENT = 0.2        # of the template's words
 SIBLING = 0.6               # share of the words, from which templates are siblings
+SPAN = 3                # longest templates to a part of a long block
 PEERS = 8                   # templates whose wording is compared at a time
 LEVEL = 19
 
@@ -280,24 +281,40 @@ class Matcher:
                 return min(confirmed, key=lambda x: x[2])
         return None
 
+    def notices(self, text: str, tokens: list[tuple[str, int, int]]) -> list[tuple]:
+        """(first token, last token + 1, template, saved, differences,
+        wording) of the notices in ``tokens`` (word, start, end), in order."""
+        out, pending = [], [(0, len(tokens))]
+        while pending:
+            a, b = pending.pop()
+            if a == b or not CUES.search(text[tokens[a][1]:tokens[b - 1][2]]):
+                continue
+            won = self.winner([w for w, _, _ in tokens[a:b]])
+            if won:
+                saved, i, count, lo, hi, notes = won
+                out.append((a + lo, a + hi, i, round(saved, 4), count, "; ".join(notes)))
+                pending += [(a, a + lo), (a + hi, b)]
+        return sorted(out)
+
     def find(self, text: str) -> list[tuple]:
         """(start, end, license, reduction, differences, wording) of every
-        notice in a text, in order; code points, end exclusive."""
+        notice in a text, in order; code points, end exclusive.
+
+        A block longer than ``SPAN`` times the longest template is gone
+        through in parts of that length, so the work grows with the text: a
+        notice that begins in the first half of a part lies in it whole, and
+        the next part begins after these.
+        """
         out = []
-        for tokens in self.blocks(text):
-            # A block is a list of (word, start, end).
-            pending = [tokens]
-            while pending:
-                part = pending.pop()
-                if not part or not CUES.search(text[part[0][1]:part[-1][2]]):
-                    continue
-                words = [w for w, _, _ in part]
-                won = self.winner(words)
-                if won:
-                    saved, i, count, lo, hi, notes = won
-                    out.append((part[lo][1], part[hi - 1][2], i, round(saved, 4),
-                                count, "; ".join(notes)))
-                    pending += [part[:lo], part[hi:]]
+        reach = SPAN * max(map(len, self.words))
+        for block in self.blocks(text):
+            at = 0
+            while at < len(block):
+                part = block[at:at + reach]
+                found, last = self.notices(text, part), at + reach >= len(block)
+                kept = [x for x in found if last or x[0] < reach // 2]
+                out += [(part[lo][1], part[hi - 1][2], *rest) for lo, hi, *rest in kept]
+                at += len(part) if last else max([reach // 2, *(hi for _, hi, *_ in kept)])
         out.sort()
         return [(start, end, name, *rest) for name, (start, end, _, *rest) in zip(self.named(out), out)]
 

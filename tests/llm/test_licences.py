@@ -1,6 +1,8 @@
 import random
+import time
 
 import pytest
+import zstandard
 
 from flowtally.llm import licences
 from tests.llm.conftest import prose
@@ -96,3 +98,57 @@ def test_clauses_decide_between_bsd_licenses(matcher):
     assert {f[2] for f in matcher.find(whole)} == {"BSD-3-Clause"} and len(matcher.find(whole)) == 5
     mit = licences.TEMPLATES["MIT"]
     assert [f[2] for f in matcher.find("\n\n".join(mit[2:5]))] == ["MIT"] * 3
+
+
+def plain_saving(template, words):
+    """Share of the size that a template as raw dictionary saves, by the
+    compressor alone."""
+    block = " ".join(words).encode()
+    raw = zstandard.ZstdCompressionDict(" ".join(template).encode(),
+                                        dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    bare = {"level": licences.LEVEL, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
+    given = zstandard.ZstdCompressor(dict_data=raw, **bare)
+    return 1 - len(given.compress(block)) / len(zstandard.ZstdCompressor(**bare).compress(block))
+
+
+def fewest_changes(template, words):
+    """Words to drop, add or replace (one each), by dynamic programming."""
+    best = list(range(len(words) + 1))
+    for i, a in enumerate(template, 1):
+        row = [i]
+        for j, b in enumerate(words, 1):
+            row.append(min(row[-1] + 1, best[j] + 1, best[j - 1] + (a != b)))
+        best = row
+    return best[-1]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_reductions_and_differences_by_brute_force(matcher, seed):
+    r = random.Random(seed)
+    i = r.choice([k for k, w in enumerate(matcher.words) if len(w) >= 20 and "*" not in w])
+    words = list(matcher.words[i])
+    for _ in range(r.randrange(4)):
+        at = r.randrange(1, len(words) - 1)
+        words[at:at + 1] = r.choice([[], ["plainly"], ["quite", words[at]]])
+    got = dict((k, saved) for saved, k in matcher.reductions(words))
+    assert all(abs(got[k] - plain_saving(t, words)) < 1e-12 for k, t in enumerate(matcher.words))
+    ranks = [saved for saved, _ in matcher.reductions(words)]
+    assert [round(x, 6) for x in ranks] == sorted((round(x, 6) for x in ranks), reverse=True)
+    count, lo, hi, _, _ = matcher.differences(words, matcher.words[i])
+    assert (lo, hi) == (0, len(words)) and count == fewest_changes(matcher.words[i], words)
+
+
+def test_long_blocks_are_linear(matcher):
+    """Two thousand notices in one block: as many findings, each at its place,
+    and about the time of as many short texts."""
+    notices = [t.replace("* *", "2019 Example Corp.") for ts in licences.TEMPLATES.values() for t in ts]
+    r = random.Random(3)
+    picked = [r.choice(notices) for _ in range(2000)]
+    start = time.process_time()
+    few = matcher.find("\n".join(picked[:250]))
+    middle = time.process_time()
+    many = matcher.find("\n".join(picked))
+    end = time.process_time()
+    assert len(many) >= 0.99 * len(picked) and [f[2:] for f in many[:200]] == [f[2:] for f in few[:200]]
+    assert all(a[1] <= b[0] for a, b in zip(many, many[1:]))
+    assert end - middle < 3 * 8 * (middle - start)
