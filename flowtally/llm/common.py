@@ -38,6 +38,34 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def protected(docs: DataFrame) -> DataFrame:
+    """``docs`` with columns renamed whose names begin with an underscore, as
+    the operators' own do: ``toDF(*docs.columns)`` gives them back."""
+    taken = {c.lower() for c in docs.columns}
+    names = []
+    for i, name in enumerate(docs.columns):
+        fresh = f"kept {i}" if name.startswith("_") else name
+        while fresh != name and fresh in taken:
+            fresh += " "
+        names.append(fresh)
+    return docs.toDF(*names)
+
+
+def numbered(rows: DataFrame, times: str, name: str, most: int = 10_000) -> DataFrame:
+    """``rows``, each as often as its ``times`` says, with ``name`` running
+    from 0; a row that repeats more than ``most`` times is given out by several
+    tasks."""
+    long = F.col(times).cast("long")
+    few = rows.filter(F.col(times) <= most).withColumn(
+        name, F.explode(F.sequence(F.lit(0).cast("long"), long - 1)))
+    parts = rows.filter(F.col(times) > most).withColumn(
+        "_from", F.explode(F.sequence(F.lit(0).cast("long"), long - 1, F.lit(most).cast("long"))))
+    many = (parts.repartition(*rows.columns, "_from")
+            .withColumn(name, F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + most, long) - 1)))
+            .drop("_from"))
+    return few.unionByName(many)
+
+
 def share_hash(*cols, buckets: int = 1_000_000, seed: int = 17):
     """A stable number from 0 to ``buckets - 1`` for a row's key."""
     return F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(buckets))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowtally.llm.common import store
+from flowtally.llm.common import code_on_workers, numbered, store
 from flowtally.llm.words import SPACE, Words, split_words, text_chunks
 
 BUCKETS = 10_000
@@ -171,19 +171,9 @@ def ranked(rows: DataFrame, order: list, top: int) -> DataFrame:
     first = (parts.withColumn("above", F.coalesce(F.sum("times").over(within), F.lit(0)))
              .join(base, "part").withColumn("first", F.col("above") + F.col("base") + 1))
 
-    def rank(at):
-        return F.when(at <= top, at).alias("rank")
-
-    few = first.filter(F.col("times") <= COPIES)
-    out = few.select(*names, "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)).alias("i")
-                     ).select(*names, rank(F.col("first") + F.col("i")))
-    # A row that repeats more often is given out by several tasks.
-    many = first.filter(F.col("times") > COPIES).select(
-        *names, "first", "times",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1, F.lit(COPIES))).alias("from"))
-    some = many.repartition("first", "from").select(
-        *names, "first", F.explode(F.sequence("from", F.least(F.col("from") + COPIES, "times") - 1)).alias("i"))
-    return out.unionByName(some.select(*names, rank(F.col("first") + F.col("i"))))
+    place = F.col("first") + F.col("i")
+    return numbered(first.select(*names, "first", "times"), "times", "i", COPIES).select(
+        *names, F.when(place <= top, place).alias("rank"))
 
 
 def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WORDS,
@@ -199,6 +189,7 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least_w
     empty name.  An empty table of either kind counts no features; no
     documents give no rows.
     """
+    code_on_workers(docs.sparkSession)
     docs, target = docs.select("doc_id", "text"), target.select("text")
     gain = gains(bucket_counts(docs, buckets, grams), bucket_counts(target, buckets, grams))
     rows = store(weighed(docs, gain, grams, seed), "importance")

@@ -9,7 +9,9 @@ words taken come near the target.
 
 The order within a source is never made in one task: documents are counted by
 (source, size class, bucket), the counts are summed over these small tables,
-and rows are numbered within one bucket only.  DataFrame functions throughout.
+and rows are numbered within one bucket only.  Rows that share doc_id, source
+and size are one row with a count meanwhile, however many they are.  DataFrame
+functions throughout.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowtally.llm.common import WORD_PATTERN, store
+from flowtally.llm.common import WORD_PATTERN, numbered, protected, store
 
 WEIGHTS = (5, 2, 1)
 MOST = 3                # times its size that a source, and a document, may be taken
@@ -72,7 +74,10 @@ def targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
 
 def copies(sized: DataFrame, weights=WEIGHTS, most: int = MOST, seed: str = SEED,
            bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``sized`` (doc_id, source, size) with source_size, target and copies."""
+    """The distinct rows of ``sized`` (doc_id, source, size) with how many there
+    are (times), the place of the first in its source's order (first), what
+    the k-th at place ``p`` is taken: whole steps crossed from ``(p - 1) * share +
+    offset`` to ``p * share + offset``; the copies of all, source_size and target."""
     stats = store(sized.groupBy("source").agg(F.sum("size").alias("source_size"),
                                               F.count("*").alias("docs")), "mix-sources")
     goal = targets(stats.select("source", "source_size"), weights, most)
@@ -80,11 +85,12 @@ def copies(sized: DataFrame, weights=WEIGHTS, most: int = MOST, seed: str = SEED
     buckets = max(16, math.ceil(largest / bucket_rows))
     octave = F.floor(F.log2(F.col("size") + F.lit(1)) * F.lit(CLASSES_PER_OCTAVE))
     key = F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"))
-    rows = (sized.withColumn("size_class", octave.cast("int"))
+    rows = (sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("times"))
+            .withColumn("size_class", octave.cast("int"))
             .withColumn("draw", _number(key))
             .withColumn("bucket", F.floor(F.col("draw") * buckets).cast("int")))
     group = ["source", "size_class", "bucket"]
-    counts = rows.groupBy(*group).agg(F.count("*").alias("n"))
+    counts = rows.groupBy(*group).agg(F.sum("times").alias("n"))
     in_class = Window.partitionBy("source", "size_class").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1)
     classes = counts.groupBy("source", "size_class").agg(F.sum("n").alias("n"))
@@ -98,21 +104,29 @@ def copies(sized: DataFrame, weights=WEIGHTS, most: int = MOST, seed: str = SEED
             .select(F.col("source").alias("s"), F.col("size_class").alias("c"),
                     F.col("bucket").alias("b"),
                     (F.col("class_base") + F.col("bucket_base")).alias("base")))
-    number = F.row_number().over(Window.partitionBy(*group).orderBy("draw", "doc_id", "size"))
-    ranked = (rows.withColumn("number", number)
+    above = (Window.partitionBy(*group).orderBy("draw", "doc_id", "size")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    ranked = (rows.withColumn("number", F.coalesce(F.sum("times").over(above), F.lit(0)) + 1)
               .join(base, F.col("source").eqNullSafe(F.col("s")) & (F.col("size_class") == F.col("c"))
                     & (F.col("bucket") == F.col("b")))
-              .withColumn("rank", F.col("number") + F.col("base")))
+              .withColumn("first", F.col("number") + F.col("base")))
     goal = goal.select(F.col("source").alias("g"), "source_size", "target")
     share = F.when(F.col("source_size") > 0,
                    F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = _number(F.concat_ws(":", F.lit(seed), F.lit("offset"),
                                  F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null"))))
-    upto = F.floor(F.col("rank") * share + offset)
-    below = F.floor((F.col("rank") - 1) * share + offset)
     return (ranked.join(F.broadcast(goal) if _few(stats) else goal,
                         F.col("source").eqNullSafe(F.col("g")))
-            .withColumn("copies", (upto - below).cast("long")))
+            .withColumns({"share": share, "offset": offset})
+            .withColumn("copies", _crossed(F.col("first"), F.col("times"))))
+
+
+def _crossed(first, times):
+    """The integers crossed by ``times`` rows from place ``first`` on."""
+    def at(place):
+        return F.floor(place * F.col("share") + F.col("offset"))
+
+    return (at(first + times - 1) - at(first - 1)).cast("long")
 
 
 def _few(stats: DataFrame, bound: int = 50_000) -> bool:
@@ -131,9 +145,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: str = SEED) ->
     """
     sized = store(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")),
                   "mix-sizes")
-    drawn = copies(sized, weights, most, seed)
-    return drawn.select("doc_id", "size", "source_size", "target",
-                        (F.col("copies") * F.col("size")).alias("taken"))
+    drawn = copies(sized, weights, most, seed).select("doc_id", "size", "source_size", "target", "times", "first",
+                                                      "share", "offset")
+    taken = _crossed(F.col("first") + F.col("i"), F.lit(1)) * F.col("size")
+    return numbered(drawn, "times", "i").select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, most: int = MOST,
@@ -141,12 +156,15 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, most: int = MOST,
     """``docs`` with every row as often as the mix takes it, all columns kept.
 
     Rows that repeat a doc_id, source and size are interchangeable to the
-    draw: their copies are dealt among them in turn.
+    draw: their copies are dealt among them in turn.  A null text has size 0
+    and is drawn like any other; a null source is a source of its own, the
+    last; a null doc_id draws like an id of its own.  An empty table gives no
+    rows.
     """
+    given, docs = docs.columns, protected(docs)
     sized = store(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")),
                   "mix-sizes")
-    drawn = (copies(sized, weights, most, seed).groupBy("doc_id", "source", "size")
-             .agg(F.sum("copies").alias("copies"), F.count("*").alias("times"))
+    drawn = (copies(sized, weights, most, seed)
              .select(F.col("doc_id").alias("__d"), F.col("source").alias("__s"),
                      F.col("size").alias("__n"), F.col("copies").alias("__copies"),
                      F.col("times").alias("__times")))
@@ -163,7 +181,7 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, most: int = MOST,
             .unionByName(many.select(*names, share.alias("__copies"))))
     return (both.filter("__copies > 0")
             .withColumn("__each", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
-            .select(*names))
+            .select(*names).toDF(*given))
 
 
 ORACLE_SQL = f"""

@@ -53,6 +53,22 @@ def test_words_taken_come_near_the_targets(docs_of):
     assert [tuple(r) for r in sorted(got)] == [tuple(r) for r in sorted(mixing.mix(docs_of(rows)).collect())]
 
 
+def test_a_third_of_the_rows_without_an_id(docs_of):
+    """Rows of one doc_id, source and size are one row with a count while they
+    are placed, and each is drawn by its own place."""
+    rows = [(i, prose(i, 1 + i % 9), "a") for i in range(300)] + [(None, prose(7, 12), "a")] * 25_000
+    docs = docs_of(rows).select("doc_id", "text", "source")
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(rows) and sum(r.taken for r in got) == got[0].source_size
+    hot = [r for r in got if r.doc_id is None]
+    assert len(hot) == 25_000 and all(r.taken == r.size == 12 for r in hot)
+    two = mixing.mix(docs_of(rows + [(1000 + i, prose(i, 900), "b") for i in range(400)])).collect()
+    taken = [r.taken // r.size for r in two if r.doc_id is None]
+    share = two[0].target / two[0].source_size if two[0].source_size == got[0].source_size else None
+    assert set(taken) <= {0, 1, 2, 3} and max(taken) - min(taken) <= 1
+    assert share is None or abs(sum(taken) - share * 25_000) <= 1 + 300 * 9 / 12
+
+
 def test_oracle_and_documents(spark, docs_of):
     rows = rows_for_mix()[:400] + [(9000, None, "s1"), (9001, "", None), (9002, "two words", None)]
     docs = docs_of(rows)
