@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtally.llm.common import share_hash, store
+from flowtally.llm.common import code_on_workers, share_hash, store
 from flowtally.llm.words import text_chunks
 
 FIT_ROWS = 20_000
@@ -54,11 +54,11 @@ TERM_LEVEL = 0.01           # chance that any of all tested terms is chosen with
 TELLING = 3.0
 NEIGHBOURS = 15
 BLOCK = 64
-COMMON = 20                 # of so many examples one holds a term of the matrix
+COMMON = 12                 # of so many examples one holds a term of the matrix
 FIRST = 64                  # examples multiplied out for a first k-th cosine
 TOGETHER = 64              # texts whose neighbours are sought at a time
 ROUGH = 1e-4                # more than single precision can be off
-REMEMBERED = 20_000         # answers for equal texts that a worker keeps
+REMEMBERED = 5_000          # answers for equal texts that a worker keeps
 PREFIXES = (4, 5)
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -543,6 +543,29 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, telling: f
     return model
 
 
+def inner_folds(docs: DataFrame, labels: DataFrame, factors=(1.0, 3.0), fit_rows: int = FIT_ROWS) -> list[tuple]:
+    """(factor, fold, toxic found, toxic, clean taken for toxic, clean): how
+    factors for telling terms do within the rows that may be learnt from.
+
+    The rows with remainder ``fold`` of crc32(doc_id) by 5, from 1 to 4, are
+    scored by a model of the other three; those of remainder 0 stay unseen.
+    One pass of learning for each factor and fold: a choice made once, not a
+    step of :func:`fit`.
+    """
+    part = F.crc32(F.col("doc_id").cast("string")) % 5
+    out = []
+    for factor in factors:
+        for fold in range(1, 5):
+            model = fit(docs, labels.filter(part != fold), fit_rows, factor)
+            asked = labelled(docs, labels).filter(part == fold)
+            scores = toxicity_scores(asked, model).groupBy("doc_id").agg(F.max("predicted").alias("predicted"))
+            known = _labels(labels).join(scores, "doc_id")
+            toxic, hit = F.col("label") == 1, F.col("predicted") == 1
+            out.append((factor, fold, *known.agg(F.count_if(toxic & hit), F.count_if(toxic),
+                                                 F.count_if(~toxic & hit), F.count_if(~toxic)).first()))
+    return out
+
+
 def _narrow(counts: np.ndarray) -> bytes:
     """Counts as bytes if all are below 256, else as 32-bit numbers."""
     return (b"\x01" + counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256
@@ -585,6 +608,7 @@ def toxicity_scores(docs: DataFrame, model: Examples) -> DataFrame:
     A null doc_id stays null and counts as held out.  Without labelled rows
     every score is 0.
     """
+    code_on_workers(docs.sparkSession)
     shared, outcome = model.shared(docs.sparkSession), model.outcome()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -609,6 +633,7 @@ def without_toxic(docs: DataFrame, model: Examples) -> DataFrame:
     and every other row are kept: null and empty texts, null doc_ids and
     repeated rows too.  An empty table gives no rows.
     """
+    code_on_workers(docs.sparkSession)
     shared, outcome = model.shared(docs.sparkSession), model.outcome()
 
     @F.pandas_udf("double")

@@ -118,3 +118,28 @@ def test_documents_are_counted_over_the_corpus(spark, docs_of, rows):
 
     bridge = sum("bridge" in t.split() for _, t in rows)
     assert np.isclose(weight(toxicity.fit(more, labels), "bridge"), np.log(801 / (401 + bridge)) + 1)
+
+
+def test_inner_folds_leave_the_held_out_rows_alone(spark, docs_of, rows):
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    flipped = spark.createDataFrame([(i, int(i % 4 == 0) if zlib.crc32(str(i).encode()) % 5 else 1) for i, _ in rows],
+                                    "doc_id long, toxic int")
+    got = toxicity.inner_folds(docs_of(rows), labels, (3.0,))
+    assert got == toxicity.inner_folds(docs_of(rows), flipped, (3.0,))
+    train = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    assert sum(r[3] for r in got) == sum(i % 4 == 0 for i in train) and [r[1] for r in got] == [1, 2, 3, 4]
+    assert all(r[2] == r[3] and r[4] == 0 for r in got)
+
+
+def test_batches_and_ties_of_a_repeated_id(spark, docs_of, rows):
+    """Rows that repeat a doc_id with different texts are examples of their
+    own, and none votes for itself."""
+    more = [*rows, *((7, f"odd{k} words{k} here{k} stay{k}") for k in range(6))]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs_of(more), labels)
+    assert model.ids.tolist().count(7) == 7 and len(set(zip(model.ids.tolist(), model.texts.tolist()))) == len(model.ids)
+    texts = [t for _, t in more]
+    single = [model.nearest(*model.vector(t)) for t in texts[-20:]]
+    assert [[p for _, p in x] for x in model.nearest_of(model.vectors(texts[-20:]))] == [[p for _, p in x] for x in single]
+    again = toxicity.loaded(model.shared(spark), model.outcome())
+    assert again.scores(texts[:50]) == model.scores(texts[:50])
