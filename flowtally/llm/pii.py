@@ -42,6 +42,8 @@ import unicodedata
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowtally.llm.common import protected
+
 KEY = "pseudonyms-1"        # a deployment passes its own secret
 ROUNDS = 8
 
@@ -393,11 +395,17 @@ def pseudonym_report(docs: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def pseudonymised_documents(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """``docs`` with all its columns, the new text, and n_chars to match."""
+    """``docs`` with all its columns, whatever their names, the new text, and
+    n_chars to match.
+
+    Null texts stay null with the n_chars they have; empty texts, repeated rows
+    and null doc_ids are kept as they are; an empty table gives no rows.
+    """
+    given, docs = docs.columns, protected(docs)
     rows = _replace(docs.withColumnsRenamed({"replaced": "__replaced"}), key).drop("replaced")
     rows = rows.withColumnsRenamed({"__replaced": "replaced"})
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         rows = rows.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars"))
                                .otherwise(F.char_length("text").cast(kind)))
-    return rows.select(*docs.columns)
+    return rows.select(*docs.columns).toDF(*given)

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowtally.llm.common import store
+from flowtally.llm.common import code_on_workers, store
 from flowtally.llm.words import Words, split_words, text_chunks
 
 WINDOW = 50
@@ -274,6 +274,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
     empty texts, and texts of fewer words than a window, lose none.  Repeated
     rows each give a row.  An empty table gives no rows.
     """
+    code_on_workers(docs.sparkSession)
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # Two hashes of 64 bits stand for a text.
     named = named.withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(7), "text")})

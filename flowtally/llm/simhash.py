@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from flowtally.llm.common import store
+from flowtally.llm.common import code_on_workers, protected, store
 
 SEED = 42
 CHUNK = 2048        # fingerprints of one bucket chunk
@@ -172,6 +172,7 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3) ->
     give a row; a null doc_id takes the smallest doc_id of its component, null
     if it has none.  An empty table gives an empty result.
     """
+    code_on_workers(docs.sparkSession)
     prints = store(docs.select("doc_id", fingerprint_udf(shingle)("text").alias("fp")),
                    "fingerprints")
     tree = _rooted(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), max_bits)
@@ -185,9 +186,14 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3) ->
 def one_per_component(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
     """``docs`` with one row of every component: that of its smallest doc_id.
 
-    All columns are kept.  A null doc_id comes after all others; of rows that
-    share the doc_id the one of the smallest text hash, then row hash, stays.
+    All columns are kept, whatever their names.  Null and empty texts are
+    copies of each other.  A null doc_id comes after all others; of rows that
+    share the doc_id the one of the smallest text hash, then row hash, stays,
+    and of rows that are equal in all columns one.  An empty table gives no
+    rows.
     """
+    code_on_workers(docs.sparkSession)
+    given, docs = docs.columns, protected(docs)
     names = docs.columns
     rows = store(docs.select("doc_id", fingerprint_udf(shingle)("text").alias("fp"),
                              F.xxhash64("text").alias("of_text"), F.xxhash64(*names).alias("of_row"))
@@ -203,4 +209,4 @@ def one_per_component(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame
     once = match.filter("__times = 1").select(*names)
     # Rows that are equal in every column.
     repeated = match.filter("__times > 1").dropDuplicates(["__id", "__text", "__row"]).select(*names)
-    return once.unionByName(repeated)
+    return once.unionByName(repeated).toDF(*given)

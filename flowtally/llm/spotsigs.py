@@ -157,7 +157,8 @@ def near_documents(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFrame,
     of ``threshold`` or more.
 
     Equal fingerprints are one class and never form pairs.  Null and empty
-    texts form one class; a null doc_id belongs to its class.
+    texts form one class; a null doc_id belongs to its class; repeated rows are
+    members each.  An empty table has neither members nor links.
     """
     prints = store(docs.select("doc_id", signatures(F.col("text")).alias("sigs"))
                    .withColumn("fingerprint", digest(F.col("sigs"))), "spotsigs")
