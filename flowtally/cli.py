@@ -6,6 +6,7 @@
                                --time-col ts --value ... --series ... --out DIR \
                                [--baseline DIR] [--lateness "1 hour"] [--every "1 minute"] \
                                [--mode update|append]
+    python -m flowtally publish --batch DIR --valid-from T --versions DIR --series ...
     python -m flowtally check  --batch DIR --stream DIR --out DIR
     python -m flowtally compact --stream DIR --job J --series ...
     python -m flowtally export --batch DIR --stream DIR --out DIR [--tables ...]
@@ -15,7 +16,12 @@
 ``batch_daily_total`` below ``--out`` (one folder each).  ``stream`` keeps
 its checkpoint and result table below ``--out/<job>``; without ``--every`` it
 replays what is there (``availableNow``) and stops, with it, it runs on that
-trigger until stopped, and restarts resume from the checkpoint.  ``check``
+trigger until stopped, and restarts resume from the checkpoint.  ``--late
+store`` keeps rows that come too late, whole; ``--merge`` merges the result by
+key into a table of few files; ``--in-order`` replays the files in the order of
+their times, with little state.  ``batch --state`` adds only files that are new
+to stored hour sums.  ``publish`` adds a baseline version, from the hours before
+a time, to those that ``stream --job alerts --versions`` looks up.  ``check``
 reads both sides back and writes the check results below ``--out``.
 """
 
@@ -38,11 +44,14 @@ from flowtally.session import build_session
 from flowtally.operators.prepare import marked_days, record_stream, rejected
 from flowtally.sinks import export_csv, write_csv_parts, write_table
 from flowtally.sources import read_raw_csv
-from flowtally.sources.stream import file_stream
-from flowtally.streaming import (alerts_stream, alerts_stream_records, cumulative_stream, end_marker,
-                                 replay_lateness, rolling_stream, run_to_table,
-                                 running_day_mean_stream, start, with_end_marker)
-from flowtally.streaming.runner import default_state_partitions, output_schema, progress_stats
+from flowtally.functions.time import to_wall_clock
+from flowtally.operators.asof import baseline_table, baseline_version
+from flowtally.plans.incremental import arrive, hour_state, hour_table, results
+from flowtally.sources.stream import FileInput, file_stream
+from flowtally.streaming import (LateRows, alerts_stream, alerts_stream_asof, alerts_stream_records,
+                                 cumulative_stream, end_marker, replay_in_order, replay_lateness, rolling_stream,
+                                 run_to_table, running_day_mean_stream, start, with_end_marker)
+from flowtally.streaming.runner import default_state_partitions, merged_table, output_schema, progress_stats
 from flowtally.streaming.sink import compact, latest_snapshot, read_latest
 
 STREAM_TABLES = {"alerts": "flink_alert_result", "rolling": "flink_rolling_avg_result",
@@ -102,9 +111,29 @@ def _write(df: DataFrame, path: str, fmt: str) -> None:
         df.write.mode("overwrite").parquet(path)
 
 
+def _arrived(spark: SparkSession, args) -> dict[str, DataFrame]:
+    """The batch results from stored hour sums, after the new files of the
+    input were added to them."""
+    series, schema = tuple(args.series), _read_raw(spark, args)[2]
+    clean_schema = _clean(spark.createDataFrame([], schema), args).schema
+    state = hour_state(spark, args.state, T.StructType([clean_schema[s] for s in series]), args.combine,
+                       marked=bool(args.marker))
+    source = FileInput(args.input, schema, args.input_format)
+    added = arrive(state, args.input, lambda paths: _clean(source.rows(spark, paths), args), series, args.combine,
+                   f"*.{args.input_format}")
+    print(f"{added} new files")
+    write_table(hour_table(state, series, _holidays(args.holidays)), f"{args.out}/hourly_records")
+    return results(state, series, _holidays(args.holidays), args.rounding)
+
+
 def run_batch(spark: SparkSession, args) -> dict[str, DataFrame]:
-    raw, bad, _ = _read_raw(spark, args)
     series = tuple(args.series)
+    if args.state:
+        out = _arrived(spark, args)
+        for name, df in out.items():
+            _write(conform(df, name, series), f"{args.out}/{name}", args.format)
+        return out
+    raw, bad, _ = _read_raw(spark, args)
     # The hourly records are written once; the results read these.
     rec = write_table(hourly(_clean(raw, args), list(args.series), _holidays(args.holidays),
                              combine=args.combine), f"{args.out}/hourly_records")
@@ -112,14 +141,22 @@ def run_batch(spark: SparkSession, args) -> dict[str, DataFrame]:
         .parquet(f"{args.out}/rejected")
     if bad is not None:
         bad.write.mode("overwrite").parquet(f"{args.out}/malformed")
-    results = {
+    tables = {
         "batch_hourly_baseline": hourly_baseline(rec, series, rounding=args.rounding),
         "batch_daily_average": daily_average(rec, series),
         "batch_daily_total": daily_total(rec, series),
     }
-    for name, df in results.items():
+    for name, df in tables.items():
         _write(conform(df, name, series), f"{args.out}/{name}", args.format)
-    return results
+    return tables
+
+
+def run_publish(spark: SparkSession, args) -> DataFrame:
+    """Add the baseline of the hours before ``--valid-from`` as a version."""
+    rec, series = spark.read.parquet(f"{args.batch}/hourly_records"), tuple(args.series)
+    versions = baseline_table(spark, args.versions, T.StructType([rec.schema[s] for s in series]))
+    versions.add(baseline_version(rec, args.valid_from, series, args.rounding))
+    return versions.read()
 
 
 def _read_batch(spark: SparkSession, root: str, name: str, series: tuple[str, ...],
@@ -129,15 +166,57 @@ def _read_batch(spark: SparkSession, root: str, name: str, series: tuple[str, ..
     return _read_input(spark, f"{root}/{name}", fmt, schema=schema)
 
 
+def _plan(spark: SparkSession, args, stream: DataFrame, series, holidays, lateness: str, mode: str):
+    """The plan of a job over the clean stream."""
+    if args.job == "alerts":
+        if args.versions:
+            versions = baseline_table(spark, args.versions, T.StructType([stream.schema[s] for s in series]))
+            return alerts_stream_asof(stream, versions.read, series, holidays, lateness, mode=mode, combine=args.combine)
+        if not args.baseline:
+            raise SystemExit("--baseline (the batch output folder) or --versions is needed for alerts")
+        base = _read_batch(spark, args.baseline, "batch_hourly_baseline", series, args.format)
+        if args.grain == "record":      # each record as it comes, like the hourly files it is made for
+            return alerts_stream_records(record_stream(stream, series, holidays), base, series)
+        return alerts_stream(stream, base, series, holidays, lateness, mode=mode, combine=args.combine)
+    if args.job == "rolling":
+        return rolling_stream(stream, series, args.hours, lateness, mode, args.combine)
+    if args.job == "cumulative":
+        return cumulative_stream(stream, series, holidays, lateness, mode, args.combine)
+    return running_day_mean_stream(stream, series, lateness, mode, args.combine)
+
+
+def _in_order(spark: SparkSession, args, source: FileInput, series, holidays, root: str) -> DataFrame:
+    def make(raw: DataFrame, lateness: str):
+        stream = _clean(raw, args)
+        return _plan(spark, args, stream.drop("holiday_flag") if args.marker else stream, series, holidays,
+                     lateness, "update")
+
+    clock = to_wall_clock(args.time_col, source.schema[args.time_col].dataType, args.time_format)
+    stats: dict = {}
+    table = merged_table(spark, make(source.stream(spark), "0 seconds"), f"{root}/table") if args.merge else None
+    out = replay_in_order(spark, source, clock, make, args.job, root, stats=stats,
+                          state_partitions=args.state_partitions, table=table)
+    print(f"{args.job}: {stats}")
+    return out
+
+
 def run_stream(spark: SparkSession, args):
     series = tuple(args.series)
     root = f"{args.out}/{args.job}"
+    if args.versions:
+        args.grain = "hour"     # an hour is compared with the version of its own time
     raw, _, schema = _read_raw(spark, args)
+    source = FileInput(args.input, schema, args.input_format)
     batch = _clean(raw, args)
     stream = _clean(file_stream(spark, args.input, schema, fmt=args.input_format), args)
     if args.marker:
         batch, stream = batch.drop("holiday_flag"), stream.drop("holiday_flag")
     holidays = _marked(spark, args, root)
+    if args.in_order:
+        if args.every or args.mode == "append" or args.late == "store":
+            raise SystemExit("--in-order replays in update mode and loses no row: not with --every, --mode append "
+                             "or --late store")
+        return _in_order(spark, args, source, series, holidays, root)
     lateness = args.lateness or ("1 hour" if args.every else replay_lateness(batch))
     finish = None
     # Hours are classified once closed; an open hour's class could change.
@@ -145,31 +224,24 @@ def run_stream(spark: SparkSession, args):
     if mode == "append" and not args.every and not (args.job == "alerts" and args.grain == "record"):
         stream = with_end_marker(stream, f"{root}/end_marker")
         finish = lambda: end_marker(batch, f"{root}/end_marker", lateness)
-    if args.job == "alerts":
-        if not args.baseline:
-            raise SystemExit("--baseline (the batch output folder) is needed for alerts")
-        base = _read_batch(spark, args.baseline, "batch_hourly_baseline", series, args.format)
-        if args.grain == "record":      # each record as it comes, like the hourly files it is made for
-            plan = alerts_stream_records(record_stream(stream, series, holidays), base, series)
-        else:
-            plan = alerts_stream(stream, base, series, holidays, lateness, mode=mode,
-                                 combine=args.combine)
-    elif args.job == "rolling":
-        plan = rolling_stream(stream, series, args.hours, lateness, mode, args.combine)
-    elif args.job == "cumulative":
-        plan = cumulative_stream(stream, series, holidays, lateness, mode, args.combine)
-    else:
-        plan = running_day_mean_stream(stream, series, lateness, mode, args.combine)
+    plan = _plan(spark, args, stream, series, holidays, lateness, mode)
+    table = merged_table(spark, plan, f"{root}/table") if args.merge else None
+    late = LateRows(source, args.time_col, f"try_cast({args.value} AS BIGINT) IS NOT NULL",
+                    args.time_format) if args.late == "store" and plan.stateful else None
     partitions = args.state_partitions or default_state_partitions(spark)
     if not args.every:
         stats: dict = {}
-        out = run_to_table(spark, plan, args.job, root, stats, partitions, args.late, finish)
+        out = run_to_table(spark, plan, args.job, root, stats, partitions,
+                           "fail" if args.late == "store" and late is None else args.late, finish,
+                           table=table, late_rows=late)
         print(f"{args.job}: {stats}")
         return out
     query = start(plan, f"{root}/out", f"{root}/checkpoint", {"processingTime": args.every},
-                  name=f"flowtally_{args.job}", state_partitions=partitions)
+                  name=f"flowtally_{args.job}", state_partitions=partitions, table=table, late_rows=late)
     query.awaitTermination()
     print(f"{args.job}: {progress_stats(query)}")
+    if table is not None:
+        return table.read()
     return read_latest(spark, f"{root}/out", plan.keys, output_schema(spark, plan),
                        snapshot=latest_snapshot(spark, root))
 
@@ -268,13 +340,23 @@ def parser() -> argparse.ArgumentParser:
     b = sub.add_parser("batch")
     common(b)
     b.add_argument("--rounding", default=None, choices=["half_up", "floor"])
+    b.add_argument("--state", help="folder of stored hour sums: only files that are new to it are read")
+    v = sub.add_parser("publish", help="add a baseline version")
+    v.add_argument("--batch", required=True)
+    v.add_argument("--valid-from", required=True, help="yyyy-MM-dd HH:mm:ss")
+    v.add_argument("--versions", required=True)
+    v.add_argument("--series", nargs="*", default=[])
+    v.add_argument("--rounding", default=None, choices=["half_up", "floor"])
     s = sub.add_parser("stream")
     common(s)
     s.add_argument("--job", required=True, choices=list(STREAM_TABLES))
     s.add_argument("--baseline")
     s.add_argument("--lateness", help="default: 1 hour with --every; in a replay the input's time span")
-    s.add_argument("--late", default="fail", choices=["fail", "report"],
-                   help="a replay that loses late rows fails, or reports them")
+    s.add_argument("--late", default="fail", choices=["fail", "report", "store"],
+                   help="a replay that loses late rows fails, reports them, or stores them whole")
+    s.add_argument("--versions", help="folder of published baseline versions, for alerts on hours")
+    s.add_argument("--merge", action="store_true", help="merge the result by key into a table of few files")
+    s.add_argument("--in-order", action="store_true", help="replay files in the order of their times")
     s.add_argument("--grain", default="record", choices=["record", "hour"],
                    help="alerts on each record as it comes, or on each hour once it is closed")
     s.add_argument("--state-partitions", type=int, help="default: the session's cores at the start")
@@ -313,7 +395,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     args = parser().parse_args(argv)
     spark = spark or build_session(master=None, shuffle_partitions=None, cluster=args.cluster)
     run = {"batch": run_batch, "stream": run_stream, "check": run_check,
-           "compact": run_compact, "export": run_export, "sql": run_sql}[args.cmd]
+           "compact": run_compact, "export": run_export, "sql": run_sql, "publish": run_publish}[args.cmd]
     return run(spark, args)
 
 

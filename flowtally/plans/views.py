@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from flowtally.schemas import RESULT_SCHEMAS, conform
+from flowtally.sinks.keyed import stored_table
 from flowtally.streaming.sink import latest_snapshot, read_latest
 
 BATCH_VIEWS = ("batch_hourly_baseline", "batch_daily_average", "batch_daily_total")
@@ -42,6 +43,8 @@ def _batch(spark: SparkSession, root: str, name: str, series: Sequence[str],
 
 def stream_result(spark: SparkSession, root: str, job: str, series: Sequence[str]) -> DataFrame:
     """A stream job's stored result, one row per key (newest version)."""
+    if _exists(spark, f"{root}/{job}/table"):
+        return stored_table(spark, f"{root}/{job}/table", [*series, *STREAM_KEYS[job]]).read()
     path = f"{root}/{job}/out"
     versions = spark.read.parquet(path)
     schema = T.StructType([f for f in versions.schema.fields if f.name != "batch_id"])
@@ -62,7 +65,7 @@ def register_result_views(spark: SparkSession, batch_dir: str | None = None,
                 names.append(name)
     if stream_dir:
         for job, name in STREAM_VIEWS.items():
-            if _exists(spark, f"{stream_dir}/{job}/out"):
+            if _exists(spark, f"{stream_dir}/{job}/out") or _exists(spark, f"{stream_dir}/{job}/table"):
                 df = conform(stream_result(spark, stream_dir, job, series), name, tuple(series))
                 df.createOrReplaceTempView(name)
                 names.append(name)

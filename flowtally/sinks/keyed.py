@@ -194,6 +194,16 @@ class KeyedTable:
         return len(old) + len(orphans)
 
 
+def stored_table(spark: SparkSession, root: str, keys: Sequence[str]) -> KeyedTable:
+    """A stored table of rule ``"last"`` for reading, its schema that of its
+    data sets."""
+    table = KeyedTable(spark, root, T.StructType([]), keys, "'none'")
+    paths = [e.path for e in table.entries() if e.kind == "live"]
+    if paths:
+        table.schema = T.StructType([f for f in spark.read.parquet(paths[0]).schema.fields if f.name != VERSION])
+    return table
+
+
 def keyed_writer(table: KeyedTable, per_batch=None):
     """A ``foreachBatch`` function that merges each micro-batch by key; a
     batch replayed after a failure changes nothing.  A table belongs to one

@@ -84,6 +84,13 @@ def start(plan: StreamPlan, out_path: str, checkpoint: str, trigger: dict | None
                     spark.conf.set(k, v)
 
 
+def merged_table(spark: SparkSession, plan: StreamPlan, root: str) -> KeyedTable:
+    """A table that a plan's result is merged into by key, its ranges the
+    months of the key's date or time."""
+    at = next(k for k in plan.keys if k in ("date", "date_time", "current_time"))
+    return KeyedTable(spark, root, output_schema(spark, plan), plan.keys, f"substring(`{at}`, 1, 7)")
+
+
 def late_folder(out_path: str) -> str:
     return f"{out_path.rsplit('/', 1)[0]}/late"
 

@@ -92,3 +92,39 @@ def test_golden_rows_through_the_command_line(spark, tmp_path):
     assert lines[0] == "date,hour,cumulative_traffic,is_holiday" and len(lines) == 49
     assert {r.date: (r.cumulative_traffic, r.is_holiday) for r in ends.collect()} == want
     assert {r.date: (r.total_daily_traffic, r.is_holiday) for r in totals.collect()} == want
+
+
+def test_late_rows_merged_tables_and_versions(spark, tmp_path):
+    """Files one after the other: incremental batch, published baseline
+    versions, a stream that stores late rows and merges by key, a replay in
+    the order of times, and SQL over the merged tables."""
+    from pyspark.sql import functions as F
+
+    from flowtally.operators.asof import alerts_asof
+    from flowtally.sources.testdata import table
+
+    out, events = str(tmp_path), table(spark, SF_SMALL, "events")
+    h = event_hourly(spark, SF_SMALL).withColumnRenamed("series", "event_type")
+    for k in range(3):
+        events.where(F.col("event_id") % 3 == k).coalesce(1).write.mode("append").parquet(f"{out}/in")
+        batch = main(["batch", "--input", f"{out}/in", *COMMON, "--state", f"{out}/state", "--out", f"{out}/batch"], spark)
+    want = hourly_baseline(h, ["event_type"])
+    assert _rows(batch["batch_hourly_baseline"], want.columns) == _rows(want, want.columns)
+
+    for at in ("2024-01-08 00:00:00", "2024-01-20 00:00:00"):
+        versions = main(["publish", "--batch", f"{out}/batch", "--valid-from", at, "--versions", f"{out}/versions",
+                         "--series", "event_type"], spark)
+    stream = ["stream", "--input", f"{out}/in", *COMMON, "--merge", "--out", f"{out}/stream"]
+    got = main([*stream, "--job", "alerts", "--versions", f"{out}/versions"], spark)
+    want = alerts_asof(h, versions, ["event_type"])
+    assert _rows(got, want.columns) == _rows(want, want.columns)
+
+    got = main([*stream, "--job", "cumulative", "--late", "store", "--lateness", "1 day"], spark)
+    curve = cumulative_curve(h, ["event_type"])
+    assert got.count() == curve.count()      # one micro-batch: nothing was late
+    got = main([*stream, "--job", "rolling", "--in-order"], spark)
+    roll = rolling_mean(h, ["event_type"])
+    assert _rows(got, roll.columns) == _rows(roll, roll.columns)
+    n, = main(["sql", "--stream", f"{out}/stream", "--series", "event_type",
+               "-e", "SELECT COUNT(*) AS n FROM flink_cumulative_result"], spark)
+    assert n.first().n == curve.count()
