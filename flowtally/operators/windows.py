@@ -85,6 +85,12 @@ def rolling_records(clean_df: DataFrame, series: Sequence[str] = (),
     hour's records and those of the hour that leaves, however many records the
     series has.
     """
+    return records_by_hour(clean_df, series, hours).drop("_hour")
+
+
+def records_by_hour(clean_df: DataFrame, series: Sequence[str] = (),
+                    hours: int = ROLLING_HOURS) -> DataFrame:
+    """:func:`rolling_records` with each record's hour index, ``_hour``."""
     hour = hour_index(F.col("ts"))
     rec = clean_df.select(*series, "ts", "traffic", hour.alias("_hour"))
     sums = rec.groupBy(*series, "_hour").agg(F.sum("traffic").alias("_s"), F.count(F.lit(1)).alias("_n"))
@@ -106,7 +112,7 @@ def rolling_records(clean_df: DataFrame, series: Sequence[str] = (),
     total = F.coalesce("_whole_s", F.lit(0)) + F.col("_s")
     count = F.coalesce("_whole_n", F.lit(0)) + F.col("_n")
     return known.select(
-        *series, F.date_format("ts", RECORD_TIME).alias("current_time"),
+        *series, "_hour", F.date_format("ts", RECORD_TIME).alias("current_time"),
         F.date_format(F.col("ts") - F.expr(f"interval {hours} hours"), RECORD_TIME).alias("window_start"),
         "traffic", mean_of(total, count).alias("avg_traffic"), count.cast("int").alias("data_count"))
 

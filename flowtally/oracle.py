@@ -239,6 +239,19 @@ SELECT series, date, CASE WHEN d % 7 <> 3 THEN total ELSE 0 END AS batch_total,
 FROM day_sums WHERE d % 7 <> 3 OR d % 5 <> 2"""
 
 
+RECORD_MEANS = """
+WITH records AS (
+  SELECT event_type AS series, ts, CAST(round(value * 100) AS BIGINT) AS traffic
+  FROM events WHERE ts IS NOT NULL AND value IS NOT NULL)
+SELECT series, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS "current_time",
+       strftime(ts - INTERVAL 24 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS window_start, traffic,
+       CAST(sum(traffic) OVER lately AS DOUBLE) / count(*) OVER lately AS avg_traffic,
+       CAST(count(*) OVER lately AS INTEGER) AS data_count
+FROM records
+WINDOW lately AS (PARTITION BY series ORDER BY ts
+                  RANGE BETWEEN INTERVAL '23:59:59.999999' PRECEDING AND CURRENT ROW)"""
+
+
 ORACLE: dict[str, str] = {
     "hourly_records": HOURLY_RECORDS,
     "hourly_baseline": _with(REC, BASE) + "SELECT * FROM base",
@@ -361,17 +374,8 @@ FROM (SELECT count(*) AS n, count(*) FILTER (bad) AS n_bad FROM raw),
      LATERAL (VALUES ('rows_read', n), ('malformed', 0), ('rejected_time', 0), ('rejected_value', n_bad),
                      ('kept', n - n_bad)) AS m(metric, value)""",
     "dirty_csv_stream_marked": DIRTY_CURVE_SQL,
-    "rolling_records": """
-WITH records AS (
-  SELECT event_type AS series, ts, CAST(round(value * 100) AS BIGINT) AS traffic
-  FROM events WHERE ts IS NOT NULL AND value IS NOT NULL)
-SELECT series, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS "current_time",
-       strftime(ts - INTERVAL 24 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS window_start, traffic,
-       CAST(sum(traffic) OVER lately AS DOUBLE) / count(*) OVER lately AS avg_traffic,
-       CAST(count(*) OVER lately AS INTEGER) AS data_count
-FROM records
-WINDOW lately AS (PARTITION BY series ORDER BY ts
-                  RANGE BETWEEN INTERVAL '23:59:59.999999' PRECEDING AND CURRENT ROW)""",
+    "rolling_records": RECORD_MEANS,
+    "rolling_records_stream": RECORD_MEANS,
     "rolling_topk": _with(REC, ROLL) + """
 SELECT * FROM roll ORDER BY "current_time", series LIMIT 20""",
     "curve_ordered": _with(REC, CURVE) + "SELECT * FROM curve ORDER BY series, date, hour",

@@ -33,7 +33,7 @@ from flowtally.sinks.keyed import KeyedTable
 from flowtally.sources.stream import FileInput, file_stream
 from flowtally.plans.incremental import arrive, hour_state, results
 from flowtally.streaming import (LateRows, alerts_stream, alerts_stream_asof, alerts_stream_records, cumulative_stream,
-                                 cumulative_stream_marked, end_marker, endpoint_stream, read_late, replay_in_order, replay_lateness, rolling_stream,
+                                 cumulative_stream_marked, end_marker, endpoint_stream, read_late, replay_in_order, replay_lateness, replay_records, rolling_stream,
                                  run_to_table, running_day_mean_stream, with_end_marker)
 from flowtally.streaming.runner import output_schema
 
@@ -551,6 +551,13 @@ def q_rolling_records(spark, sf_dir):
     return rolling_records(events_clean(table(spark, sf_dir, "events")), SERIES)
 
 
+def q_rolling_records_stream(spark, sf_dir):
+    """W3 at every record, each once its hour is closed."""
+    source = _files_in_turn(spark, sf_dir, 3)
+    lateness = replay_lateness(events_clean(table(spark, sf_dir, "events")))
+    return replay_records(spark, source, "ts", events_clean, SERIES, lateness=lateness, max_files_per_trigger=1)
+
+
 # --- ordering and top-k ------------------------------------------------------
 
 def q_rolling_topk(spark, sf_dir, k: int = 20):
@@ -619,6 +626,7 @@ QUERIES: dict[str, Query] = {
     "intake_metrics": q_intake_metrics,
     "dirty_csv_stream_marked": q_dirty_csv_stream_marked,
     "rolling_records": q_rolling_records,
+    "rolling_records_stream": q_rolling_records_stream,
     "rolling_topk": q_rolling_topk,
     "curve_ordered": q_curve_ordered,
 }

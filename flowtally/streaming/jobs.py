@@ -78,7 +78,7 @@ def end_marker(clean_batch: DataFrame, folder: str, lateness: str, days: int = 1
     last.where(F.col("ts").isNotNull()).select(*empty).write.mode("append").parquet(folder)
 
 
-def _hour_end(ts: Column) -> Column:
+def hour_end(ts: Column) -> Column:
     return event_time(F.date_trunc("hour", ts).cast("timestamp_ntz")) + F.expr("interval 1 hour")
 
 
@@ -139,7 +139,7 @@ def alerts_stream(clean_stream: DataFrame, baseline: DataFrame, series: Sequence
     frame = _flagged(hours, holidays).select(*series, _hour_string(F.col("day"), F.col("hour")).alias("date_time"),
                          date_string(F.col("day")).alias("date"), "hour", "is_holiday", "traffic")
     return StreamPlan(frame, [*series, "date_time"], _mode(mode),
-                      lambda b: alerts_batch(b, baseline, series, high, low), closes=_hour_end)
+                      lambda b: alerts_batch(b, baseline, series, high, low), closes=hour_end)
 
 
 def alerts_stream_asof(clean_stream: DataFrame, versions: Callable[[], DataFrame], series: Sequence[str] = (),

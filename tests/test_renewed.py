@@ -187,3 +187,50 @@ def test_last_record_of_an_hour_is_the_hourly_value(spark):
     a = rolling_records(one, SERIES).select("series", F.substring("current_time", 1, 19), "avg_traffic", "data_count")
     b = rolling_mean(hours, SERIES).select("series", "current_time", "avg_traffic", "data_count")
     assert rows(a) == rows(b) and events_clean(table(spark, SF_SMALL, "events")).count() >= len(rows(a))
+
+
+def in_turn(spark, path, parts):
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+    return FileInput(path, EVENTS_SCHEMA)
+
+
+@pytest.mark.parametrize("lateness", ["0 seconds", "4 days", "40 days"])
+def test_records_in_a_stream(spark, tmp_path, lateness):
+    """Files over the whole time, one a micro-batch: the batch's means over
+    the records that were in time; every record once."""
+    from flowtally.streaming import LateRows, replay_records
+    from flowtally.streaming.jobs import hour_end
+    events = table(spark, SF_SMALL, "events")
+    source = in_turn(spark, f"{tmp_path}/in x", [events.where(F.col("event_id") % 4 == k) for k in range(4)])
+    stats = {}
+    got = replay_records(spark, source, "ts", events_clean, SERIES, 24, lateness, root=f"{tmp_path}/run",
+                         max_files_per_trigger=1, late="report", stats=stats)
+    late = LateRows(source, "ts", "ts IS NOT NULL AND value IS NOT NULL")
+    lost = [late.of_batch(spark, f"{tmp_path}/run/checkpoint", b, hour_end) for b in range(4)]
+    kept = events
+    for rows_of_batch in lost:
+        if rows_of_batch is not None:
+            kept = kept.join(rows_of_batch.select("event_id"), "event_id", "left_anti")
+    want = rolling_records(events_clean(kept), SERIES)
+    assert rows(got) == rows(want) and (stats["dropped_late_groups"] == 0) == (lateness == "40 days")
+    assert (kept.count() == events.count()) == (lateness == "40 days")
+
+
+def test_records_of_later_files_join_their_windows(spark, tmp_path):
+    """Hours closed by one micro-batch are the window of the next ones."""
+    from flowtally.streaming import replay_records
+    events = table(spark, SF_SMALL, "events").orderBy("ts")
+    cuts = ["2024-01-05", "2024-01-06", "2024-01-06 12:00:00", "2024-01-19"]
+    parts, rest = [], events
+    for cut in cuts:
+        parts.append(rest.where(F.col("ts") < cut))
+        rest = rest.where(F.col("ts") >= cut)
+    source = in_turn(spark, f"{tmp_path}/in", [*parts, rest])
+    got = replay_records(spark, source, "ts", events_clean, SERIES, 24, "0 seconds", root=f"{tmp_path}/run",
+                         max_files_per_trigger=1)
+    assert rows(got) == rows(rolling_records(events_clean(events), SERIES))
+    assert len(spark.read.parquet(f"{tmp_path}/run/out").select("batch_id").distinct().collect()) >= 4
+    empty = replay_records(spark, in_turn(spark, f"{tmp_path}/none", [events.where("false")]), "ts", events_clean,
+                           SERIES, root=f"{tmp_path}/empty")
+    assert empty.count() == 0
