@@ -302,6 +302,19 @@ SELECT count(*) FILTER (last_hour = 23) AS both_sides,
        count(*) FILTER (last_hour < 23) AS totals_without_end,
        CAST(0 AS BIGINT) AS ends_without_total
 FROM day_ends""",
+    "endpoint_coverage_lossy": _with(REC, DAY_ENDS) + """,
+kept AS (SELECT day(CAST(date AS DATE)) % 7 <> 3 AS total, day(CAST(date AS DATE)) % 5 <> 2 AND last_hour = 23 AS curve_end
+         FROM day_ends)
+SELECT count(*) FILTER (total AND curve_end) AS both_sides, count(*) FILTER (total AND NOT curve_end) AS totals_without_end,
+       count(*) FILTER (curve_end AND NOT total) AS ends_without_total
+FROM kept""",
+    "import_check_damaged": _with(REC, BASE, DAVG, TOTAL) + """,
+counted AS (
+  SELECT 'batch_hourly_baseline' AS table_name, count(*) AS n, count(*) FILTER (hour = 5) AS lost, 0 AS changed FROM base
+  UNION ALL SELECT 'batch_daily_average', count(*), 0, 0 FROM davg
+  UNION ALL SELECT 'batch_daily_total', count(*), 0, count(*) FILTER (day(CAST(date AS DATE)) = 9) FROM total)
+SELECT table_name, n AS rows_before, n - lost AS rows_after, CAST(lost + 2 * changed AS BIGINT) AS rows_different
+FROM counted""",
     "check_convergence": _with(REC) + """,
 means AS (
   SELECT series, date_time,

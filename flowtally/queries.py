@@ -460,6 +460,25 @@ def q_endpoint_coverage(spark, sf_dir):
     return endpoint_coverage(q_daily_total(spark, sf_dir), q_cumulative_stream(spark, sf_dir), SERIES)
 
 
+def q_endpoint_coverage_lossy(spark, sf_dir):
+    """V6's other half where both sides lost days: the totals those of the
+    month with remainder 3 by 7, the curve those with 2 by 5."""
+    day = F.dayofmonth(F.to_date("date"))
+    curve = cumulative_curve(event_hourly(spark, sf_dir), SERIES)
+    return endpoint_coverage(q_daily_total(spark, sf_dir).where(day % 7 != 3), curve.where(day % 5 != 2), SERIES)
+
+
+def q_import_check_damaged(spark, sf_dir):
+    """V8 on an import that lost the baseline's rows of hour 5 and changed the
+    totals of the ninth day of each month."""
+    before, after = _imported(spark, sf_dir)
+    ninth = F.dayofmonth(F.to_date("date")) == 9
+    after["batch_hourly_baseline"] = after["batch_hourly_baseline"].where("hour <> 5")
+    after["batch_daily_total"] = after["batch_daily_total"].withColumn(
+        "total_daily_traffic", F.col("total_daily_traffic") + F.when(ninth, 1).otherwise(0))
+    return import_check(before, after)
+
+
 RAW_CSV_SCHEMA = T.StructType([
     T.StructField("series", T.StringType()), T.StructField("holiday", T.StringType()),
     T.StructField("date_time", T.StringType()), T.StructField("traffic_volume", T.LongType())])
@@ -601,6 +620,8 @@ QUERIES: dict[str, Query] = {
     "endpoint_coverage": q_endpoint_coverage,
     "import_counts": q_import_counts,
     "import_check": q_import_check,
+    "endpoint_coverage_lossy": q_endpoint_coverage_lossy,
+    "import_check_damaged": q_import_check_damaged,
     "export_round_trip": q_export_round_trip,
     "conformed_total": q_conformed_total,
     "view_select": q_view_select,
