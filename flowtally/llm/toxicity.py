@@ -56,9 +56,10 @@ NEIGHBOURS = 15
 BLOCK = 64
 COMMON = 12                 # of so many examples one holds a term of the matrix
 FIRST = 64                  # examples multiplied out for a first k-th cosine
-TOGETHER = 64              # texts whose neighbours are sought at a time
+TOGETHER = 32              # texts whose neighbours are sought at a time
 ROUGH = 1e-4                # more than single precision can be off
-REMEMBERED = 5_000          # answers for equal texts that a worker keeps
+COUNTED = 1 << 19           # counts of terms that a worker holds before it adds them up
+REMEMBERED = 2_000          # answers for equal texts that a worker keeps
 PREFIXES = (4, 5)
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -104,20 +105,27 @@ def term_table(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows and toxic rows that hold each term, for the rows of a batch."""
+    _LOADED.clear()         # an index of an earlier fit, if the worker has one
     for batch in batches:
-        parts = []
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for chunk in text_chunks(batch):
+            if sum(len(p[0]) for p in parts) > COUNTED:
+                parts = [_added_up(parts)]
             keys, text, term, _ = term_table(chunk.column("text").to_pylist())
             toxic = (chunk.column("label").to_numpy(zero_copy_only=False)[text] > 0
                      if "label" in batch.schema.names else np.zeros(len(text), dtype=bool))
             parts.append((keys, np.bincount(term, minlength=len(keys)),
                           np.bincount(term[toxic], minlength=len(keys))))
         if parts:
-            keys, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-            every, toxic = (np.bincount(at, weights=np.concatenate([p[i] for p in parts]), minlength=len(keys))
-                            for i in (1, 2))
-            yield pa.RecordBatch.from_pydict({"term": pa.array(keys), "n": pa.array(every.astype(np.int64)),
-                                              "n_toxic": pa.array(toxic.astype(np.int64))})
+            keys, every, toxic = _added_up(parts)
+            yield pa.RecordBatch.from_pydict({"term": pa.array(keys), "n": pa.array(every), "n_toxic": pa.array(toxic)})
+
+
+def _added_up(parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, counts, counts) of several such added up by key."""
+    keys, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return (keys, *(np.bincount(at, weights=np.concatenate([p[i] for p in parts]),
+                                minlength=len(keys)).astype(np.int64) for i in (1, 2)))
 
 
 class Examples:
