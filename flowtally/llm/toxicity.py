@@ -28,7 +28,6 @@ sent to the tasks once, compressed.
 
 from __future__ import annotations
 
-import io
 import math
 import re
 import uuid
@@ -63,6 +62,7 @@ REMEMBERED = 2_000          # answers for equal texts that a worker keeps
 PREFIXES = (4, 5)
 WORD = re.compile(r"[^\W\d_]+")
 
+PACKED = ("keys", "idf", "ids", "texts", "labels", "column", "starts", "places", "held_counts", "matrix_counts", "norms")
 _LOADED: dict[str, "Examples"] = {}
 
 
@@ -229,10 +229,16 @@ class Examples:
             listed[upto:upto + each[-1]] = at[rare]
             counts[upto:upto + each[-1]] = n[rare]
             upto += each[-1]
-        by_term = np.argsort(listed, kind="stable")
         self.starts = np.concatenate([[0], np.cumsum(np.where(common, 0, sizes))])
-        self.places = np.repeat(np.arange(len(rows), dtype=self._place_kind(len(rows))), each)[by_term]
-        self.held_counts = counts[by_term]
+        where = np.repeat(np.arange(len(rows), dtype=self._place_kind(len(rows))), each)
+        self.places, self.held_counts = np.empty_like(where), np.empty_like(counts)
+        # A range of terms at a time, each with about as many entries.
+        bounds = np.searchsorted(self.starts, np.linspace(0, held, 17)[1:-1].astype(np.int64))
+        for lo, hi in zip([0, *bounds], [*bounds, len(sizes)]):
+            mine = np.flatnonzero((listed >= lo) & (listed < hi))
+            mine = mine[np.argsort(listed[mine], kind="stable")]
+            span = slice(self.starts[lo], self.starts[hi])
+            self.places[span], self.held_counts[span] = where[mine], counts[mine]
 
     @staticmethod
     def _place_kind(n: int):
@@ -266,6 +272,8 @@ class Examples:
     def ready(self) -> "Examples":
         """Work the weights out of the counts, once."""
         if not self._ready:
+            if not hasattr(self, "places"):     # sent away: see ``shared``
+                self._unpack(self._broadcast.value[1])
             if not hasattr(self, "norms"):
                 self.norms = np.ones(len(self.ids))
             common = np.flatnonzero(self.column >= 0)
@@ -407,16 +415,27 @@ class Examples:
         return score, [int(self.ids[p]) for _, p in near], [c for c, _ in near]
 
     def shared(self, spark):
-        """The index as the tasks get it, sent once: compressed counts."""
+        """The index as the tasks get it, sent once: compressed counts.  The
+        driver keeps the vocabulary; the rest comes back when it is asked for."""
         if self._broadcast is None:
-            out = io.BytesIO()
-            arrays = {a: getattr(self, a) for a in ("keys", "idf", "ids", "texts", "labels", "column", "starts", "places",
-                                                    "held_counts", "matrix_counts", "norms") if hasattr(self, a)}
-            np.savez(out, other=self.other, base_rate=self.base_rate, **arrays)
-            packed = zstandard.ZstdCompressor(3).compress(out.getbuffer())
-            self._broadcast = spark.sparkContext.broadcast((self.name, packed))
+            squeeze = zstandard.ZstdCompressor(3).compress
+            packed = {a: (x.dtype.str, x.shape, squeeze(np.ascontiguousarray(x).data.cast("B")) if x.size else b"")
+                      for a in PACKED if (x := getattr(self, a, None)) is not None}
+            self._broadcast = spark.sparkContext.broadcast((self.name, {**packed, "other": self.other,
+                                                                        "base_rate": self.base_rate}))
+            if not self._ready:
+                for a in ("places", "held_counts", "matrix_counts"):
+                    delattr(self, a)
         return self._broadcast
 
+    def _unpack(self, packed: dict) -> None:
+        restore = zstandard.ZstdDecompressor().decompress
+        for a, x in packed.items():
+            if isinstance(x, tuple):
+                kind, shape, data = x
+                x = np.frombuffer(restore(data) if data else b"", dtype=kind).reshape(shape)
+            setattr(self, a, x)
+
     def outcome(self) -> tuple[np.ndarray, np.ndarray, float]:
         """What turns votes into scores."""
         return self.votes, self.rates, self.bare_rate
@@ -428,10 +447,7 @@ def loaded(shared, outcome=None) -> Examples:
     if name not in _LOADED:
         _LOADED.clear()
         model = Examples({})
-        made = np.load(io.BytesIO(zstandard.ZstdDecompressor().decompress(packed)))
-        for a in made.files:
-            setattr(model, a, made[a])
-        model.other, model.base_rate = float(made["other"]), float(made["base_rate"])
+        model._unpack(packed)
         _LOADED[name] = model.ready()
     model = _LOADED[name]
     if outcome is not None:
@@ -592,10 +608,12 @@ def _weighed(model: Examples, at, n, place: int) -> tuple[np.ndarray, np.ndarray
 
 def _index(model: Examples, made: DataFrame) -> None:
     """Build the index from the examples' counts, bounded by ``fit_rows``."""
-    listed = made.orderBy("doc_id", "label", "h").toArrow().combine_chunks()
+    listed = made.toArrow()
     ids, texts, labels = (listed[c].to_numpy() for c in ("doc_id", "h", "label"))
     rows = [(np.frombuffer(at.as_buffer(), dtype="<i4"), _wide(n.as_buffer()))
             for at, n in zip(listed["at"], listed["n"])]        # views of the table
+    order = np.lexsort((texts, labels, ids))
+    ids, texts, labels, rows = ids[order], texts[order], labels[order], [rows[i] for i in order]
     live = np.array([len(at) > 0 for at, _ in rows], dtype=bool)
     model._rates(labels[~live].tolist(), labels)
     model.build_counts(ids[live], texts[live], labels[live].astype(float), [r for r, x in zip(rows, live) if x])
