@@ -645,6 +645,7 @@ def toxicity_scores(docs: DataFrame, model: Examples) -> DataFrame:
                     "doc_id": chunk.column("doc_id"), "score": pa.array([x[0] for x in out], pa.float64()),
                     "neighbours": pa.array([x[1] for x in out], pa.list_(pa.int64())),
                     "cosines": pa.array([x[2] for x in out], pa.list_(pa.float64()))})
+        _LOADED.clear()     # the worker lives on
 
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                          F.col("text").cast("string").alias("text")).mapInArrow(run, SCORES)
@@ -669,5 +670,6 @@ def without_toxic(docs: DataFrame, model: Examples) -> DataFrame:
             for i in range(0, len(batch), 4 * TOGETHER):
                 found += [x[0] for x in loaded(shared, outcome).scores(batch.iloc[i:i + 4 * TOGETHER].tolist())]
             yield pd.Series(found, dtype=float)
+        _LOADED.clear()     # the worker lives on
 
     return docs.filter(score("text") < 0.5)
