@@ -23,6 +23,15 @@ def code_on_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
 
 
+def whole_texts(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of ``rows`` rows where the session has Spark's default of
+    10,000: rows that hold whole documents fill buffers of many times their
+    size otherwise, on both sides of every Python worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     code_on_workers(spark)

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtally.llm.common import code_on_workers, share_hash, store
+from flowtally.llm.common import code_on_workers, share_hash, store, whole_texts
 from flowtally.llm.words import text_chunks
 
 FIT_ROWS = 20_000
@@ -104,21 +104,29 @@ def term_table(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows and toxic rows that hold each term, for the rows of a batch."""
+    """Rows and toxic rows that hold each term, for batches together."""
     _LOADED.clear()         # an index of an earlier fit, if the worker has one
+    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def counted() -> pa.RecordBatch:
+        keys, every, toxic = parts[0]
+        return pa.RecordBatch.from_pydict({"term": pa.array(keys), "n": pa.array(every), "n_toxic": pa.array(toxic)})
+
     for batch in batches:
-        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for chunk in text_chunks(batch):
             if sum(len(p[0]) for p in parts) > COUNTED:
                 parts = [_added_up(parts)]
+                if 2 * len(parts[0][0]) > COUNTED:
+                    yield counted()
+                    parts = []
             keys, text, term, _ = term_table(chunk.column("text").to_pylist())
             toxic = (chunk.column("label").to_numpy(zero_copy_only=False)[text] > 0
                      if "label" in batch.schema.names else np.zeros(len(text), dtype=bool))
             parts.append((keys, np.bincount(term, minlength=len(keys)),
                           np.bincount(term[toxic], minlength=len(keys))))
-        if parts:
-            keys, every, toxic = _added_up(parts)
-            yield pa.RecordBatch.from_pydict({"term": pa.array(keys), "n": pa.array(every), "n_toxic": pa.array(toxic)})
+    if parts:
+        parts = [_added_up(parts)]
+        yield counted()
 
 
 def _added_up(parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -492,6 +500,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, telling: f
     without terms.  Without labelled rows the model gives every text 0.
     """
     spark = docs.sparkSession
+    whole_texts(spark)
     rows = sample(docs, labels, fit_rows)
     seen = rows.agg(F.count("*"), F.sum("label")).first()
     n, n_toxic = seen[0], seen[1] or 0
