@@ -28,7 +28,7 @@ from flowtally.sinks.keyed import KeyedTable
 from flowtally.sources.stream import FileInput
 from flowtally.streaming.jobs import StreamPlan
 from flowtally.streaming.runner import (add_stats, default_state_partitions, output_schema, progress_stats,
-                                        refuse_loss, start)
+                                        refuse_loss, start, state_rows)
 from flowtally.streaming.sink import read_latest
 
 FILES_PER_WAVE = 64
@@ -87,8 +87,8 @@ def replay_in_order(spark: SparkSession, source: FileInput, time: Column | str,
     ``make`` turns the raw stream and a lateness into the plan, in update
     mode.  Files of one folder are told apart by name.  Rows that would be
     dropped fail the replay.  ``stats`` gets the figures of
-    :func:`~flowtally.streaming.runner.progress_stats`, the number of waves
-    and the lateness in seconds.
+    :func:`~flowtally.streaming.runner.progress_stats`, the number of waves,
+    the lateness in seconds, and the most state rows after a wave.
     """
     spans = file_spans(spark, source, time)
     names = [p.rsplit("/", 1)[1] for p, _, _ in spans]
@@ -97,7 +97,7 @@ def replay_in_order(spark: SparkSession, source: FileInput, time: Column | str,
     in_order = waves(spans, files_per_wave)
     lateness = overlap_lateness(in_order)
     root = root or scratch_path(spark, name)
-    total = {"dropped_late_groups": 0, "complete": True}
+    total, most_state = {"dropped_late_groups": 0, "complete": True}, 0
     plan = make(source.stream(spark), lateness)
     if plan.mode != "update":
         raise ValueError("a replay in order runs in update mode")
@@ -109,9 +109,10 @@ def replay_in_order(spark: SparkSession, source: FileInput, time: Column | str,
         if query.exception() is not None:
             raise RuntimeError(f"stream {name} failed: {query.exception()}")
         add_stats(total, progress_stats(query))
+        most_state = max(most_state, state_rows(query))
         refuse_loss(name, total)
     if stats is not None:
-        stats.update(total, waves=len(in_order), lateness_seconds=int(lateness.split()[0]))
+        stats.update(total, waves=len(in_order), lateness_seconds=int(lateness.split()[0]), state_rows=most_state)
     if table is not None:
         return table.read()
     return read_latest(spark, f"{root}/out", plan.keys, output_schema(spark, plan))

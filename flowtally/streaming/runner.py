@@ -112,24 +112,26 @@ def progress_stats(query) -> dict:
     group and task, so ``dropped_late_groups`` is 0 exactly when no input row
     was lost, and otherwise lower than the number of input rows lost.  Of a
     run of more than ``PROGRESS_KEPT`` micro-batches the last are counted and
-    ``complete`` is False.  ``state_rows`` is the largest number of state rows
-    that a micro-batch left.
+    ``complete`` is False.
     """
     reports = query.recentProgress
     dropped = sum(op.get("numRowsDroppedByWatermark", 0)
                   for p in reports for op in p.get("stateOperators", []))
     return {"batches": len({p["batchId"] for p in reports}),
             "input_rows": sum(p.get("numInputRows", 0) for p in reports),
-            "dropped_late_groups": dropped, "complete": len(reports) < PROGRESS_KEPT,
-            "state_rows": max((sum(op.get("numRowsTotal", 0) for op in p.get("stateOperators", []))
-                               for p in reports), default=0)}
+            "dropped_late_groups": dropped, "complete": len(reports) < PROGRESS_KEPT}
+
+
+def state_rows(query) -> int:
+    """The largest number of state rows that a micro-batch left."""
+    return max((sum(op.get("numRowsTotal", 0) for op in p.get("stateOperators", []))
+                for p in query.recentProgress), default=0)
 
 
 def add_stats(total: dict, stats: dict) -> None:
     """Put the figures of one more run into those of the runs before."""
     for k, v in stats.items():
-        total[k] = {"complete": lambda: total.get(k, True) and v,
-                    "state_rows": lambda: max(total.get(k, 0), v)}.get(k, lambda: total.get(k, 0) + v)()
+        total[k] = (total.get(k, True) and v) if k == "complete" else total.get(k, 0) + v
 
 
 def refuse_loss(name: str, total: dict) -> None:
