@@ -136,6 +136,14 @@ def _added_up(parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                                 minlength=len(keys)).astype(np.int64) for i in (1, 2)))
 
 
+DAMPED = 1 + np.log(np.maximum(np.arange(1 << 16), 1))
+
+
+def _damped(counts: np.ndarray) -> np.ndarray:
+    """What a term weighs by how often it occurs, before its IDF."""
+    return DAMPED[counts] if counts.dtype.itemsize < 4 else 1 + np.log(counts.astype(float))
+
+
 class Examples:
     """The vocabulary and the block-max index of the labelled examples."""
 
@@ -201,7 +209,7 @@ class Examples:
         self._rates([labels[i] for i, v in enumerate(vectors) if not len(v[0])], labels)
         self._arrange(np.array([ids[i] for i in live], dtype=np.int64),
                       np.array([labels[i] for i in live], dtype=float), row, at, weights)
-        self.held, self.exact = self.held_counts, True
+        self.exact = True       # the stored values are weights, not counts
         self._finish()
 
     def build_counts(self, ids, texts, labels, rows) -> None:
@@ -284,10 +292,7 @@ class Examples:
                 self._unpack(self._broadcast.value[1])
             if not hasattr(self, "norms"):
                 self.norms = np.ones(len(self.ids))
-            common = np.flatnonzero(self.column >= 0)
-            terms = np.repeat(np.arange(len(self.idf)), np.diff(self.starts))
-            self.held = (1 + np.log(self.held_counts.astype(float))) * self.idf[terms] / self.norms[self.places]
-            self.common_idf, self.exact = self.idf[common], False
+            self.common_idf, self.exact = self.idf[self.column >= 0], False
             self._finish()
         return self
 
@@ -332,9 +337,14 @@ class Examples:
                 continue
             spans = [slice(a, b) for a, b in zip(self.starts[listed].tolist(), self.starts[listed + 1].tolist())]
             size = self.starts[listed + 1] - self.starts[listed]
-            held = np.concatenate([self.held[x] for x in spans])
-            held *= np.repeat(weights[columns < 0], size)
+            held = np.concatenate([self.held_counts[x] for x in spans])
+            mine = weights[columns < 0]
+            if not self.exact:
+                held, mine = _damped(held), mine * self.idf[listed]
+            held = held * np.repeat(mine, size)
             part[i] = np.bincount(np.concatenate([self.places[x] for x in spans]), minlength=n, weights=held)
+        if not self.exact:
+            part /= self.norms
         if without is not None:
             part[np.arange(len(vectors)), without] = -np.inf
         upper = part + np.repeat(query @ self.bounds, BLOCK, axis=1)[:, :n]
