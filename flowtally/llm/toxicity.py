@@ -53,7 +53,7 @@ TERM_LEVEL = 0.01           # chance that any of all tested terms is chosen with
 TELLING = 3.0
 NEIGHBOURS = 15
 BLOCK = 64
-COMMON = 12                 # of so many examples one holds a term of the matrix
+COMMON = 8                  # of so many examples one holds a term of the matrix
 FIRST = 64                  # examples multiplied out for a first k-th cosine
 TOGETHER = 32              # texts whose neighbours are sought at a time
 ROUGH = 1e-4                # more than single precision can be off
