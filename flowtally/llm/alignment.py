@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowtally.llm.common import code_on_workers, store
+from flowtally.llm.common import code_on_workers, store, whole_texts
 from flowtally.llm.words import text_chunks
 
 PARTS_KEPT = 1 << 17        # parts of texts whose ids a worker remembers
@@ -362,6 +362,7 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     table gives no rows.
     """
     code_on_workers(docs.sparkSession)
+    whole_texts(docs.sparkSession)      # rows of links are as long as their texts
     both = pair(path_a, path_b)
     width = len(both.bytes_b)
     rows = store(alignments(docs, path_a, path_b), "alignment")

@@ -136,3 +136,18 @@ def test_pairs_are_bounded(spark, code):
     for r in links:
         a, b = both.bytes_a[r.link // len(both.bytes_b)], both.bytes_b[r.link % len(both.bytes_b)]
         assert a.endswith(b) or b.endswith(a)
+
+
+def test_batches_hold_few_whole_texts(spark, docs_of):
+    set_to = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")     # Spark's default
+    try:
+        alignment.align(docs_of([(1, "one text")]), A, B)
+        sizes = spark.range(0, 5000, 1, 1).mapInArrow(
+            lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long").collect()
+        assert sum(r.n for r in sizes) == 5000 and max(r.n for r in sizes) <= 1000
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "300")   # a choice of the session stays
+        alignment.align(docs_of([(1, "one text")]), A, B)
+        assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "300"
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", set_to)
