@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,29 @@ def whole_texts(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, str(rows))
 
 
+_KEPT: dict[str, dict] = {}
+
+
+def kept(operator: str) -> dict:
+    """What a Python worker keeps from one task of ``operator`` to the next.
+    What it kept for another operator goes: workers outlive the stages of a
+    pipeline, and their memories would add up."""
+    if operator not in _KEPT:
+        _KEPT.clear()
+        give_back()
+        _KEPT[operator] = {}
+    return _KEPT[operator]
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system, where the C library can: a
+    worker that lives on holds it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     code_on_workers(spark)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtally.llm.common import store
+from flowtally.llm.common import kept, store
 
 END_ID = 1
 UNIT = 4
@@ -38,8 +38,6 @@ STEP = 0.5              # share of the binding class's demand that a round cover
 WORDS_KEPT = 1 << 19        # words whose ids one Python worker remembers
 BUCKET_ROWS = 20_000
 
-_WORDS: dict[str, "WordIds"] = {}
-
 
 def _byte_letters() -> list[str]:
     """How byte-level tokenizers spell bytes: printable Latin-1 characters
@@ -112,9 +110,10 @@ def _letters(word: bytes) -> bool:
 
 def text_ids(text: str | None, path: str, end_id: int = END_ID) -> bytes:
     """The ids of ``text`` and then ``end_id``, as little-endian 32-bit bytes."""
-    words = _WORDS.get(path)
+    known = kept("packing")
+    words = known.get(path)
     if words is None:
-        words = _WORDS[path] = WordIds(path)
+        words = known[path] = WordIds(path)
     if words.whole:
         found = words.tokenizer.encode(text or "", add_special_tokens=False).ids
         return np.array([*found, end_id], dtype="<u4").tobytes()

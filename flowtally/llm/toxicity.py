@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtally.llm.common import code_on_workers, share_hash, store, whole_texts
+from flowtally.llm.common import code_on_workers, give_back, kept, share_hash, store, whole_texts
 from flowtally.llm.words import text_chunks
 
 FIT_ROWS = 20_000
@@ -63,7 +63,6 @@ PREFIXES = (4, 5)
 WORD = re.compile(r"[^\W\d_]+")
 
 PACKED = ("keys", "idf", "ids", "texts", "labels", "column", "starts", "places", "held_counts", "matrix_counts", "norms")
-_LOADED: dict[str, "Examples"] = {}
 
 
 def text_words(text: str | None) -> list[str]:
@@ -72,9 +71,13 @@ def text_words(text: str | None) -> list[str]:
 
 def term_keys(terms) -> np.ndarray:
     """64-bit numbers that stand for the terms (prefixes have a trailing ``*``)."""
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(t.encode("utf-8", "surrogatepass")) for t in terms),
-                       dtype=np.uint64, count=len(terms)).view(np.int64)
+    digest = xxhash.xxh64_intdigest         # of a text's UTF-8 bytes
+    try:
+        found = np.fromiter(map(digest, terms), dtype=np.uint64, count=len(terms))
+    except UnicodeEncodeError:
+        found = np.fromiter((digest(t.encode("utf-8", "surrogatepass")) for t in terms),
+                            dtype=np.uint64, count=len(terms))
+    return found.view(np.int64)
 
 
 def text_digest(text: str) -> bytes:
@@ -92,8 +95,9 @@ def term_table(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     for n in PREFIXES:
         longer = np.flatnonzero(sizes > n)
         place = np.full(len(distinct), -1, dtype=np.int64)
-        place[longer] = sum(map(len, keys)) + np.arange(len(longer))
-        keys.append(term_keys([distinct[i][:n] + "*" for i in longer]))
+        same, prefixes = pd.factorize(np.array([w[:n] for w in distinct[longer]], dtype=object))
+        place[longer] = sum(map(len, keys)) + same
+        keys.append(term_keys([x + "*" for x in prefixes]))
         mine = place[code]
         texts_of.append(of_text[mine >= 0])
         marks.append(mine[mine >= 0])
@@ -105,7 +109,7 @@ def term_table(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows and toxic rows that hold each term, for batches together."""
-    _LOADED.clear()         # an index of an earlier fit, if the worker has one
+    kept("toxicity").clear()        # an index of an earlier fit, if the worker has one
     parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def counted() -> pa.RecordBatch:
@@ -127,6 +131,8 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if parts:
         parts = [_added_up(parts)]
         yield counted()
+    parts = []
+    give_back()
 
 
 def _added_up(parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -141,7 +147,9 @@ DAMPED = 1 + np.log(np.maximum(np.arange(1 << 16), 1))
 
 def _damped(counts: np.ndarray) -> np.ndarray:
     """What a term weighs by how often it occurs, before its IDF."""
-    return DAMPED[counts] if counts.dtype.itemsize < 4 else 1 + np.log(counts.astype(float))
+    if counts.dtype.itemsize < 4:       # no count is beyond the table: nothing to check or clip
+        return np.take(DAMPED, counts, mode="clip")
+    return 1 + np.log(counts.astype(float))
 
 
 class Examples:
@@ -342,7 +350,9 @@ class Examples:
             if not self.exact:
                 held, mine = _damped(held), mine * self.idf[listed]
             held = held * np.repeat(mine, size)
-            part[i] = np.bincount(np.concatenate([self.places[x] for x in spans]), minlength=n, weights=held)
+            # Wide before they are counted: narrow places are cast one by one there.
+            where = np.concatenate([self.places[x] for x in spans]).astype(np.intp)
+            part[i] = np.bincount(where, minlength=n, weights=held)
         if not self.exact:
             part /= self.norms
         if without is not None:
@@ -462,12 +472,14 @@ class Examples:
 def loaded(shared, outcome=None) -> Examples:
     """The index in a worker, unpacked once."""
     name, packed = shared.value
-    if name not in _LOADED:
-        _LOADED.clear()
+    known = kept("toxicity")
+    if name not in known:
+        known.clear()
         model = Examples({})
         model._unpack(packed)
-        _LOADED[name] = model.ready()
-    model = _LOADED[name]
+        known[name] = model.ready()
+        give_back()
+    model = known[name]
     if outcome is not None:
         model.votes, model.rates, model.bare_rate = outcome
     return model
@@ -664,7 +676,8 @@ def toxicity_scores(docs: DataFrame, model: Examples) -> DataFrame:
                     "doc_id": chunk.column("doc_id"), "score": pa.array([x[0] for x in out], pa.float64()),
                     "neighbours": pa.array([x[1] for x in out], pa.list_(pa.int64())),
                     "cosines": pa.array([x[2] for x in out], pa.list_(pa.float64()))})
-        _LOADED.clear()     # the worker lives on
+        kept("toxicity").clear()        # the worker lives on
+        give_back()
 
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                          F.col("text").cast("string").alias("text")).mapInArrow(run, SCORES)
@@ -689,6 +702,7 @@ def without_toxic(docs: DataFrame, model: Examples) -> DataFrame:
             for i in range(0, len(batch), 4 * TOGETHER):
                 found += [x[0] for x in loaded(shared, outcome).scores(batch.iloc[i:i + 4 * TOGETHER].tolist())]
             yield pd.Series(found, dtype=float)
-        _LOADED.clear()     # the worker lives on
+        kept("toxicity").clear()        # the worker lives on
+        give_back()
 
     return docs.filter(score("text") < 0.5)

@@ -1,9 +1,14 @@
+import gc
+import weakref
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 
-from flowtally.llm import toxicity
+from flowtally.llm import common, packing, toxicity
+from flowtally.llm.queries import tokenizer_path
 from tests.llm.conftest import prose
 
 BAD = ["idiotish", "vilebad", "scumlike"]
@@ -143,3 +148,26 @@ def test_batches_and_ties_of_a_repeated_id(spark, docs_of, rows):
     assert [[p for _, p in x] for x in model.nearest_of(model.vectors(texts[-20:]))] == [[p for _, p in x] for x in single]
     again = toxicity.loaded(model.shared(spark), model.outcome())
     assert again.scores(texts[:50]) == model.scores(texts[:50])
+
+
+def test_workers_keep_one_operators_memory():
+    path, texts = tokenizer_path(), [prose(i, 60) for i in range(50)]
+    wanted = [packing.text_ids(t, path) for t in texts]
+    words = weakref.ref(common.kept("packing")[path])
+    assert len(words()) > 10
+    list(toxicity._term_counts(iter([pa.RecordBatch.from_pydict({"text": texts})])))
+    gc.collect()
+    assert words() is None          # the words of packing went before terms were counted
+    assert [packing.text_ids(t, path) for t in texts] == wanted
+
+
+def test_keys_of_odd_terms():
+    terms = ["", "a", "straße", "日本", "é", "\U0001f9ea", "\ud800x"]
+    wanted = [xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in terms]
+    assert toxicity.term_keys(terms).view(np.uint64).tolist() == wanted
+    assert toxicity.term_keys(terms[:-1]).view(np.uint64).tolist() == wanted[:-1]
+    keys, text, term, n = toxicity.term_table(["abcdef abcdeg abcdef", None, "abcd"])
+    got = {(int(i), int(keys[t])): int(c) for i, t, c in zip(text, term, n)}
+    key = lambda t: int(toxicity.term_keys([t])[0])
+    assert got == {(0, key("abcdef")): 2, (0, key("abcdeg")): 1, (0, key("abcd*")): 3, (0, key("abcde*")): 3,
+                   (2, key("abcd")): 1}
