@@ -243,26 +243,17 @@ class Examples:
         common = self.column >= 0
         self.matrix_counts = np.zeros((len(rows), int(common.sum())), dtype=kind)
         held = int(sizes[~common].sum())
-        listed, counts, upto, each = np.zeros(held, np.int32), np.zeros(held, kind), 0, []
+        self.starts = np.concatenate([[0], np.cumsum(np.where(common, 0, sizes))])
+        self.places, self.held_counts = np.empty(held, self._place_kind(len(rows))), np.empty(held, kind)
+        upto = self.starts[:-1].copy()      # where each term's next entry goes
         for place, i in enumerate(order):
             at, n = rows[i]
             column = self.column[at]
             rare = column < 0
             self.matrix_counts[place, column[~rare]] = n[~rare]
-            each.append(int(rare.sum()))
-            listed[upto:upto + each[-1]] = at[rare]
-            counts[upto:upto + each[-1]] = n[rare]
-            upto += each[-1]
-        self.starts = np.concatenate([[0], np.cumsum(np.where(common, 0, sizes))])
-        where = np.repeat(np.arange(len(rows), dtype=self._place_kind(len(rows))), each)
-        self.places, self.held_counts = np.empty_like(where), np.empty_like(counts)
-        # A range of terms at a time, each with about as many entries.
-        bounds = np.searchsorted(self.starts, np.linspace(0, held, 17)[1:-1].astype(np.int64))
-        for lo, hi in zip([0, *bounds], [*bounds, len(sizes)]):
-            mine = np.flatnonzero((listed >= lo) & (listed < hi))
-            mine = mine[np.argsort(listed[mine], kind="stable")]
-            span = slice(self.starts[lo], self.starts[hi])
-            self.places[span], self.held_counts[span] = where[mine], counts[mine]
+            to = upto[at[rare]]             # a row has a term once
+            self.places[to], self.held_counts[to] = place, n[rare]
+            upto[at[rare]] += 1
 
     @staticmethod
     def _place_kind(n: int):
@@ -555,6 +546,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, telling: f
     ).toArrow()     # the terms of at most about ``fit_rows`` rows, 16 bytes each
     model.name_terms(chosen["term"].to_numpy(), chosen["weight"].to_numpy(), facts[1] or 1.0)
     del chosen
+    give_back()
     vocabulary = spark.sparkContext.broadcast(model.keys)
 
     def tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -575,6 +567,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, telling: f
     _index(model, made)
     vocabulary.destroy()
     shared = model.shared(spark)
+    give_back()         # the driver's share of the examples
 
     def own_votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples = loaded(shared)

@@ -1,4 +1,5 @@
 import gc
+import tracemalloc
 import weakref
 import zlib
 
@@ -171,3 +172,23 @@ def test_keys_of_odd_terms():
     key = lambda t: int(toxicity.term_keys([t])[0])
     assert got == {(0, key("abcdef")): 2, (0, key("abcdeg")): 1, (0, key("abcd*")): 3, (0, key("abcde*")): 3,
                    (2, key("abcd")): 1}
+
+
+def test_the_index_is_built_in_about_its_own_size():
+    rng = np.random.default_rng(5)
+    n, width, each = 20_000, 4_000, 40
+    rows = [(np.sort(rng.choice(width, each, replace=False)).astype("<i4"), rng.integers(1, 9, each).astype("<u4"))
+            for _ in range(n)]
+    model = toxicity.Examples({})
+    model.name_terms(np.arange(width), np.linspace(1, 9, width))
+    tracemalloc.start()
+    model.build_counts(np.arange(n), np.arange(n), np.zeros(n), rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    made = sum(getattr(model, a).nbytes for a in ("places", "held_counts", "matrix_counts", "starts", "column",
+                                                  "ids", "texts", "labels", "norms"))
+    assert peak < 2 * made
+    for term in (0, 17, width - 1):         # every list: who holds the term, ascending, and how often
+        span = slice(model.starts[term], model.starts[term + 1])
+        wanted = [(p, int(rows[i][1][rows[i][0] == term][0])) for p, i in enumerate(model.ids) if term in rows[i][0]]
+        assert list(zip(model.places[span].tolist(), model.held_counts[span].tolist())) == wanted
