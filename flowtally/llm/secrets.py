@@ -33,13 +33,14 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtally.llm.common import store
+from flowtally.llm.common import give_back, store, whole_texts
+from flowtally.llm.words import text_chunks
 
 # The base patterns, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -64,12 +65,13 @@ ENCODINGS = tuple(ALPHABETS)
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
 PARTS = tuple(map(re.compile, (r"[A-Za-z0-9+/]{16,}", r"[A-Za-z0-9_-]{16,}", r"[A-Za-z0-9]{16,}")))
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-NOT_LETTERS = re.compile(r"[^a-z]+")
+LOWER = b"abcdefghijklmnopqrstuvwxyz"
+NOT_LETTERS = bytes(set(range(256)) - set(LOWER))
 LENGTHS = (16, 20, 24, 32, 40, 48, 64, 96, 128)     # length classes begin here
 BINS = 64                                            # of the score, -log10 p, in tenths
 REJECTED = 30                                        # from this bin on: p below 0.001
 FDR = 0.01
-DECOY_LETTERS = 1 << 20     # letters of decoys that take the battery at a time
+DECOY_LETTERS = 1 << 18     # letters of decoys that take the battery at a time
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -204,14 +206,26 @@ SCAN = T.StructType([
         T.StructField("score_bin", T.IntegerType())]))),
     T.StructField("digest", T.BinaryType()),
     T.StructField("decoys", T.ArrayType(T.LongType()))])
+# The same as Arrow has it.
+SCANNED = pa.schema([
+    ("doc_id", pa.int64()),
+    ("base", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))),
+    ("tokens", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("encoding", pa.string()),
+                                   ("length_class", pa.int32()), ("score_bin", pa.int32())]))),
+    ("digest", pa.binary()), ("decoys", pa.list_(pa.int64()))])
+
+
+def _letters(text: str) -> np.ndarray:
+    """The letters of a text as codes from 0, whatever stands between them."""
+    return np.frombuffer(text.lower().encode("utf-8", "surrogatepass").translate(None, NOT_LETTERS),
+                         dtype=np.uint8) - LOWER[0]
 
 
 def decoy_counts(texts: list[str]) -> list[list[int]]:
     """Per text, ``cell << 40 | n`` for the cells (length class, score bin)
     that its decoys fall in: for every class, the successive runs of letters
     of its length over the whole text."""
-    letters = [np.frombuffer(NOT_LETTERS.sub("", t.lower()).encode("ascii"), dtype=np.uint8)
-               .astype(np.int32) - 97 for t in texts]
+    letters = [_letters(t) for t in texts]
     shape = len(LENGTHS) * BINS
     out: list[list[int]] = []
     at = 0
@@ -260,21 +274,24 @@ def scan_batch(ids, texts, known: set[bytes]) -> list[tuple]:
         for (i, s, e, _), c, b in zip(found, classes, _score_bin(scores)):
             spans[i].append((s, e, encoding, int(c), int(b)))
     counts = iter(decoy_counts(fresh))
-    return [(None if pd.isna(d) else int(d), b, sorted(s), x, next(counts) if x else None)
+    return [(d, b, sorted(s), x, next(counts) if x else None)
             for d, b, s, x in zip(ids, bases, spans, digests)]
 
 
+def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: set[bytes] = set()       # 16 bytes for each text of the task
+    for batch in batches:
+        for chunk in text_chunks(batch):
+            rows = scan_batch(chunk.column("doc_id").to_pylist(), chunk.column("text").to_pylist(), known)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column, f.type) for column, f in zip(zip(*rows), SCANNED)], schema=SCANNED)
+    give_back()                     # the worker lives on
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """Base findings, scored tokens and decoy counts per document."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: set[bytes] = set()       # 16 bytes for each text of the task
-        for batch in batches:
-            for at in range(0, len(batch), 1000):
-                part = batch.iloc[at:at + 1000]
-                rows = scan_batch(part["doc_id"], part["text"], known)
-                yield pd.DataFrame(rows, columns=SCAN.names).astype({"doc_id": "Int64"})
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, SCAN)
+    whole_texts(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_scanned, SCAN)
 
 
 def thresholds(decoys: np.ndarray, tokens: np.ndarray, fdr: float = FDR) -> list[int]:

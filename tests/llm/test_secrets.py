@@ -1,8 +1,10 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 from flowtally.llm import secrets
 from tests.llm.conftest import prose
@@ -110,3 +112,27 @@ def test_mixed_separators_are_cut(docs_of):
     rows = [(i, prose(i, 200) + f" conf/key_{drawn()} end") for i in range(120)]
     got = {x.doc_id: x.spans for x in secrets.secret_digests(docs_of(rows)).collect()}
     assert sum("random" in got[i] for i in range(120)) > 90
+
+
+def test_texts_are_scanned_in_little_memory():
+    """A worker's memory follows the text at hand, not the batch."""
+    texts = [prose(i, 400) for i in range(2500)]
+    size = sum(map(len, texts))
+    tracemalloc.start()
+    counts = secrets.decoy_counts(texts)
+    peak = tracemalloc.get_traced_memory()[1] - sum(x.__sizeof__() + 32 * len(x) for x in counts)
+    tracemalloc.stop()
+    assert peak < 6 * size
+    assert counts[::500] == [secrets.decoy_counts([t])[0] for t in texts[::500]]
+
+
+def test_batches_hold_few_whole_texts(spark, docs_of):
+    set_to = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")     # Spark's default
+    try:
+        assert secrets.scan(docs_of([(1, "one text")])).count() == 1
+        sizes = spark.range(0, 5000, 1, 1).mapInArrow(
+            lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long").collect()
+        assert sum(r.n for r in sizes) == 5000 and max(r.n for r in sizes) <= 1000
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", set_to)
