@@ -9,8 +9,9 @@ and read whole.  Terms that more than one example in ``COMMON`` holds are a
 dense matrix by example; examples are dealt into blocks of ``BLOCK``, every
 such term keeps its largest weight in each block, and only blocks that hold an
 example whose bound reaches the ``NEIGHBOURS``-th cosine are multiplied out:
-first in single precision, for all texts of a batch that need the block, then
-in double precision the examples that may be among the nearest.  Neighbours
+first in single precision, for all texts of a batch, weights being worked out
+of the counts block by block; then in double precision the examples that may
+be among the nearest.  Neighbours
 vote with a weight that grows as their distance falls, and isotonic regression
 over the examples' own leave-one-out votes turns the vote into a probability.
 Texts without a term of any example have no neighbours and take the rate of
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 import uuid
 from collections.abc import Iterator
 from statistics import NormalDist
@@ -53,10 +55,11 @@ TERM_LEVEL = 0.01           # chance that any of all tested terms is chosen with
 TELLING = 3.0
 NEIGHBOURS = 15
 BLOCK = 64
-COMMON = 8                  # of so many examples one holds a term of the matrix
+COMMON = 16                 # of so many examples one holds a term of the matrix
 FIRST = 64                  # examples multiplied out for a first k-th cosine
-TOGETHER = 32              # texts whose neighbours are sought at a time
+TOGETHER = 128              # texts whose neighbours are sought at a time
 ROUGH = 1e-4                # more than single precision can be off
+STRIDE = 16                 # blocks that are multiplied out at a time
 COUNTED = 1 << 19           # counts of terms that a worker holds before it adds them up
 REMEMBERED = 2_000          # answers for equal texts that a worker keeps
 PREFIXES = (4, 5)
@@ -65,8 +68,32 @@ WORD = re.compile(r"[^\W\d_]+")
 PACKED = ("keys", "idf", "ids", "texts", "labels", "column", "starts", "places", "held_counts", "matrix_counts", "norms")
 
 
-def text_words(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+_LETTER: list[np.ndarray] = []
+
+
+def letters() -> np.ndarray:
+    """By code point, whether it belongs to words: what WORD finds."""
+    if not _LETTER:
+        found = np.zeros(sys.maxunicode + 1, dtype=bool)
+        every = np.arange(len(found), dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        for m in WORD.finditer(every):
+            found[m.start():m.end()] = True
+        _LETTER.append(found)
+    return _LETTER[0]
+
+
+def text_words(texts) -> tuple[list[str], np.ndarray]:
+    """The lower-case words of ``texts`` in order, and how many each has."""
+    lower = [(t or "").lower() for t in texts]
+    joined = bytearray("\n".join(lower).encode("utf-32-le", "surrogatepass"))
+    points = np.frombuffer(joined, dtype="<u4")
+    inside = letters()[points]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    ends = np.cumsum(np.array(list(map(len, lower)), dtype=np.int64) + 1)
+    per_text = np.diff(np.searchsorted(np.flatnonzero(first), ends), prepend=0)
+    points[~inside] = ord(" ")
+    return joined.decode("utf-32-le", "surrogatepass").split(), per_text
 
 
 def term_keys(terms) -> np.ndarray:
@@ -87,9 +114,9 @@ def text_digest(text: str) -> bytes:
 def term_table(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(keys, text, term, n): the distinct terms of ``texts`` by ascending key,
     and for every text and term in it how often it occurs, by text."""
-    words = [text_words(t) for t in texts]
-    of_text = np.repeat(np.arange(len(words)), list(map(len, words)))
-    code, distinct = pd.factorize(np.array([w for ws in words for w in ws], dtype=object))
+    words, per_text = text_words(texts)
+    of_text = np.repeat(np.arange(len(per_text)), per_text)
+    code, distinct = pd.factorize(np.array(words, dtype=object))
     sizes = np.array(list(map(len, distinct)), dtype=np.int64)
     keys, texts_of, marks = [term_keys(distinct)], [of_text], [code]
     for n in PREFIXES:
@@ -142,14 +169,29 @@ def _added_up(parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                                 minlength=len(keys)).astype(np.int64) for i in (1, 2)))
 
 
-DAMPED = 1 + np.log(np.maximum(np.arange(1 << 16), 1))
+DAMPED = np.concatenate([[0.0], 1 + np.log(np.arange(1, 1 << 16))])
 
 
 def _damped(counts: np.ndarray) -> np.ndarray:
     """What a term weighs by how often it occurs, before its IDF."""
     if counts.dtype.itemsize < 4:       # no count is beyond the table: nothing to check or clip
         return np.take(DAMPED, counts, mode="clip")
-    return 1 + np.log(counts.astype(float))
+    return np.where(counts > 0, 1 + np.log(np.maximum(counts, 1).astype(float)), 0.0)
+
+
+def _added(n: int, places, starts, listed, weights, counts=None, times=None) -> np.ndarray:
+    """For ``n`` examples the weights of the lists that hold them, ``times``
+    what an entry's count stands for, summed."""
+    if not len(listed):
+        return np.zeros(n)
+    begin, end = starts[listed], starts[listed + 1]
+    spans = [slice(a, b) for a, b in zip(begin.tolist(), end.tolist())]
+    added = np.repeat(weights, end - begin)
+    if counts is not None:
+        added *= times(np.concatenate([counts[x] for x in spans]))
+    # Wide before they are counted: narrow places are cast one by one there.
+    where = np.concatenate([places[x] for x in spans], dtype=np.intp)
+    return np.bincount(where, minlength=n, weights=added)
 
 
 class Examples:
@@ -296,15 +338,21 @@ class Examples:
         return self
 
     def _finish(self) -> None:
-        blocks = -(-len(self.ids) // BLOCK)
-        every = np.arange(self.matrix_counts.shape[1])
-        self.rough = np.zeros(self.matrix_counts.shape, dtype=np.float32)
-        self.bounds = np.zeros((len(every), blocks))
+        n, width = self.matrix_counts.shape
+        blocks = -(-n // BLOCK)
+        every = np.arange(width)
+        self.bounds = np.zeros((width, blocks))
         for b in range(blocks):
-            places = np.arange(b * BLOCK, min((b + 1) * BLOCK, len(self.ids)))
-            rows = self._rows(places, every)
-            self.rough[places] = rows
-            self.bounds[:, b] = rows.max(axis=0, initial=0)
+            places = np.arange(b * BLOCK, min((b + 1) * BLOCK, n))
+            self.bounds[:, b] = self._rows(places, every).max(axis=0, initial=0)
+        if not self.exact:
+            # Most terms occur once in an example: what more often ones weigh on top.
+            often = np.flatnonzero(self.held_counts > 1)
+            self.often_places, self.often_counts = self.places[often], self.held_counts[often]
+            self.often_starts = np.searchsorted(often, self.starts).astype(np.int32)
+            cells = np.flatnonzero(self.matrix_counts.reshape(-1) > 1)
+            self.often_cells = cells.astype(np.uint32) if self.matrix_counts.size < 1 << 32 else cells
+            self.often_weights = _damped(self.matrix_counts.reshape(-1)[self.often_cells]).astype(np.float32)
         self._ready = True
 
     def _rows(self, places: np.ndarray, columns: np.ndarray) -> np.ndarray:
@@ -312,72 +360,86 @@ class Examples:
         stored = self.matrix_counts[places[:, None], columns]
         if self.exact:
             return stored
-        times = np.zeros(stored.shape)
-        some = stored > 0
-        times[some] = 1 + np.log(stored[some].astype(float))
-        return times * self.common_idf[columns] / self.norms[places][:, None]
+        return _damped(stored) * self.common_idf[columns] / self.norms[places][:, None]
+
+    def _rough(self, lo: int, hi: int) -> np.ndarray:
+        """Rows of the matrix in single precision, without IDF and length."""
+        rows = self.matrix_counts[lo:hi].astype(np.float32)
+        if not self.exact:
+            width = rows.shape[1]
+            ends = np.array([lo * width, hi * width], dtype=self.often_cells.dtype)     # else the cells are cast
+            mine = slice(*np.searchsorted(self.often_cells, ends))
+            rows.reshape(-1)[self.often_cells[mine] - lo * width] = self.often_weights[mine]
+        return rows
 
     def nearest_of(self, vectors, k: int = NEIGHBOURS, without=None) -> list[list[tuple[float, int]]]:
         """For each vector (cosine, place) of the k nearest examples with a
         positive cosine, ties to the smaller id; ``without`` are the places
         of examples that are left out, one a vector."""
         self.ready()
-        n, width = len(self.ids), self.matrix_counts.shape[1]
+        n, width = self.matrix_counts.shape
         blocks = self.bounds.shape[1]
         if not n:
             return [[] for _ in vectors]
-        part = np.zeros((len(vectors), n))
+        part = np.zeros((len(vectors), blocks * BLOCK))     # of the lists; the last block is filled up
         query = np.zeros((len(vectors), width))
         for i, (at, weights) in enumerate(vectors):
             columns = self.column[at]
             query[i, columns[columns >= 0]] = weights[columns >= 0]
-            listed = at[columns < 0]
-            if not len(listed):
-                continue
-            spans = [slice(a, b) for a, b in zip(self.starts[listed].tolist(), self.starts[listed + 1].tolist())]
-            size = self.starts[listed + 1] - self.starts[listed]
-            held = np.concatenate([self.held_counts[x] for x in spans])
-            mine = weights[columns < 0]
-            if not self.exact:
-                held, mine = _damped(held), mine * self.idf[listed]
-            held = held * np.repeat(mine, size)
-            # Wide before they are counted: narrow places are cast one by one there.
-            where = np.concatenate([self.places[x] for x in spans]).astype(np.intp)
-            part[i] = np.bincount(where, minlength=n, weights=held)
+            self._add_lists(part[i, :n], at[columns < 0], weights[columns < 0])
         if not self.exact:
-            part /= self.norms
+            part[:, :n] /= self.norms
+        part[:, n:] = -np.inf
         if without is not None:
             part[np.arange(len(vectors)), without] = -np.inf
-        upper = part + np.repeat(query @ self.bounds, BLOCK, axis=1)[:, :n]
-        single = query.astype(np.float32)
+        # What no example of a block exceeds, from the best of its lists.
+        best = part.reshape(len(vectors), blocks, BLOCK).argmax(axis=2) + np.arange(blocks) * BLOCK
+        upper = np.take_along_axis(part, best, axis=1) + query @ self.bounds
+        columns = [np.flatnonzero(q) for q in query]
         least = np.zeros(len(vectors))      # no k-th cosine is lower
-        if n > FIRST:
-            first = np.argpartition(upper, n - FIRST, axis=1)[:, n - FIRST:]
+        tried = min(FIRST, blocks)
+        if tried >= k:
+            first = np.take_along_axis(best, np.argpartition(upper, blocks - tried, axis=1)[:, blocks - tried:], axis=1)
             for i, places in enumerate(first):
-                known = part[i, places] + self.rough[places] @ single[i]
-                least[i] = max(0.0, np.partition(known, -k)[-k] - ROUGH)
-        upper[upper < least[:, None] - 1e-9] = -np.inf
-        padded = np.full((len(vectors), blocks * BLOCK), -np.inf)
-        padded[:, :n] = upper
-        needed = padded.reshape(len(vectors), blocks, BLOCK).max(axis=2) > 0
-        rough = np.full((len(vectors), n), -np.inf, dtype=np.float32)
-        for b in np.flatnonzero(needed.any(axis=0)):
-            rows = np.flatnonzero(needed[:, b])
-            span = slice(b * BLOCK, min((b + 1) * BLOCK, n))
-            rough[rows, span] = single[rows] @ self.rough[span].T + part[rows, span]
+                known = part[i, places] + self._rows(places, columns[i]) @ query[i, columns[i]]
+                least[i] = max(0.0, np.partition(known, -k)[-k])
+        needed = np.flatnonzero(((upper > 0) & (upper >= least[:, None] - 1e-9)).any(axis=0))
+        single = (query if self.exact else query * self.common_idf).astype(np.float32)
+        lengths = np.ones(n, dtype=np.float32) if self.exact else self.norms.astype(np.float32)
+        rough = np.full(part.shape, -np.inf, dtype=np.float32)
+        # Neighbouring blocks that any of the texts needs are one product.
+        for run in np.split(needed, np.flatnonzero((np.diff(needed) > 1) | (np.diff(needed // STRIDE) > 0)) + 1):
+            if len(run):
+                lo, hi = run[0] * BLOCK, min((run[-1] + 1) * BLOCK, n)
+                rough[:, lo:hi] = single @ self._rough(lo, hi).T / lengths[lo:hi] + part[:, lo:hi]
         out = []
         for i in range(len(vectors)):
             places = np.flatnonzero((rough[i] > 0) & (rough[i] >= least[i] - ROUGH))
             if len(places) > k:
                 values = rough[i, places]
                 places = places[values >= np.partition(values, -k)[-k] - 2 * ROUGH]
-            columns = np.flatnonzero(query[i])
-            cosines = part[i, places] + self._rows(places, columns) @ query[i, columns]
-            best = sorted((-round(float(c), 12), int(self.ids[p]), int(p))
+            cosines = part[i, places] + self._rows(places, columns[i]) @ query[i, columns[i]]
+            near = sorted((-round(float(c), 12), int(self.ids[p]), int(p))
                           for p, c in zip(places, cosines) if c > 0)[:k]
-            out.append([(-c, place) for c, _, place in best])
+            out.append([(-c, place) for c, _, place in near])
         return out
 
+    def _add_lists(self, part: np.ndarray, listed: np.ndarray, weights: np.ndarray) -> None:
+        """Set ``part`` to what the lists of terms add to every example, but
+        for its length."""
+        if not len(listed):
+            return
+        if not self.exact:
+            weights = weights * self.idf[listed]
+            part[:] = _added(len(part), self.places, self.starts, listed, weights)
+            some = self.often_starts[listed + 1] > self.often_starts[listed]
+            listed, weights = listed[some], weights[some]
+            part += _added(len(part), self.often_places, self.often_starts, listed, weights,
+                           self.often_counts, lambda counts: _damped(counts) - 1)
+        else:
+            part[:] = _added(len(part), self.places, self.starts, listed, weights, self.held_counts,
+                             lambda stored: stored)
+
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS,
                 without: int | None = None) -> list[tuple[float, int]]:
         """The nearest examples of one vector."""
@@ -469,6 +531,7 @@ def loaded(shared, outcome=None) -> Examples:
         model = Examples({})
         model._unpack(packed)
         known[name] = model.ready()
+        del model.held_counts       # ``often_counts`` says it all
         give_back()
     model = known[name]
     if outcome is not None:
@@ -692,8 +755,8 @@ def without_toxic(docs: DataFrame, model: Examples) -> DataFrame:
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             found = []
-            for i in range(0, len(batch), 4 * TOGETHER):
-                found += [x[0] for x in loaded(shared, outcome).scores(batch.iloc[i:i + 4 * TOGETHER].tolist())]
+            for i in range(0, len(batch), TOGETHER):
+                found += [x[0] for x in loaded(shared, outcome).scores(batch.iloc[i:i + TOGETHER].tolist())]
             yield pd.Series(found, dtype=float)
         kept("toxicity").clear()        # the worker lives on
         give_back()

@@ -192,3 +192,57 @@ def test_the_index_is_built_in_about_its_own_size():
         span = slice(model.starts[term], model.starts[term + 1])
         wanted = [(p, int(rows[i][1][rows[i][0] == term][0])) for p, i in enumerate(model.ids) if term in rows[i][0]]
         assert list(zip(model.places[span].tolist(), model.held_counts[span].tolist())) == wanted
+
+
+def test_words_of_many_texts_at_once():
+    texts = ["One two_three 4five", None, "", "  \n\t ", "ΟΔΟΣ ΣΑΣ, Straße İstanbul", "日本 語\x0cＡ1ｂ", "e\u0301te \ud800x \u212a",
+             "last"]
+    words, per_text = toxicity.text_words(texts)
+    wanted = [toxicity.WORD.findall((t or "").lower()) for t in texts]
+    assert words == [w for ws in wanted for w in ws] and per_text.tolist() == list(map(len, wanted))
+    assert toxicity.text_words([])[0] == [] and toxicity.text_words([None])[1].tolist() == [0]
+
+
+def counted_index(n=1500, width=400, seed=3):
+    """An index of examples with common and rare terms that repeat, and their vectors."""
+    rng = np.random.default_rng(seed)
+    held = 0.6 / np.sqrt(np.arange(1, width + 1))
+    rows = []
+    for _ in range(n):
+        at = np.flatnonzero(rng.uniform(size=width) < held).astype("<i4")
+        rows.append((at, rng.geometric(0.7, len(at)).astype("<u4")))
+    rows = [r for r in rows if len(r[0])]
+    model = toxicity.Examples({})
+    model.name_terms(np.arange(width), np.linspace(1, 6, width))
+    model.build_counts(np.arange(len(rows)), np.zeros(len(rows), dtype=np.int64), np.zeros(len(rows)), rows)
+    vectors = [(at, (1 + np.log(c)) * model.idf[at]) for at, c in rows]
+    return model, [(at, w / np.linalg.norm(w)) for at, w in vectors]
+
+
+def test_counted_search_against_brute_force():
+    model, vectors = counted_index()
+    model.ready()
+    assert 0 < model.matrix_counts.shape[1] < len(model.idf) and (model.matrix_counts > 1).any()
+    dense = np.zeros((len(vectors), len(model.idf)))
+    for i, (at, w) in enumerate(vectors):
+        dense[i, at] = w
+    place = {int(x): p for p, x in enumerate(model.ids)}
+    asked = range(0, len(vectors), 7)
+    near = model.nearest_of([vectors[i] for i in asked], without=[place[i] for i in asked])
+    for i, found in zip(asked, near):
+        cosines = np.round(dense @ dense[i], 12)
+        cosines[i] = -1
+        best = np.sort(cosines)[::-1][:toxicity.NEIGHBOURS]
+        assert np.allclose([c for c, _ in found], best[best > 0], atol=2e-12)
+        assert all(abs(cosines[model.ids[p]] - c) < 2e-12 for c, p in found)
+
+
+def test_a_search_keeps_no_second_matrix():
+    """Weights are worked out of the counts block by block."""
+    model, vectors = counted_index(4000, 100)
+    counts = model.matrix_counts.nbytes + model.places.nbytes + model.held_counts.nbytes
+    before = sum(x.nbytes for x in vars(model).values() if isinstance(x, np.ndarray))
+    model.ready()
+    model.nearest_of(vectors[:200])
+    after = sum(x.nbytes for x in vars(model).values() if isinstance(x, np.ndarray))
+    assert after - before < 1.5 * counts
