@@ -5,14 +5,15 @@ vectors over all their terms, with document counts of the whole corpus; terms
 that tell toxic from other labelled texts (chi-squared) weigh ``TELLING`` times
 as much.  A text's neighbours are the labelled examples of the largest exact
 cosine, found in a block-max inverted index.  The lists of most terms are short
-and read whole.  Terms that more than one example in ``COMMON`` holds are a
-dense matrix by example; examples are dealt into blocks of ``BLOCK``, every
-such term keeps its largest weight in each block, and only blocks that hold an
-example whose bound reaches the ``NEIGHBOURS``-th cosine are multiplied out:
-first in single precision, for all texts of a batch, weights being worked out
-of the counts block by block; then in double precision the examples that may
-be among the nearest.  Neighbours
-vote with a weight that grows as their distance falls, and isotonic regression
+and read whole.  Examples are dealt into groups that share common terms (so
+those of one language); terms that more than one example in ``COMMON`` of a
+group holds are the group's dense matrix by example, a byte a cell.  Groups are
+dealt into blocks of ``BLOCK``, every such term keeps its largest weight in each
+block, and only blocks that hold an example whose bound reaches the
+``NEIGHBOURS``-th cosine of a text's own group are multiplied out for that text:
+first in single precision, weights being worked out of the counts some blocks at
+a time; then in double precision the examples that may be among the nearest.
+Neighbours vote with a weight that grows as their distance falls, and isotonic regression
 over the examples' own leave-one-out votes turns the vote into a probability.
 Texts without a term of any example have no neighbours and take the rate of
 such examples.
@@ -46,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowtally.llm.common import code_on_workers, give_back, kept, share_hash, store, whole_texts
-from flowtally.llm.words import text_chunks
+from flowtally.llm.words import CHUNK_BYTES, text_chunks
 
 FIT_ROWS = 20_000
 FIT_TASKS = 64
@@ -56,16 +57,17 @@ TELLING = 3.0
 NEIGHBOURS = 15
 BLOCK = 64
 COMMON = 16                 # of so many examples one holds a term of the matrix
-FIRST = 64                  # examples multiplied out for a first k-th cosine
+GROUPS = 8                  # of examples that are like one another, at most
+LANE = 16                   # a matrix has a multiple of so many columns
 TOGETHER = 128              # texts whose neighbours are sought at a time
 ROUGH = 1e-4                # more than single precision can be off
-STRIDE = 16                 # blocks that are multiplied out at a time
+STRIDE = 8                  # blocks that are multiplied out at a time
 COUNTED = 1 << 19           # counts of terms that a worker holds before it adds them up
 REMEMBERED = 2_000          # answers for equal texts that a worker keeps
 PREFIXES = (4, 5)
 WORD = re.compile(r"[^\W\d_]+")
 
-PACKED = ("keys", "idf", "ids", "texts", "labels", "column", "starts", "places", "held_counts", "matrix_counts", "norms")
+PACKED = ("keys", "idf", "ids", "texts", "labels", "column", "edges", "widths", "starts", "places", "held_counts", "matrix_counts", "norms")
 
 
 _LETTER: list[np.ndarray] = []
@@ -134,6 +136,13 @@ def term_table(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return found, pair // max(1, len(found)), pair % max(1, len(found)), n
 
 
+def _chunks(texts) -> Iterator[tuple[int, int]]:
+    """Bounds of neighbouring texts of about ``CHUNK_BYTES`` letters together."""
+    sizes = np.cumsum([len(t or "") for t in texts], dtype=np.int64) // CHUNK_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(texts)]
+    return ((lo, hi) for lo, hi in zip(cuts, cuts[1:]) if hi > lo)
+
+
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows and toxic rows that hold each term, for batches together."""
     kept("toxicity").clear()        # an index of an earlier fit, if the worker has one
@@ -170,6 +179,7 @@ def _added_up(parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 DAMPED = np.concatenate([[0.0], 1 + np.log(np.arange(1, 1 << 16))])
+DAMPED_SINGLE = DAMPED[:1 << 8].astype(np.float32)
 
 
 def _damped(counts: np.ndarray) -> np.ndarray:
@@ -179,19 +189,16 @@ def _damped(counts: np.ndarray) -> np.ndarray:
     return np.where(counts > 0, 1 + np.log(np.maximum(counts, 1).astype(float)), 0.0)
 
 
-def _added(n: int, places, starts, listed, weights, counts=None, times=None) -> np.ndarray:
-    """For ``n`` examples the weights of the lists that hold them, ``times``
-    what an entry's count stands for, summed."""
-    if not len(listed):
-        return np.zeros(n)
-    begin, end = starts[listed], starts[listed + 1]
-    spans = [slice(a, b) for a, b in zip(begin.tolist(), end.tolist())]
-    added = np.repeat(weights, end - begin)
-    if counts is not None:
-        added *= times(np.concatenate([counts[x] for x in spans]))
-    # Wide before they are counted: narrow places are cast one by one there.
-    where = np.concatenate([places[x] for x in spans], dtype=np.intp)
-    return np.bincount(where, minlength=n, weights=added)
+def _byte_lists(starts: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Lists as byte strings that share their memory: taken by copying runs."""
+    ends = pa.py_buffer(starts.astype(np.int64) * values.itemsize)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, [None, ends, pa.py_buffer(values)])
+
+
+def _taken(lists: pa.Array, listed: np.ndarray, kind, n: int) -> np.ndarray:
+    """The ``n`` entries of some lists, one list behind the other."""
+    data = lists.take(pa.array(listed)).buffers()[2]
+    return np.frombuffer(data if data is not None else b"", dtype=kind, count=n)
 
 
 class Examples:
@@ -218,6 +225,12 @@ class Examples:
     def vectors(self, texts) -> list[tuple[np.ndarray, np.ndarray]]:
         """Term numbers and TF-IDF weights of the examples' terms in each
         text, as parts of a vector of unit length over all terms of the text."""
+        out = []
+        for lo, hi in _chunks(texts):
+            out += self._vectors(texts[lo:hi])
+        return out
+
+    def _vectors(self, texts) -> list[tuple[np.ndarray, np.ndarray]]:
         keys, text, term, n = term_table(texts)
         at = np.searchsorted(self.keys, keys)
         known = at < len(self.keys)
@@ -237,10 +250,14 @@ class Examples:
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         return self.vectors([text])[0]
 
-    def _split_terms(self, sizes: np.ndarray, live: int) -> None:
-        common = np.flatnonzero(sizes * COMMON > live)
-        self.column = np.full(len(self.idf), -1, dtype=np.int32)
-        self.column[common] = np.arange(len(common))
+    def _split_terms(self, group: int, sizes: np.ndarray, live: int) -> np.ndarray:
+        """Choose the terms of a group's matrix by how many of its ``live``
+        examples hold each: whether a term is one of them."""
+        common = sizes * COMMON > live
+        if common.sum() >= 1 << 15 and self.column.itemsize < 4:
+            self.column = self.column.astype(np.int32)
+        self.column[common, group] = np.arange(common.sum())
+        return common
 
     def _rates(self, bare_labels, labels) -> None:
         self.base_rate = float(np.mean(labels)) if len(labels) else 0.0
@@ -255,7 +272,8 @@ class Examples:
         none = np.zeros(0, dtype=np.int64)
         at = np.concatenate([none, *(vectors[i][0] for i in live)]).astype(np.int64)
         weights = np.concatenate([none, *(vectors[i][1] for i in live)]).astype(float)
-        self._split_terms(np.bincount(at, minlength=len(self.idf)), len(live))
+        self.column = np.full((len(self.idf), 1), -1, dtype=np.int32)
+        self._split_terms(0, np.bincount(at, minlength=len(self.idf)), len(live))
         self._rates([labels[i] for i, v in enumerate(vectors) if not len(v[0])], labels)
         self._arrange(np.array([ids[i] for i in live], dtype=np.int64),
                       np.array([labels[i] for i in live], dtype=float), row, at, weights)
@@ -269,41 +287,108 @@ class Examples:
         sizes = np.zeros(len(self.idf), dtype=np.int64)
         for part in parts:
             sizes += np.bincount(np.concatenate([at for at, _ in rows[part]]), minlength=len(sizes))
-        self._split_terms(sizes, len(rows))
+        common = sizes * COMMON > len(rows)
+        group = self._grouped(rows, np.where(common, np.cumsum(common) - 1, -1))
+        counts = np.bincount(group)
+        self.column = np.full((len(sizes), len(counts)), -1, dtype=np.int16)
+        self.edges = np.concatenate([[0], np.cumsum(counts)])
         norms, leading = np.zeros(len(rows)), np.full(len(rows), -1, dtype=np.int64)
-        for part in parts:
-            lengths = [len(at) for at, _ in rows[part]]
-            row = np.repeat(np.arange(len(lengths)), lengths)
-            at = np.concatenate([at for at, _ in rows[part]])
-            weights = (1 + np.log(np.concatenate([n for _, n in rows[part]]).astype(float))) * self.idf[at]
-            norms[part] = np.sqrt(np.bincount(row, weights=weights * weights))
-            leading[part] = self._leading(len(lengths), row, at, weights)
-        order = np.lexsort((ids, leading))
+        for g in range(len(counts)):
+            mine = np.flatnonzero(group == g)
+            held, small = np.zeros((2, len(sizes)), dtype=np.int64)
+            for i in range(0, len(mine), 512):
+                at = np.concatenate([rows[j][0] for j in mine[i:i + 512]])
+                few = np.concatenate([rows[j][1] for j in mine[i:i + 512]]) <= 255
+                held += np.bincount(at, minlength=len(sizes))
+                small += np.bincount(at[few], minlength=len(sizes))
+            dense = self._split_terms(g, held, len(mine))
+            sizes[dense] -= small[dense]
+            for i in range(0, len(mine), 512):
+                part = mine[i:i + 512]
+                lengths = [len(rows[j][0]) for j in part]
+                row = np.repeat(np.arange(len(part)), lengths)
+                at = np.concatenate([rows[j][0] for j in part])
+                weights = (1 + np.log(np.concatenate([rows[j][1] for j in part]).astype(float))) * self.idf[at]
+                norms[part] = np.sqrt(np.bincount(row, weights=weights * weights))
+                leading[part] = self._leading(self.column[:, g], len(part), row, at, weights)
+        order = np.lexsort((ids, leading, group))
         self.ids, self.texts, self.labels, self.norms = ids[order], texts[order], labels[order], norms[order]
         top = max((n.max() for _, n in rows), default=0)
         kind = np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32
-        common = self.column >= 0
-        self.matrix_counts = np.zeros((len(rows), int(common.sum())), dtype=kind)
-        held = int(sizes[~common].sum())
-        self.starts = np.concatenate([[0], np.cumsum(np.where(common, 0, sizes))])
+        self._lay_out(np.uint8)
+        matrices = [self._matrix(g) for g in range(len(counts))]
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        held = int(self.starts[-1])
         self.places, self.held_counts = np.empty(held, self._place_kind(len(rows))), np.empty(held, kind)
         upto = self.starts[:-1].copy()      # where each term's next entry goes
         for place, i in enumerate(order):
             at, n = rows[i]
-            column = self.column[at]
-            rare = column < 0
-            self.matrix_counts[place, column[~rare]] = n[~rare]
+            column = self.column[at, group[i]]
+            rare = (column < 0) | (n > 255)     # the matrix holds bytes
+            matrices[group[i]][place - self.edges[group[i]], column[~rare]] = n[~rare]
             to = upto[at[rare]]             # a row has a term once
             self.places[to], self.held_counts[to] = place, n[rare]
             upto[at[rare]] += 1
 
+    def _lay_out(self, kind) -> None:
+        """Room for the groups' matrices, one behind the other."""
+        self.widths = -(-(self.column.max(axis=0, initial=-1).astype(np.int64) + 1) // LANE) * LANE
+        self.matrix_counts = np.zeros((int((np.diff(self.edges) * self.widths).sum()) // LANE, LANE), kind)
+
+    def _matrix(self, group: int) -> np.ndarray:
+        """The examples of a group by its common terms."""
+        sizes = np.diff(self.edges)
+        ends = np.concatenate([[0], np.cumsum(sizes * self.widths)]) // LANE
+        return self.matrix_counts[ends[group]:ends[group + 1]].reshape(sizes[group], self.widths[group])
+
+    def _grouped(self, rows, column: np.ndarray) -> np.ndarray:
+        """A group number for every example, by likeness in the terms with a
+        ``column``: spherical k-means of some rows deals all of them.  Which
+        group an example is in changes the work of a search, not what it finds."""
+        width = int(column.max(initial=-1)) + 1
+        if not width:
+            return np.zeros(len(rows), dtype=np.int64)
+        idf = self.idf.astype(np.float32)
+
+        def dense(places) -> np.ndarray:
+            out = np.zeros((len(places), width), dtype=np.float32)
+            for i, j in enumerate(places):
+                at, n = rows[j]
+                mine = column[at] >= 0
+                out[i, column[at[mine]]] = (1 + np.log(n[mine].astype(np.float32))) * idf[at[mine]]
+            return out / np.maximum(np.sqrt((out * out).sum(axis=1, keepdims=True)), 1e-9)
+
+        some = min(len(rows), max(64, min(2048, (1 << 22) // width)))
+        chosen = dense(np.linspace(0, len(rows) - 1, some).astype(np.int64))
+        chosen = chosen[chosen.any(axis=1)]
+        if not len(chosen):
+            return np.zeros(len(rows), dtype=np.int64)
+        rng, best = np.random.default_rng(0), None
+        for _ in range(4):      # the best of some starts
+            centres = chosen[[rng.integers(len(chosen))]]
+            while len(centres) < min(GROUPS, len(chosen)):      # unlike those before, by chance
+                far = np.maximum(0, 1 - (chosen @ centres.T).max(axis=1)).astype(float) ** 2 + 1e-12
+                centres = np.concatenate([centres, chosen[[rng.choice(len(far), p=far / far.sum())]]])
+            for _ in range(10):
+                own = (chosen @ centres.T).argmax(axis=1)
+                sums = np.stack([chosen[own == g].sum(axis=0) for g in range(len(centres))])
+                centres = sums / np.maximum(np.sqrt((sums * sums).sum(axis=1, keepdims=True)), 1e-9)
+            like = float((chosen @ centres.T).max(axis=1).sum())
+            if best is None or like > best[0]:
+                best = like, centres
+        centres = best[1]
+        group = np.concatenate([(dense(range(i, min(i + 512, len(rows)))) @ centres.T).argmax(axis=1)
+                                for i in range(0, len(rows), 512)])
+        return np.unique(group, return_inverse=True)[1]     # none is empty
+
     @staticmethod
     def _place_kind(n: int):
         return np.uint16 if n < 1 << 16 else np.int32
 
-    def _leading(self, n: int, row, at, weights) -> np.ndarray:
+    @staticmethod
+    def _leading(column, n: int, row, at, weights) -> np.ndarray:
         """The common term of the largest weight in each of ``n`` rows, or -1."""
-        dense = self.column[at] >= 0
+        dense = column[at] >= 0
         out = np.full(n, -1, dtype=np.int64)
         # A row's first of the largest weights comes last here.
         best = np.lexsort((-at[dense].astype(np.int64), weights[dense], row[dense]))
@@ -312,14 +397,15 @@ class Examples:
 
     def _arrange(self, ids, labels, row, at, weights) -> None:
         """Deal examples into places, and weights into lists and the matrix."""
-        column = self.column[at]
+        column = self.column[at, 0]
         dense = column >= 0
-        order = np.lexsort((ids, self._leading(len(ids), row, at, weights)))
+        order = np.lexsort((ids, self._leading(self.column[:, 0], len(ids), row, at, weights)))
         place = np.empty(len(ids), dtype=np.int64)
         place[order] = np.arange(len(ids))
         self.ids, self.texts, self.labels = ids[order], np.zeros(len(ids), dtype=np.int64), labels[order]
-        self.matrix_counts = np.zeros((len(ids), int(self.column.max(initial=-1)) + 1))
-        self.matrix_counts[place[row[dense]], column[dense]] = weights[dense]
+        self.edges = np.array([0, len(ids)])
+        self._lay_out(float)
+        self._matrix(0)[place[row[dense]], column[dense]] = weights[dense]
         listed, where = at[~dense], place[row[~dense]]
         by_term = np.argsort(listed * max(1, len(ids)) + where)
         self.starts = np.concatenate([[0], np.cumsum(np.bincount(listed, minlength=len(self.idf)))])
@@ -333,112 +419,186 @@ class Examples:
                 self._unpack(self._broadcast.value[1])
             if not hasattr(self, "norms"):
                 self.norms = np.ones(len(self.ids))
-            self.common_idf, self.exact = self.idf[self.column >= 0], False
+            self.exact = False
             self._finish()
         return self
 
     def _finish(self) -> None:
-        n, width = self.matrix_counts.shape
-        blocks = -(-n // BLOCK)
-        every = np.arange(width)
-        self.bounds = np.zeros((width, blocks))
-        for b in range(blocks):
-            places = np.arange(b * BLOCK, min((b + 1) * BLOCK, n))
-            self.bounds[:, b] = self._rows(places, every).max(axis=0, initial=0)
+        self.matrices = [self._matrix(g) for g in range(len(self.widths))]
+        self.lists = _byte_lists(self.starts, self.places)
+        if self.exact:
+            self.list_weights = _byte_lists(self.starts, self.held_counts)
+        self.common_idf, self.bounds, self.centres = [], [], []
+        for g, matrix in enumerate(self.matrices):
+            terms = np.flatnonzero(self.column[:, g] >= 0)
+            idf = np.zeros(matrix.shape[1])
+            idf[self.column[terms, g]] = self.idf[terms]
+            self.common_idf.append(idf)
+            every, total = np.arange(matrix.shape[1]), np.zeros(matrix.shape[1])
+            most = np.zeros((matrix.shape[1], -(-len(matrix) // BLOCK)), dtype=np.float32)
+            for b in range(most.shape[1]):
+                rows = self._rows(g, np.arange(b * BLOCK, min((b + 1) * BLOCK, len(matrix))), every)
+                most[:, b] = rows.max(axis=0, initial=0)
+                total += rows.sum(axis=0)
+            self.bounds.append(most)
+            self.centres.append((total / max(1, len(matrix))).astype(np.float32))
+        self.centres = np.concatenate(self.centres)
+        self.first_column = np.cumsum([0, *(m.shape[1] for m in self.matrices)])
         if not self.exact:
             # Most terms occur once in an example: what more often ones weigh on top.
             often = np.flatnonzero(self.held_counts > 1)
-            self.often_places, self.often_counts = self.places[often], self.held_counts[often]
             self.often_starts = np.searchsorted(often, self.starts).astype(np.int32)
-            cells = np.flatnonzero(self.matrix_counts.reshape(-1) > 1)
-            self.often_cells = cells.astype(np.uint32) if self.matrix_counts.size < 1 << 32 else cells
-            self.often_weights = _damped(self.matrix_counts.reshape(-1)[self.often_cells]).astype(np.float32)
+            self.often_lists = _byte_lists(self.often_starts, self.places[often])
+            self.often_counts = _byte_lists(self.often_starts, self.held_counts[often])
+            self.held_kind = self.held_counts.dtype
+            flat, some = self.matrix_counts.reshape(-1), 1 << 20        # cells looked at at a time
+            kind = np.uint32 if flat.size < 1 << 32 else np.int64
+            cells = [(np.flatnonzero(flat[i:i + some] > 1) + i).astype(kind) for i in range(0, flat.size, some)]
+            self.often_cells = np.concatenate([np.zeros(0, dtype=kind), *cells])
+            self.often_weights = _damped(flat[self.often_cells]).astype(np.float32)
         self._ready = True
 
-    def _rows(self, places: np.ndarray, columns: np.ndarray) -> np.ndarray:
-        """Weights of examples in columns of the matrix, in double precision."""
-        stored = self.matrix_counts[places[:, None], columns]
+    def _rows(self, group: int, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """Weights of a group's examples in columns of its matrix, in double
+        precision."""
+        stored = self.matrices[group][rows[:, None], columns]
         if self.exact:
             return stored
-        return _damped(stored) * self.common_idf[columns] / self.norms[places][:, None]
+        return _damped(stored) * self.common_idf[group][columns] / self.norms[self.edges[group] + rows][:, None]
 
-    def _rough(self, lo: int, hi: int) -> np.ndarray:
-        """Rows of the matrix in single precision, without IDF and length."""
-        rows = self.matrix_counts[lo:hi].astype(np.float32)
+    def _rough(self, group: int, lo: int, hi: int) -> np.ndarray:
+        """Rows of a group's matrix in single precision, without IDF and length."""
+        rows = self.matrices[group][lo:hi].astype(np.float32)
         if not self.exact:
             width = rows.shape[1]
-            ends = np.array([lo * width, hi * width], dtype=self.often_cells.dtype)     # else the cells are cast
+            before = int((np.diff(self.edges)[:group] * self.widths[:group]).sum())
+            ends = np.array([before + lo * width, before + hi * width], dtype=self.often_cells.dtype)     # else the cells are cast
             mine = slice(*np.searchsorted(self.often_cells, ends))
-            rows.reshape(-1)[self.often_cells[mine] - lo * width] = self.often_weights[mine]
+            rows.reshape(-1)[self.often_cells[mine] - (before + lo * width)] = self.often_weights[mine]
         return rows
 
+    def _some(self, group: int, lo: int, hi: int, columns: np.ndarray) -> np.ndarray:
+        """Columns of ``_rough``."""
+        stored = np.take(self.matrices[group][lo:hi], columns, axis=1)
+        return stored.astype(np.float32) if self.exact else np.take(DAMPED_SINGLE, stored)
+
+    def _columns(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(group, column, term) of the matrices that have terms of a vector:
+        ``term`` counts in ``at``."""
+        column = self.column[at].T
+        group, term = np.nonzero(column >= 0)
+        return group, column[group, term].astype(np.int64), term
+
+    def _home(self, columns, weights: np.ndarray) -> int:
+        """The group whose mean is the most like a vector."""
+        group, column, term = columns
+        like = np.bincount(group, minlength=len(self.matrices),
+                           weights=self.centres[self.first_column[group] + column] * weights[term])
+        return int(like.argmax()) if len(like) else 0
+
     def nearest_of(self, vectors, k: int = NEIGHBOURS, without=None) -> list[list[tuple[float, int]]]:
         """For each vector (cosine, place) of the k nearest examples with a
         positive cosine, ties to the smaller id; ``without`` are the places
-        of examples that are left out, one a vector."""
+        of examples that are left out, one a vector.  Texts of one group are
+        sought together."""
         self.ready()
-        n, width = self.matrix_counts.shape
-        blocks = self.bounds.shape[1]
-        if not n:
-            return [[] for _ in vectors]
-        part = np.zeros((len(vectors), blocks * BLOCK))     # of the lists; the last block is filled up
-        query = np.zeros((len(vectors), width))
-        for i, (at, weights) in enumerate(vectors):
-            columns = self.column[at]
-            query[i, columns[columns >= 0]] = weights[columns >= 0]
-            self._add_lists(part[i, :n], at[columns < 0], weights[columns < 0])
+        out: list = [[] for _ in vectors]
+        if not len(self.ids):
+            return out
+        columns = [self._columns(at) for at, _ in vectors]
+        home = np.array([self._home(c, w) for c, (_, w) in zip(columns, vectors)], dtype=np.int64)
+        for g in np.unique(home):
+            mine = np.flatnonzero(home == g)
+            for i in range(0, len(mine), TOGETHER):
+                part = mine[i:i + TOGETHER]
+                found = self._nearest_in(g, [vectors[j] for j in part], [columns[j] for j in part], k,
+                                         None if without is None else np.asarray(without)[part])
+                for j, near in zip(part, found):
+                    out[j] = near
+        return out
+
+    def _nearest_in(self, home: int, vectors, columns, k: int, without) -> list[list[tuple[float, int]]]:
+        """``nearest_of`` for vectors that are like those of one group."""
+        n = len(self.ids)
+        part = np.empty((len(vectors), n))          # of the lists
+        rough = np.full(part.shape, -np.inf, dtype=np.float32)
+        query = np.zeros((len(vectors), self.first_column[-1]))
+        queries = [query[:, a:b] for a, b in zip(self.first_column, self.first_column[1:])]
+        held = []       # by vector, the columns of each group
+        for i, ((at, weights), (group, column, term)) in enumerate(zip(vectors, columns)):
+            # A term's list has the examples of the groups where it is no column,
+            # and those that hold it too often for a byte.
+            part[i] = self._lists_sum(at, weights)
+            query[i, self.first_column[group] + column] = weights[term]
+            held.append(np.split(column, np.searchsorted(group, np.arange(1, len(queries)))))
         if not self.exact:
-            part[:, :n] /= self.norms
-        part[:, n:] = -np.inf
+            part /= self.norms
         if without is not None:
             part[np.arange(len(vectors)), without] = -np.inf
-        # What no example of a block exceeds, from the best of its lists.
-        best = part.reshape(len(vectors), blocks, BLOCK).argmax(axis=2) + np.arange(blocks) * BLOCK
-        upper = np.take_along_axis(part, best, axis=1) + query @ self.bounds
-        columns = [np.flatnonzero(q) for q in query]
         least = np.zeros(len(vectors))      # no k-th cosine is lower
-        tried = min(FIRST, blocks)
-        if tried >= k:
-            first = np.take_along_axis(best, np.argpartition(upper, blocks - tried, axis=1)[:, blocks - tried:], axis=1)
-            for i, places in enumerate(first):
-                known = part[i, places] + self._rows(places, columns[i]) @ query[i, columns[i]]
-                least[i] = max(0.0, np.partition(known, -k)[-k])
-        needed = np.flatnonzero(((upper > 0) & (upper >= least[:, None] - 1e-9)).any(axis=0))
-        single = (query if self.exact else query * self.common_idf).astype(np.float32)
-        lengths = np.ones(n, dtype=np.float32) if self.exact else self.norms.astype(np.float32)
-        rough = np.full(part.shape, -np.inf, dtype=np.float32)
-        # Neighbouring blocks that any of the texts needs are one product.
-        for run in np.split(needed, np.flatnonzero((np.diff(needed) > 1) | (np.diff(needed // STRIDE) > 0)) + 1):
-            if len(run):
-                lo, hi = run[0] * BLOCK, min((run[-1] + 1) * BLOCK, n)
-                rough[:, lo:hi] = single @ self._rough(lo, hi).T / lengths[lo:hi] + part[:, lo:hi]
+        order = [home, *(g for g in range(len(queries)) if g != home)]
+        for g in order:
+            lo, hi = self.edges[g], self.edges[g + 1]
+            blocks = self.bounds[g].shape[1]
+            starts = np.arange(0, blocks, STRIDE)
+            if g == home:
+                needed = np.ones((len(vectors), len(starts)), dtype=bool)
+            else:       # what no example of a block exceeds, from the best of its lists
+                best = np.maximum.reduceat(part[:, lo:hi], np.arange(blocks) * BLOCK, axis=1)
+                upper = best + queries[g].astype(np.float32) @ self.bounds[g]
+                needed = np.logical_or.reduceat(
+                    (best > -np.inf) & (upper > -ROUGH) & (upper >= least[:, None] - ROUGH), starts, axis=1)
+            single = (queries[g] if self.exact else queries[g] * self.common_idf[g]).astype(np.float32)
+            # Neighbouring blocks are one product, for the texts that need one of them.
+            for run, who in zip(starts, needed.T):
+                who = np.flatnonzero(who)
+                if len(who):
+                    a, b = run * BLOCK, min((run + STRIDE) * BLOCK, hi - lo)
+                    if 4 * sum(len(held[i][g]) for i in who) < single.shape[1]:     # too few for whole rows
+                        found = np.stack([self._some(g, a, b, held[i][g]) @ single[i, held[i][g]] for i in who])
+                    else:
+                        found = single[who] @ self._rough(g, a, b).T
+                    if not self.exact:
+                        found /= self.norms[lo + a:lo + b].astype(np.float32)
+                    rough[who, lo + a:lo + b] = found + part[who, lo + a:lo + b]
+            if g == home and hi - lo >= k:
+                least = np.maximum(0.0, np.partition(rough[:, lo:hi], hi - lo - k, axis=1)[:, hi - lo - k] - ROUGH)
         out = []
         for i in range(len(vectors)):
-            places = np.flatnonzero((rough[i] > 0) & (rough[i] >= least[i] - ROUGH))
+            places = np.flatnonzero((rough[i] > -ROUGH) & (rough[i] >= least[i] - ROUGH))
             if len(places) > k:
                 values = rough[i, places]
                 places = places[values >= np.partition(values, -k)[-k] - 2 * ROUGH]
-            cosines = part[i, places] + self._rows(places, columns[i]) @ query[i, columns[i]]
+            cosines = part[i, places]
+            of = np.searchsorted(self.edges, places, side="right") - 1
+            for g in np.unique(of):
+                columns = held[i][g]
+                cosines[of == g] += self._rows(g, places[of == g] - self.edges[g], columns) @ queries[g][i, columns]
             near = sorted((-round(float(c), 12), int(self.ids[p]), int(p))
                           for p, c in zip(places, cosines) if c > 0)[:k]
             out.append([(-c, place) for c, _, place in near])
         return out
 
-    def _add_lists(self, part: np.ndarray, listed: np.ndarray, weights: np.ndarray) -> None:
-        """Set ``part`` to what the lists of terms add to every example, but
-        for its length."""
-        if not len(listed):
-            return
-        if not self.exact:
-            weights = weights * self.idf[listed]
-            part[:] = _added(len(part), self.places, self.starts, listed, weights)
-            some = self.often_starts[listed + 1] > self.often_starts[listed]
-            listed, weights = listed[some], weights[some]
-            part += _added(len(part), self.often_places, self.often_starts, listed, weights,
-                           self.often_counts, lambda counts: _damped(counts) - 1)
-        else:
-            part[:] = _added(len(part), self.places, self.starts, listed, weights, self.held_counts,
-                             lambda stored: stored)
+    def _lists_sum(self, listed: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What the lists of terms add to every example, but for its length."""
+        sizes = self.starts[listed + 1] - self.starts[listed]
+        n = int(sizes.sum())
+        if not n:
+            return np.zeros(len(self.ids))
+        places = _taken(self.lists, listed, self.places.dtype, n)
+        if self.exact:
+            added = np.repeat(weights, sizes) * _taken(self.list_weights, listed, float, n)
+            return np.bincount(places, minlength=len(self.ids), weights=added)
+        weights = weights * self.idf[listed]
+        often = self.often_starts[listed + 1] - self.often_starts[listed]
+        more = int(often.sum())
+        where, added = np.empty(n + more, dtype=np.intp), np.empty(n + more)
+        where[:n], added[:n] = places, np.repeat(weights, sizes)
+        if more:
+            where[n:] = _taken(self.often_lists, listed, self.places.dtype, more)
+            np.multiply(np.repeat(weights, often), _damped(_taken(self.often_counts, listed, self.held_kind, more)) - 1,
+                        out=added[n:])
+        return np.bincount(where, minlength=len(self.ids), weights=added)
 
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS,
                 without: int | None = None) -> list[tuple[float, int]]:
@@ -480,10 +640,8 @@ class Examples:
         if len(self.answers) + len(new) > REMEMBERED:
             self.answers.clear()
             new = dict(zip(digests, texts))
-        asked, vectors = list(new), self.vectors(list(new.values()))
-        for i in range(0, len(asked), TOGETHER):
-            for d, near in zip(asked[i:i + TOGETHER], self.nearest_of(vectors[i:i + TOGETHER])):
-                self.answers[d] = self._answer(near)
+        for d, near in zip(new, self.nearest_of(self.vectors(list(new.values())))):
+            self.answers[d] = self._answer(near)
         return [self.answers[d] for d in digests]
 
     def _answer(self, near: list[tuple[float, int]]) -> tuple[float, list[int], list[float]]:
@@ -637,8 +795,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, telling: f
         place = {k: p for p, k in enumerate(zip(examples.ids.tolist(), examples.texts.tolist(),
                                                 examples.labels.tolist()))}
         for batch in batches:
-            for i in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(i, TOGETHER).to_pydict()
+            for i in range(0, batch.num_rows, 1024):
+                part = batch.slice(i, 1024).to_pydict()
                 own = [place.get(x) for x in zip(part["doc_id"], part["h"], map(float, part["label"]))]
                 mine = [j for j, p in enumerate(own) if p is not None]
                 vectors = [_weighed(examples, part["at"][j], part["n"][j], own[j]) for j in mine]
@@ -726,12 +884,11 @@ def toxicity_scores(docs: DataFrame, model: Examples) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in text_chunks(batch):
-                out = loaded(shared, outcome).scores(chunk.column("text").to_pylist())
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": chunk.column("doc_id"), "score": pa.array([x[0] for x in out], pa.float64()),
-                    "neighbours": pa.array([x[1] for x in out], pa.list_(pa.int64())),
-                    "cosines": pa.array([x[2] for x in out], pa.list_(pa.float64()))})
+            out = loaded(shared, outcome).scores(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column("doc_id"), "score": pa.array([x[0] for x in out], pa.float64()),
+                "neighbours": pa.array([x[1] for x in out], pa.list_(pa.int64())),
+                "cosines": pa.array([x[2] for x in out], pa.list_(pa.float64()))})
         kept("toxicity").clear()        # the worker lives on
         give_back()
 
@@ -754,10 +911,7 @@ def without_toxic(docs: DataFrame, model: Examples) -> DataFrame:
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            found = []
-            for i in range(0, len(batch), TOGETHER):
-                found += [x[0] for x in loaded(shared, outcome).scores(batch.iloc[i:i + TOGETHER].tolist())]
-            yield pd.Series(found, dtype=float)
+            yield pd.Series([x[0] for x in loaded(shared, outcome).scores(batch.tolist())], dtype=float)
         kept("toxicity").clear()        # the worker lives on
         give_back()
 

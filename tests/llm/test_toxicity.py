@@ -246,3 +246,49 @@ def test_a_search_keeps_no_second_matrix():
     model.nearest_of(vectors[:200])
     after = sum(x.nbytes for x in vars(model).values() if isinstance(x, np.ndarray))
     assert after - before < 1.5 * counts
+
+
+def grouped_index(n=2400, languages=4, width=160):
+    """An index of examples in languages of their own, some with a term that
+    a byte does not count, and their vectors."""
+    rng = np.random.default_rng(11)
+    held = 0.9 / np.sqrt(np.arange(1, width + 1))
+    rows = []
+    for i in range(n):
+        at = np.flatnonzero(rng.uniform(size=width) < held)
+        count = rng.geometric(0.7, len(at))
+        if i % 50 == 0 and len(at):
+            count[0] = 300 + 70_000 * (i % 100 == 0)
+        rows.append(((at + width * (i % languages)).astype("<i4"), count.astype("<u4")))
+    rows = [r for r in rows if len(r[0])]
+    model = toxicity.Examples({})
+    terms = width * languages
+    model.name_terms(np.arange(terms), np.tile(np.linspace(1, 6, width), languages))
+    model.build_counts(np.arange(len(rows)), np.zeros(len(rows), dtype=np.int64), np.zeros(len(rows)), rows)
+    vectors = [(at.astype(np.int64), (1 + np.log(c)) * model.idf[at]) for at, c in rows]
+    return model, [(at, w / np.linalg.norm(w)) for at, w in vectors]
+
+
+def test_the_matrix_holds_bytes_whatever_one_example_repeats():
+    model, vectors = grouped_index()
+    assert model.matrix_counts.itemsize == 1 and model.held_counts.max() == 70_300
+    model.ready()
+    dense = np.zeros((len(vectors), len(model.idf)))
+    for i, (at, w) in enumerate(vectors):
+        dense[i, at] = w
+    asked = range(0, len(vectors), 5)
+    for i, found in zip(asked, model.nearest_of([vectors[i] for i in asked])):
+        cosines = np.round(dense @ dense[i], 12)
+        assert np.allclose([c for c, _ in found], np.sort(cosines)[::-1][:toxicity.NEIGHBOURS], atol=2e-12)
+        assert all(abs(cosines[model.ids[p]] - c) < 2e-12 for c, p in found)
+
+
+def test_a_text_is_multiplied_with_examples_like_it_only(monkeypatch):
+    model, vectors = grouped_index()
+    model.ready()
+    seen = set()
+    for name in ("_rough", "_some"):
+        whole = getattr(model, name)
+        monkeypatch.setattr(model, name, lambda g, lo, hi, *a, f=whole: seen.add((g, lo, hi)) or f(g, lo, hi, *a))
+    model.nearest_of(vectors[:400:4])       # texts of one language
+    assert 0 < sum(hi - lo for _, lo, hi in seen) < len(model.ids) / 2
