@@ -13,8 +13,9 @@ block, and only blocks that hold an example whose bound reaches the
 ``NEIGHBOURS``-th cosine of a text's own group are multiplied out for that text:
 first in single precision, weights being worked out of the counts some blocks at
 a time; then in double precision the examples that may be among the nearest.
-Neighbours vote with a weight that grows as their distance falls, and isotonic regression
-over the examples' own leave-one-out votes turns the vote into a probability.
+Neighbours vote with a weight that grows as their distance falls, and isotonic
+regression over the examples' own leave-one-out votes turns the vote into a
+probability.
 Texts without a term of any example have no neighbours and take the rate of
 such examples.
 
@@ -47,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowtally.llm.common import code_on_workers, give_back, kept, share_hash, store, whole_texts
-from flowtally.llm.words import CHUNK_BYTES, text_chunks
+from flowtally.llm.words import text_chunks
 
 FIT_ROWS = 20_000
 FIT_TASKS = 64
@@ -59,8 +60,9 @@ BLOCK = 64
 COMMON = 16                 # of so many examples one holds a term of the matrix
 GROUPS = 8                  # of examples that are like one another, at most
 LANE = 16                   # a matrix has a multiple of so many columns
-TOGETHER = 128              # texts whose neighbours are sought at a time
+TOGETHER = 64               # texts whose neighbours are sought at a time
 ROUGH = 1e-4                # more than single precision can be off
+LETTERS = 1 << 18           # of texts whose words are cut together
 STRIDE = 8                  # blocks that are multiplied out at a time
 COUNTED = 1 << 19           # counts of terms that a worker holds before it adds them up
 REMEMBERED = 2_000          # answers for equal texts that a worker keeps
@@ -137,8 +139,8 @@ def term_table(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _chunks(texts) -> Iterator[tuple[int, int]]:
-    """Bounds of neighbouring texts of about ``CHUNK_BYTES`` letters together."""
-    sizes = np.cumsum([len(t or "") for t in texts], dtype=np.int64) // CHUNK_BYTES
+    """Bounds of neighbouring texts of about ``LETTERS`` letters together."""
+    sizes = np.cumsum([len(t or "") for t in texts], dtype=np.int64) // LETTERS
     cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(texts)]
     return ((lo, hi) for lo, hi in zip(cuts, cuts[1:]) if hi > lo)
 
@@ -191,8 +193,12 @@ def _damped(counts: np.ndarray) -> np.ndarray:
 
 def _byte_lists(starts: np.ndarray, values: np.ndarray) -> pa.Array:
     """Lists as byte strings that share their memory: taken by copying runs."""
-    ends = pa.py_buffer(starts.astype(np.int64) * values.itemsize)
-    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, [None, ends, pa.py_buffer(values)])
+    ends = starts * values.itemsize
+    if len(values) * values.itemsize < 1 << 31:
+        kind, ends = pa.binary(), ends.astype(np.int32)
+    else:
+        kind, ends = pa.large_binary(), ends.astype(np.int64)
+    return pa.Array.from_buffers(kind, len(starts) - 1, [None, pa.py_buffer(ends), pa.py_buffer(values)])
 
 
 def _taken(lists: pa.Array, listed: np.ndarray, kind, n: int) -> np.ndarray:
@@ -447,15 +453,15 @@ class Examples:
         if not self.exact:
             # Most terms occur once in an example: what more often ones weigh on top.
             often = np.flatnonzero(self.held_counts > 1)
-            self.often_starts = np.searchsorted(often, self.starts).astype(np.int32)
+            self.often_starts = np.searchsorted(often, self.starts)
             self.often_lists = _byte_lists(self.often_starts, self.places[often])
             self.often_counts = _byte_lists(self.often_starts, self.held_counts[often])
             self.held_kind = self.held_counts.dtype
+            self.often_starts = self.often_starts.astype(np.int32)
             flat, some = self.matrix_counts.reshape(-1), 1 << 20        # cells looked at at a time
             kind = np.uint32 if flat.size < 1 << 32 else np.int64
             cells = [(np.flatnonzero(flat[i:i + some] > 1) + i).astype(kind) for i in range(0, flat.size, some)]
             self.often_cells = np.concatenate([np.zeros(0, dtype=kind), *cells])
-            self.often_weights = _damped(flat[self.often_cells]).astype(np.float32)
         self._ready = True
 
     def _rows(self, group: int, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
@@ -474,7 +480,8 @@ class Examples:
             before = int((np.diff(self.edges)[:group] * self.widths[:group]).sum())
             ends = np.array([before + lo * width, before + hi * width], dtype=self.often_cells.dtype)     # else the cells are cast
             mine = slice(*np.searchsorted(self.often_cells, ends))
-            rows.reshape(-1)[self.often_cells[mine] - (before + lo * width)] = self.often_weights[mine]
+            cells = self.often_cells[mine] - (before + lo * width)
+            rows.reshape(-1)[cells] = DAMPED_SINGLE[self.matrices[group][lo:hi].reshape(-1)[cells]]
         return rows
 
     def _some(self, group: int, lo: int, hi: int, columns: np.ndarray) -> np.ndarray:
@@ -522,15 +529,16 @@ class Examples:
         n = len(self.ids)
         part = np.empty((len(vectors), n))          # of the lists
         rough = np.full(part.shape, -np.inf, dtype=np.float32)
-        query = np.zeros((len(vectors), self.first_column[-1]))
+        query = np.zeros((len(vectors), self.first_column[-1]), dtype=np.float32)
         queries = [query[:, a:b] for a, b in zip(self.first_column, self.first_column[1:])]
-        held = []       # by vector, the columns of each group
+        held = []       # by vector, the columns of each group and their weights
         for i, ((at, weights), (group, column, term)) in enumerate(zip(vectors, columns)):
             # A term's list has the examples of the groups where it is no column,
             # and those that hold it too often for a byte.
             part[i] = self._lists_sum(at, weights)
             query[i, self.first_column[group] + column] = weights[term]
-            held.append(np.split(column, np.searchsorted(group, np.arange(1, len(queries)))))
+            ends = np.searchsorted(group, np.arange(len(queries) + 1))
+            held.append([(column[a:b], weights[term[a:b]]) for a, b in zip(ends, ends[1:])])
         if not self.exact:
             part /= self.norms
         if without is not None:
@@ -545,17 +553,17 @@ class Examples:
                 needed = np.ones((len(vectors), len(starts)), dtype=bool)
             else:       # what no example of a block exceeds, from the best of its lists
                 best = np.maximum.reduceat(part[:, lo:hi], np.arange(blocks) * BLOCK, axis=1)
-                upper = best + queries[g].astype(np.float32) @ self.bounds[g]
+                upper = best + queries[g] @ self.bounds[g]
                 needed = np.logical_or.reduceat(
                     (best > -np.inf) & (upper > -ROUGH) & (upper >= least[:, None] - ROUGH), starts, axis=1)
-            single = (queries[g] if self.exact else queries[g] * self.common_idf[g]).astype(np.float32)
+            single = queries[g] if self.exact else queries[g] * self.common_idf[g].astype(np.float32)
             # Neighbouring blocks are one product, for the texts that need one of them.
             for run, who in zip(starts, needed.T):
                 who = np.flatnonzero(who)
                 if len(who):
                     a, b = run * BLOCK, min((run + STRIDE) * BLOCK, hi - lo)
-                    if 4 * sum(len(held[i][g]) for i in who) < single.shape[1]:     # too few for whole rows
-                        found = np.stack([self._some(g, a, b, held[i][g]) @ single[i, held[i][g]] for i in who])
+                    if 4 * sum(len(held[i][g][0]) for i in who) < single.shape[1]:     # too few for whole rows
+                        found = np.stack([self._some(g, a, b, held[i][g][0]) @ single[i, held[i][g][0]] for i in who])
                     else:
                         found = single[who] @ self._rough(g, a, b).T
                     if not self.exact:
@@ -572,8 +580,8 @@ class Examples:
             cosines = part[i, places]
             of = np.searchsorted(self.edges, places, side="right") - 1
             for g in np.unique(of):
-                columns = held[i][g]
-                cosines[of == g] += self._rows(g, places[of == g] - self.edges[g], columns) @ queries[g][i, columns]
+                columns, weights = held[i][g]
+                cosines[of == g] += self._rows(g, places[of == g] - self.edges[g], columns) @ weights
             near = sorted((-round(float(c), 12), int(self.ids[p]), int(p))
                           for p, c in zip(places, cosines) if c > 0)[:k]
             out.append([(-c, place) for c, _, place in near])
@@ -804,6 +812,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, telling: f
                 found = [(examples.vote(x), part["label"][j]) for j, x in zip(mine, near) if x]
                 yield pa.RecordBatch.from_pydict({"vote": pa.array([v for v, _ in found], pa.float64()),
                                                   "label": pa.array([y for _, y in found], pa.int32())})
+                give_back()     # what a search took on top of the index
 
     votes = made.mapInArrow(own_votes, "vote double, label int").toArrow()
     if len(votes):
@@ -889,6 +898,7 @@ def toxicity_scores(docs: DataFrame, model: Examples) -> DataFrame:
                 "doc_id": batch.column("doc_id"), "score": pa.array([x[0] for x in out], pa.float64()),
                 "neighbours": pa.array([x[1] for x in out], pa.list_(pa.int64())),
                 "cosines": pa.array([x[2] for x in out], pa.list_(pa.float64()))})
+            give_back()
         kept("toxicity").clear()        # the worker lives on
         give_back()
 
@@ -912,6 +922,7 @@ def without_toxic(docs: DataFrame, model: Examples) -> DataFrame:
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series([x[0] for x in loaded(shared, outcome).scores(batch.tolist())], dtype=float)
+            give_back()
         kept("toxicity").clear()        # the worker lives on
         give_back()
 
